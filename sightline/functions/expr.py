@@ -39,6 +39,14 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def ts_lit(value) -> Column:
+    """Timestamp literal read in the session time zone (UTC), independent of
+    the driver machine's local zone."""
+    if hasattr(value, "isoformat"):
+        value = value.isoformat(sep=" ") if hasattr(value, "hour") else value.isoformat()
+    return F.lit(str(value)).cast("timestamp")
+
+
 def normalize_query(q) -> Column:
     """``lower(trim(q))``; trim strips spaces only (tabs stay)."""
     return F.lower(F.trim(col(q)))

@@ -201,3 +201,136 @@ SELECT DISTINCT doc_id, word FROM (
 def q_tokenize(spark, sf):
     d = FX.documents_as_queries(spark, sf)
     return d.select("doc_id", F.explode(E.tokenize("query")).alias("word"))
+
+
+# ---------------------------------------------------------------------------
+# Convergence (S1C, whole table, window of one day)
+# ---------------------------------------------------------------------------
+from ..operators import convergence as CV  # noqa: E402
+
+_S1_START, _S1_END = FX.s1_window()
+_W = FX.S1C_WINDOW_SECONDS
+_RANGE = (f"\"timestamp\" BETWEEN TIMESTAMP '{_S1_START.isoformat(sep=' ')}' "
+          f"AND TIMESTAMP '{_S1_END.isoformat(sep=' ')}'")
+CONV_CTE = f"""WITH s AS (SELECT * FROM {O.S1C_SQL} x WHERE {_RANGE}),
+se AS (SELECT username, lower(trim(query)) AS norm_query,
+              CAST(floor(epoch_us("timestamp") / {_W * 1_000_000}.0) AS BIGINT) AS time_bucket,
+              client_id, MIN("timestamp") AS first_seen FROM s GROUP BY ALL),
+ec AS (SELECT username, norm_query, time_bucket, COUNT(DISTINCT client_id) AS client_count,
+              MIN(first_seen) AS earliest, MAX(first_seen) AS latest FROM se GROUP BY ALL),
+nc AS (SELECT COUNT(DISTINCT client_id) AS n FROM se)
+"""
+
+
+def s1c_events(spark, sf):
+    return CV.search_events(FX.searches_s1c(spark, sf), _S1_START, _S1_END, _W)
+
+
+@register("search_events", CONV_CTE + """
+SELECT username, norm_query, time_bucket, client_id, first_seen FROM se""")
+def q_search_events(spark, sf):
+    return s1c_events(spark, sf).withColumn("first_seen", F.col("first_seen").cast("timestamp_ntz"))
+
+
+@register("event_client_distribution", CONV_CTE + """
+SELECT client_count, COUNT(*) AS event_count,
+       round(COUNT(*) * 100.0 / SUM(COUNT(*)) OVER (), 6) AS pct
+FROM ec WHERE (SELECT n FROM nc) >= 2 GROUP BY client_count""")
+def q_event_client_distribution(spark, sf):
+    return CV.event_client_distribution(s1c_events(spark, sf))
+
+
+@register("full_convergence", CONV_CTE + """
+SELECT n AS n_clients, full_events, total_events,
+       round(CASE WHEN total_events > 0 THEN full_events * 100.0 / total_events ELSE 0 END, 6) AS rate
+FROM (SELECT (SELECT n FROM nc) AS n,
+             CAST(SUM(CASE WHEN client_count = (SELECT n FROM nc) THEN 1 ELSE 0 END) AS BIGINT) AS full_events,
+             COUNT(*) AS total_events FROM ec) t WHERE n >= 2""")
+def q_full_convergence(spark, sf):
+    return CV.full_convergence(s1c_events(spark, sf))
+
+
+@register("spread_histogram", CONV_CTE + """
+SELECT time_spread, sort_order, COUNT(*) AS event_count, round(AVG(client_count), 6) AS avg_clients
+FROM (SELECT client_count, (epoch_us(latest) - epoch_us(earliest)) / 1000000.0 AS sp,
+        CASE WHEN sp < 60 THEN '< 1 min' WHEN sp < 300 THEN '1-5 min' WHEN sp < 900 THEN '5-15 min'
+             WHEN sp < 3600 THEN '15-60 min' ELSE '> 1 hour' END AS time_spread,
+        CASE WHEN sp < 60 THEN 1 WHEN sp < 300 THEN 2 WHEN sp < 900 THEN 3
+             WHEN sp < 3600 THEN 4 ELSE 5 END AS sort_order
+      FROM ec WHERE client_count >= 2) b
+WHERE (SELECT n FROM nc) >= 2 GROUP BY 1, 2""")
+def q_spread_histogram(spark, sf):
+    return CV.spread_histogram(s1c_events(spark, sf))
+
+
+@register("events_per_client", CONV_CTE + """
+SELECT client_id, COUNT(*) AS unique_events FROM se WHERE (SELECT n FROM nc) >= 2 GROUP BY 1""")
+def q_events_per_client(spark, sf):
+    return CV.events_per_client(s1c_events(spark, sf))
+
+
+@register("client_overlap", CONV_CTE + """,
+cnt AS (SELECT client_id, COUNT(*) AS n FROM se GROUP BY 1),
+sh AS (SELECT a.client_id AS client_a, b.client_id AS client_b, COUNT(*) AS shared
+       FROM se a JOIN se b ON a.username = b.username AND a.norm_query = b.norm_query
+        AND a.time_bucket = b.time_bucket AND a.client_id < b.client_id GROUP BY 1, 2),
+p AS (SELECT a.client_id AS client_a, b.client_id AS client_b, a.n AS count_a, b.n AS count_b,
+             COALESCE(sh.shared, 0) AS shared
+      FROM cnt a JOIN cnt b ON a.client_id < b.client_id
+      LEFT JOIN sh ON sh.client_a = a.client_id AND sh.client_b = b.client_id)
+SELECT client_a, client_b, count_a, count_b, shared,
+       round(shared * 100.0 / count_a, 6) AS pct_a_in_b, round(shared * 100.0 / count_b, 6) AS pct_b_in_a,
+       round(shared * 100.0 / count_a, 6) >= 95 AS a_subset, round(shared * 100.0 / count_b, 6) >= 95 AS b_subset
+FROM p""")
+def q_client_overlap(spark, sf):
+    return CV.client_overlap(s1c_events(spark, sf))
+
+
+@register("unique_contribution", CONV_CTE + """,
+tot AS (SELECT client_id, COUNT(*) AS total_events FROM se GROUP BY 1),
+uq AS (SELECT se.client_id, COUNT(*) AS unique_events FROM se JOIN ec USING (username, norm_query, time_bucket)
+       WHERE ec.client_count = 1 GROUP BY 1)
+SELECT tot.client_id, COALESCE(uq.unique_events, 0) AS unique_events, total_events,
+       round(COALESCE(uq.unique_events, 0) * 100.0 / total_events, 6) AS pct
+FROM tot LEFT JOIN uq USING (client_id) WHERE (SELECT n FROM nc) >= 2""")
+def q_unique_contribution(spark, sf):
+    return CV.unique_contribution(s1c_events(spark, sf))
+
+
+@register("sample_converged", CONV_CTE + """
+SELECT username, norm_query, time_bucket,
+       string_agg(client_id, ' -> ' ORDER BY first_seen, client_id) AS client_order,
+       MIN(first_seen) AS earliest, MAX(first_seen) AS latest,
+       round((epoch_us(MAX(first_seen)) - epoch_us(MIN(first_seen))) / 1000000.0, 6) AS spread_seconds,
+       CASE WHEN length(norm_query) > 50 THEN left(norm_query, 50) || '...' ELSE norm_query END AS query_preview,
+       CASE WHEN length(username) > 12 THEN left(username, 12) || '...' ELSE username END AS user_preview
+FROM se GROUP BY username, norm_query, time_bucket
+HAVING COUNT(DISTINCT client_id) = (SELECT n FROM nc) AND (SELECT n FROM nc) >= 2
+ORDER BY earliest DESC, username, norm_query, time_bucket LIMIT 10""")
+def q_sample_converged(spark, sf):
+    return CV.sample_converged(s1c_events(spark, sf))
+
+
+@register("distinct_clients", f"""
+SELECT DISTINCT client_id FROM {O.S1C_SQL} x WHERE {_RANGE}""")
+def q_distinct_clients(spark, sf):
+    from ..sources.scans import scan_time_range
+    return ST.distinct_clients(scan_time_range(FX.searches_s1c(spark, sf), _S1_START, _S1_END))
+
+
+@register("raw_per_client", f"""
+SELECT client_id, COUNT(*) AS n FROM {O.S1C_SQL} x WHERE {_RANGE} GROUP BY 1""")
+def q_raw_per_client(spark, sf):
+    from ..sources.scans import scan_time_range
+    return ST.raw_per_client(scan_time_range(FX.searches_s1c(spark, sf), _S1_START, _S1_END))
+
+
+@register("scan_time_range", f"""
+SELECT client_id, "timestamp", username, query FROM {O.S1_SQL} x
+WHERE "timestamp" BETWEEN TIMESTAMP '2024-01-10 00:00:00' AND TIMESTAMP '2024-01-12 12:00:00'""")
+def q_scan_time_range(spark, sf):
+    import datetime as dt
+    from ..sources.scans import scan_time_range
+    s = scan_time_range(FX.searches_s1(spark, sf), dt.datetime(2024, 1, 10),
+                        dt.datetime(2024, 1, 12, 12))
+    return s.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))

@@ -13,18 +13,24 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-SESSION_DEFAULTS = {
+# Settings the results depend on: forced on any session a job receives.
+REQUIRED = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+# Performance settings: applied when this package builds the session; a
+# cluster's own values are left alone.
+SESSION_DEFAULTS = {
+    **REQUIRED,
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the jobs depend on (idempotent)."""
-    for key, value in SESSION_DEFAULTS.items():
+    """Apply the settings the results depend on (idempotent)."""
+    for key, value in REQUIRED.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
     return spark
@@ -44,7 +50,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         **SESSION_DEFAULTS,
     }
     if shuffle_partitions:
+        # small local runs: keep one task per core after each shuffle instead
+        # of letting AQE merge the (tiny) partitions into one task
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+        conf["spark.sql.adaptive.coalescePartitions.enabled"] = "false"
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)

@@ -69,7 +69,11 @@ def searches_s1c(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def searches_s2(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
+    # lineitem x orders is a large-large join at scale: hash-partitioning the
+    # line items on the join key is the exchange a sort-merge join needs anyway,
+    # and it spreads a single unsplittable input file over all cores here.
+    li = (table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
+          .repartition("l_orderkey"))
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
                                                "o_orderpriority")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name")

@@ -28,7 +28,7 @@ def drop_incomplete(df: DataFrame, observation=None) -> DataFrame:
 
 def scan_time_range(df: DataFrame, start, end, column: str = "timestamp") -> DataFrame:
     """Rows with start <= ts <= end (both ends inclusive); pushed to the scan."""
-    return df.where(F.col(column).between(F.lit(start), F.lit(end)))
+    return df.where(F.col(column).between(E.ts_lit(start), E.ts_lit(end)))
 
 
 def month_range(month: str) -> tuple[_dt.datetime, _dt.datetime]:
@@ -45,7 +45,7 @@ def scan_month(df: DataFrame, month: str, column: str = "timestamp") -> DataFram
     if "month" in df.columns:
         return df.where(F.col("month") == month)
     start, end = month_range(month)
-    return df.where((F.col(column) >= F.lit(start)) & (F.col(column) < F.lit(end)))
+    return df.where((F.col(column) >= E.ts_lit(start)) & (F.col(column) < E.ts_lit(end)))
 
 
 def scan_client_range(df: DataFrame, client: str, start, end) -> DataFrame:
