@@ -334,3 +334,194 @@ def q_scan_time_range(spark, sf):
     s = scan_time_range(FX.searches_s1(spark, sf), dt.datetime(2024, 1, 10),
                         dt.datetime(2024, 1, 12, 12))
     return s.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+# ---------------------------------------------------------------------------
+# Similarity and detail tables (S2, as_of 2001-08-02)
+# ---------------------------------------------------------------------------
+import datetime as _dt  # noqa: E402
+
+from ..operators import detail as DT  # noqa: E402
+from ..operators import similarity as SM  # noqa: E402
+
+AS_OF = FX.S2_AS_OF
+CUTOFF = AS_OF - _dt.timedelta(days=1)
+BL_SQL = O.blacklist_sql("query_normalized", BLACKLIST_RX)
+SIM_CTE = f"""WITH t AS {O.T2},
+elig AS (SELECT query_normalized FROM t GROUP BY 1 HAVING COUNT(DISTINCT username) >= 35),
+p AS (SELECT DISTINCT username, query_normalized FROM t
+      WHERE query_normalized IN (SELECT query_normalized FROM elig) AND NOT {BL_SQL}),
+n AS (SELECT query_normalized AS q, COUNT(*) AS n FROM p GROUP BY 1),
+sh AS (SELECT a.query_normalized AS query, b.query_normalized AS similar_query, COUNT(*) AS shared_users
+       FROM p a JOIN p b ON a.username = b.username AND a.query_normalized <> b.query_normalized
+       GROUP BY 1, 2 HAVING COUNT(*) >= 5),
+sc AS (SELECT sh.*, shared_users / sqrt(na.n * nb.n) AS score FROM sh
+       JOIN n na ON na.q = sh.query JOIN n nb ON nb.q = sh.similar_query),
+sim AS (SELECT query, similar_query, shared_users, round(score, 6) AS score, CAST(rn AS INTEGER) AS rn FROM (
+         SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, shared_users DESC, similar_query) AS rn
+         FROM sc WHERE score > 0) r WHERE rn <= 20)
+"""
+DETAIL_CTE = SIM_CTE + f""",
+st AS {O.query_stats_sql('t')},
+qd AS (SELECT query_normalized, date, CAST(SUM(search_count) AS BIGINT) AS search_count,
+              COUNT(DISTINCT username) AS unique_users FROM t
+       WHERE query_normalized IN (SELECT query_normalized FROM elig) GROUP BY 1, 2),
+sl AS (SELECT DISTINCT query_normalized, {O.slug_expr('query_normalized')} AS slug FROM qd
+       WHERE date <= DATE '{CUTOFF.isoformat()}' AND NOT {BL_SQL}),
+dq AS (SELECT CAST(row_number() OVER (ORDER BY unique_users DESC, total_searches DESC, query_normalized) AS INTEGER) AS rank,
+              st.query_normalized AS query, unique_users, total_searches, sl.slug
+       FROM st LEFT JOIN sl USING (query_normalized)
+       WHERE unique_users >= 35 AND NOT {O.blacklist_sql('st.query_normalized', BLACKLIST_RX)})
+"""
+
+
+def s2_pairs(spark, sf, mode="run_date"):
+    return SM.user_query_pairs(s2_tuples(spark, sf), AS_OF, mode)
+
+
+def s2_eligible_pairs(spark, sf, mode="run_date", recent=E.RECENT_DAYS):
+    t = s2_tuples(spark, sf)
+    return SM.eligible_pairs(SM.user_query_pairs(t, AS_OF, mode), ST.eligible_queries(t),
+                             AS_OF, recent, BLACKLIST)
+
+
+def s2_detail(spark, sf):
+    t = s2_tuples(spark, sf)
+    qd = ST.query_daily_stats(t)
+    return DT.detail_queries(ST.all_time_query_stats(t), DT.slug_map(qd, CUTOFF, BLACKLIST),
+                             blacklist=BLACKLIST)
+
+
+def s2_similar(spark, sf):
+    return SM.query_similarity(s2_eligible_pairs(spark, sf))
+
+
+@register("user_query_pairs", f"""
+SELECT username, query_normalized, MAX(date) AS last_seen FROM {O.T2} t GROUP BY 1, 2""")
+def q_user_query_pairs(spark, sf):
+    return s2_pairs(spark, sf, "event_date")
+
+
+@register("eligible_pairs", SIM_CTE + f"""
+SELECT username, query_normalized FROM (
+  SELECT username, query_normalized, MAX(date) AS last_seen FROM t GROUP BY 1, 2) x
+WHERE query_normalized IN (SELECT query_normalized FROM elig) AND NOT {BL_SQL}
+  AND last_seen >= DATE '{AS_OF.isoformat()}' - INTERVAL 90 DAY""")
+def q_eligible_pairs(spark, sf):
+    return s2_eligible_pairs(spark, sf, "event_date")
+
+
+@register("cooccurrence", f"""
+WITH p AS (SELECT DISTINCT username, query_normalized FROM {O.T2} t)
+SELECT a.query_normalized AS query, b.query_normalized AS similar_query, COUNT(*) AS shared_users
+FROM p a JOIN p b ON a.username = b.username AND a.query_normalized <> b.query_normalized
+GROUP BY 1, 2 HAVING COUNT(*) >= 5""")
+def q_cooccurrence(spark, sf):
+    return SM.cooccurrence(s2_pairs(spark, sf))
+
+
+@register("query_similarity", SIM_CTE + "SELECT * FROM sim")
+def q_query_similarity(spark, sf):
+    return s2_similar(spark, sf)
+
+
+@register("detail_queries", DETAIL_CTE + "SELECT * FROM dq")
+def q_detail_queries(spark, sf):
+    return s2_detail(spark, sf)
+
+
+@register("word_index", DETAIL_CTE + f"""
+SELECT DISTINCT word, rank FROM (
+  SELECT rank, unnest(regexp_split_to_array(lower(query), '{TOKEN_SPLIT}')) AS word FROM dq) x
+WHERE word <> ''""")
+def q_word_index(spark, sf):
+    return DT.word_index(s2_detail(spark, sf))
+
+
+@register("detail_daily", DETAIL_CTE + f"""
+SELECT rank, date, search_count, qd.unique_users FROM qd JOIN dq ON dq.query = qd.query_normalized
+WHERE date <= DATE '{CUTOFF.isoformat()}'""")
+def q_detail_daily(spark, sf):
+    t = s2_tuples(spark, sf)
+    return DT.detail_daily(s2_detail(spark, sf), ST.query_daily_stats(t), CUTOFF)
+
+
+@register("detail_similar", DETAIL_CTE + """
+SELECT a.rank, b.rank AS similar_rank, score, shared_users FROM sim
+JOIN dq a ON a.query = sim.query JOIN dq b ON b.query = sim.similar_query""")
+def q_detail_similar(spark, sf):
+    return DT.detail_similar(s2_detail(spark, sf), s2_similar(spark, sf))
+
+
+@register("slug_dimension", DETAIL_CTE + "SELECT query_normalized, slug FROM sl")
+def q_slug_dimension(spark, sf):
+    t = s2_tuples(spark, sf)
+    return DT.slug_map(ST.query_daily_stats(t), CUTOFF, BLACKLIST)
+
+
+@register("query_by_slug", DETAIL_CTE + """
+SELECT * FROM dq WHERE slug = (SELECT slug FROM dq WHERE rank = 1)""")
+def q_query_by_slug(spark, sf):
+    d = s2_detail(spark, sf)
+    return DT.query_by_slug(d, d.where(F.col("rank") == 1).select("slug").scalar())
+
+
+@register("daily_by_rank", DETAIL_CTE + f"""
+SELECT rank, date, search_count, qd.unique_users FROM qd JOIN dq ON dq.query = qd.query_normalized
+WHERE date <= DATE '{CUTOFF.isoformat()}' AND rank = 1""")
+def q_daily_by_rank(spark, sf):
+    t = s2_tuples(spark, sf)
+    daily = DT.detail_daily(s2_detail(spark, sf), ST.query_daily_stats(t), CUTOFF)
+    return DT.daily_by_rank(daily, 1)
+
+
+@register("similar_detail", DETAIL_CTE + """,
+ds AS (SELECT a.rank, b.rank AS similar_rank, score, shared_users FROM sim
+       JOIN dq a ON a.query = sim.query JOIN dq b ON b.query = sim.similar_query)
+SELECT ds.similar_rank, ds.rank, ds.score, ds.shared_users, dq.query AS similar_query, dq.slug AS similar_slug
+FROM ds JOIN dq ON dq.rank = ds.similar_rank WHERE ds.rank = 1
+ORDER BY score DESC, shared_users DESC, similar_rank LIMIT 10""")
+def q_similar_detail(spark, sf):
+    d = s2_detail(spark, sf)
+    return DT.similar_detail(d, DT.detail_similar(d, s2_similar(spark, sf)), 1)
+
+
+@register("top25_chart", f"""
+SELECT query_normalized, unique_users, total_searches, rank,
+       (SELECT COUNT(*) FROM ({O.top_sql(O.T2, where="WHERE period_type = 'all_time'")}) c) AS total_count
+FROM ({O.top_sql(O.T2, where="WHERE period_type = 'all_time'")}) x
+ORDER BY rank LIMIT 25""")
+def q_top25_chart(spark, sf):
+    top = ST.period_top_queries(s2_tuples(spark, sf), kinds=("all_time",))
+    return DT.top_chart(top.drop("period_type", "period_id"), 25)
+
+
+@register("table_search", DETAIL_CTE + """
+SELECT *, (SELECT COUNT(*) FROM dq WHERE contains(lower(query), 'small')) AS match_count
+FROM dq WHERE contains(lower(query), 'small') ORDER BY rank LIMIT 200""")
+def q_table_search(spark, sf):
+    return DT.table_search(s2_detail(spark, sf), "small")
+
+
+@register("search_index", DETAIL_CTE + f"""
+SELECT st.query_normalized AS q, unique_users AS u, total_searches AS t, sl.slug AS s
+FROM st LEFT JOIN sl USING (query_normalized) WHERE NOT {O.blacklist_sql('st.query_normalized', BLACKLIST_RX)}""")
+def q_search_index(spark, sf):
+    t = s2_tuples(spark, sf)
+    return DT.search_index(ST.all_time_query_stats(t), DT.slug_map(ST.query_daily_stats(t), CUTOFF,
+                                                                    BLACKLIST), BLACKLIST)
+
+
+@register("suggest_search", DETAIL_CTE + f""",
+ix AS (SELECT st.query_normalized AS q, unique_users AS u, total_searches AS t, sl.slug AS s
+       FROM st LEFT JOIN sl USING (query_normalized) WHERE NOT {O.blacklist_sql('st.query_normalized', BLACKLIST_RX)})
+SELECT * FROM ix WHERE contains(lower(q), 'small') ORDER BY u DESC, t DESC, q LIMIT 12""")
+def q_suggest_search(spark, sf):
+    return DT.suggest_search(q_search_index(spark, sf), "small")
+
+
+@register("recent_searches", f"""
+SELECT client_id, "timestamp", query FROM {O.S1_SQL} s ORDER BY "timestamp" DESC, client_id, query LIMIT 10""")
+def q_recent_searches(spark, sf):
+    r = DT.recent_searches(FX.searches_s1(spark, sf))
+    return r.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))

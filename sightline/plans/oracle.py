@@ -50,3 +50,16 @@ def blacklist_sql(col: str, regex: str | None) -> str:
     if regex is None:
         return "FALSE"
     return f"regexp_matches(lower({col}), '{regex.replace(chr(39), chr(39) * 2)}')"
+
+
+def slug_expr(c: str) -> str:
+    """DuckDB expression of the slug of column ``c``."""
+    x = f"trim(regexp_replace(lower({c}), '[^a-z0-9]+', '-', 'g'), '-')"
+    cut = f"(CASE WHEN length({x}) > 80 THEN rtrim(left({x}, 80), '-') ELSE {x} END)"
+    h = f"left(sha256({c}), 8)"
+    return f"(CASE WHEN {cut} = '' THEN {h} ELSE {cut} || '-' || {h} END)"
+
+
+def query_stats_sql(t: str) -> str:
+    return f"""(SELECT query_normalized, COUNT(DISTINCT username) AS unique_users,
+        CAST(SUM(search_count) AS BIGINT) AS total_searches FROM {t} qs GROUP BY 1)"""
