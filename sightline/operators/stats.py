@@ -153,7 +153,7 @@ def query_profile(tuples: DataFrame) -> DataFrame:
     per_user = tuples.groupBy(Q, "username").agg(F.sum("search_count").alias("s"))
     stats = per_user.groupBy(Q).agg(F.count(F.lit(1)).alias("unique_users"),
                                     F.sum("s").alias("total_searches"))
-    days = (tuples.groupBy(Q, "date").agg()
+    days = (tuples.select(Q, "date").distinct()
             .groupBy(Q).agg(F.min("date").alias("first_seen"), F.max("date").alias("last_seen"),
                             F.count(F.lit(1)).alias("active_days")))
     return stats.join(days, Q, "inner")
@@ -230,7 +230,7 @@ def approx_distinct(tuples: DataFrame, rsd: float = 0.02) -> DataFrame:
 
 def distinct_pairs_two_pass(tuples: DataFrame) -> DataFrame:
     """Distinct (user, query) pairs, then rows per query: two group-bys."""
-    return (tuples.groupBy(Q, "username").agg()
+    return (tuples.select(Q, "username").distinct()
             .groupBy(Q).agg(F.count(F.lit(1)).alias("unique_users")))
 
 

@@ -7,9 +7,6 @@ FIXTURES.md are all derived from them) so its work grows with the data.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import expr as E
@@ -19,17 +16,7 @@ from ..operators import stats as ST
 from ..sources import fixtures as FX
 from . import oracle as O
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = sql
-        return fn
-    return deco
+from .registry import register
 
 
 def s2_tuples(spark, sf):

@@ -63,3 +63,26 @@ def slug_expr(c: str) -> str:
 def query_stats_sql(t: str) -> str:
     return f"""(SELECT query_normalized, COUNT(DISTINCT username) AS unique_users,
         CAST(SUM(search_count) AS BIGINT) AS total_searches FROM {t} qs GROUP BY 1)"""
+
+
+def summary_sql(t: str) -> str:
+    return f"""(SELECT period_type, period_id, COUNT(DISTINCT query_normalized) AS unique_queries,
+       COUNT(DISTINCT (username, query_normalized)) AS unique_pairs,
+       CAST(SUM(search_count) AS BIGINT) AS total_searches,
+       COUNT(DISTINCT username) AS total_users, MIN(date) AS first_date, MAX(date) AS last_date
+FROM {periods_of(t)} p GROUP BY 1, 2)"""
+
+
+def periods_sql(t: str) -> str:
+    return f"""(WITH r AS (SELECT MIN(date) AS mn, MAX(date) AS mx FROM {t} t),
+w AS (SELECT CAST(unnest(generate_series(CAST(date_trunc('week', mn) AS DATE), mx, INTERVAL 7 DAY)) AS DATE) AS s FROM r),
+m AS (SELECT CAST(unnest(generate_series(CAST(date_trunc('month', mn) AS DATE), mx, INTERVAL 1 MONTH)) AS DATE) AS s FROM r)
+SELECT 'week' AS period_type, CAST(isoyear(s) AS VARCHAR) || '-W' || lpad(CAST(week(s) AS VARCHAR), 2, '0') AS period_id,
+       s AS start_date, CAST(s + INTERVAL 6 DAY AS DATE) AS end_date FROM w
+UNION ALL SELECT 'month', strftime(s, '%Y-%m'), s, CAST(last_day(s) AS DATE) FROM m
+UNION ALL SELECT 'all_time', 'all_time', mn, mx FROM r)"""
+
+
+def daily_stats_sql(searches_sql: str, where: str = "TRUE") -> str:
+    return f"""(SELECT client_id, CAST("timestamp" AS DATE) AS date, COUNT(*) AS search_count,
+       COUNT(DISTINCT username) AS unique_users FROM {searches_sql} ds WHERE {where} GROUP BY 1, 2)"""
