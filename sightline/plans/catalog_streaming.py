@@ -1 +1,73 @@
-"""Streaming jobs registered for the driver (filled below)."""
+"""Registered streaming jobs: each drains a stream over the ``events`` table
+(file source, availableNow trigger) and returns the table it left behind."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import schema as S
+from ..functions import expr as E
+from ..sources import fixtures as FX
+from ..sources import sinks as SK
+from ..streaming import jobs as SJ
+from . import oracle as O
+from .catalog import SALT
+from .catalog_maintenance import run_dir
+from .registry import register
+
+ONCE = {"availableNow": True}
+
+
+def events_stream(spark, sf):
+    FX.configure(spark)
+    return SJ.read_raw_stream(spark, sf, FX.EVENTS_SCHEMA, glob="events.parquet", max_files=1)
+
+
+def _ingest(spark, sf):
+    base = run_dir(spark, "stream_ingest")
+    q = SJ.start_ingest(FX.s1_from_events(events_stream(spark, sf)), FX.TEST_SALT,
+                        f"{base}/log", f"{base}/_checkpoint", ONCE)
+    SJ.drain(q)
+    return q, f"{base}/log"
+
+
+@register("stream_ingest", f"""
+SELECT client_id, "timestamp", sha256('{SALT}' || username) AS username, query
+FROM {O.S1_SQL} s WHERE username IS NOT NULL AND query IS NOT NULL""")
+def q_stream_ingest(spark, sf):
+    _, path = _ingest(spark, sf)
+    back = spark.read.parquet(path).select("client_id", "timestamp", "username", "query")
+    return back.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+@register("stream_metrics")
+def q_stream_metrics(spark, sf):
+    q, _ = _ingest(spark, sf)
+    rows = [r for r in SJ.batch_metrics(q) if r["input_rows"]]
+    return spark.createDataFrame(rows, "batch_id BIGINT, input_rows BIGINT, rows BIGINT, dropped BIGINT")
+
+
+@register("stream_daily_tuples", f"SELECT * FROM {O.tuples(O.S1_SQL)}")
+def q_stream_daily_tuples(spark, sf):
+    base = run_dir(spark, "stream_daily_tuples")
+    q = SJ.start_daily_tuples(FX.s1_from_events(events_stream(spark, sf)), f"{base}/table",
+                              f"{base}/_checkpoint", ONCE)
+    SJ.drain(q)
+    return SK.read_table(spark, f"{base}/table", S.DAILY_TUPLES)
+
+
+@register("stream_convergence", f"""
+WITH ec AS (SELECT username, lower(trim(query)) AS norm_query,
+                   CAST(floor(epoch_us("timestamp") / {FX.S1C_WINDOW_SECONDS * 1_000_000}.0) AS BIGINT) AS tb,
+                   COUNT(DISTINCT client_id) AS client_count FROM {O.S1C_SQL} s GROUP BY 1, 2, 3)
+SELECT client_count, COUNT(*) AS event_count FROM ec GROUP BY 1""")
+def q_stream_convergence(spark, sf):
+    base = run_dir(spark, "stream_convergence")
+    q = SJ.start_event_clients(FX.s1c_from_events(events_stream(spark, sf)), f"{base}/table",
+                               f"{base}/_checkpoint", FX.S1C_WINDOW_SECONDS, ONCE)
+    SJ.drain(q)
+    table = SK.read_table(spark, f"{base}/table")
+    return table.groupBy("client_count").agg(F.count(F.lit(1)).alias("event_count"))
+
+
+__all__ = ["E"]

@@ -46,9 +46,17 @@ def _as_utc(ts):
     return ts.cast("timestamp")
 
 
+EVENTS_SCHEMA = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+                 "value DOUBLE, props STRING")
+
+
 def searches_s1(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    ev = table(spark, sf_dir, "events")
+    return s1_from_events(table(spark, sf_dir, "events"))
+
+
+def s1_from_events(ev: DataFrame) -> DataFrame:
+    """S1 columns from ``events`` rows (also used on the streaming source)."""
     q = F.concat(F.col("event_type"), F.lit(" "), F.get_json_object("props", "$.k"))
     return ev.select(
         F.concat(F.lit("client-"), F.pmod("event_id", F.lit(3)).cast("string")).alias("client_id"),
@@ -59,7 +67,10 @@ def searches_s1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def searches_s1c(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    ev = table(spark, sf_dir, "events")
+    return s1c_from_events(table(spark, sf_dir, "events"))
+
+
+def s1c_from_events(ev: DataFrame) -> DataFrame:
     return ev.select(
         F.concat(F.lit("client-"), F.pmod("event_id", F.lit(3)).cast("string")).alias("client_id"),
         _as_utc(F.col("ts")).alias("timestamp"),
