@@ -208,8 +208,9 @@ def q_replace_period(spark, sf):
     _, arch, live = t2_parts(spark, sf)
     path = run_dir(spark, "period_top_queries")
     SK.replace_period_partitions(ST.period_top_queries(arch), path, arch.limit(0).select(
-        F.lit("x").alias("period_type"), F.lit("x").alias("period_id")))
-    SK.replace_period_partitions(ST.period_top_queries(live), path, P.generate_periods(live))
+        F.lit("x").alias("period_type"), F.lit("x").alias("period_id")), "rank")
+    SK.replace_period_partitions(ST.period_top_queries(live), path, P.generate_periods(live),
+                                 "rank")
     back = spark.read.schema(S.PERIOD_TOP).parquet(path)
     return back.select(*[f.name for f in S.PERIOD_TOP.fields])
 
@@ -498,3 +499,52 @@ def q_export_detail_tables(spark, sf):
             F.lit(name).alias("table_name"), "row_count")
         out = c if out is None else out.unionByName(c)
     return out
+
+
+# ---------------------------------------------------------------------------
+# Composed jobs (run twice where they maintain tables: same result)
+# ---------------------------------------------------------------------------
+from . import jobs as J  # noqa: E402
+
+
+def _period_stats_twice(spark, sf):
+    t, arch, live = t2_parts(spark, sf)
+    tuples = SC.tuples_all(arch, live, ledger_for(arch))
+    root = run_dir(spark, "nightly")
+    for _ in range(2):
+        J.period_stats_job(spark, root, tuples, live)
+    return root, tuples
+
+
+@register("period_stats_job", f"SELECT * FROM {O.summary_sql(O.T2)} s")
+def q_period_stats_job(spark, sf):
+    root, _ = _period_stats_twice(spark, sf)
+    return SK.read_table(spark, f"{root}/period_summary_stats", S.PERIOD_SUMMARY)
+
+
+@register("publish_job", DETAIL_CTE + "SELECT * FROM dq")
+def q_publish_job(spark, sf):
+    from ..operators import similarity as SM
+    root, tuples = _period_stats_twice(spark, sf)
+    daily = s2_union_daily(spark, sf)
+    pairs = SM.user_query_pairs(tuples, AS_OF, "run_date")
+    J.publish_job(spark, root, tuples, pairs, daily, AS_OF.isoformat(), BLACKLIST)
+    return spark.read.parquet(f"{root}/publish/queries")
+
+
+@register("archive_job", f"""SELECT strftime("timestamp", '%Y-%m') AS month, COUNT(*) AS record_count,
+       TRUE AS deleted FROM {O.S2_SQL} s WHERE strftime("timestamp", '%Y-%m') < '1995-04' GROUP BY 1""")
+def q_archive_job(spark, sf):
+    root = run_dir(spark, "archive_job")
+    SK.write_version(FX.searches_s2(spark, sf), f"{root}/searches")
+    for _ in range(2):   # the second run finds nothing left to archive
+        J.archive_job(spark, root, f"{root}/searches", "1995-04", AS_OF, delete_after=True)
+    led = SK.read_table(spark, f"{root}/archives", S.ARCHIVE_LEDGER)
+    return led.select("month", "record_count", "deleted")
+
+
+@register("convergence_job")
+def q_convergence_job(spark, sf):
+    from .catalog import _S1_END, _S1_START, _W
+    rep = J.convergence_job(FX.searches_s1c(spark, sf), _S1_START, _S1_END, _W)
+    return rep["client_overlap"]

@@ -99,12 +99,20 @@ def write_version(df: DataFrame, table_path: str, partition_by: list[str] | None
 # Period tables: partitioned by (period_type, period_id), dynamic overwrite
 # ---------------------------------------------------------------------------
 
-def replace_period_partitions(df: DataFrame, path: str, recomputed: DataFrame) -> None:
+def replace_period_partitions(df: DataFrame, path: str, recomputed: DataFrame,
+                              order: str | None = None) -> None:
     """Overwrite only the partitions of the periods present in ``df`` and
-    remove the partitions of recomputed periods that have no rows now."""
+    remove the partitions of recomputed periods that have no rows now.
+
+    Rows are range-partitioned on (period, ``order``) before the write: each
+    task holds a contiguous run of periods, so a period lands in one file
+    (or a few, for a period too large for one task, such as all_time),
+    instead of every task writing a small file for every period."""
     spark = df.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    (df.write.mode("overwrite").partitionBy("period_type", "period_id").parquet(path))
+    keys = ["period_type", "period_id"] + ([order] if order else [])
+    (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+     .write.mode("overwrite").partitionBy("period_type", "period_id").parquet(path))
     empty = recomputed.select("period_type", "period_id").distinct().join(
         df.select("period_type", "period_id").distinct(), ["period_type", "period_id"],
         "left_anti")
