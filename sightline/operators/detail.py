@@ -17,21 +17,33 @@ from .stats import all_time_query_stats
 Q = "query_normalized"
 
 
+def inline_slug(cutoff, min_users: int = E.MIN_DETAIL_USERS):
+    """Slug column computed in place from (unique_users, first_date): a query
+    has daily rows up to the cutoff exactly when it is eligible and was first
+    seen on or before the cutoff (no join with a slug table needed)."""
+    ok = (F.col("unique_users") >= min_users) & (
+        F.col("first_date") <= F.lit(cutoff).cast("date"))
+    return F.when(ok, E.slug(Q))
+
+
 def detail_queries(query_stats: DataFrame, slugs: DataFrame | None = None,
                    min_users: int = E.MIN_DETAIL_USERS,
-                   blacklist: list[str] | None = None) -> DataFrame:
+                   blacklist: list[str] | None = None, slug_cutoff=None) -> DataFrame:
     """All-time queries with >= min_users users, blacklist out, ranked 1..n by
-    users desc, searches desc, query asc; slug where the query has one."""
+    users desc, searches desc, query asc; slug where the query has one (from
+    a slug table, or in place with ``slug_cutoff``)."""
     q = query_stats.where(F.col("unique_users") >= min_users)
     if blacklist:
         q = q.where(~E.is_blacklisted(Q, blacklist))
-    ranked = rank_within(q.select(Q, "unique_users", "total_searches"), [],
+    if slug_cutoff is not None:
+        q = q.withColumn("slug", inline_slug(slug_cutoff, min_users))
+    else:
+        q = q.withColumn("slug", F.lit(None).cast("string"))
+    ranked = rank_within(q.select(Q, "unique_users", "total_searches", "slug"), [],
                          [F.col("unique_users").desc(), F.col("total_searches").desc(),
                           F.col(Q).asc()])
     if slugs is not None:
-        ranked = ranked.join(slugs.select(Q, "slug"), Q, "left")
-    else:
-        ranked = ranked.withColumn("slug", F.lit(None).cast("string"))
+        ranked = ranked.drop("slug").join(slugs.select(Q, "slug"), Q, "left")
     return ranked.select("rank", F.col(Q).alias("query"), "unique_users", "total_searches",
                          "slug")
 
@@ -48,6 +60,20 @@ def slug_map(query_daily: DataFrame, cutoff=None, blacklist: list[str] | None =
     return q.select(Q, E.slug(Q).alias("slug"))
 
 
+def slug_map_from_stats(query_stats: DataFrame, cutoff=None,
+                        min_users: int = E.MIN_DETAIL_USERS,
+                        blacklist: list[str] | None = None) -> DataFrame:
+    """The same slugs as ``slug_map`` without materialising the daily series:
+    a query has daily rows up to the cutoff exactly when it is eligible
+    (>= min_users users) and was first seen on or before the cutoff."""
+    q = query_stats.where(F.col("unique_users") >= min_users)
+    if cutoff is not None:
+        q = q.where(F.col("first_date") <= F.lit(cutoff).cast("date"))
+    if blacklist:
+        q = q.where(~E.is_blacklisted(Q, blacklist))
+    return q.select(Q, E.slug(Q).alias("slug"))
+
+
 def word_index(detail: DataFrame) -> DataFrame:
     """Distinct (word, rank) over the words of each ranked query."""
     return (detail.select(F.explode(E.tokenize("query")).alias("word"), "rank").distinct())
@@ -108,12 +134,14 @@ def table_search(ranked: DataFrame, term: str | None, limit_all: int = 100,
 
 
 def search_index(query_stats: DataFrame, slugs: DataFrame | None = None,
-                 blacklist: list[str] | None = None) -> DataFrame:
+                 blacklist: list[str] | None = None, slug_cutoff=None) -> DataFrame:
     """All-time queries (q, u, t, s) for the search box, users desc."""
     q = query_stats
     if blacklist:
         q = q.where(~E.is_blacklisted(Q, blacklist))
-    if slugs is not None:
+    if slug_cutoff is not None:
+        q = q.withColumn("slug", inline_slug(slug_cutoff))
+    elif slugs is not None:
         q = q.join(slugs.select(Q, "slug"), Q, "left")
     else:
         q = q.withColumn("slug", F.lit(None).cast("string"))

@@ -50,9 +50,14 @@ def cooccurrence(pairs: DataFrame, min_shared: int = E.SIMILAR_MIN_SHARED,
                  chunk: int = 2000, mirror: bool = True) -> DataFrame:
     """Shared users per query pair (>= min_shared), both directions."""
     p = pairs.select("username", Q).distinct()
-    deg = p.groupBy("username").agg(F.count(F.lit(1)).alias("_d"))
-    p = p.join(deg, "username")
-    salts = F.greatest(F.lit(1), F.ceil(F.col("_d") / F.lit(chunk))).cast("int")
+    # only users with more than ``chunk`` queries are split; their number is at
+    # most (#pairs / chunk), and AQE broadcasts the table only when its
+    # measured size is under the broadcast threshold
+    heavy = (p.groupBy("username").agg(F.count(F.lit(1)).alias("_d"))
+             .where(F.col("_d") > chunk))
+    p = p.join(heavy, "username", "left")
+    salts = F.greatest(F.lit(1), F.ceil(F.coalesce(F.col("_d"), F.lit(1)) / F.lit(chunk))
+                       ).cast("int")
     left = p.select("username", F.col(Q).alias("qa"),
                     F.pmod(F.xxhash64(Q), salts).cast("int").alias("_salt"))
     right = p.select("username", F.col(Q).alias("qb"),

@@ -57,7 +57,13 @@ def period_summary_from(pairs: DataFrame, by_query: DataFrame) -> DataFrame:
                        F.sum("total_searches").alias("total_searches"),
                        F.min("first_date").alias("first_date"),
                        F.max("last_date").alias("last_date")))
-    users = (pairs.select(*PERIOD_KEYS, "username").distinct()
+    # The condition is always true (searches >= 1) but reads every column of
+    # ``pairs``, so both branches keep the same ``pairs`` aggregate and its
+    # shuffle is computed once and reused (ReusedExchange) instead of the
+    # optimizer pruning this branch into a second, different aggregation.
+    keep = ((F.col("searches") >= 0) | F.col("first_date").isNull()
+            | F.col("last_date").isNull())
+    users = (pairs.where(keep).select(*PERIOD_KEYS, "username").distinct()
              .groupBy(*PERIOD_KEYS).agg(F.count(F.lit(1)).alias("total_users")))
     return (per_period.join(users, PERIOD_KEYS, "inner")
             .select(*PERIOD_KEYS, "unique_queries", "unique_pairs", "total_searches",
@@ -116,10 +122,12 @@ def period_statistics(tuples: DataFrame, min_users: int = E.MIN_TOP_USERS,
 # ---------------------------------------------------------------------------
 
 def all_time_query_stats(tuples: DataFrame) -> DataFrame:
-    """(query, unique_users, total_searches) over all tuples."""
-    per_user = tuples.groupBy(Q, "username").agg(F.sum("search_count").alias("s"))
+    """(query, unique_users, total_searches, first_date) over all tuples."""
+    per_user = tuples.groupBy(Q, "username").agg(F.sum("search_count").alias("s"),
+                                                 F.min("date").alias("d"))
     return per_user.groupBy(Q).agg(F.count(F.lit(1)).alias("unique_users"),
-                                   F.sum("s").alias("total_searches"))
+                                   F.sum("s").alias("total_searches"),
+                                   F.min("d").alias("first_date"))
 
 
 def eligible_queries(tuples: DataFrame, min_users: int = E.MIN_DETAIL_USERS) -> DataFrame:

@@ -373,10 +373,8 @@ def s2_eligible_pairs(spark, sf, mode="run_date", recent=E.RECENT_DAYS):
 
 
 def s2_detail(spark, sf):
-    t = s2_tuples(spark, sf)
-    qd = ST.query_daily_stats(t)
-    return DT.detail_queries(ST.all_time_query_stats(t), DT.slug_map(qd, CUTOFF, BLACKLIST),
-                             blacklist=BLACKLIST)
+    stats = ST.all_time_query_stats(s2_tuples(spark, sf))
+    return DT.detail_queries(stats, blacklist=BLACKLIST, slug_cutoff=CUTOFF)
 
 
 def s2_similar(spark, sf):
@@ -494,9 +492,8 @@ def q_table_search(spark, sf):
 SELECT st.query_normalized AS q, unique_users AS u, total_searches AS t, sl.slug AS s
 FROM st LEFT JOIN sl USING (query_normalized) WHERE NOT {O.blacklist_sql('st.query_normalized', BLACKLIST_RX)}""")
 def q_search_index(spark, sf):
-    t = s2_tuples(spark, sf)
-    return DT.search_index(ST.all_time_query_stats(t), DT.slug_map(ST.query_daily_stats(t), CUTOFF,
-                                                                    BLACKLIST), BLACKLIST)
+    stats = ST.all_time_query_stats(s2_tuples(spark, sf))
+    return DT.search_index(stats, blacklist=BLACKLIST, slug_cutoff=CUTOFF)
 
 
 @register("suggest_search", DETAIL_CTE + f""",
