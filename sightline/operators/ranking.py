@@ -4,8 +4,13 @@
 to one task; the all_time top list is one such group holding every query. Here
 the rows are range-partitioned on (g, o) instead, every task numbers its rows,
 and a small table of per-(task, group) counts (bounded by tasks + groups)
-supplies each task's offset. The order must be total (end with a unique key)
-so the numbering is the same on any recomputation.
+supplies each task's offset. The order must be total (end with a unique key).
+
+The numbered rows are used twice (counts and the final join), so they are
+materialised once with a reliable ``checkpoint()`` in the session's shared
+checkpoint folder: two independent evaluations could sample different range
+boundaries and disagree on the numbering, and a lost executor cannot change
+numbers that are already written.
 """
 
 from __future__ import annotations
@@ -13,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition index << 33 | row index
 
 
@@ -20,8 +27,10 @@ def rank_within(df: DataFrame, group_cols: list[str], order_cols: list[Column],
                 rank_col: str = "rank") -> DataFrame:
     ordered = df.orderBy(*[F.col(c).asc_nulls_first() for c in group_cols], *order_cols)
     rid = F.monotonically_increasing_id()
+    ensure_checkpoint_dir(df.sparkSession)
     numbered = ordered.select("*", F.shiftright(rid, _LOCAL_BITS).alias("_task"),
-                              (rid.bitwiseAND((1 << _LOCAL_BITS) - 1)).alias("_pos"))
+                              (rid.bitwiseAND((1 << _LOCAL_BITS) - 1)).alias("_pos")
+                              ).checkpoint(eager=True)
     counts = (numbered.groupBy("_task", *group_cols)
               .agg(F.count(F.lit(1)).alias("_n"), F.min("_pos").alias("_first")))
     before = Window.partitionBy(*group_cols).orderBy("_task").rowsBetween(
