@@ -26,3 +26,20 @@ def daily_client_stats(searches: DataFrame) -> DataFrame:
             .groupBy("client_id", E.event_date("timestamp").alias("date"))
             .agg(F.count(F.lit(1)).alias("search_count"),
                  F.countDistinct("username").alias("unique_users")))
+
+
+def refresh_rollups(new_rows: DataFrame, tuples_path: str, stats_path: str) -> None:
+    """Recompute both rollups for the months present in ``new_rows`` (all raw
+    rows of those months) and replace only those month partitions (dynamic
+    partition overwrite); other months stay as they are. Same result as a
+    full recompute."""
+    spark = new_rows.sparkSession
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    # range-partitioned on (month, date): a task writes a contiguous run of
+    # months (one file per month, a large month split over several tasks)
+    t = daily_search_tuples(new_rows).withColumn("month", E.month_key("date"))
+    (t.repartitionByRange("month", "date").write.mode("overwrite").partitionBy("month")
+     .parquet(tuples_path))
+    c = daily_client_stats(new_rows).withColumn("month", E.month_key("date"))
+    (c.repartitionByRange("month", "date").write.mode("overwrite").partitionBy("month")
+     .parquet(stats_path))

@@ -259,15 +259,33 @@ def cumulative_overview(summary: DataFrame, as_of) -> DataFrame:
     first = F.col("first_date").cast("timestamp_ntz")
     last = (F.col("last_date").cast("timestamp_ntz")
             + F.expr("INTERVAL '23:59:59.999999' HOUR TO SECOND"))
+    last = F.when(last > cutoff, cutoff).otherwise(last)
     return s.select(
         "period_type", "period_id",
         *_overview_cols(F.col("total_searches"), F.col("total_users"), F.col("unique_queries"),
                         F.col("unique_pairs")),
-        first.alias("first_search"),
-        F.when(last > cutoff, cutoff).otherwise(last).alias("last_search"),
+        first.alias("first_search"), last.alias("last_search"),
+        collection_days(first, last).alias("collection_days"),
         F.lit(False).alias("is_estimate"))
 
 
+def collection_days(first, last):
+    """(last - first) in days, rounded to one decimal; integer text when whole."""
+    secs = (F.unix_micros(last.cast("timestamp")) - F.unix_micros(first.cast("timestamp"))) / 1e6
+    r = F.round(secs / 86400.0, 1)
+    return (F.when(first.isNull() | last.isNull(), F.lit("0"))
+            .when(r == F.floor(r), F.floor(r).cast("string"))
+            .otherwise(F.format_string("%.1f", r)))
+
+
+def period_client_totals(daily: DataFrame) -> DataFrame:
+    """Searches per (week / month, client) from the daily client statistics."""
+    keyed = daily.select("client_id", "search_count", F.inline(F.array(
+        F.struct(F.lit("week").alias("period_type"), E.iso_week_key("date").alias("period_id")),
+        F.struct(F.lit("month").alias("period_type"), E.month_key("date").alias("period_id")))))
+    return keyed.groupBy(*PERIOD_KEYS, "client_id").agg(F.sum("search_count").alias("n"))
+
+
 def period_overview(daily: DataFrame, summary: DataFrame, periods: DataFrame) -> DataFrame:
     """Per week / month: totals from daily client stats, replaced by the
     summary row when there is one; without one the reference's estimate

@@ -488,6 +488,12 @@ def q_table_search(spark, sf):
     return DT.table_search(s2_detail(spark, sf), "small")
 
 
+@register("table_search_all", DETAIL_CTE + """
+SELECT *, (SELECT COUNT(*) FROM dq) AS match_count FROM dq ORDER BY rank LIMIT 100""")
+def q_table_search_all(spark, sf):
+    return DT.table_search(s2_detail(spark, sf), None)
+
+
 @register("search_index", DETAIL_CTE + f"""
 SELECT st.query_normalized AS q, unique_users AS u, total_searches AS t, sl.slug AS s
 FROM st LEFT JOIN sl USING (query_normalized) WHERE NOT {O.blacklist_sql('st.query_normalized', BLACKLIST_RX)}""")

@@ -364,7 +364,8 @@ def q_approx_distinct(spark, sf):
     return ST.approx_distinct(s2_tuples(spark, sf))
 
 
-@register("cumulative_overview", f"""
+CUMULATIVE_SQL = f"""
+WITH c AS (
 SELECT period_type, period_id, total_searches, total_users, unique_queries AS total_queries,
        unique_pairs AS total_search_pairs,
        round(CASE WHEN total_users > 0 THEN total_searches / total_users ELSE 0 END, 6) AS avg_searches_per_user,
@@ -373,7 +374,13 @@ SELECT period_type, period_id, total_searches, total_users, unique_queries AS to
        least(CAST(last_date AS TIMESTAMP) + INTERVAL '23:59:59.999999',
              TIMESTAMP '{AS_OF} 00:00:00' - INTERVAL 1 SECOND) AS last_search,
        FALSE AS is_estimate
-FROM {O.summary_sql(O.T2)} s WHERE period_type = 'all_time'""")
+FROM {O.summary_sql(O.T2)} s WHERE period_type = 'all_time'),
+r AS (SELECT *, round((epoch_us(last_search) - epoch_us(first_search)) / 1000000.0 / 86400.0, 1) AS d FROM c)
+SELECT * EXCLUDE (d), CASE WHEN d = floor(d) THEN CAST(CAST(floor(d) AS BIGINT) AS VARCHAR)
+                           ELSE printf('%.1f', d) END AS collection_days FROM r"""
+
+
+@register("cumulative_overview", CUMULATIVE_SQL)
 def q_cumulative_overview(spark, sf):
     return ST.cumulative_overview(ST.period_summary(s2_tuples(spark, sf)), AS_OF.isoformat())
 
@@ -410,6 +417,28 @@ def q_period_overview(spark, sf):
 # Periods bookkeeping
 # ---------------------------------------------------------------------------
 
+@register("period_client_totals", f"""
+WITH d AS {DAILY_ALL},
+k AS (SELECT 'week' AS period_type, {O.WEEK_ID} AS period_id, * FROM d
+      UNION ALL SELECT 'month', {O.MONTH_ID}, * FROM d)
+SELECT period_type, period_id, client_id, CAST(SUM(search_count) AS BIGINT) AS n FROM k GROUP BY 1, 2, 3""")
+def q_period_client_totals(spark, sf):
+    return ST.period_client_totals(s2_union_daily(spark, sf))
+
+
+@register("refresh_rollups", f"SELECT * FROM {O.T2}")
+def q_refresh_rollups(spark, sf):
+    s, _, _ = s2_parts(spark, sf)
+    root = run_dir(spark, "rollups")
+    t_path, c_path = f"{root}/daily_tuples", f"{root}/daily_client_stats"
+    R.refresh_rollups(s.where(E.event_date("timestamp") < F.lit(SPLIT)), t_path, c_path)
+    # new input arrives for the months from December 2000 on: those months
+    # are recomputed from all of their raw rows, the others stay
+    R.refresh_rollups(s.where(E.event_date("timestamp") >= F.lit(LIVE_FROM)), t_path, c_path)
+    return spark.read.schema(S.DAILY_TUPLES).parquet(t_path).select(
+        *[f.name for f in S.DAILY_TUPLES.fields])
+
+
 @register("existing_periods", f"SELECT DISTINCT period_type, period_id FROM {O.summary_sql(T2A)} s")
 def q_existing_periods(spark, sf):
     _, arch, _ = t2_parts(spark, sf)

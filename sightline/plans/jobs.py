@@ -16,6 +16,8 @@ for the period tables), so running a job twice leaves the same tables.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +45,18 @@ def period_stats_job(spark: SparkSession, root: str, tuples: DataFrame, live: Da
     """Refresh period summary / top / length tables and the per-query daily
     series from ``tuples`` (= ``tuples_all``)."""
     out = {}
+    snap = _t(root, f"_snapshot/tuples-{uuid.uuid4().hex[:12]}")
+    tuples = SK.snapshot(tuples, snap)
+    try:
+        _period_tables(spark, root, tuples, live, min_users, daily_only, out)
+        daily = ST.query_daily_stats(tuples, detail_users)
+        out["query_daily_stats"] = SK.write_version(daily, _t(root, "query_daily_stats"))
+    finally:
+        SK.delete_path(spark, snap)
+    return out
+
+
+def _period_tables(spark, root, tuples, live, min_users, daily_only, out) -> None:
     if not daily_only:
         existing = SK.read_table(spark, _t(root, "period_summary_stats"), S.PERIOD_SUMMARY)
         todo = P.stale_periods(P.generate_periods(tuples), existing, live)
@@ -67,9 +81,6 @@ def period_stats_job(spark: SparkSession, root: str, tuples: DataFrame, live: Da
         finally:
             by_query.unpersist()
             pairs.unpersist()
-    daily = ST.query_daily_stats(tuples, detail_users)
-    out["query_daily_stats"] = SK.write_version(daily, _t(root, "query_daily_stats"))
-    return out
 
 
 def publish_job(spark: SparkSession, root: str, tuples: DataFrame, pairs: DataFrame,

@@ -152,7 +152,7 @@ def archive_daily_tuples(tuples: DataFrame, month: str | None, root: str
     if month is not None:
         t = t.where(F.col("month") == month)
     path = f"{root}/daily_tuples"
-    (t.observe(obs, F.count(F.lit(1)).alias("rows"))
+    (t.repartitionByRange("month", "date").observe(obs, F.count(F.lit(1)).alias("rows"))
      .write.mode("overwrite").partitionBy("month").option("compression", "snappy").parquet(path))
     out = f"{path}/month={month}" if month else path
     return out, int(obs.get["rows"]), path_size(spark, out)
@@ -188,3 +188,11 @@ def export_detail_tables(root: str, tables: dict[str, DataFrame]) -> dict[str, s
         df.write.mode("overwrite").parquet(p)
         out[name] = p
     return out
+
+
+def snapshot(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` once to a run-scoped Parquet folder and read it back, so
+    every later read is a file scan and the lineage is cut (an executor lost
+    later does not recompute the inputs). Delete the folder after the run."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

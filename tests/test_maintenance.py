@@ -96,3 +96,12 @@ def test_versioned_table_keeps_old_version_readable(spark):
     spark.createDataFrame([(9,)], "x int").write.parquet(f"{table}/v=99")
     SK.delete_path(spark, f"{table}/v=99/_SUCCESS")
     assert SK.read_table(spark, table).count() == 2
+
+
+def test_jdbc_option_mapping():
+    opts = SC.jdbc_options("postgresql://user:pw@db.example:6543/research", "searches",
+                           partition_column="id", lower=1, upper=1000, num_partitions=16)
+    assert opts["url"] == "jdbc:postgresql://db.example:6543/research"
+    assert (opts["user"], opts["password"], opts["fetchsize"]) == ("user", "pw", "500000")
+    assert (opts["partitionColumn"], opts["numPartitions"]) == ("id", "16")
+    assert SC.jdbc_options("postgresql://u@h/d", "t")["url"] == "jdbc:postgresql://h:5432/d"
