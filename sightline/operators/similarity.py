@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import expr as E
+from ..session import materialize
 
 Q = "query_normalized"
 
@@ -47,9 +48,14 @@ def eligible_pairs(pairs: DataFrame, eligible: DataFrame, as_of=None,
 
 
 def cooccurrence(pairs: DataFrame, min_shared: int = E.SIMILAR_MIN_SHARED,
-                 chunk: int = 2000, mirror: bool = True) -> DataFrame:
-    """Shared users per query pair (>= min_shared), both directions."""
-    p = pairs.select("username", Q).distinct()
+                 chunk: int = 2000, mirror: bool = True, distinct_input: bool = False
+                 ) -> DataFrame:
+    """Shared users per query pair (>= min_shared), both directions.
+    The (user, query) input is read three times (degrees, both join sides):
+    it is de-duplicated and materialised once unless the caller did so."""
+    p = pairs.select("username", Q)
+    if not distinct_input:
+        p = materialize(p.distinct())
     # only users with more than ``chunk`` queries are split; their number is at
     # most (#pairs / chunk), and AQE broadcasts the table only when its
     # measured size is under the broadcast threshold
@@ -77,9 +83,9 @@ def cooccurrence(pairs: DataFrame, min_shared: int = E.SIMILAR_MIN_SHARED,
 def query_similarity(pairs: DataFrame, top_n: int = E.SIMILAR_TOP_N,
                      min_shared: int = E.SIMILAR_MIN_SHARED, chunk: int = 2000) -> DataFrame:
     """Best ``top_n`` similar queries per query by cosine score."""
-    p = pairs.select("username", Q).distinct()
+    p = materialize(pairs.select("username", Q).distinct())
     n = p.groupBy(Q).agg(F.count(F.lit(1)).alias("n"))
-    edges = cooccurrence(p, min_shared, chunk)
+    edges = cooccurrence(p, min_shared, chunk, distinct_input=True)
     na = n.select(F.col(Q).alias("query"), F.col("n").alias("n_a"))
     nb = n.select(F.col(Q).alias("similar_query"), F.col("n").alias("n_b"))
     scored = (edges.join(na, "query").join(nb, "similar_query")

@@ -45,6 +45,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     conf = {
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
+        # checkpoint files of intermediates are removed once unreferenced
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.driver.memory": os.environ.get("SIGHTLINE_DRIVER_MEMORY", "16g"),
         **SESSION_DEFAULTS,
@@ -80,3 +82,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="sightline-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def materialize(df):
+    """Write an intermediate used by several branches once (reliable
+    checkpoint in the shared checkpoint folder) and read it from there: no
+    branch recomputes its inputs, and a lost executor does not either."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
