@@ -84,8 +84,17 @@ def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:]
     import __spark_entry__ as E
-    from sightline.session import build_session
-    spark = build_session("local[8]", 8)
+    if os.environ.get("PLAIN_SESSION"):
+        # the driver's kind of session: nothing of ours configured up front
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[*]")
+                 .config("spark.sql.shuffle.partitions", "8")
+                 .config("spark.ui.enabled", "false")
+                 .config("spark.ui.showConsoleProgress", "false").getOrCreate())
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        from sightline.session import build_session
+        spark = build_session("local[8]", 8)
     qs, sqls = E.queries(), E.oracle_sql()
     con = duck(sf_dir)
     bad = 0
