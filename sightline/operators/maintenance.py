@@ -46,6 +46,14 @@ def upsert_user_query_pairs(existing: DataFrame, new_pairs: DataFrame) -> DataFr
     return upsert(existing, new_pairs, ["username", Q])
 
 
+def current_user_query_pairs(pair_log: DataFrame) -> DataFrame:
+    """The pairs table from its append-only log (one partition per archived
+    month): the latest last_seen per (username, query) - the same rows an
+    upsert with "conflict refreshes last_seen" leaves, since run dates only
+    grow."""
+    return pair_log.groupBy("username", Q).agg(F.max("last_seen").alias("last_seen"))
+
+
 def upsert_period_summary(existing: DataFrame, new: DataFrame) -> DataFrame:
     return upsert(existing, new, ["period_type", "period_id"])
 
@@ -77,7 +85,8 @@ def months_to_archive(searches: DataFrame, ledger: DataFrame, current_month: str
     """Months before the current one that still have live rows and are not
     marked deleted in the ledger (an anti join: a null ledger month cannot
     hide everything as NOT IN would), in month order."""
-    months = (searches.select(E.month_key("timestamp").alias("month")).distinct()
+    key = F.col("month") if "month" in searches.columns else E.month_key("timestamp")
+    months = (searches.select(key.alias("month")).distinct()
               .where(F.col("month") < F.lit(current_month)))
     return months.join(deleted_months(ledger), "month", "left_anti").orderBy("month")
 

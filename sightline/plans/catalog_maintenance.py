@@ -139,8 +139,19 @@ def q_min_live_date(spark, sf):
 WHERE NOT ({MONTH_WHERE})""")
 def q_delete_archived_month(spark, sf):
     table = run_dir(spark, "searches")
-    s = FX.searches_s2(spark, sf)
-    SK.write_version(s, table)
+    (FX.searches_s2(spark, sf).withColumn("month", E.month_key("timestamp"))
+     .repartitionByRange("month", "timestamp").write.partitionBy("month").parquet(table))
+    SK.drop_partition(spark, table, "month", ARCH_MONTH)
+    back = SC.scan_searches_by_month(spark, table)
+    return _ntz(back.select("client_id", "timestamp", "username", "query"))
+
+
+@register("delete_month_rewrite", f"""SELECT client_id, "timestamp", username, query FROM {O.S2_SQL} s
+WHERE NOT ({MONTH_WHERE})""")
+def q_delete_month_rewrite(spark, sf):
+    """The same delete on an unpartitioned log: next version without the month."""
+    table = run_dir(spark, "searches")
+    SK.write_version(FX.searches_s2(spark, sf), table)
     cur = SK.read_table(spark, table, S.SEARCHES)
     SK.write_version(M.delete_month(cur, ARCH_MONTH), table)
     return _ntz(SK.read_table(spark, table, S.SEARCHES))
@@ -565,9 +576,14 @@ def q_publish_job(spark, sf):
        TRUE AS deleted FROM {O.S2_SQL} s WHERE strftime("timestamp", '%Y-%m') < '1995-04' GROUP BY 1""")
 def q_archive_job(spark, sf):
     root = run_dir(spark, "archive_job")
-    SK.write_version(FX.searches_s2(spark, sf), f"{root}/searches")
+    (FX.searches_s2(spark, sf).withColumn("month", E.month_key("timestamp"))
+     .repartitionByRange("month", "timestamp").write.partitionBy("month")
+     .parquet(f"{root}/searches"))
     for _ in range(2):   # the second run finds nothing left to archive
         J.archive_job(spark, root, f"{root}/searches", "1995-04", AS_OF, delete_after=True)
+    left = SC.scan_searches_by_month(spark, f"{root}/searches")
+    if left.where(F.col("month") < "1995-04").count() != 0:
+        raise RuntimeError("archived months still present in the raw log")
     led = SK.read_table(spark, f"{root}/archives", S.ARCHIVE_LEDGER)
     return led.select("month", "record_count", "deleted")
 

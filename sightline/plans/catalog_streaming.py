@@ -4,6 +4,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schema as S
 from ..functions import expr as E
@@ -53,7 +54,9 @@ def q_stream_daily_tuples(spark, sf):
     q = SJ.start_daily_tuples(FX.s1_from_events(events_stream(spark, sf)), f"{base}/table",
                               f"{base}/_checkpoint", ONCE)
     SJ.drain(q)
-    return SK.read_table(spark, f"{base}/table", S.DAILY_TUPLES)
+    schema = T.StructType(S.DAILY_TUPLES.fields + [T.StructField("month", T.StringType())])
+    back = spark.read.schema(schema).parquet(f"{base}/table")
+    return back.select(*[f.name for f in S.DAILY_TUPLES.fields])
 
 
 @register("stream_convergence", f"""
@@ -66,7 +69,7 @@ def q_stream_convergence(spark, sf):
     q = SJ.start_event_clients(FX.s1c_from_events(events_stream(spark, sf)), f"{base}/table",
                                f"{base}/_checkpoint", FX.S1C_WINDOW_SECONDS, ONCE)
     SJ.drain(q)
-    table = SK.read_table(spark, f"{base}/table")
+    table = spark.read.parquet(f"{base}/table")
     return table.groupBy("client_count").agg(F.count(F.lit(1)).alias("event_count"))
 
 

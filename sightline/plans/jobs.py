@@ -113,27 +113,29 @@ def publish_job(spark: SparkSession, root: str, tuples: DataFrame, pairs: DataFr
     return out
 
 
-def archive_job(spark: SparkSession, root: str, searches_table: str, current_month: str,
+def archive_job(spark: SparkSession, root: str, searches_path: str, current_month: str,
                 as_of, delete_after: bool = False) -> list[dict]:
     """Archive every finished month that is not archived-and-deleted yet.
 
-    The loop runs over months (one per iteration, a short list); each step is
-    a Spark job. Pairs and cumulative totals are updated *before* the delete,
-    and the delete happens only when the archive holds exactly the month's
-    row count.
+    ``searches_path`` is the raw log partitioned by ``month`` (the layout the
+    ingest stream writes). The loop runs over months (a short list); each step
+    is a Spark job that reads only that month's partition. Pairs and
+    cumulative totals are updated *before* the delete, and the month's
+    partition folder is dropped only when the archive holds exactly the
+    month's row count. Nothing rewrites the whole raw log or the pairs table:
+    pairs are appended per month (``user_query_pairs/month=M``) and read
+    through ``maintenance.current_user_query_pairs``.
     """
     ledger_path = _t(root, "archives")
     arch_root = _t(root, "archive")
-    searches = SK.read_table(spark, searches_table, S.SEARCHES)
+    searches = SC.scan_searches_by_month(spark, searches_path)
     ledger = SK.read_table(spark, ledger_path, S.ARCHIVE_LEDGER)
     months = [r.month for r in M.months_to_archive(searches, ledger, current_month).collect()]
     report = []
     for month in months:
-        searches = SK.read_table(spark, searches_table, S.SEARCHES)
-        rows_df = SC.scan_month(searches, month)
-        raw_path, n_rows, n_bytes = SK.archive_raw_month(searches, month, arch_root)
-        tuples = R.daily_search_tuples(rows_df)
-        SK.archive_daily_tuples(tuples, month, arch_root)
+        rows_df = SC.scan_month(SC.scan_searches_by_month(spark, searches_path), month)
+        raw_path, n_rows, n_bytes = SK.archive_raw_month(rows_df, month, arch_root)
+        SK.archive_daily_tuples(R.daily_search_tuples(rows_df), month, arch_root)
         daily_old = SK.read_table(spark, _t(root, "daily_client_stats"), S.DAILY_CLIENT_STATS)
         SK.write_version(M.insert_if_absent(daily_old, R.daily_client_stats(rows_df),
                                             ["client_id", "date"]), _t(root, "daily_client_stats"))
@@ -142,15 +144,15 @@ def archive_job(spark: SparkSession, root: str, searches_table: str, current_mon
         ledger = SK.read_table(spark, ledger_path, S.ARCHIVE_LEDGER)
         SK.write_version(M.upsert(ledger, entry, ["month"]), ledger_path)
         if delete_after:
-            pairs = SK.read_table(spark, _t(root, "user_query_pairs"), S.USER_QUERY_PAIRS)
-            SK.write_version(M.upsert_user_query_pairs(
-                pairs, M.new_user_query_pairs(rows_df, as_of)), _t(root, "user_query_pairs"))
+            spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+            (M.new_user_query_pairs(rows_df, as_of).withColumn("month", F.lit(month))
+             .write.mode("overwrite").partitionBy("month").parquet(_t(root, "user_query_pairs")))
             cum = SK.read_table(spark, _t(root, "stats_cumulative"), S.CUMULATIVE)
             SK.write_version(M.merge_cumulative(cum, rows_df, month), _t(root, "stats_cumulative"))
             archived = spark.read.schema(S.SEARCHES).parquet(raw_path).count()
             if archived != n_rows:
                 raise RuntimeError(f"archive of {month} holds {archived} rows, expected {n_rows}")
-            SK.write_version(M.delete_month(searches, month), searches_table)
+            SK.drop_partition(spark, searches_path, "month", month)
             ledger = SK.read_table(spark, ledger_path, S.ARCHIVE_LEDGER)
             SK.write_version(M.ledger_mark_deleted(ledger, month), ledger_path)
         report.append({"month": month, "rows": n_rows, "bytes": n_bytes, "deleted": delete_after})

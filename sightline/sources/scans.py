@@ -7,6 +7,7 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schema as S
 from ..functions import expr as E
@@ -18,6 +19,13 @@ def scan_searches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(S.SEARCHES).option("basePath", path).parquet(path)
 
 
+def scan_searches_by_month(spark: SparkSession, path: str) -> DataFrame:
+    """The month-partitioned raw log (``path/month=YYYY-MM``) with ``month`` as
+    a string partition column; month filters prune whole folders."""
+    schema = T.StructType(S.SEARCHES.fields + [T.StructField("month", T.StringType())])
+    return spark.read.schema(schema).option("basePath", path).parquet(path)
+
+
 def drop_incomplete(df: DataFrame, observation=None) -> DataFrame:
     """Drop rows with a null username or query; count them in ``observation``."""
     bad = F.col("username").isNull() | F.col("query").isNull()

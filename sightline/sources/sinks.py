@@ -196,3 +196,27 @@ def snapshot(df: DataFrame, path: str) -> DataFrame:
     later does not recompute the inputs). Delete the folder after the run."""
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def upsert_partitions(new: DataFrame, table: str, keys: list[str], part_col: str) -> None:
+    """Upsert ``new`` into a table partitioned by ``part_col``, rewriting only
+    the partitions present in ``new`` (dynamic partition overwrite)."""
+    from ..operators.maintenance import upsert
+    from ..session import materialize
+    spark = new.sparkSession
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    new = materialize(new)
+    if path_exists(spark, table):
+        # the partition values of one batch are few (days / months it spans)
+        touched = [r[0] for r in new.select(part_col).distinct().collect()]
+        cur = spark.read.schema(new.schema).parquet(table).where(F.col(part_col).isin(touched))
+        merged = materialize(upsert(cur, new, keys))
+    else:
+        merged = new
+    (merged.repartitionByRange(part_col).write.mode("overwrite").partitionBy(part_col)
+     .parquet(table))
+
+
+def drop_partition(spark: SparkSession, table: str, column: str, value: str) -> bool:
+    """Remove one partition folder (e.g. an archived month of the raw log)."""
+    return delete_path(spark, f"{table.rstrip('/')}/{column}={value}")

@@ -7,8 +7,9 @@
 
 Offsets and state live in the checkpoint folder, so a restarted query resumes
 where it stopped (no requeue / backoff logic needed). Aggregating streams run
-in update mode into ``foreachBatch``, which upserts the changed groups into a
-versioned Parquet table; the event-time watermark bounds the state kept.
+in update mode into ``foreachBatch``, which upserts the changed groups into the
+partitions (months / days) of a partitioned Parquet table that the batch
+touched; the event-time watermark bounds the state kept.
 """
 
 from __future__ import annotations
@@ -18,7 +19,6 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions import expr as E
-from ..operators import maintenance as M
 from ..sources import sinks as SK
 
 RAW_EVENTS = "client_id STRING, timestamp TIMESTAMP, username STRING, query STRING"
@@ -58,13 +58,13 @@ def start_ingest(events: DataFrame, key: str, sink: str, checkpoint: str,
     return w.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
 
 
-def _upsert_batch(table: str, keys: list[str]):
+def _upsert_batch(table: str, keys: list[str], part_col: str):
+    """foreachBatch sink: upsert the changed groups into the partitions
+    (months / days) this micro-batch touched; other partitions are not read
+    or rewritten. The merged rows are materialised before the dynamic
+    partition overwrite, so no plan overwrites the files it reads."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        cur = SK.read_table(spark, table, batch.schema)
-        # the next version is computed from the current one and written to a
-        # new path (never over the path being read)
-        SK.write_version(M.upsert(cur, batch, keys), table)
+        SK.upsert_partitions(batch, table, keys, part_col)
     return write
 
 
@@ -74,14 +74,14 @@ def daily_tuples_stream(searches: DataFrame, watermark: str = "10 minutes") -> D
                      E.normalize_query("query").alias("query_normalized"))
             .agg(F.count(F.lit(1)).alias("search_count"))
             .select(F.to_date(F.col("w.start")).alias("date"), "username", "query_normalized",
-                    "search_count"))
+                    "search_count", E.month_key(F.to_date(F.col("w.start"))).alias("month")))
 
 
 def start_daily_tuples(searches: DataFrame, table: str, checkpoint: str,
                        trigger: dict | None = None, watermark: str = "10 minutes"):
     q = (daily_tuples_stream(searches, watermark).writeStream.outputMode("update")
          .option("checkpointLocation", checkpoint)
-         .foreachBatch(_upsert_batch(table, ["date", "username", "query_normalized"])))
+         .foreachBatch(_upsert_batch(table, ["date", "username", "query_normalized"], "month")))
     return q.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
 
 
@@ -94,14 +94,16 @@ def event_clients_stream(searches: DataFrame, window_seconds: int = 300,
             .groupBy(F.col("username"), E.normalize_query("query").alias("norm_query"),
                      E.time_bucket("timestamp", window_seconds).alias("time_bucket"))
             .agg(F.size(F.collect_set("client_id")).cast("bigint").alias("client_count"),
-                 F.min("timestamp").alias("earliest"), F.max("timestamp").alias("latest")))
+                 F.min("timestamp").alias("earliest"), F.max("timestamp").alias("latest"))
+            .withColumn("day", F.to_date(F.timestamp_seconds(F.col("time_bucket")
+                                                             * F.lit(window_seconds)))))
 
 
 def start_event_clients(searches: DataFrame, table: str, checkpoint: str,
                         window_seconds: int = 300, trigger: dict | None = None):
     q = (event_clients_stream(searches, window_seconds).writeStream.outputMode("update")
          .option("checkpointLocation", checkpoint)
-         .foreachBatch(_upsert_batch(table, ["username", "norm_query", "time_bucket"])))
+         .foreachBatch(_upsert_batch(table, ["username", "norm_query", "time_bucket"], "day")))
     return q.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
 
 

@@ -105,3 +105,24 @@ def test_jdbc_option_mapping():
     assert (opts["user"], opts["password"], opts["fetchsize"]) == ("user", "pw", "500000")
     assert (opts["partitionColumn"], opts["numPartitions"]) == ("id", "16")
     assert SC.jdbc_options("postgresql://u@h/d", "t")["url"] == "jdbc:postgresql://h:5432/d"
+
+
+def test_upsert_partitions_touches_only_batch_partitions(spark):
+    table = SK.warehouse_root(spark) + "/test-upsert-parts"
+    SK.delete_path(spark, table)
+    schema = "k string, v long, day string"
+    SK.upsert_partitions(spark.createDataFrame([("a", 1, "d1"), ("b", 1, "d2")], schema),
+                         table, ["k"], "day")
+    SK.upsert_partitions(spark.createDataFrame([("a", 5, "d1"), ("c", 1, "d1")], schema),
+                         table, ["k"], "day")
+    got = sorted(map(tuple, spark.read.schema(schema).parquet(table).collect()))
+    assert got == [("a", 5, "d1"), ("b", 1, "d2"), ("c", 1, "d1")]
+
+
+def test_pair_log_view_equals_upserts(spark):
+    schema = "username string, query_normalized string, last_seen date"
+    m1 = spark.createDataFrame([("u", "a", D(2024, 2, 1)), ("u", "b", D(2024, 2, 1))], schema)
+    m2 = spark.createDataFrame([("u", "a", D(2024, 3, 1)), ("v", "a", D(2024, 3, 1))], schema)
+    via_upsert = M.upsert_user_query_pairs(M.upsert_user_query_pairs(m1.limit(0), m1), m2)
+    via_log = M.current_user_query_pairs(m1.unionByName(m2))
+    assert sorted(map(tuple, via_upsert.collect())) == sorted(map(tuple, via_log.collect()))
