@@ -25,9 +25,11 @@ def main() -> None:
     from sightline.plans import registry
     from sightline.session import build_session
 
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus)
+    shuffle = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus)))
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=shuffle)
     registry.load_all()
     q = registry.QUERIES
+    only = [x for x in os.environ.get("BENCH_ONLY", "").split(",") if x]
     headline = {
         "daily_tuples": "daily_search_tuples",
         "daily_client_stats": "daily_client_stats",
@@ -42,6 +44,8 @@ def main() -> None:
         "client_overlap": "client_overlap",
         "spread_histogram": "spread_histogram",
     }
+    if only:
+        headline = {k: v for k, v in headline.items() if k in only}
     times = {}
     for label, name in headline.items():
         runs = []

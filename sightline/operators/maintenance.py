@@ -149,3 +149,26 @@ def merge_cumulative(current: DataFrame, month_rows: DataFrame, month: str) -> D
         F.coalesce(clients.scalar(), F.create_map().cast("map<string,bigint>"))
         .alias("client_totals"),
         F.when(has_month, F.lit(month)).otherwise(F.col("_lam")).alias("last_archive_month"))
+
+
+def month_totals(month_rows: DataFrame) -> DataFrame:
+    """Additive totals of one month per client: searches, first, last."""
+    return month_rows.groupBy("client_id").agg(F.count(F.lit(1)).alias("n"),
+                                               F.min("timestamp").alias("first_search"),
+                                               F.max("timestamp").alias("last_search"))
+
+
+def cumulative_from_month_totals(totals: DataFrame) -> DataFrame:
+    """The one-row cumulative table rebuilt from per-month totals (rows of
+    (month, client_id, n, first_search, last_search); one row per client and
+    month, so the client map is bounded by the number of clients)."""
+    per_client = totals.groupBy("client_id").agg(F.sum("n").alias("n"))
+    clients = per_client.agg(F.map_from_entries(F.array_sort(F.collect_list(
+        F.struct("client_id", "n")))).alias("m")).scalar()
+    return totals.agg(F.sum("n").cast("bigint").alias("total_searches"),
+                      F.min("first_search").alias("first_search"),
+                      F.max("last_search").alias("last_search"),
+                      F.max("month").alias("last_archive_month")).select(
+        "total_searches", "first_search", "last_search",
+        F.coalesce(clients, F.create_map().cast("map<string,bigint>")).alias("client_totals"),
+        "last_archive_month")

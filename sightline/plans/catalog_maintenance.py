@@ -584,6 +584,10 @@ def q_archive_job(spark, sf):
     left = SC.scan_searches_by_month(spark, f"{root}/searches")
     if left.where(F.col("month") < "1995-04").count() != 0:
         raise RuntimeError("archived months still present in the raw log")
+    cum = SK.read_table(spark, f"{root}/stats_cumulative", S.CUMULATIVE).first()
+    n = FX.searches_s2(spark, sf).where(E.month_key("timestamp") < "1995-04").count()
+    if cum.total_searches != n or sum(cum.client_totals.values()) != n:
+        raise RuntimeError("cumulative totals differ from the archived rows")
     led = SK.read_table(spark, f"{root}/archives", S.ARCHIVE_LEDGER)
     return led.select("month", "record_count", "deleted")
 

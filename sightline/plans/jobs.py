@@ -119,19 +119,29 @@ def archive_job(spark: SparkSession, root: str, searches_path: str, current_mont
 
     ``searches_path`` is the raw log partitioned by ``month`` (the layout the
     ingest stream writes). The loop runs over months (a short list); each step
-    is a Spark job that reads only that month's partition. Pairs and
-    cumulative totals are updated *before* the delete, and the month's
-    partition folder is dropped only when the archive holds exactly the
-    month's row count. Nothing rewrites the whole raw log or the pairs table:
-    pairs are appended per month (``user_query_pairs/month=M``) and read
-    through ``maintenance.current_user_query_pairs``.
+    is a Spark job that reads only that month's partition, and every write is
+    idempotent, so a run that dies anywhere can simply be started again:
+
+    * archives, daily tuples, pairs and month totals overwrite the month's own
+      partition; daily client stats are insert-if-absent; the ledger is an
+      upsert on the month;
+    * the cumulative row is rebuilt from the per-month totals (never
+      incremented twice);
+    * the month is marked deleted *before* its raw partition is dropped, and
+      partitions of months already marked deleted are dropped at the start,
+      so no crash window loses a month or counts it twice.
+
+    Nothing rewrites the whole raw log or the pairs table.
     """
     ledger_path = _t(root, "archives")
     arch_root = _t(root, "archive")
-    searches = SC.scan_searches_by_month(spark, searches_path)
     ledger = SK.read_table(spark, ledger_path, S.ARCHIVE_LEDGER)
+    for r in SC.deleted_months(ledger).collect():        # leftovers of a crashed run
+        SK.drop_partition(spark, searches_path, "month", r.month)
+    searches = SC.scan_searches_by_month(spark, searches_path)
     months = [r.month for r in M.months_to_archive(searches, ledger, current_month).collect()]
     report = []
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     for month in months:
         rows_df = SC.scan_month(SC.scan_searches_by_month(spark, searches_path), month)
         raw_path, n_rows, n_bytes = SK.archive_raw_month(rows_df, month, arch_root)
@@ -144,17 +154,18 @@ def archive_job(spark: SparkSession, root: str, searches_path: str, current_mont
         ledger = SK.read_table(spark, ledger_path, S.ARCHIVE_LEDGER)
         SK.write_version(M.upsert(ledger, entry, ["month"]), ledger_path)
         if delete_after:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
             (M.new_user_query_pairs(rows_df, as_of).withColumn("month", F.lit(month))
              .write.mode("overwrite").partitionBy("month").parquet(_t(root, "user_query_pairs")))
-            cum = SK.read_table(spark, _t(root, "stats_cumulative"), S.CUMULATIVE)
-            SK.write_version(M.merge_cumulative(cum, rows_df, month), _t(root, "stats_cumulative"))
+            (M.month_totals(rows_df).withColumn("month", F.lit(month))
+             .write.mode("overwrite").partitionBy("month").parquet(_t(root, "month_totals")))
+            totals = spark.read.parquet(_t(root, "month_totals"))
+            SK.write_version(M.cumulative_from_month_totals(totals), _t(root, "stats_cumulative"))
             archived = spark.read.schema(S.SEARCHES).parquet(raw_path).count()
             if archived != n_rows:
                 raise RuntimeError(f"archive of {month} holds {archived} rows, expected {n_rows}")
-            SK.drop_partition(spark, searches_path, "month", month)
             ledger = SK.read_table(spark, ledger_path, S.ARCHIVE_LEDGER)
             SK.write_version(M.ledger_mark_deleted(ledger, month), ledger_path)
+            SK.drop_partition(spark, searches_path, "month", month)
         report.append({"month": month, "rows": n_rows, "bytes": n_bytes, "deleted": delete_after})
     return report
 

@@ -126,3 +126,33 @@ def test_pair_log_view_equals_upserts(spark):
     via_upsert = M.upsert_user_query_pairs(M.upsert_user_query_pairs(m1.limit(0), m1), m2)
     via_log = M.current_user_query_pairs(m1.unionByName(m2))
     assert sorted(map(tuple, via_upsert.collect())) == sorted(map(tuple, via_log.collect()))
+
+
+def test_archive_job_rerun_and_crash_leftover(spark):
+    from sightline.functions import expr as E
+    from sightline.plans import jobs as J
+    root = SK.warehouse_root(spark) + "/test-archive-job"
+    SK.delete_path(spark, root)
+    rows = [("c1", dt.datetime(2024, 1, 3, 10), "u1", "Pink Floyd"),
+            ("c2", dt.datetime(2024, 1, 3, 11), "u2", "pink floyd "),
+            ("c1", dt.datetime(2024, 2, 9, 12), "u1", "Abba"),
+            ("c1", dt.datetime(2024, 3, 1, 12), "u3", "live month")]
+    raw = spark.createDataFrame(rows, S.SEARCHES).withColumn("month", E.month_key("timestamp"))
+    raw.write.partitionBy("month").parquet(f"{root}/searches")
+    for _ in range(2):
+        J.archive_job(spark, root, f"{root}/searches", "2024-03", D(2024, 3, 2), delete_after=True)
+    # a crash after marking January deleted but before dropping it leaves the folder behind
+    raw.where(F.col("month") == "2024-01").write.mode("append").partitionBy("month").parquet(
+        f"{root}/searches")
+    J.archive_job(spark, root, f"{root}/searches", "2024-03", D(2024, 3, 2), delete_after=True)
+    left = SC.scan_searches_by_month(spark, f"{root}/searches")
+    assert [r.month for r in left.select("month").distinct().collect()] == ["2024-03"]
+    cum = SK.read_table(spark, f"{root}/stats_cumulative", S.CUMULATIVE).first()
+    assert cum.total_searches == 3 and cum.client_totals == {"c1": 2, "c2": 1}
+    assert cum.last_archive_month == "2024-02"
+    led = {r.month: (r.record_count, r.deleted)
+           for r in SK.read_table(spark, f"{root}/archives", S.ARCHIVE_LEDGER).collect()}
+    assert led == {"2024-01": (2, True), "2024-02": (1, True)}
+    pairs = M.current_user_query_pairs(spark.read.parquet(f"{root}/user_query_pairs"))
+    assert sorted((r.username, r.query_normalized) for r in pairs.collect()) == [
+        ("u1", "abba"), ("u1", "pink floyd"), ("u2", "pink floyd")]
