@@ -134,9 +134,11 @@ def table_search(ranked: DataFrame, term: str | None, limit_all: int = 100,
 
 
 def search_index(query_stats: DataFrame, slugs: DataFrame | None = None,
-                 blacklist: list[str] | None = None, slug_cutoff=None) -> DataFrame:
-    """All-time queries (q, u, t, s) for the search box, users desc."""
-    q = query_stats
+                 blacklist: list[str] | None = None, slug_cutoff=None,
+                 min_users: int = E.MIN_TOP_USERS) -> DataFrame:
+    """The all-time top list (queries with >= min_users users) as (q, u, t, s)
+    for the search box, users desc."""
+    q = query_stats.where(F.col("unique_users") >= min_users)
     if blacklist:
         q = q.where(~E.is_blacklisted(Q, blacklist))
     if slug_cutoff is not None:

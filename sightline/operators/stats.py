@@ -253,13 +253,15 @@ def _overview_cols(total_searches, total_users, unique_queries, unique_pairs):
 
 
 def cumulative_overview(summary: DataFrame, as_of) -> DataFrame:
-    """All-time row: totals, averages, first / last edge of the data."""
+    """All-time row: totals, averages, first / last edge of the data. The
+    cutoff is the end of the day before ``as_of`` (midnight - 1 s); a last
+    edge past it becomes cutoff - 1 s, as the published page does."""
     s = summary.where((F.col("period_type") == "all_time") & (F.col("period_id") == "all_time"))
     cutoff = F.lit(as_of).cast("timestamp_ntz") - F.expr("INTERVAL 1 SECOND")
     first = F.col("first_date").cast("timestamp_ntz")
     last = (F.col("last_date").cast("timestamp_ntz")
             + F.expr("INTERVAL '23:59:59.999999' HOUR TO SECOND"))
-    last = F.when(last > cutoff, cutoff).otherwise(last)
+    last = F.when(last > cutoff, cutoff - F.expr("INTERVAL 1 SECOND")).otherwise(last)
     return s.select(
         "period_type", "period_id",
         *_overview_cols(F.col("total_searches"), F.col("total_users"), F.col("unique_queries"),

@@ -496,7 +496,8 @@ def q_table_search_all(spark, sf):
 
 @register("search_index", DETAIL_CTE + f"""
 SELECT st.query_normalized AS q, unique_users AS u, total_searches AS t, sl.slug AS s
-FROM st LEFT JOIN sl USING (query_normalized) WHERE NOT {O.blacklist_sql('st.query_normalized', BLACKLIST_RX)}""")
+FROM st LEFT JOIN sl USING (query_normalized)
+WHERE unique_users >= 5 AND NOT {O.blacklist_sql('st.query_normalized', BLACKLIST_RX)}""")
 def q_search_index(spark, sf):
     stats = ST.all_time_query_stats(s2_tuples(spark, sf))
     return DT.search_index(stats, blacklist=BLACKLIST, slug_cutoff=CUTOFF)
@@ -504,7 +505,8 @@ def q_search_index(spark, sf):
 
 @register("suggest_search", DETAIL_CTE + f""",
 ix AS (SELECT st.query_normalized AS q, unique_users AS u, total_searches AS t, sl.slug AS s
-       FROM st LEFT JOIN sl USING (query_normalized) WHERE NOT {O.blacklist_sql('st.query_normalized', BLACKLIST_RX)})
+       FROM st LEFT JOIN sl USING (query_normalized)
+WHERE unique_users >= 5 AND NOT {O.blacklist_sql('st.query_normalized', BLACKLIST_RX)})
 SELECT * FROM ix WHERE contains(lower(q), 'small') ORDER BY u DESC, t DESC, q LIMIT 12""")
 def q_suggest_search(spark, sf):
     return DT.suggest_search(q_search_index(spark, sf), "small")
@@ -515,3 +517,21 @@ SELECT client_id, "timestamp", query FROM {O.S1_SQL} s ORDER BY "timestamp" DESC
 def q_recent_searches(spark, sf):
     r = DT.recent_searches(FX.searches_s1(spark, sf))
     return r.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+S1_CUTOFF = FX.S1_AS_OF.date() - _dt.timedelta(days=1)
+
+
+@register("search_index_s1", f"""
+WITH t AS {O.tuples(O.S1_SQL)}, st AS {O.query_stats_sql('t')},
+fd AS (SELECT query_normalized, MIN(date) AS first_date FROM t GROUP BY 1)
+SELECT st.query_normalized AS q, unique_users AS u, total_searches AS t,
+       CASE WHEN unique_users >= 35 AND first_date <= DATE '{S1_CUTOFF}'
+            THEN {O.slug_expr('st.query_normalized')} END AS s
+FROM st JOIN fd USING (query_normalized)
+WHERE unique_users >= 5 AND NOT {O.blacklist_sql('st.query_normalized', BLACKLIST_RX)}""")
+def q_search_index_s1(spark, sf):
+    """The search box index over the sub-day log S1 (where many queries have
+    fewer than 5 users and drop out of the all-time list)."""
+    stats = ST.all_time_query_stats(R.daily_search_tuples(FX.searches_s1(spark, sf)))
+    return DT.search_index(stats, blacklist=BLACKLIST, slug_cutoff=S1_CUTOFF)

@@ -382,8 +382,10 @@ SELECT period_type, period_id, total_searches, total_users, unique_queries AS to
        round(CASE WHEN total_users > 0 THEN total_searches / total_users ELSE 0 END, 6) AS avg_searches_per_user,
        round(CASE WHEN total_users > 0 THEN unique_pairs / total_users ELSE 0 END, 6) AS avg_unique_queries_per_user,
        CAST(first_date AS TIMESTAMP) AS first_search,
-       least(CAST(last_date AS TIMESTAMP) + INTERVAL '23:59:59.999999',
-             TIMESTAMP '{AS_OF} 00:00:00' - INTERVAL 1 SECOND) AS last_search,
+       CASE WHEN CAST(last_date AS TIMESTAMP) + INTERVAL '23:59:59.999999'
+                 > TIMESTAMP '{AS_OF} 00:00:00' - INTERVAL 1 SECOND
+            THEN TIMESTAMP '{AS_OF} 00:00:00' - INTERVAL 2 SECOND
+            ELSE CAST(last_date AS TIMESTAMP) + INTERVAL '23:59:59.999999' END AS last_search,
        FALSE AS is_estimate
 FROM {O.summary_sql(O.T2)} s WHERE period_type = 'all_time'),
 r AS (SELECT *, round((epoch_us(last_search) - epoch_us(first_search)) / 1000000.0 / 86400.0, 1) AS d FROM c)
@@ -508,7 +510,7 @@ def q_export_queries_json(spark, sf):
 @register("export_search_index", DETAIL_CTE + f"""
 SELECT st.query_normalized AS q, unique_users AS u, total_searches AS t, sl.slug AS s
 FROM st LEFT JOIN sl USING (query_normalized)
-WHERE NOT {O.blacklist_sql('st.query_normalized', BLACKLIST_RX)}""")
+WHERE unique_users >= 5 AND NOT {O.blacklist_sql('st.query_normalized', BLACKLIST_RX)}""")
 def q_export_search_index(spark, sf):
     t = s2_tuples(spark, sf)
     idx = DT.search_index(ST.all_time_query_stats(t),

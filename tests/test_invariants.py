@@ -76,3 +76,8 @@ def test_split_invariance(spark, sf_small):
                   .withColumn("deleted", F.col("month") < F.lit(overlap_from.strftime("%Y-%m"))))
         got = ST.period_summary(SC.tuples_all(arch, live, ledger))
         assert got.exceptAll(base).count() == 0 and base.exceptAll(got).count() == 0
+
+
+def test_approx_distinct_within_tolerance(tuples):
+    worst = ST.approx_distinct(tuples).agg(F.max("rel_error")).first()[0]
+    assert worst <= 0.05
