@@ -58,6 +58,18 @@ def start_ingest(events: DataFrame, key: str, sink: str, checkpoint: str,
     return w.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb_state(spark: SparkSession) -> None:
+    """Aggregation state (a day of distinct tuples / a window of events) lives
+    in RocksDB on local disk with changelog checkpoints, not in executor heap.
+    Must be set before a query first starts (it is recorded in the checkpoint)."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled",
+                   "true")
+
+
 def _upsert_batch(table: str, keys: list[str], part_col: str):
     """foreachBatch sink: upsert the changed groups into the partitions
     (months / days) this micro-batch touched; other partitions are not read
@@ -69,6 +81,9 @@ def _upsert_batch(table: str, keys: list[str], part_col: str):
 
 
 def daily_tuples_stream(searches: DataFrame, watermark: str = "10 minutes") -> DataFrame:
+    """Daily tuples kept current in update mode. Rows arriving later than the
+    watermark after their day closed are left to the nightly month-partition
+    refresh (``rollup.refresh_rollups``), which recomputes from the raw log."""
     return (searches.withWatermark("timestamp", watermark)
             .groupBy(F.window("timestamp", "1 day").alias("w"), F.col("username"),
                      E.normalize_query("query").alias("query_normalized"))
@@ -79,6 +94,7 @@ def daily_tuples_stream(searches: DataFrame, watermark: str = "10 minutes") -> D
 
 def start_daily_tuples(searches: DataFrame, table: str, checkpoint: str,
                        trigger: dict | None = None, watermark: str = "10 minutes"):
+    use_rocksdb_state(searches.sparkSession)
     q = (daily_tuples_stream(searches, watermark).writeStream.outputMode("update")
          .option("checkpointLocation", checkpoint)
          .foreachBatch(_upsert_batch(table, ["date", "username", "query_normalized"], "month")))
@@ -100,8 +116,11 @@ def event_clients_stream(searches: DataFrame, window_seconds: int = 300,
 
 
 def start_event_clients(searches: DataFrame, table: str, checkpoint: str,
-                        window_seconds: int = 300, trigger: dict | None = None):
-    q = (event_clients_stream(searches, window_seconds).writeStream.outputMode("update")
+                        window_seconds: int = 300, trigger: dict | None = None,
+                        watermark: str = "10 minutes"):
+    use_rocksdb_state(searches.sparkSession)
+    q = (event_clients_stream(searches, window_seconds, watermark).writeStream
+         .outputMode("update")
          .option("checkpointLocation", checkpoint)
          .foreachBatch(_upsert_batch(table, ["username", "norm_query", "time_bucket"], "day")))
     return q.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
