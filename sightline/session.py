@@ -79,6 +79,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
         "spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object "
+                               "store); a machine-local folder does not survive executors")
         configured = tempfile.mkdtemp(prefix="sightline-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
