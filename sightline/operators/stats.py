@@ -94,17 +94,23 @@ def period_top_queries(tuples: DataFrame, min_users: int = E.MIN_TOP_USERS,
     return top_from(queries_by_period(period_pairs(tuples, kinds)), min_users)
 
 
-def length_from(by_query: DataFrame, max_words: int = E.MAX_QUERY_WORDS) -> DataFrame:
-    return (by_query.select(*PERIOD_KEYS, E.word_count(Q).alias("query_length"))
+def length_from(by_query: DataFrame, max_words: int = E.MAX_QUERY_WORDS,
+                exclude_empty: bool = False) -> DataFrame:
+    """Words -> distinct queries per period. The empty query counts as one
+    word; ``exclude_empty`` drops it instead (the SQL meaning, where the
+    empty word array has no length)."""
+    q = by_query.where(F.col(Q) != "") if exclude_empty else by_query
+    return (q.select(*PERIOD_KEYS, E.word_count(Q).alias("query_length"))
             .where(F.col("query_length") <= max_words)
             .groupBy(*PERIOD_KEYS, "query_length")
             .agg(F.count(F.lit(1)).alias("unique_query_count")))
 
 
-def query_length_dist(tuples: DataFrame, max_words: int = E.MAX_QUERY_WORDS) -> DataFrame:
+def query_length_dist(tuples: DataFrame, max_words: int = E.MAX_QUERY_WORDS,
+                      exclude_empty: bool = False) -> DataFrame:
     """Per period: number of words -> number of distinct queries (<= max_words)."""
     by_query = (assign_periods(tuples).select(*PERIOD_KEYS, Q).distinct())
-    return length_from(by_query, max_words)
+    return length_from(by_query, max_words, exclude_empty)
 
 
 def period_statistics(tuples: DataFrame, min_users: int = E.MIN_TOP_USERS,

@@ -81,3 +81,15 @@ def test_split_invariance(spark, sf_small):
 def test_approx_distinct_within_tolerance(tuples):
     worst = ST.approx_distinct(tuples).agg(F.max("rel_error")).first()[0]
     assert worst <= 0.05
+
+
+def test_length_dist_empty_query_rule(spark):
+    from sightline import schema as S
+    rows = [(dt.date(2024, 1, 2), "u", "", 1), (dt.date(2024, 1, 2), "u", "a  b", 1)]
+    t = spark.createDataFrame(rows, S.DAILY_TUPLES)
+    keep = {(r.query_length, r.unique_query_count) for r in
+            ST.query_length_dist(t).where(F.col("period_type") == "all_time").collect()}
+    drop = {(r.query_length, r.unique_query_count) for r in
+            ST.query_length_dist(t, exclude_empty=True).where(
+                F.col("period_type") == "all_time").collect()}
+    assert keep == {(1, 1), (3, 1)} and drop == {(3, 1)}
