@@ -535,3 +535,16 @@ def q_search_index_s1(spark, sf):
     fewer than 5 users and drop out of the all-time list)."""
     stats = ST.all_time_query_stats(R.daily_search_tuples(FX.searches_s1(spark, sf)))
     return DT.search_index(stats, blacklist=BLACKLIST, slug_cutoff=S1_CUTOFF)
+
+
+@register("table_search_docs", f"""
+WITH d AS {O.DOC_SQL}
+SELECT doc_id AS rank, left(query, 80) AS query_preview,
+       (SELECT COUNT(*) FROM d WHERE contains(query, 'license')) AS match_count
+FROM d WHERE contains(query, 'license') ORDER BY doc_id LIMIT 200""")
+def q_table_search_docs(spark, sf):
+    """Substring search over whole document texts (every text is searched in
+    full; only the returned preview is cut), first 200 matches by doc id."""
+    d = FX.documents_as_queries(spark, sf).withColumnRenamed("doc_id", "rank")
+    return (DT.table_search(d, "license", query_col="query")
+            .select("rank", F.substring("query", 1, 80).alias("query_preview"), "match_count"))
