@@ -55,10 +55,13 @@ def main() -> None:
             if i:
                 runs.append(time.perf_counter() - t0)
         times[label] = round(statistics.median(runs), 3)
+    from sightline.sources import fixtures as FX
+    inputs = {"S2_searches": FX.searches_s2(spark, sf_dir).count(),
+              "S1C_events": FX.searches_s1c(spark, sf_dir).count()}
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({"metric": "total_median_sec", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf, "cpus": cpus,
-                      "spark": spark.version,
+                      "spark": spark.version, "input_rows": inputs, "repeat": repeat,
                       "shuffle_partitions": int(spark.conf.get("spark.sql.shuffle.partitions"))}))
     spark.stop()
 

@@ -126,8 +126,9 @@ def table_search(ranked: DataFrame, term: str | None, limit_all: int = 100,
     matches (or first ``limit_all`` rows with no term) and the match count."""
     m = ranked
     limit = limit_all
+    term = (term or "").lower().strip()
     if term:
-        m = ranked.where(F.contains(F.lower(F.col(query_col)), F.lit(term.lower())))
+        m = ranked.where(F.contains(F.lower(F.col(query_col)), F.lit(term)))
         limit = limit_match
     count = m.agg(F.count(F.lit(1))).scalar()
     return m.orderBy("rank").limit(limit).withColumn("match_count", count)
