@@ -48,10 +48,15 @@ def pseudonymized(df: DataFrame, key: str) -> DataFrame:
 
 
 def start_ingest(events: DataFrame, key: str, sink: str, checkpoint: str,
-                 trigger: dict | None = None):
+                 trigger: dict | None = None, dedupe_within: str | None = None):
     """Append the pseudonymised log, partitioned by month (10 s micro-batches
     by default; the source's maxFilesPerTrigger / maxOffsetsPerTrigger caps a
-    batch, as the collector's 10 000-row flush did)."""
+    batch, as the collector's 10 000-row flush did). With ``dedupe_within``
+    (e.g. "10 minutes") an event delivered twice within that event-time span
+    is written once (state bounded by the watermark)."""
+    if dedupe_within:
+        events = (events.withWatermark("timestamp", dedupe_within)
+                  .dropDuplicatesWithinWatermark(["client_id", "timestamp", "username", "query"]))
     out = pseudonymized(observe_batches(events), key)
     w = (out.writeStream.format("parquet").option("path", sink)
          .option("checkpointLocation", checkpoint).partitionBy("month").outputMode("append"))

@@ -56,3 +56,17 @@ def test_event_clients_stream_many_batches(spark, sf_small):
                           "2100-01-01 00:00:00", 300)
     want = CV.event_clients(ev).groupBy("client_count").agg(F.count(F.lit(1)).alias("n"))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_ingest_dedupes_redelivered_events(spark, sf_small):
+    src = SK.warehouse_root(spark) + f"/test-stream-dup-{uuid.uuid4().hex[:8]}"
+    ev = FX.table(spark, sf_small, "events")
+    ev.write.parquet(f"{src}/a")
+    ev.write.parquet(f"{src}/b")        # the same events delivered again
+    stream = (spark.readStream.schema(FX.EVENTS_SCHEMA).option("recursiveFileLookup", "true")
+              .parquet(src))
+    base = SK.warehouse_root(spark) + f"/test-ingest-{uuid.uuid4().hex[:8]}"
+    q = SJ.start_ingest(FX.s1_from_events(stream), "test-salt", f"{base}/log", f"{base}/_ck",
+                        ONCE, dedupe_within=WIDE)
+    SJ.drain(q)
+    assert spark.read.parquet(f"{base}/log").count() == ev.count()
