@@ -199,9 +199,10 @@ _S1_START, _S1_END = FX.s1_window()
 _W = FX.S1C_WINDOW_SECONDS
 _RANGE = (f"\"timestamp\" BETWEEN TIMESTAMP '{_S1_START.isoformat(sep=' ')}' "
           f"AND TIMESTAMP '{_S1_END.isoformat(sep=' ')}'")
-CONV_CTE = f"""WITH s AS (SELECT * FROM {O.S1C_SQL} x WHERE {_RANGE}),
+def conv_cte(src_sql: str, window: int) -> str:
+    return f"""WITH s AS (SELECT * FROM {src_sql} x WHERE {_RANGE}),
 se AS (SELECT username, lower(trim(query)) AS norm_query,
-              CAST(floor(epoch_us("timestamp") / {_W * 1_000_000}.0) AS BIGINT) AS time_bucket,
+              CAST(floor(epoch_us("timestamp") / {window * 1_000_000}.0) AS BIGINT) AS time_bucket,
               client_id, MIN("timestamp") AS first_seen FROM s GROUP BY ALL),
 ec AS (SELECT username, norm_query, time_bucket, COUNT(DISTINCT client_id) AS client_count,
               MIN(first_seen) AS earliest, MAX(first_seen) AS latest FROM se GROUP BY ALL),
@@ -209,6 +210,9 @@ nc AS (SELECT COUNT(DISTINCT client_id) AS n FROM se)
 """
 
 
+CONV_CTE = conv_cte(O.S1C_SQL, _W)
+
+
 def s1c_events(spark, sf):
     return CV.search_events(FX.searches_s1c(spark, sf), _S1_START, _S1_END, _W)
 
@@ -548,3 +552,94 @@ def q_table_search_docs(spark, sf):
     d = FX.documents_as_queries(spark, sf).withColumnRenamed("doc_id", "rank")
     return (DT.table_search(d, "license", query_col="query")
             .select("rank", F.substring("query", 1, 80).alias("query_preview"), "match_count"))
+
+
+
+# ---------------------------------------------------------------------------
+# Sub-day variants on S1: 5-minute event window, 2024 ISO weeks
+# ---------------------------------------------------------------------------
+S1_CONV = conv_cte(O.S1_SQL, 300)
+
+
+def s1_events(spark, sf):
+    return CV.search_events(FX.searches_s1(spark, sf), _S1_START, _S1_END, 300)
+
+
+@register("event_client_distribution_s1", S1_CONV + """
+SELECT client_count, COUNT(*) AS event_count,
+       round(COUNT(*) * 100.0 / SUM(COUNT(*)) OVER (), 6) AS pct
+FROM ec WHERE (SELECT n FROM nc) >= 2 GROUP BY client_count""")
+def q_event_client_distribution_s1(spark, sf):
+    return CV.event_client_distribution(s1_events(spark, sf))
+
+
+@register("spread_histogram_s1", S1_CONV + """
+SELECT time_spread, sort_order, COUNT(*) AS event_count, round(AVG(client_count), 6) AS avg_clients
+FROM (SELECT client_count, (epoch_us(latest) - epoch_us(earliest)) / 1000000.0 AS sp,
+        CASE WHEN sp < 60 THEN '< 1 min' WHEN sp < 300 THEN '1-5 min' WHEN sp < 900 THEN '5-15 min'
+             WHEN sp < 3600 THEN '15-60 min' ELSE '> 1 hour' END AS time_spread,
+        CASE WHEN sp < 60 THEN 1 WHEN sp < 300 THEN 2 WHEN sp < 900 THEN 3
+             WHEN sp < 3600 THEN 4 ELSE 5 END AS sort_order
+      FROM ec WHERE client_count >= 2) b
+WHERE (SELECT n FROM nc) >= 2 GROUP BY 1, 2""")
+def q_spread_histogram_s1(spark, sf):
+    return CV.spread_histogram(s1_events(spark, sf))
+
+
+@register("unique_contribution_s1", S1_CONV + """,
+tot AS (SELECT client_id, COUNT(*) AS total_events FROM se GROUP BY 1),
+uq AS (SELECT se.client_id, COUNT(*) AS unique_events FROM se JOIN ec USING (username, norm_query, time_bucket)
+       WHERE ec.client_count = 1 GROUP BY 1)
+SELECT tot.client_id, COALESCE(uq.unique_events, 0) AS unique_events, total_events,
+       round(COALESCE(uq.unique_events, 0) * 100.0 / total_events, 6) AS pct
+FROM tot LEFT JOIN uq USING (client_id) WHERE (SELECT n FROM nc) >= 2""")
+def q_unique_contribution_s1(spark, sf):
+    return CV.unique_contribution(s1_events(spark, sf))
+
+
+S1_TUPLES = O.tuples(O.S1_SQL)
+
+
+@register("period_summary_s1", f"SELECT * FROM {O.summary_sql(S1_TUPLES)} s")
+def q_period_summary_s1(spark, sf):
+    return ST.period_summary(R.daily_search_tuples(FX.searches_s1(spark, sf)))
+
+
+@register("period_top_queries_s1", O.top_sql(S1_TUPLES))
+def q_period_top_queries_s1(spark, sf):
+    return ST.period_top_queries(R.daily_search_tuples(FX.searches_s1(spark, sf)))
+
+
+S1C_HOUR = conv_cte(O.S1C_SQL, 3600)
+
+
+@register("spread_histogram_hour", S1C_HOUR + """
+SELECT time_spread, sort_order, COUNT(*) AS event_count, round(AVG(client_count), 6) AS avg_clients
+FROM (SELECT client_count, (epoch_us(latest) - epoch_us(earliest)) / 1000000.0 AS sp,
+        CASE WHEN sp < 60 THEN '< 1 min' WHEN sp < 300 THEN '1-5 min' WHEN sp < 900 THEN '5-15 min'
+             WHEN sp < 3600 THEN '15-60 min' ELSE '> 1 hour' END AS time_spread,
+        CASE WHEN sp < 60 THEN 1 WHEN sp < 300 THEN 2 WHEN sp < 900 THEN 3
+             WHEN sp < 3600 THEN 4 ELSE 5 END AS sort_order
+      FROM ec WHERE client_count >= 2) b
+WHERE (SELECT n FROM nc) >= 2 GROUP BY 1, 2""")
+def q_spread_histogram_hour(spark, sf):
+    ev = CV.search_events(FX.searches_s1c(spark, sf), _S1_START, _S1_END, 3600)
+    return CV.spread_histogram(ev)
+
+
+@register("client_overlap_hour", S1C_HOUR + """,
+cnt AS (SELECT client_id, COUNT(*) AS n FROM se GROUP BY 1),
+sh AS (SELECT a.client_id AS client_a, b.client_id AS client_b, COUNT(*) AS shared
+       FROM se a JOIN se b ON a.username = b.username AND a.norm_query = b.norm_query
+        AND a.time_bucket = b.time_bucket AND a.client_id < b.client_id GROUP BY 1, 2),
+p AS (SELECT a.client_id AS client_a, b.client_id AS client_b, a.n AS count_a, b.n AS count_b,
+             COALESCE(sh.shared, 0) AS shared
+      FROM cnt a JOIN cnt b ON a.client_id < b.client_id
+      LEFT JOIN sh ON sh.client_a = a.client_id AND sh.client_b = b.client_id)
+SELECT client_a, client_b, count_a, count_b, shared,
+       round(shared * 100.0 / count_a, 6) AS pct_a_in_b, round(shared * 100.0 / count_b, 6) AS pct_b_in_a,
+       round(shared * 100.0 / count_a, 6) >= 95 AS a_subset, round(shared * 100.0 / count_b, 6) >= 95 AS b_subset
+FROM p""")
+def q_client_overlap_hour(spark, sf):
+    ev = CV.search_events(FX.searches_s1c(spark, sf), _S1_START, _S1_END, 3600)
+    return CV.client_overlap(ev)
