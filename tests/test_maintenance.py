@@ -156,3 +156,28 @@ def test_archive_job_rerun_and_crash_leftover(spark):
     pairs = M.current_user_query_pairs(spark.read.parquet(f"{root}/user_query_pairs"))
     assert sorted((r.username, r.query_normalized) for r in pairs.collect()) == [
         ("u1", "abba"), ("u1", "pink floyd"), ("u2", "pink floyd")]
+
+
+def test_period_stats_job_tables_equal_direct_computation(spark, sf_small):
+    from sightline.plans import catalog as C, jobs as J
+    t = C.s2_tuples(spark, sf_small)
+    split = D(1998, 1, 1)
+    arch, live = t.where(F.col("date") < F.lit(split)), t.where(F.col("date") >= F.lit(split))
+    ledger = (arch.select(F.date_format("date", "yyyy-MM").alias("month")).distinct()
+              .withColumn("deleted", F.lit(True)))
+    tuples = SC.tuples_all(arch, live, ledger)
+    root = SK.warehouse_root(spark) + "/test-period-job"
+    SK.delete_path(spark, root)
+    for _ in range(2):
+        J.period_stats_job(spark, root, tuples, live)
+    top = spark.read.schema(S.PERIOD_TOP).parquet(f"{root}/period_top_queries").select(
+        *[f.name for f in S.PERIOD_TOP.fields])
+    want_top = ST.period_top_queries(t)
+    assert top.exceptAll(want_top).count() == 0 and want_top.exceptAll(top).count() == 0
+    length = spark.read.schema(S.PERIOD_LENGTH).parquet(
+        f"{root}/period_query_length_dist").select(*[f.name for f in S.PERIOD_LENGTH.fields])
+    want_len = ST.query_length_dist(t)
+    assert length.exceptAll(want_len).count() == 0 and want_len.exceptAll(length).count() == 0
+    daily = SK.read_table(spark, f"{root}/query_daily_stats", S.QUERY_DAILY)
+    want_daily = ST.query_daily_stats(t)
+    assert daily.exceptAll(want_daily).count() == 0 and want_daily.exceptAll(daily).count() == 0
