@@ -594,7 +594,24 @@ def q_archive_job(spark, sf):
     return led.select("month", "record_count", "deleted")
 
 
-@register("convergence_job")
+def _overlap_sql() -> str:
+    from .catalog import CONV_CTE
+    return CONV_CTE + """,
+cnt AS (SELECT client_id, COUNT(*) AS n FROM se GROUP BY 1),
+sh AS (SELECT a.client_id AS client_a, b.client_id AS client_b, COUNT(*) AS shared
+       FROM se a JOIN se b ON a.username = b.username AND a.norm_query = b.norm_query
+        AND a.time_bucket = b.time_bucket AND a.client_id < b.client_id GROUP BY 1, 2),
+p AS (SELECT a.client_id AS client_a, b.client_id AS client_b, a.n AS count_a, b.n AS count_b,
+             COALESCE(sh.shared, 0) AS shared
+      FROM cnt a JOIN cnt b ON a.client_id < b.client_id
+      LEFT JOIN sh ON sh.client_a = a.client_id AND sh.client_b = b.client_id)
+SELECT client_a, client_b, count_a, count_b, shared,
+       round(shared * 100.0 / count_a, 6) AS pct_a_in_b, round(shared * 100.0 / count_b, 6) AS pct_b_in_a,
+       round(shared * 100.0 / count_a, 6) >= 95 AS a_subset, round(shared * 100.0 / count_b, 6) >= 95 AS b_subset
+FROM p"""
+
+
+@register("convergence_job", _overlap_sql())
 def q_convergence_job(spark, sf):
     from .catalog import _S1_END, _S1_START, _W
     rep = J.convergence_job(FX.searches_s1c(spark, sf), _S1_START, _S1_END, _W)

@@ -41,7 +41,10 @@ def q_stream_ingest(spark, sf):
     return back.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
-@register("stream_metrics")
+@register("stream_metrics", f"""
+SELECT CAST(0 AS BIGINT) AS batch_id, COUNT(*) AS input_rows, COUNT(*) AS "rows",
+       CAST(SUM(CASE WHEN username IS NULL OR query IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS dropped
+FROM {O.S1_SQL} s""")
 def q_stream_metrics(spark, sf):
     q, _ = _ingest(spark, sf)
     rows = [r for r in SJ.batch_metrics(q) if r["input_rows"]]
