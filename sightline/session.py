@@ -93,3 +93,34 @@ def materialize(df):
     branch recomputes its inputs, and a lost executor does not either."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_mb: int = 256) -> dict:
+    """Settings sized for a large run (e.g. 100 TB on 1000 executors x 8 cores).
+
+    * shuffle partitions ~ input / 256 MB (at least 3 waves of the cores), so
+      a post-shuffle task holds a few hundred MB and sorts / aggregates spill
+      rarely; AQE then coalesces small ones and splits skewed ones;
+    * file splits of 256 MB for the scans;
+    * AQE skew join on for partitions > 5x the median and > 512 MB (the
+      salted co-occurrence join is covered by salting already);
+    * the broadcast threshold stays at a size a task can hold (64 MB); the
+      jobs themselves broadcast only tables with a proven bound.
+    """
+    mb = 1024 * 1024
+    parts = max(3 * total_cores, int(input_bytes // (target_partition_mb * mb)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": f"{target_partition_mb}m",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{target_partition_mb}m",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    }

@@ -181,3 +181,10 @@ def test_period_stats_job_tables_equal_direct_computation(spark, sf_small):
     daily = SK.read_table(spark, f"{root}/query_daily_stats", S.QUERY_DAILY)
     want_daily = ST.query_daily_stats(t)
     assert daily.exceptAll(want_daily).count() == 0 and want_daily.exceptAll(daily).count() == 0
+
+
+def test_cluster_conf_sizes_partitions():
+    from sightline.session import cluster_conf
+    c = cluster_conf(100 * 1024 ** 4, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert int(cluster_conf(10 * 1024 ** 2, 64)["spark.sql.shuffle.partitions"]) == 192
