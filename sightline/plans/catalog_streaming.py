@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema as S
-from ..functions import expr as E
 from ..sources import fixtures as FX
-from ..sources import sinks as SK
 from ..streaming import jobs as SJ
 from . import oracle as O
 from .catalog import SALT
@@ -75,5 +73,3 @@ def q_stream_convergence(spark, sf):
     table = spark.read.parquet(f"{base}/table")
     return table.groupBy("client_count").agg(F.count(F.lit(1)).alias("event_count"))
 
-
-__all__ = ["E"]

@@ -17,7 +17,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import schema as S
 from ..functions import expr as E
 from ..sources import sinks as SK
 
@@ -151,6 +150,3 @@ def batch_metrics(query) -> list[dict]:
                     "dropped": None if m is None else m["dropped"]})
     return out
 
-
-__all__ = ["read_raw_stream", "start_ingest", "start_daily_tuples", "start_event_clients",
-           "drain", "batch_metrics", "S"]
