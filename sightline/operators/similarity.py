@@ -48,8 +48,8 @@ def eligible_pairs(pairs: DataFrame, eligible: DataFrame, as_of=None,
 
 
 def cooccurrence(pairs: DataFrame, min_shared: int = E.SIMILAR_MIN_SHARED,
-                 chunk: int = 2000, mirror: bool = True, distinct_input: bool = False
-                 ) -> DataFrame:
+                 chunk: int = 2000, mirror: bool = True, distinct_input: bool = False,
+                 max_broadcast_heavy: int = 200_000) -> DataFrame:
     """Shared users per query pair (>= min_shared), both directions.
     The (user, query) input is read three times (degrees, both join sides):
     it is de-duplicated and materialised once unless the caller did so."""
@@ -57,11 +57,18 @@ def cooccurrence(pairs: DataFrame, min_shared: int = E.SIMILAR_MIN_SHARED,
     if not distinct_input:
         p = materialize(p.distinct())
     # only users with more than ``chunk`` queries are split; their number is at
-    # most (#pairs / chunk), and AQE broadcasts the table only when its
-    # measured size is under the broadcast threshold
+    # most (#pairs / chunk). It is counted first: none -> no join at all; up to
+    # ``max_broadcast_heavy`` rows -> broadcast (no shuffle of the pairs for
+    # it); more -> an ordinary shuffle join.
     heavy = (p.groupBy("username").agg(F.count(F.lit(1)).alias("_d"))
              .where(F.col("_d") > chunk))
-    p = p.join(heavy, "username", "left")
+    n_heavy = heavy.count()
+    if n_heavy == 0:
+        p = p.withColumn("_d", F.lit(None).cast("bigint"))
+    elif n_heavy <= max_broadcast_heavy:
+        p = p.join(F.broadcast(heavy), "username", "left")
+    else:
+        p = p.join(heavy, "username", "left")
     salts = F.greatest(F.lit(1), F.ceil(F.coalesce(F.col("_d"), F.lit(1)) / F.lit(chunk))
                        ).cast("int")
     left = p.select("username", F.col(Q).alias("qa"),
