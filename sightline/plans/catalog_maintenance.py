@@ -75,7 +75,8 @@ def ledger_for(archived_tuples):
 # Scans and archives
 # ---------------------------------------------------------------------------
 
-@register("scan_searches", f"""SELECT client_id, "timestamp", username, query FROM {O.S1_SQL} s""")
+@register("scan_searches", f"""SELECT client_id, "timestamp", username, query FROM {O.S1_SQL} s
+WHERE username IS NOT NULL AND query IS NOT NULL""")
 def q_scan_searches(spark, sf):
     path = run_dir(spark, "searches")
     (FX.searches_s1(spark, sf).withColumn("month", E.month_key("timestamp"))

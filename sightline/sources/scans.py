@@ -13,17 +13,20 @@ from .. import schema as S
 from ..functions import expr as E
 
 
-def scan_searches(spark: SparkSession, path: str) -> DataFrame:
-    """Raw search log with its fixed schema (no inference). Month-partitioned
-    layouts (``month=YYYY-MM``) expose ``month`` as a partition column."""
-    return spark.read.schema(S.SEARCHES).option("basePath", path).parquet(path)
+def scan_searches(spark: SparkSession, path: str, observation=None) -> DataFrame:
+    """Raw search log with its fixed schema (no inference). Rows without a
+    username or query are dropped (SQL null semantics) and, with an
+    ``Observation``, counted while the scan runs."""
+    df = spark.read.schema(S.SEARCHES).option("basePath", path).parquet(path)
+    return drop_incomplete(df, observation)
 
 
-def scan_searches_by_month(spark: SparkSession, path: str) -> DataFrame:
+def scan_searches_by_month(spark: SparkSession, path: str, observation=None) -> DataFrame:
     """The month-partitioned raw log (``path/month=YYYY-MM``) with ``month`` as
     a string partition column; month filters prune whole folders."""
     schema = T.StructType(S.SEARCHES.fields + [T.StructField("month", T.StringType())])
-    return spark.read.schema(schema).option("basePath", path).parquet(path)
+    df = spark.read.schema(schema).option("basePath", path).parquet(path)
+    return drop_incomplete(df, observation)
 
 
 def drop_incomplete(df: DataFrame, observation=None) -> DataFrame:

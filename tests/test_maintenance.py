@@ -188,3 +188,14 @@ def test_cluster_conf_sizes_partitions():
     c = cluster_conf(100 * 1024 ** 4, 8000)
     assert int(c["spark.sql.shuffle.partitions"]) == 409600
     assert int(cluster_conf(10 * 1024 ** 2, 64)["spark.sql.shuffle.partitions"]) == 192
+
+
+def test_scan_searches_drops_and_reports_incomplete_rows(spark):
+    path = SK.warehouse_root(spark) + "/test-scan-nulls"
+    SK.delete_path(spark, path)
+    spark.createDataFrame([("c", dt.datetime(2024, 1, 1), "u", "q"),
+                           ("c", dt.datetime(2024, 1, 1), None, "q"),
+                           ("c", dt.datetime(2024, 1, 1), "u", None)], S.SEARCHES).write.parquet(path)
+    obs = Observation("scan")
+    df = SC.scan_searches(spark, path, obs)
+    assert df.count() == 1 and obs.get["dropped_rows"] == 2
