@@ -26,32 +26,68 @@ from .ranking import rank_within
 Q = "query_normalized"
 
 
+# Inside the large aggregations a period is a (type code, number) pair:
+# week -> (0, iso_year * 100 + iso_week), month -> (1, year * 100 + month),
+# all_time -> (2, 0). Small numeric keys hash and shuffle faster than the
+# published text ids, which are formed only on the (small) aggregated rows.
+PERIOD_CODES = {"week": 0, "month": 1, "all_time": 2}
+IK = ["_pt", "_pk"]
+
+
+def period_names(pt="_pt", pk="_pk") -> list:
+    """(period_type, period_id) text from the internal keys."""
+    pt, pk = E.col(pt), E.col(pk)
+    year = F.floor(pk / 100).cast("int").cast("string")
+    num = F.lpad(F.pmod(pk, F.lit(100)).cast("string"), 2, "0")
+    ptype = F.when(pt == 0, F.lit("week")).when(pt == 1, F.lit("month")).otherwise(
+        F.lit("all_time"))
+    pid = (F.when(pt == 0, F.concat(year, F.lit("-W"), num))
+           .when(pt == 1, F.concat(F.lpad(year, 4, "0"), F.lit("-"), num))
+           .otherwise(F.lit("all_time")))
+    return [ptype.alias("period_type"), pid.alias("period_id")]
+
+
+def period_internal(period_type="period_type", period_id="period_id") -> list:
+    """The internal keys of text period ids (for joins with period lists)."""
+    pt, pid = E.col(period_type), E.col(period_id)
+    code = (F.when(pt == "week", F.lit(0)).when(pt == "month", F.lit(1))
+            .otherwise(F.lit(2))).cast("tinyint")
+    year = F.substring(pid, 1, 4).cast("int")
+    key = (F.when(pt == "week", year * 100 + F.substring(pid, 7, 2).cast("int"))
+           .when(pt == "month", year * 100 + F.substring(pid, 6, 2).cast("int"))
+           .otherwise(F.lit(0)))
+    return [code.alias("_pt"), key.alias("_pk")]
+
+
 def assign_periods(tuples: DataFrame, kinds=("week", "month", "all_time")) -> DataFrame:
-    """Each tuple belongs to its ISO week, its month and all_time (no range join)."""
+    """Each tuple belongs to its ISO week, its month and all_time (no range
+    join); adds the internal keys ``_pt``, ``_pk``."""
     d = F.col("date")
-    keys = {"week": E.iso_week_key(d), "month": E.month_key(d), "all_time": F.lit("all_time")}
-    arr = F.array(*[F.struct(F.lit(k).alias("period_type"), keys[k].alias("period_id"))
-                    for k in kinds])
+    keys = {"week": F.extract(F.lit("YEAROFWEEK"), d) * 100 + F.weekofyear(d),
+            "month": F.year(d) * 100 + F.month(d), "all_time": F.lit(0)}
+    arr = F.array(*[F.struct(F.lit(PERIOD_CODES[k]).cast("tinyint").alias("_pt"),
+                             keys[k].cast("int").alias("_pk")) for k in kinds])
     return tuples.select("*", F.inline(arr))
 
 
 def period_pairs(tuples: DataFrame, kinds=("week", "month", "all_time")) -> DataFrame:
-    """Distinct (period, query, user) with searches and first/last date."""
+    """Distinct (period, query, user) with searches and first/last date
+    (period as internal keys)."""
     return (assign_periods(tuples, kinds)
-            .groupBy(*PERIOD_KEYS, Q, "username")
+            .groupBy(*IK, Q, "username")
             .agg(F.sum("search_count").alias("searches"),
                  F.min("date").alias("first_date"), F.max("date").alias("last_date")))
 
 
 def queries_by_period(pairs: DataFrame) -> DataFrame:
-    return (pairs.groupBy(*PERIOD_KEYS, Q)
+    return (pairs.groupBy(*IK, Q)
             .agg(F.count(F.lit(1)).alias("unique_users"),
                  F.sum("searches").alias("total_searches"),
                  F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date")))
 
 
 def period_summary_from(pairs: DataFrame, by_query: DataFrame) -> DataFrame:
-    per_period = (by_query.groupBy(*PERIOD_KEYS)
+    per_period = (by_query.groupBy(*IK)
                   .agg(F.count(F.lit(1)).alias("unique_queries"),
                        F.sum("unique_users").alias("unique_pairs"),
                        F.sum("total_searches").alias("total_searches"),
@@ -63,10 +99,10 @@ def period_summary_from(pairs: DataFrame, by_query: DataFrame) -> DataFrame:
     # optimizer pruning this branch into a second, different aggregation.
     keep = ((F.col("searches") >= 0) | F.col("first_date").isNull()
             | F.col("last_date").isNull())
-    users = (pairs.where(keep).select(*PERIOD_KEYS, "username").distinct()
-             .groupBy(*PERIOD_KEYS).agg(F.count(F.lit(1)).alias("total_users")))
-    return (per_period.join(users, PERIOD_KEYS, "inner")
-            .select(*PERIOD_KEYS, "unique_queries", "unique_pairs", "total_searches",
+    users = (pairs.where(keep).select(*IK, "username").distinct()
+             .groupBy(*IK).agg(F.count(F.lit(1)).alias("total_users")))
+    return (per_period.join(users, IK, "inner")
+            .select(*period_names(), "unique_queries", "unique_pairs", "total_searches",
                     "total_users", "first_date", "last_date"))
 
 
@@ -83,8 +119,9 @@ def top_order():
 
 def top_from(by_query: DataFrame, min_users: int = E.MIN_TOP_USERS) -> DataFrame:
     eligible = by_query.where(F.col("unique_users") >= min_users).select(
-        *PERIOD_KEYS, Q, "unique_users", "total_searches")
-    return rank_within(eligible, PERIOD_KEYS, top_order())
+        *IK, Q, "unique_users", "total_searches")
+    ranked = rank_within(eligible, IK, top_order())
+    return ranked.select(*period_names(), Q, "unique_users", "total_searches", "rank")
 
 
 def period_top_queries(tuples: DataFrame, min_users: int = E.MIN_TOP_USERS,
@@ -100,16 +137,17 @@ def length_from(by_query: DataFrame, max_words: int = E.MAX_QUERY_WORDS,
     word; ``exclude_empty`` drops it instead (the SQL meaning, where the
     empty word array has no length)."""
     q = by_query.where(F.col(Q) != "") if exclude_empty else by_query
-    return (q.select(*PERIOD_KEYS, E.word_count(Q).alias("query_length"))
+    return (q.select(*IK, E.word_count(Q).alias("query_length"))
             .where(F.col("query_length") <= max_words)
-            .groupBy(*PERIOD_KEYS, "query_length")
-            .agg(F.count(F.lit(1)).alias("unique_query_count")))
+            .groupBy(*IK, "query_length")
+            .agg(F.count(F.lit(1)).alias("unique_query_count"))
+            .select(*period_names(), "query_length", "unique_query_count"))
 
 
 def query_length_dist(tuples: DataFrame, max_words: int = E.MAX_QUERY_WORDS,
                       exclude_empty: bool = False) -> DataFrame:
     """Per period: number of words -> number of distinct queries (<= max_words)."""
-    by_query = (assign_periods(tuples).select(*PERIOD_KEYS, Q).distinct())
+    by_query = (assign_periods(tuples).select(*IK, Q).distinct())
     return length_from(by_query, max_words, exclude_empty)
 
 

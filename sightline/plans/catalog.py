@@ -82,8 +82,8 @@ SELECT period_type, period_id, query_length, COUNT(*) AS unique_query_count FROM
 WHERE query_length <= 100 GROUP BY 1, 2, 3""")
 def q_query_length_dist_docs(spark, sf):
     docs = FX.documents_as_queries(spark, sf)
-    by_query = docs.select(F.lit("all_time").alias("period_type"),
-                           F.lit("all_time").alias("period_id"),
+    by_query = docs.select(F.lit(ST.PERIOD_CODES["all_time"]).cast("tinyint").alias("_pt"),
+                           F.lit(0).alias("_pk"),
                            F.col("query").alias("query_normalized")).distinct()
     return ST.length_from(by_query)
 

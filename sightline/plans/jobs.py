@@ -62,9 +62,9 @@ def _period_tables(spark, root, tuples, live, min_users, daily_only, out) -> Non
         todo = P.stale_periods(P.generate_periods(tuples), existing, live)
         keys = todo.select("period_type", "period_id")
         # periods to compute: one row per week / month, a bounded broadcast
-        tagged = ST.assign_periods(tuples).join(F.broadcast(keys), ["period_type", "period_id"],
-                                                "left_semi")
-        pairs = (tagged.groupBy("period_type", "period_id", "query_normalized", "username")
+        tagged = ST.assign_periods(tuples).join(
+            F.broadcast(todo.select(*ST.period_internal())), ST.IK, "left_semi")
+        pairs = (tagged.groupBy(*ST.IK, "query_normalized", "username")
                  .agg(F.sum("search_count").alias("searches"), F.min("date").alias("first_date"),
                       F.max("date").alias("last_date"))
                  .persist(StorageLevel.MEMORY_AND_DISK))

@@ -39,8 +39,8 @@ def test_ranks_consecutive(tuples):
 def test_rank_within_equals_row_number(spark, tuples):
     by_query = ST.queries_by_period(ST.period_pairs(tuples))
     order = ST.top_order()
-    got = ranking.rank_within(by_query, ["period_type", "period_id"], order)
-    w = Window.partitionBy("period_type", "period_id").orderBy(*order)
+    got = ranking.rank_within(by_query, ST.IK, order)
+    w = Window.partitionBy(*ST.IK).orderBy(*order)
     want = by_query.withColumn("rank", F.row_number().over(w))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
