@@ -199,3 +199,19 @@ def test_scan_searches_drops_and_reports_incomplete_rows(spark):
     obs = Observation("scan")
     df = SC.scan_searches(spark, path, obs)
     assert df.count() == 1 and obs.get["dropped_rows"] == 2
+
+
+def test_available_period_labels_and_bounds(spark):
+    summary = spark.createDataFrame(
+        [("week", "2026-W03", 1, 1, 1, 1, None, None), ("month", "2026-01", 1, 1, 1, 1, None, None),
+         ("week", "2020-W53", 1, 1, 1, 1, None, None), ("week", "2027-W01", 1, 1, 1, 1, None, None),
+         ("all_time", "all_time", 1, 1, 1, 1, None, None)], S.PERIOD_SUMMARY)
+    rows = {r.period_id: r for r in P.available_periods(summary, "2026-12-31 23:59:59").collect()}
+    assert set(rows) == {"2026-W03", "2026-01", "2020-W53"}      # 2027-W01 starts after max
+    w = rows["2026-W03"]
+    assert (w.label, w.start_date, w.end_date) == ("03/2026", D(2026, 1, 12), D(2026, 1, 18))
+    assert w.end_ts == dt.datetime(2026, 1, 18, 23, 59, 59)
+    m = rows["2026-01"]
+    assert (m.label, m.start_date, m.end_date) == ("January 2026", D(2026, 1, 1), D(2026, 1, 31))
+    assert rows["2020-W53"].start_date == D(2020, 12, 28)
+    assert dt.date.fromisocalendar(2020, 53, 1) == D(2020, 12, 28)
