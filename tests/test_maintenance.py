@@ -215,3 +215,26 @@ def test_available_period_labels_and_bounds(spark):
     assert (m.label, m.start_date, m.end_date) == ("January 2026", D(2026, 1, 1), D(2026, 1, 31))
     assert rows["2020-W53"].start_date == D(2020, 12, 28)
     assert dt.date.fromisocalendar(2020, 53, 1) == D(2020, 12, 28)
+
+
+def test_months_to_archive_null_ledger_month(spark):
+    searches = spark.createDataFrame(
+        [("c", dt.datetime(2024, m, 5), "u", "q") for m in (1, 2, 3, 4)], S.SEARCHES)
+    ledger = spark.createDataFrame([("2024-01", None, 1, 1, None, True),
+                                    (None, None, 1, 1, None, True),
+                                    ("2024-02", None, 1, 1, None, False)], S.ARCHIVE_LEDGER)
+    got = [r.month for r in M.months_to_archive(searches, ledger, "2024-04").collect()]
+    assert got == ["2024-02", "2024-03"]     # NOT IN with a null would return nothing
+
+
+def test_stale_periods_without_live_data_keeps_all(spark):
+    t = spark.createDataFrame([(D(2024, 1, 2), "u", "q", 1), (D(2024, 3, 2), "u", "q", 1)],
+                              S.DAILY_TUPLES)
+    periods = P.generate_periods(t)
+    existing = ST.period_summary(t)
+    none_live = t.limit(0)
+    assert P.stale_periods(periods, existing, none_live).count() == periods.count()
+    live = t.where(F.col("date") >= F.lit(D(2024, 3, 1)))
+    kept = {(r.period_type, r.period_id) for r in P.stale_periods(periods, existing, live).collect()}
+    assert ("month", "2024-01") not in kept and ("month", "2024-02") in kept   # Feb has no summary
+    assert ("all_time", "all_time") in kept and ("month", "2024-03") in kept
