@@ -64,3 +64,9 @@ def op10(spark, sf_dir):
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@query("op9_pack")
+def op9(spark, sf_dir):
+    from . import packing as P
+    return P.pack(table(spark, sf_dir, "documents"))
