@@ -70,3 +70,9 @@ def op10(spark, sf_dir):
 def op9(spark, sf_dir):
     from . import packing as P
     return P.pack(table(spark, sf_dir, "documents"))
+
+
+@query("op4_near_duplicates")
+def op4(spark, sf_dir):
+    from . import minhash as M
+    return M.groups(table(spark, sf_dir, "documents"))
