@@ -76,3 +76,9 @@ def op9(spark, sf_dir):
 def op4(spark, sf_dir):
     from . import minhash as M
     return M.groups(table(spark, sf_dir, "documents"))
+
+
+@query("op6_licenses")
+def op6(spark, sf_dir):
+    from . import licenses as L
+    return L.summary(L.scan(table(spark, sf_dir, "documents")))
