@@ -82,3 +82,12 @@ def op4(spark, sf_dir):
 def op6(spark, sf_dir):
     from . import licenses as L
     return L.summary(L.scan(table(spark, sf_dir, "documents")))
+
+
+@query("op7_language")
+def op7(spark, sf_dir):
+    from . import langid as G
+    docs = table(spark, sf_dir, "documents")
+    model = G.train(docs, G.learnable("doc_id", "lang"))
+    out = F.coalesce(G.held_out_digit("doc_id") == 2, F.lit(False))
+    return G.identify(docs, model).select("doc_id", out.alias("held_out"), "lang_pred", "score")
