@@ -91,3 +91,9 @@ def op7(spark, sf_dir):
     model = G.train(docs, G.learnable("doc_id", "lang"))
     out = F.coalesce(G.held_out_digit("doc_id") == 2, F.lit(False))
     return G.identify(docs, model).select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op5_hidden_markov")
+def op5(spark, sf_dir):
+    from . import hmm as H
+    return H.score(table(spark, sf_dir, "documents"))

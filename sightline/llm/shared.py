@@ -11,7 +11,6 @@ import uuid
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from ..session import ensure_checkpoint_dir
 from ..sources.sinks import delete_path
@@ -26,7 +25,7 @@ def write_once(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back."""
     spark = df.sparkSession
     path = table_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._llm_path = path  # for drop_table
     return out
@@ -63,11 +62,6 @@ def blank_words(text: bytes | None) -> list[bytes]:
     return text.lower().split() if text else []
 
 
-def empty_like(schema: T.StructType) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-    return to_arrow_schema(schema)
-
-
 def replace_columns(batch: pa.RecordBatch, new: dict[str, pa.Array]) -> pa.RecordBatch:
     """The batch with some columns exchanged (same names, same order)."""
     cols = [new.get(n, batch.column(i)) for i, n in enumerate(batch.schema.names)]

@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from .shared import write_once
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
 _GAP = 65535
 
 INDEX_SCHEMA = T.StructType([
@@ -110,17 +110,17 @@ def index(docs: DataFrame, id_col: str, text_col: str, split: Callable[[str], Co
     """Write the block table (see the module text) and read it back.
 
     ``split(text)`` gives a Counter of pieces (no piece may hold a newline).
-    ``mark(ids, counters)`` may add one number per piece of the block: a dict
-    piece -> uint32. ``sequence(ids, texts)`` may keep bytes for the block.
+    ``mark(ids, lists, n)`` may add one number to each of the block's n pieces;
+    lists holds (piece numbers, frequencies) per document.
+    ``sequence(ids, texts)`` may keep bytes for the block.
     """
     src = docs.select(F.col(id_col).alias("key"),
                       F.col(text_col).cast("binary" if as_bytes else "string").alias("text"))
 
     def one_block(number: int, ids: list, texts: list, key_type) -> Iterator[dict]:
-        numbers, lists, counters = _Numbers(), [], []
+        numbers, lists = _Numbers(), []
         for text in texts:
             c = split(text) if text else Counter()
-            counters.append(c)
             lists.append((np.fromiter(map(numbers.__getitem__, c), np.int64, len(c)),
                           np.fromiter(c.values(), np.int64, len(c))))
         pieces = [p if as_bytes else p.encode() for p in numbers]
@@ -131,8 +131,7 @@ def index(docs: DataFrame, id_col: str, text_col: str, split: Callable[[str], Co
         place[order] = np.arange(len(order))
         marks = None
         if mark is not None:
-            got = mark(ids, counters)
-            marks = np.fromiter((got.get(p, 0) for p in numbers), np.uint32, len(numbers))[order]
+            marks = mark(ids, lists, len(numbers)).astype(np.uint32)[order]
         cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
         for lo, hi in zip(cuts, [*cuts[1:], len(order)]):
             yield {"block": number, "bucket": int(bucket[order[lo]]),
@@ -184,12 +183,14 @@ VALUE_SCHEMA = T.StructType([
     T.StructField("values", T.BinaryType())])
 
 
-def by_bucket(table: DataFrame, value: Callable, n_buckets: int) -> DataFrame:
+def by_bucket(table: DataFrame, value: Callable, n_buckets: int,
+              total: Callable | None = None) -> DataFrame:
     """Values of the pieces, worked out once per distinct piece of the corpus.
 
     ``value(pieces, marks)`` gets the distinct pieces of a bucket and the sum
     of their marks (None without marks) and returns a uint32 array. The result
     has one row per (block, bucket): the values in the order of its pieces.
+    ``total(pieces, marks)`` may add bytes per bucket, in a row of block -1.
     """
     rows = table.where("bucket >= 0").select("block", "bucket", "pieces", "marks")
 
@@ -198,12 +199,14 @@ def by_bucket(table: DataFrame, value: Callable, n_buckets: int) -> DataFrame:
         for blob in pdf["pieces"]:
             at.append([numbers[p] for p in blob.split(b"\n")[:-1]])
         if pdf["marks"].notna().all():
-            total = np.zeros(len(numbers), np.int64)
-            for i, m in zip(at, pdf["marks"]):
-                np.add.at(total, i, np.frombuffer(m, np.uint32))
-            sums = total
+            sums = np.zeros(len(numbers), np.int64)
+            for i, m in zip(at, pdf["marks"]):  # a block names a piece once
+                sums[i] += np.frombuffer(m, np.uint32)
         got = np.asarray(value(list(numbers), sums if len(sums) else None), np.uint32)
-        return pdf[["block", "bucket"]].assign(values=[got[i].tobytes() for i in at])
+        out = pdf[["block", "bucket"]].assign(values=[got[i].tobytes() for i in at])
+        if total is not None:
+            out.loc[len(out)] = [-1, key[0], total(list(numbers), sums)]
+        return out
 
     return rows.repartition(n_buckets, "bucket").groupBy("bucket").applyInPandas(run, VALUE_SCHEMA)
 
@@ -212,9 +215,10 @@ def by_block(table: DataFrame, values: DataFrame, finish: Callable, schema: T.St
              more: DataFrame | None = None) -> DataFrame:
     """Meet values and frequency lists by block.
 
-    ``finish(lists, values, extra)`` gets the block's frequency row (a dict),
-    the values of its pieces (uint32, in the order of their numbers) and the
-    row of ``more`` for the block, and returns a pandas frame.
+    ``finish(lists, values)`` gets the block's frequency row (a dict) and the
+    values of its pieces (uint32, in the order of their numbers), and returns
+    a pandas frame. ``more`` (block, extra) takes the place of the block's own
+    ``extra``.
     """
     left = table.where("bucket < 0").select("block", "keys", "sizes", "gaps", "freqs", "extra")
     if more is not None:
@@ -224,7 +228,7 @@ def by_block(table: DataFrame, values: DataFrame, finish: Callable, schema: T.St
         import pandas as pd
         if not len(lists):
             return pd.DataFrame({f.name: [] for f in schema})
-        vals = vals.sort_values("bucket")
+        vals = vals.sort_values("bucket")  # the order of the piece numbers
         got = np.frombuffer(b"".join(vals["values"]), np.uint32)
         return finish(lists.iloc[0].to_dict(), got)
 
