@@ -97,3 +97,9 @@ def op7(spark, sf_dir):
 def op5(spark, sf_dir):
     from . import hmm as H
     return H.score(table(spark, sf_dir, "documents"))
+
+
+@query("op8_main_text")
+def op8(spark, sf_dir):
+    from . import wrappers as W
+    return W.extract(table(spark, sf_dir, "pages"))
