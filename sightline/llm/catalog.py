@@ -103,3 +103,9 @@ def op5(spark, sf_dir):
 def op8(spark, sf_dir):
     from . import wrappers as W
     return W.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op2_nearest")
+def op2(spark, sf_dir):
+    from . import nndescent as N
+    return N.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
