@@ -109,3 +109,46 @@ def op8(spark, sf_dir):
 def op2(spark, sf_dir):
     from . import nndescent as N
     return N.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+# The audited archive: pages as WARC records in files of 256 page ids, and a
+# replica with damage placed by a rule on the id.
+_RECORD = r"""
+    'WARC/1.1' || e || 'WARC-Type: resource' || e || 'WARC-Record-ID: <urn:page:' ||
+    coalesce(CAST(page_id AS VARCHAR), '') || '>' || e || 'WARC-Target-URI: ' || coalesce(url, '') || e ||
+    'Content-Type: text/html' || e || 'Content-Length: ' || strlen(coalesce(html, '')) || e || e ||
+    coalesce(html, '') || e || e"""
+
+
+@query("op1_fixity_audit", f"""
+WITH r AS (SELECT page_id, url, {_RECORD} AS payload FROM pages, (SELECT chr(13) || chr(10) AS e)),
+a AS (SELECT page_id, payload, page_id // 256 AS file,
+             coalesce(sum(strlen(payload)) OVER (PARTITION BY page_id // 256 ORDER BY page_id, url, payload
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS "offset" FROM r),
+b AS (SELECT *, CASE page_id % 97 WHEN 3 THEN 'X' || substr(payload, 2)
+                     WHEN 5 THEN substr(payload, 1, length(payload) // 2) ELSE payload END AS copy
+      FROM a WHERE page_id % 97 <> 7 OR page_id IS NULL),
+h AS (SELECT a.file, a."offset", a.page_id AS record_id, strlen(a.payload) AS length_a, strlen(b.copy) AS length_b,
+             sha256(a.payload) AS digest_a, sha256(b.copy) AS digest_b
+      FROM a LEFT JOIN b ON a.file = b.file AND a."offset" = b."offset")
+SELECT file, CAST("offset" AS BIGINT) AS "offset", record_id,
+       CASE WHEN digest_b IS NULL THEN 'missing' ELSE 'changed' END AS status, length_a, length_b, digest_a, digest_b
+FROM h WHERE digest_a IS DISTINCT FROM digest_b
+""")
+def op1(spark, sf_dir):
+    from pyspark.sql import Window
+
+    from . import merkle as M
+    pages = table(spark, sf_dir, "pages")
+    page = F.col("page_id")
+    rows = pages.select(page, "url", M.warc_record(page, F.col("url"), F.col("html")).alias("payload"),
+                        F.floor(page / 256).alias("file"))
+    # offsets from sizes alone: the payloads do not take part in the sort
+    place = Window.partitionBy("file").orderBy("page_id", "url", "payload").rowsBetween(Window.unboundedPreceding, -1)
+    first = rows.withColumn("offset", F.coalesce(F.sum(F.octet_length("payload")).over(place), F.lit(0)))
+    k = F.pmod(page, F.lit(97))
+    copy = (F.when(k == 3, F.concat(F.lit("X"), F.substring("payload", 2, 2**31 - 1)))
+            .when(k == 5, F.substr("payload", F.lit(1), F.floor(F.char_length("payload") / 2).cast("int")))
+            .otherwise(F.col("payload")))
+    second = first.where((k != 7) | page.isNull()).withColumn("payload", copy)
+    return M.audit(first, second, id_col="page_id")
