@@ -7,11 +7,24 @@ effect. All but the last return the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sightline.llm import decontaminate as D
+from sightline.llm import langid, minhash, packing
 from sightline.llm.shared import write_once
 
+LEAST_SURE = 0.3  # two even duels (family, language) give 0.25
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, or of no recognisable language, go."""
+    model = langid.train(docs, langid.learnable("doc_id", "lang"))
+    return langid.accepted(docs, model, least=LEAST_SURE)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group stays, the one of smallest id."""
+    return minhash.first_of_each(docs)
+
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of the benchmark are cut out; documents that are mostly such
@@ -19,7 +32,17 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return D.remove(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-STAGES = [("benchmark decontamination", decontamination)]
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents packed into windows of 2048 tokens."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("language identification", language),
+    ("near duplicates", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("packing", sequences),
+]
 
 # Language models, near-duplicate components and tokenizer ids are beyond SQL.
 ORACLE_SQL = None

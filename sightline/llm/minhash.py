@@ -106,10 +106,12 @@ def band_keys(mins: np.ndarray) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, node, bands, sig) per document, written once."""
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
+    """(id, text_hash, n_shingles, node, bands, sig) per document, written once."""
+    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"),
+                      F.xxhash64(text_col).alias("text_hash"))
     schema = T.StructType([
-        T.StructField("id", src.schema["id"].dataType), T.StructField("n_shingles", T.LongType()),
+        T.StructField("id", src.schema["id"].dataType), T.StructField("text_hash", T.LongType()),
+        T.StructField("n_shingles", T.LongType()),
         T.StructField("node", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType())),
         T.StructField("sig", T.ArrayType(T.LongType()))])
 
@@ -132,7 +134,7 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                     return pa.ListArray.from_arrays(pa.array(ends), pa.array(values.reshape(-1)))
 
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
+                    [part.column(0), part.column(2), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
                      lists(band_keys(m), BANDS), lists(packed(m), LONGS)], names=schema.names)
 
     return write_once(src.mapInArrow(run, schema), "sketch")
@@ -298,6 +300,29 @@ def open_pairs(members: DataFrame, signatures: DataFrame, roots: DataFrame) -> D
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_shingles, component_id, kept."""
+    return grouped(docs, id_col, text_col).drop("text_hash")
+
+
+def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents, columns as given, without all but one of each group: the
+    one of the smallest id. Of rows with the same id and text one stays."""
+    rows = write_once(grouped(docs, id_col, text_col).select(
+        F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash"), "kept"), "kept")
+    gone = rows.where(~F.col("kept")).select("_id", "_hash").distinct()
+    again = rows.where("kept and _id is not null").groupBy("_id", "_hash").count().where("count > 1").drop("count")
+    same = docs[id_col].eqNullSafe(F.col("_id")) & F.xxhash64(docs[text_col]).eqNullSafe(F.col("_hash"))
+    few = lambda t: F.broadcast(t) if t.count() <= BROADCAST_IDS else t
+    left = docs.join(few(gone), same, "left_anti")
+    if not again.limit(1).count():
+        return left
+    again = few(again)
+    same = left[id_col].eqNullSafe(F.col("_id")) & F.xxhash64(left[text_col]).eqNullSafe(F.col("_hash"))
+    once = left.join(again, same, "left_semi").dropDuplicates([id_col, text_col])
+    return left.join(again, same, "left_anti").unionByName(once)
+
+
+def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``groups`` with the hash of the text, which tells rows of one id apart."""
     sketches = sketch(docs, id_col, text_col)
     members = sketches.where("node is not null").select(F.explode("bands").alias("key"), "node")
     signatures = sketches.where("node is not null").groupBy("node").agg(
@@ -330,7 +355,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     nodes = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     firsts = nodes.groupBy("root").agg(F.min("id").alias("component_id"))
     named = write_once(nodes.join(firsts, "root").select("node", "component_id"), "named")
-    rows = sketches.select("id", "n_shingles", "node").join(named, "node", "left")
+    rows = sketches.select("id", "text_hash", "n_shingles", "node").join(named, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id"))
-    return rows.select(F.col("id").alias(id_col), "n_shingles", component.alias("component_id"),
+    return rows.select(F.col("id").alias(id_col), "text_hash", "n_shingles", component.alias("component_id"),
                        component.eqNullSafe(F.col("id")).alias("kept"))
