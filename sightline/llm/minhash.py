@@ -307,16 +307,16 @@ def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """The documents, columns as given, without all but one of each group: the
     one of the smallest id. Of rows with the same id and text one stays."""
     rows = write_once(grouped(docs, id_col, text_col).select(
-        F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash"), "kept"), "kept")
-    gone = rows.where(~F.col("kept")).select("_id", "_hash").distinct()
-    again = rows.where("kept and _id is not null").groupBy("_id", "_hash").count().where("count > 1").drop("count")
-    same = docs[id_col].eqNullSafe(F.col("_id")) & F.xxhash64(docs[text_col]).eqNullSafe(F.col("_hash"))
+        F.col(id_col).alias("_llm_id"), F.col("text_hash").alias("_llm_hash"), "kept"), "kept")
+    gone = rows.where(~F.col("kept")).select("_llm_id", "_llm_hash").distinct()
+    again = rows.where("kept and _llm_id is not null").groupBy("_llm_id", "_llm_hash").count().where("count > 1").drop("count")
+    same = docs[id_col].eqNullSafe(F.col("_llm_id")) & F.xxhash64(docs[text_col]).eqNullSafe(F.col("_llm_hash"))
     few = lambda t: F.broadcast(t) if t.count() <= BROADCAST_IDS else t
     left = docs.join(few(gone), same, "left_anti")
     if not again.limit(1).count():
         return left
     again = few(again)
-    same = left[id_col].eqNullSafe(F.col("_id")) & F.xxhash64(left[text_col]).eqNullSafe(F.col("_hash"))
+    same = left[id_col].eqNullSafe(F.col("_llm_id")) & F.xxhash64(left[text_col]).eqNullSafe(F.col("_llm_hash"))
     once = left.join(again, same, "left_semi").dropDuplicates([id_col, text_col])
     return left.join(again, same, "left_anti").unionByName(once)
 

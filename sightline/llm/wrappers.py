@@ -113,7 +113,8 @@ def parse(page: str) -> tuple[Node, list[tuple[str, int, bool, Node]]]:
     (text, never content: 0 to 2, in the article, element)."""
     root = Node("#")
     leaves: list[tuple[str, int, bool, Node]] = []
-    stack = [("#", root, 0, False)]  # element, node (None: inline), never, article
+    # element, node (None: inline), never, article, never of the nearest node
+    stack = [("#", root, 0, False, 0)]
     buffer: list[str] = []
     at, depth = 0, 0
 
@@ -122,22 +123,25 @@ def parse(page: str) -> tuple[Node, list[tuple[str, int, bool, Node]]]:
             text = _SPACE.sub(" ", entities.unescape("".join(buffer))).strip()
             buffer.clear()
             if text:
-                _, _, never, article = stack[-1]
                 node = next(s[1] for s in reversed(stack) if s[1] is not None)
-                leaves.append((text, never, article, node))
+                leaves.append((text, stack[-1][4], stack[-1][3], node))
                 node.own.append(text)
 
     def close(k: int) -> None:
         """Leave all elements from place k of the stack on."""
         nonlocal depth
-        if any(s[1] is not None for s in stack[k:]) or stack[-1][2] != stack[k - 1][2]:
+        if any(s[1] is not None for s in stack[k:]):
             flush()
         depth -= sum(s[1] is not None for s in stack[k:])
         del stack[k:]
 
+    def say(text: str) -> None:
+        if stack[-1][2] == stack[-1][4]:  # else in an inline element that is no content
+            buffer.append(text)
+
     while m := _TAG.search(page, at):
         if m.start() > at:
-            buffer.append(page[at:m.start()])
+            say(page[at:m.start()])
         at = m.end()
         end, tag, attrs = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
         if not tag:
@@ -157,7 +161,6 @@ def parse(page: str) -> tuple[Node, list[tuple[str, int, bool, Node]]]:
             stop = re.compile(f"</{tag}\\s*>", re.I).search(page, at)
             at = stop.end() if stop else len(page)
             continue
-        _, _, never, article = stack[-1]
         if tag in BLOCK:
             shut = CLOSES.get(tag, {"p"} if tag not in ("html", "body", "head") else set())
             for i in range(len(stack) - 1, 0, -1):
@@ -167,21 +170,21 @@ def parse(page: str) -> tuple[Node, list[tuple[str, int, bool, Node]]]:
                     break
                 if stack[i][1] is not None and not (tag == "tr" and name in ("td", "th")):
                     break
-            _, _, never, article = stack[-1]
             flush()
+        _, _, never, article, base = stack[-1]
         own, marks, name = _purpose(tag, attrs, article)
         node = None
         if tag in BLOCK and depth < DEPTH:
             node = Node(f"{tag} {name}" if name else tag)
             next(s[1] for s in reversed(stack) if s[1] is not None).kids.append(node)
             depth += 1
-        elif own and not never:
-            flush()  # an inline element that is no content ends the run
         if attrs.endswith("/") and tag not in BLOCK:
             continue
-        stack.append((tag, node, max(never, own), article or (marks and not own and never < 2)))
+        low = max(never, own)
+        stack.append((tag, node, low, article or (marks and not own and never < 2),
+                      low if node is not None else base))
     if at < len(page):
-        buffer.append(page[at:])
+        say(page[at:])
     flush()
     return root, leaves
 
