@@ -33,13 +33,11 @@ def refresh_rollups(new_rows: DataFrame, tuples_path: str, stats_path: str) -> N
     rows of those months) and replace only those month partitions (dynamic
     partition overwrite); other months stay as they are. Same result as a
     full recompute."""
-    spark = new_rows.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    # range-partitioned on (month, date): a task writes a contiguous run of
-    # months (one file per month, a large month split over several tasks)
+    # range-partitioned on (month, date, ...): a task writes a contiguous run of
+    # months (about one file per month), and a large day fills several tasks
     t = daily_search_tuples(new_rows).withColumn("month", E.month_key("date"))
-    (t.repartitionByRange("month", "date").write.mode("overwrite").partitionBy("month")
-     .parquet(tuples_path))
     c = daily_client_stats(new_rows).withColumn("month", E.month_key("date"))
-    (c.repartitionByRange("month", "date").write.mode("overwrite").partitionBy("month")
-     .parquet(stats_path))
+    for df, path, keys in ((t, tuples_path, ["username", "query_normalized"]),
+                           (c, stats_path, ["client_id"])):
+        (df.repartitionByRange("month", "date", *keys).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path))

@@ -252,18 +252,23 @@ def q_insert_if_absent_daily(spark, sf):
 
 
 @register("merge_cumulative", f"""
-WITH m AS (SELECT * FROM {O.S2_SQL} s WHERE strftime("timestamp", '%Y-%m') IN ('2000-12', '2001-01'))
+WITH m AS (SELECT * FROM {O.S2_SQL} s)
 SELECT client_id, COUNT(*) AS n, (SELECT COUNT(*) FROM m) AS total_searches,
        (SELECT MIN("timestamp") FROM m) AS first_search, (SELECT MAX("timestamp") FROM m) AS last_search,
-       '2001-01' AS last_archive_month
+       (SELECT MAX(strftime("timestamp", '%Y-%m')) FROM m) AS last_archive_month
 FROM m GROUP BY client_id""")
 def q_merge_cumulative(spark, sf):
-    s = FX.searches_s2(spark, sf)
+    """All months but the last folded in one pass, the last one merged into
+    the stored row, then an empty month."""
+    s = FX.searches_s2(spark, sf).withColumn("month", E.month_key("timestamp"))
     SK.warehouse_root(spark)              # makes sure a checkpoint folder is set
-    cur = spark.createDataFrame([], S.CUMULATIVE)
-    for month in ("2000-12", "2001-01", "2001-12"):   # the last one is empty
-        nxt = M.merge_cumulative(cur, SC.scan_month(s, month), month)
-        cur = nxt.checkpoint()   # one tiny row; cut the growing lineage
+    last = s.agg(F.max("month")).first()[0]
+    per_month = s.where(F.col("month") < last).groupBy("month", "client_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min("timestamp").alias("first_search"),
+        F.max("timestamp").alias("last_search"))
+    cur = M.cumulative_from_month_totals(per_month).checkpoint()   # one row
+    cur = M.merge_cumulative(cur, s.where(F.col("month") == last).drop("month"), last).checkpoint()
+    cur = M.merge_cumulative(cur, s.where("false").drop("month"), "2100-01")
     return cur.select(F.explode("client_totals").alias("client_id", "n"), "total_searches",
                       F.col("first_search").cast("timestamp_ntz").alias("first_search"),
                       F.col("last_search").cast("timestamp_ntz").alias("last_search"),
@@ -371,9 +376,12 @@ def q_distinct_pairs_two_pass(spark, sf):
     return ST.distinct_pairs_two_pass(s2_tuples(spark, sf))
 
 
-@register("approx_distinct")
+@register("approx_distinct", f"""SELECT date, COUNT(DISTINCT username) AS exact_users,
+       TRUE AS within_tolerance FROM {O.T2} t GROUP BY 1""")
 def q_approx_distinct(spark, sf):
-    return ST.approx_distinct(s2_tuples(spark, sf))
+    """The estimate against the exact count of each day."""
+    got = ST.approx_distinct(s2_tuples(spark, sf))
+    return got.select("date", "exact_users", (F.col("rel_error") <= 0.05).alias("within_tolerance"))
 
 
 CUMULATIVE_SQL = f"""
@@ -575,26 +583,75 @@ def q_publish_job(spark, sf):
     return spark.read.parquet(f"{root}/publish/queries")
 
 
-@register("archive_job", f"""SELECT strftime("timestamp", '%Y-%m') AS month, COUNT(*) AS record_count,
-       TRUE AS deleted FROM {O.S2_SQL} s WHERE strftime("timestamp", '%Y-%m') < '1995-04' GROUP BY 1""")
-def q_archive_job(spark, sf):
+# every month of the fixture's history lies before this one
+ARCHIVE_MONTH = "2100-01"
+
+
+def _archived(spark, sf) -> str:
+    """The whole raw log archived and deleted; the second run finds nothing."""
     root = run_dir(spark, "archive_job")
     (FX.searches_s2(spark, sf).withColumn("month", E.month_key("timestamp"))
      .repartitionByRange("month", "timestamp").write.partitionBy("month")
      .parquet(f"{root}/searches"))
-    for _ in range(2):   # the second run finds nothing left to archive
-        J.archive_job(spark, root, f"{root}/searches", "1995-04", AS_OF, delete_after=True)
-    left = SC.scan_searches_by_month(spark, f"{root}/searches")
-    if left.where(F.col("month") < "1995-04").count() != 0:
-        raise RuntimeError("archived months still present in the raw log")
-    cum = SK.read_table(spark, f"{root}/stats_cumulative", S.CUMULATIVE).first()
-    n = FX.searches_s2(spark, sf).where(E.month_key("timestamp") < "1995-04").count()
-    if cum.total_searches != n or sum(cum.client_totals.values()) != n:
-        raise RuntimeError("cumulative totals differ from the archived rows")
-    led = SK.read_table(spark, f"{root}/archives", S.ARCHIVE_LEDGER)
+    for _ in range(2):
+        J.archive_job(spark, root, f"{root}/searches", ARCHIVE_MONTH, AS_OF, delete_after=True)
+    left = [f for d in SK.list_dirs(spark, f"{root}/searches")
+            for f in SK.list_files(spark, f"{root}/searches/{d}")]
+    if left:
+        raise RuntimeError("archived files still present in the raw log")
+    return root
+
+
+@register("archive_job", f"""SELECT strftime("timestamp", '%Y-%m') AS month, COUNT(*) AS record_count,
+       TRUE AS deleted FROM {O.S2_SQL} s GROUP BY 1""")
+def q_archive_job(spark, sf):
+    led = SK.read_table(spark, f"{_archived(spark, sf)}/archives", S.ARCHIVE_LEDGER)
     return led.select("month", "record_count", "deleted")
 
 
+@register("archive_job_rows", f"""SELECT client_id, "timestamp", username, query,
+       strftime("timestamp", '%Y-%m') AS month FROM {O.S2_SQL} s""")
+def q_archive_job_rows(spark, sf):
+    rows = SC.scan_archive(spark, f"{_archived(spark, sf)}/archive/searches")
+    return rows.drop("run").withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+@register("archive_job_tuples", f"SELECT * FROM {O.T2}")
+def q_archive_job_tuples(spark, sf):
+    return SC.scan_archived_tuples(spark, f"{_archived(spark, sf)}/archive/daily_tuples")
+
+
+@register("archive_job_client_stats", f"SELECT * FROM {DAILY_ALL}")
+def q_archive_job_client_stats(spark, sf):
+    return spark.read.schema(S.DAILY_CLIENT_STATS).parquet(f"{_archived(spark, sf)}/daily_client_stats")
+
+
+@register("archive_job_pairs", f"""SELECT DISTINCT username, lower(trim(query)) AS query_normalized,
+       DATE '{AS_OF}' AS last_seen FROM {O.S2_SQL} s""")
+def q_archive_job_pairs(spark, sf):
+    return M.current_user_query_pairs(spark.read.parquet(f"{_archived(spark, sf)}/user_query_pairs"))
+
+
+_CUMULATIVE_S2 = f"""
+SELECT client_id, COUNT(*) AS n, (SELECT COUNT(*) FROM {O.S2_SQL} s) AS total_searches,
+       (SELECT MIN("timestamp") FROM {O.S2_SQL} s) AS first_search,
+       (SELECT MAX("timestamp") FROM {O.S2_SQL} s) AS last_search,
+       (SELECT MAX(strftime("timestamp", '%Y-%m')) FROM {O.S2_SQL} s) AS last_archive_month
+FROM {O.S2_SQL} x GROUP BY client_id"""
+
+
+def _cumulative_rows(cur):
+    return cur.select(F.explode("client_totals").alias("client_id", "n"), "total_searches",
+                      F.col("first_search").cast("timestamp_ntz").alias("first_search"),
+                      F.col("last_search").cast("timestamp_ntz").alias("last_search"),
+                      "last_archive_month")
+
+
+@register("archive_job_cumulative", _CUMULATIVE_S2)
+def q_archive_job_cumulative(spark, sf):
+    return _cumulative_rows(SK.read_table(spark, f"{_archived(spark, sf)}/stats_cumulative", S.CUMULATIVE))
+
+
 def _overlap_sql() -> str:
     from .catalog import CONV_CTE
     return CONV_CTE + """,

@@ -4,9 +4,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .. import schema as S
 from ..sources import fixtures as FX
 from ..streaming import jobs as SJ
 from . import oracle as O
@@ -44,9 +42,14 @@ SELECT CAST(0 AS BIGINT) AS batch_id, COUNT(*) AS input_rows, COUNT(*) AS "rows"
        CAST(SUM(CASE WHEN username IS NULL OR query IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS dropped
 FROM {O.S1_SQL} s""")
 def q_stream_metrics(spark, sf):
-    q, _ = _ingest(spark, sf)
-    rows = [r for r in SJ.batch_metrics(q) if r["input_rows"]]
-    return spark.createDataFrame(rows, "batch_id BIGINT, input_rows BIGINT, rows BIGINT, dropped BIGINT")
+    path = f"{run_dir(spark, 'stream_metrics')}/table"
+    listener = SJ.record_metrics(spark, path)
+    try:
+        q, _ = _ingest(spark, sf)
+    finally:
+        SJ.stop_metrics(spark, listener)
+    return SJ.read_metrics(spark, path).where((F.col("query") == str(q.id)) & (F.col("input_rows") > 0)).select(
+        "batch_id", "input_rows", "rows", "dropped")
 
 
 @register("stream_daily_tuples", f"SELECT * FROM {O.tuples(O.S1_SQL)}")
@@ -55,9 +58,7 @@ def q_stream_daily_tuples(spark, sf):
     q = SJ.start_daily_tuples(FX.s1_from_events(events_stream(spark, sf)), f"{base}/table",
                               f"{base}/_checkpoint", ONCE)
     SJ.drain(q)
-    schema = T.StructType(S.DAILY_TUPLES.fields + [T.StructField("month", T.StringType())])
-    back = spark.read.schema(schema).parquet(f"{base}/table")
-    return back.select(*[f.name for f in S.DAILY_TUPLES.fields])
+    return SJ.read_daily_tuples(spark, f"{base}/table")
 
 
 @register("stream_convergence", f"""
@@ -70,6 +71,5 @@ def q_stream_convergence(spark, sf):
     q = SJ.start_event_clients(FX.s1c_from_events(events_stream(spark, sf)), f"{base}/table",
                                f"{base}/_checkpoint", FX.S1C_WINDOW_SECONDS, ONCE)
     SJ.drain(q)
-    table = spark.read.parquet(f"{base}/table")
+    table = SJ.read_event_clients(spark, f"{base}/table")
     return table.groupBy("client_count").agg(F.count(F.lit(1)).alias("event_count"))
-

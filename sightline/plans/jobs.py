@@ -5,9 +5,9 @@
                         per-query daily series
 * ``publish_job``       eligible pairs -> similarity -> detail tables, search
                         index, per-period overviews
-* ``archive_job``       month by month: raw + tuples archive, daily client
-                        stats kept, ledger; optionally pairs, cumulative
-                        totals, delete, mark deleted (in that order)
+* ``archive_job``       raw files -> archive, tuples archive, daily client
+                        stats, ledger; optionally pairs, cumulative totals,
+                        and the deletion of the files archived
 * ``convergence_job``   all convergence reports over one scan
 
 Every table is written as a new version (or with dynamic partition overwrite
@@ -19,8 +19,9 @@ from __future__ import annotations
 import uuid
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schema as S
 from ..functions import expr as E
@@ -113,61 +114,128 @@ def publish_job(spark: SparkSession, root: str, tuples: DataFrame, pairs: DataFr
     return out
 
 
+ARCHIVED_FILES = "month STRING, file STRING, bytes BIGINT, run BIGINT, deleted BOOLEAN"
+
+
 def archive_job(spark: SparkSession, root: str, searches_path: str, current_month: str,
                 as_of, delete_after: bool = False) -> list[dict]:
-    """Archive every finished month that is not archived-and-deleted yet.
+    """Archive the finished months of the raw log, all of them in one pass.
 
     ``searches_path`` is the raw log partitioned by ``month`` (the layout the
-    ingest stream writes). The loop runs over months (a short list); each step
-    is a Spark job that reads only that month's partition, and every write is
-    idempotent, so a run that dies anywhere can simply be started again:
-
-    * archives, daily tuples, pairs and month totals overwrite the month's own
-      partition; daily client stats are insert-if-absent; the ledger is an
-      upsert on the month;
-    * the cumulative row is rebuilt from the per-month totals (never
-      incremented twice);
-    * the month is marked deleted *before* its raw partition is dropped, and
-      partitions of months already marked deleted are dropped at the start,
-      so no crash window loses a month or counts it twice.
-
-    Nothing rewrites the whole raw log or the pairs table.
+    ingest stream writes). The unit of work is the *file*: ``archived_files``
+    lists every raw file whose rows are in the archive, and only files on that
+    list are ever deleted. So a row that reaches a month late, even a month
+    archived and deleted long ago, or while this job runs, is in a file of its
+    own: it stays in the log until a later run adds it to the archive.
+
+    A run: list the raw files that are not archived yet; write their rows,
+    *all* of them, as archive run ``n`` (``archive/searches/run=<n>/month=``);
+    check the number of rows; note the files; recompute the derived tables of
+    the months touched from the archive; then delete noted files and mark
+    them. Every step either overwrites what belongs to run ``n`` alone or
+    recomputes from the archive, so a run that died anywhere is started again:
+    before the files are noted its run number is used again, afterwards only
+    the derived tables and the deletion are left.
+
+    Rows without a username or query are archived like all others and counted
+    in the report; the statistics leave them out.
     """
+    raw = _t(root, "archive/searches")
+    files_path = _t(root, "archived_files")
+    noted = SK.read_table(spark, files_path, ARCHIVED_FILES)
+    # names of files that are archived but still there (as many as Spark lists)
+    done = {r.file for r in noted.where(~F.col("deleted")).select("file").toLocalIterator()}
+    run = (noted.agg(F.max("run")).first()[0] or 0) + 1
+    months = sorted(d[len("month="):] for d in SK.list_dirs(spark, searches_path)
+                    if d.startswith("month=") and d[len("month="):] < current_month)
+    new = [(m, f, n) for m in months for f, n in SK.list_files(spark, f"{searches_path}/month={m}")
+           if f not in done]
+    if new:
+        rows = (spark.read.schema(T.StructType([*S.SEARCHES.fields, T.StructField("month", T.StringType())]))
+                .option("basePath", searches_path).parquet(*[f for _, f, _ in new]))
+        seen = Observation(f"archive_run_{run}")
+        out = f"{raw}/run={run}"
+        (rows.repartitionByRange("month", "timestamp").sortWithinPartitions("month", "timestamp")
+         .observe(seen, F.count(F.lit(1)).alias("rows"))
+         .write.mode("overwrite").partitionBy("month").option("compression", "snappy").parquet(out))
+        held = spark.read.schema(S.SEARCHES).parquet(out).count()
+        if held != seen.get["rows"]:
+            raise RuntimeError(f"archive run {run} holds {held} rows, expected {seen.get['rows']}")
+        entries = spark.createDataFrame([(m, f, n, run, False) for m, f, n in new], ARCHIVED_FILES)
+        SK.write_version(noted.unionByName(entries), files_path)
+        noted = SK.read_table(spark, files_path, ARCHIVED_FILES)
+    else:
+        run -= 1
+    if not run:
+        return []
+    archived = SC.scan_archive(spark, raw).where(F.col("run") <= run)
+    report = _refresh_from_archive(spark, root, raw, archived, noted)
+    if delete_after:
+        _delete_archived(spark, root, archived, noted, as_of)
+    return [{**r, "deleted": delete_after} for r in report]
+
+
+def _refresh_from_archive(spark, root, raw, archived, noted) -> list[dict]:
+    """Daily tables and ledger of the months whose number of archived rows is
+    not the ledger's. The ledger is written last: until then a month counts
+    as changed. A month once marked deleted stays so (it is read from the
+    archive, which has the late rows too)."""
     ledger_path = _t(root, "archives")
-    arch_root = _t(root, "archive")
     ledger = SK.read_table(spark, ledger_path, S.ARCHIVE_LEDGER)
-    for r in SC.deleted_months(ledger).collect():        # leftovers of a crashed run
-        SK.drop_partition(spark, searches_path, "month", r.month)
-    searches = SC.scan_searches_by_month(spark, searches_path)
-    months = [r.month for r in M.months_to_archive(searches, ledger, current_month).collect()]
-    report = []
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    for month in months:
-        rows_df = SC.scan_month(SC.scan_searches_by_month(spark, searches_path), month)
-        raw_path, n_rows, n_bytes = SK.archive_raw_month(rows_df, month, arch_root)
-        SK.archive_daily_tuples(R.daily_search_tuples(rows_df), month, arch_root)
-        daily_old = SK.read_table(spark, _t(root, "daily_client_stats"), S.DAILY_CLIENT_STATS)
-        SK.write_version(M.insert_if_absent(daily_old, R.daily_client_stats(rows_df),
-                                            ["client_id", "date"]), _t(root, "daily_client_stats"))
-        entry = spark.createDataFrame(
-            [(month, raw_path, n_rows, n_bytes, None, False)], S.ARCHIVE_LEDGER)
-        ledger = SK.read_table(spark, ledger_path, S.ARCHIVE_LEDGER)
-        SK.write_version(M.upsert(ledger, entry, ["month"]), ledger_path)
-        if delete_after:
-            (M.new_user_query_pairs(rows_df, as_of).withColumn("month", F.lit(month))
-             .write.mode("overwrite").partitionBy("month").parquet(_t(root, "user_query_pairs")))
-            (M.month_totals(rows_df).withColumn("month", F.lit(month))
-             .write.mode("overwrite").partitionBy("month").parquet(_t(root, "month_totals")))
-            totals = spark.read.parquet(_t(root, "month_totals"))
-            SK.write_version(M.cumulative_from_month_totals(totals), _t(root, "stats_cumulative"))
-            archived = spark.read.schema(S.SEARCHES).parquet(raw_path).count()
-            if archived != n_rows:
-                raise RuntimeError(f"archive of {month} holds {archived} rows, expected {n_rows}")
-            ledger = SK.read_table(spark, ledger_path, S.ARCHIVE_LEDGER)
-            SK.write_version(M.ledger_mark_deleted(ledger, month), ledger_path)
-            SK.drop_partition(spark, searches_path, "month", month)
-        report.append({"month": month, "rows": n_rows, "bytes": n_bytes, "deleted": delete_after})
-    return report
+    bad = (F.col("username").isNull() | F.col("query").isNull()).cast("bigint")
+    sizes = noted.groupBy("month").agg(F.sum("bytes").alias("file_size"))
+    before = ledger.select("month", F.col("record_count").alias("_before"), F.col("deleted").alias("_deleted"))
+    counts = (archived.groupBy("month").agg(F.count(F.lit(1)).alias("record_count"), F.sum(bad).alias("incomplete"))
+              .join(sizes, "month").join(before, "month", "left")
+              .where(~F.col("record_count").eqNullSafe(F.col("_before"))).orderBy("month"))
+    touched = counts.collect()  # at most one row per month of history
+    if not touched:
+        return []
+    rows = SC.drop_incomplete(archived.where(F.col("month").isin([r.month for r in touched])))
+    SK.archive_daily_tuples(R.daily_search_tuples(rows), None, _t(root, "archive"))
+    stats = R.daily_client_stats(rows).withColumn("month", E.month_key("date"))
+    _overwrite_months(stats, _t(root, "daily_client_stats"), ["date", "client_id"])
+    entries = spark.createDataFrame(
+        [(r.month, f"{raw}/run=*/month={r.month}", r.record_count, r.file_size, None, bool(r._deleted))
+         for r in touched], S.ARCHIVE_LEDGER)
+    SK.write_version(M.upsert(ledger, entries, ["month"]), ledger_path)
+    return [{"month": r.month, "rows": r.record_count, "incomplete": r.incomplete, "bytes": r.file_size}
+            for r in touched]
+
+
+def _delete_archived(spark, root, archived, noted, as_of) -> None:
+    """User-query pairs and totals of what is to go, then the ledger's mark,
+    then the files: exactly those noted as archived."""
+    pending = noted.where(~F.col("deleted"))
+    parts = pending.select("run", "month").distinct().collect()  # runs x months that still have files
+    if not parts:
+        return
+    runs, months = sorted({r.run for r in parts}), sorted({r.month for r in parts})
+    rows = SC.drop_incomplete(archived)
+    # by (run, month): a step that is repeated replaces its own rows only
+    pairs = (rows.where(F.col("run").isin(runs))
+             .select("username", E.normalize_query("query").alias("query_normalized"), "run", "month").distinct()
+             .withColumn("last_seen", F.lit(as_of).cast("date")))
+    (pairs.select("username", "query_normalized", "last_seen", "run", "month")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run", "month").parquet(_t(root, "user_query_pairs")))
+    totals = (rows.where(F.col("month").isin(months)).groupBy("month", "client_id")
+              .agg(F.count(F.lit(1)).alias("n"), F.min("timestamp").alias("first_search"),
+                   F.max("timestamp").alias("last_search")))
+    _overwrite_months(totals, _t(root, "month_totals"), ["client_id"])
+    SK.write_version(M.cumulative_from_month_totals(spark.read.parquet(_t(root, "month_totals"))),
+                     _t(root, "stats_cumulative"))
+    ledger = SK.read_table(spark, _t(root, "archives"), S.ARCHIVE_LEDGER)
+    mark = F.col("deleted") | F.col("month").isin(months)
+    SK.write_version(ledger.withColumn("deleted", mark), _t(root, "archives"))
+    for r in pending.select("file").toLocalIterator():
+        SK.delete_path(spark, r.file)
+    SK.write_version(noted.withColumn("deleted", F.lit(True)), _t(root, "archived_files"))
+
+
+def _overwrite_months(df: DataFrame, path: str, keys: list[str]) -> None:
+    (df.repartitionByRange("month", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("month").parquet(path))
 
 
 def convergence_job(searches: DataFrame, start, end, window_seconds: int = 300

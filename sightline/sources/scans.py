@@ -29,6 +29,13 @@ def scan_searches_by_month(spark: SparkSession, path: str, observation=None) ->
     return drop_incomplete(df, observation)
 
 
+def scan_archive(spark: SparkSession, path: str) -> DataFrame:
+    """The archived raw log (``path/run=<n>/month=YYYY-MM``), every row of it."""
+    schema = T.StructType([*S.SEARCHES.fields, T.StructField("run", T.LongType()),
+                           T.StructField("month", T.StringType())])
+    return spark.read.schema(schema).option("basePath", path).parquet(path)
+
+
 def drop_incomplete(df: DataFrame, observation=None) -> DataFrame:
     """Drop rows with a null username or query; count them in ``observation``."""
     bad = F.col("username").isNull() | F.col("query").isNull()

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import expr as E
 from ..session import ensure_checkpoint_dir
@@ -109,15 +110,17 @@ def replace_period_partitions(df: DataFrame, path: str, recomputed: DataFrame,
     (or a few, for a period too large for one task, such as all_time),
     instead of every task writing a small file for every period."""
     spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     keys = ["period_type", "period_id"] + ([order] if order else [])
+    df = snapshot(df, f"{path.rstrip('/')}-next")  # evaluated once: written and compared
     (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-     .write.mode("overwrite").partitionBy("period_type", "period_id").parquet(path))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("period_type", "period_id").parquet(path))
     empty = recomputed.select("period_type", "period_id").distinct().join(
         df.select("period_type", "period_id").distinct(), ["period_type", "period_id"],
         "left_anti")
     for r in empty.toLocalIterator():  # one row per emptied period (bounded)
         delete_path(spark, f"{path}/period_type={r.period_type}/period_id={r.period_id}")
+    delete_path(spark, f"{path.rstrip('/')}-next")
 
 
 # ---------------------------------------------------------------------------
@@ -146,14 +149,16 @@ def archive_daily_tuples(tuples: DataFrame, month: str | None, root: str
     ``month`` is None) into the month-partitioned archive; dynamic overwrite
     replaces only the partitions written."""
     spark = tuples.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     obs = Observation(f"tuples_{month or 'all'}")
     t = tuples.withColumn("month", E.month_key("date"))
     if month is not None:
         t = t.where(F.col("month") == month)
     path = f"{root}/daily_tuples"
-    (t.repartitionByRange("month", "date").observe(obs, F.count(F.lit(1)).alias("rows"))
-     .write.mode("overwrite").partitionBy("month").option("compression", "snappy").parquet(path))
+    # the user and the query are range keys too: one day can fill several tasks
+    (t.repartitionByRange("month", "date", "username", "query_normalized")
+     .observe(obs, F.count(F.lit(1)).alias("rows"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("month").option("compression", "snappy").parquet(path))
     out = f"{path}/month={month}" if month else path
     return out, int(obs.get["rows"]), path_size(spark, out)
 
@@ -180,12 +185,21 @@ def export_search_index(index: DataFrame, path: str) -> str:
     return path
 
 
+# Sort order of the detail tables: a point lookup on the first column skips
+# the files and row groups whose range does not hold it.
+DETAIL_ORDER = {"queries": ["slug", "rank"], "word_index": ["word", "rank"],
+                "query_daily": ["rank", "date"], "query_similar": ["rank", "similar_rank"]}
+
+
 def export_detail_tables(root: str, tables: dict[str, DataFrame]) -> dict[str, str]:
-    """Write the detail tables (queries, word_index, query_daily, query_similar)."""
+    """Write the detail tables (queries, word_index, query_daily, query_similar),
+    each range-partitioned and sorted on its lookup column."""
     out = {}
     for name, df in tables.items():
         p = f"{root}/{name}"
-        df.write.mode("overwrite").parquet(p)
+        keys = DETAIL_ORDER[name]
+        (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+         .write.mode("overwrite").parquet(p))
         out[name] = p
     return out
 
@@ -198,23 +212,69 @@ def snapshot(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def upsert_partitions(new: DataFrame, table: str, keys: list[str], part_col: str) -> None:
-    """Upsert ``new`` into a table partitioned by ``part_col``, rewriting only
-    the partitions present in ``new`` (dynamic partition overwrite)."""
-    from ..operators.maintenance import upsert
-    from ..session import materialize
-    spark = new.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    new = materialize(new)
-    if path_exists(spark, table):
-        # the partition values of one batch are few (days / months it spans)
-        touched = [r[0] for r in new.select(part_col).distinct().collect()]
-        cur = spark.read.schema(new.schema).parquet(table).where(F.col(part_col).isin(touched))
-        merged = materialize(upsert(cur, new, keys))
-    else:
-        merged = new
-    (merged.repartitionByRange(part_col).write.mode("overwrite").partitionBy(part_col)
-     .parquet(table))
+# ---------------------------------------------------------------------------
+# Tables fed by micro-batches: one folder per batch, folded by key on read
+# ---------------------------------------------------------------------------
+
+def write_batch(new: DataFrame, table: str, batch_id: int) -> None:
+    """Write the changed groups of one micro-batch to the batch's own folder.
+    A replayed batch overwrites only its own folder; nothing that an earlier
+    batch wrote is read, moved or rewritten."""
+    new.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+
+
+def _complete(spark: SparkSession, table: str, kind: str) -> list[int]:
+    """Numbers of the folders ``kind=<n>`` whose write finished."""
+    return sorted(int(d.split("=")[1]) for d in list_dirs(spark, table)
+                  if d.startswith(f"{kind}=") and path_exists(spark, f"{table}/{d}/_SUCCESS"))
+
+
+def read_batches(spark: SparkSession, table: str, schema, keys: list[str]) -> DataFrame:
+    """The table as of the last complete batch: per key the row of the latest
+    batch (update mode sends the whole group again). A batch folder without
+    ``_SUCCESS`` is a write that did not finish; its batch will be replayed.
+    A folder ``upto=<n>`` holds batches up to n folded (``compact_batches``)."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    base = max(_complete(spark, table, "upto"), default=None)
+    after = [n for n in _complete(spark, table, "batch_id") if base is None or n > base]
+    parts = [(n, f"{table}/batch_id={n}") for n in after]
+    if base is not None:
+        parts.append((base, f"{table}/upto={base}"))
+    if not parts:
+        return spark.createDataFrame([], schema)
+    # the folder's number orders the rows; it is the last part of the path
+    rows = spark.read.schema(schema).parquet(*[path for _, path in parts])
+    number = F.regexp_extract(F.col("_metadata.file_path"), r"(?:batch_id|upto)=(\d+)/[^/]*$", 1).cast("bigint")
+    rest = [f.name for f in schema.fields if f.name not in keys]
+    latest = (rows.select(*schema.names, number.alias("_n")).groupBy(*keys)
+              .agg(F.max_by(F.struct(*rest), "_n").alias("_last")))
+    return latest.select(*[F.col(c) if c in keys else F.col(f"_last.{c}").alias(c)
+                           for c in schema.names])
+
+
+def compact_batches(spark: SparkSession, table: str, schema, keys: list[str]) -> None:
+    """Fold all complete batches into one folder. Readers use it from the
+    moment its write is complete; only then the folders it replaces go, so a
+    crash at any step leaves a table that reads the same."""
+    batches, folded = _complete(spark, table, "batch_id"), _complete(spark, table, "upto")
+    last = max(batches, default=None)
+    if last is not None and (not folded or last > folded[-1]):
+        read_batches(spark, table, schema, keys).write.mode("overwrite").parquet(f"{table}/upto={last}")
+        folded.append(last)
+    for n in folded[:-1]:
+        delete_path(spark, f"{table}/upto={n}")
+    for n in batches:
+        if n <= folded[-1]:
+            delete_path(spark, f"{table}/batch_id={n}")
+
+
+def list_files(spark: SparkSession, folder: str) -> list[tuple[str, int]]:
+    """(path, bytes) of the data files directly in a folder."""
+    fs, p = _fs(spark, folder)
+    if not fs.exists(p):
+        return []
+    return sorted((s.getPath().toString(), int(s.getLen())) for s in fs.listStatus(p)
+                  if s.isFile() and s.getPath().getName()[0] not in "._")
 
 
 def drop_partition(spark: SparkSession, table: str, column: str, value: str) -> bool:

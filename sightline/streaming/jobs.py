@@ -7,16 +7,18 @@
 
 Offsets and state live in the checkpoint folder, so a restarted query resumes
 where it stopped (no requeue / backoff logic needed). Aggregating streams run
-in update mode into ``foreachBatch``, which upserts the changed groups into the
-partitions (months / days) of a partitioned Parquet table that the batch
-touched; the event-time watermark bounds the state kept.
+in update mode into ``foreachBatch``; each batch writes its changed groups to a
+folder of its own (a replay overwrites only that) and readers fold the batches
+by key. The event-time watermark closes groups and bounds the state kept.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
+from .. import schema as S
 from ..functions import expr as E
 from ..sources import sinks as SK
 
@@ -74,16 +76,27 @@ def use_rocksdb_state(spark: SparkSession) -> None:
                    "true")
 
 
-def _upsert_batch(table: str, keys: list[str], part_col: str):
-    """foreachBatch sink: upsert the changed groups into the partitions
-    (months / days) this micro-batch touched; other partitions are not read
-    or rewritten. The merged rows are materialised before the dynamic
-    partition overwrite, so no plan overwrites the files it reads."""
+DAILY_KEYS = ["date", "username", "query_normalized"]
+EVENT_KEYS = ["username", "norm_query", "time_bucket"]
+EVENT_CLIENTS = ("username STRING, norm_query STRING, time_bucket BIGINT, client_count BIGINT, "
+                 "earliest TIMESTAMP, latest TIMESTAMP, day DATE")
+
+
+def _write_batch(table: str):
+    """foreachBatch sink: the changed groups of a batch in the batch's folder."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        SK.upsert_partitions(batch, table, keys, part_col)
+        SK.write_batch(batch, table, batch_id)
     return write
 
 
+def read_daily_tuples(spark: SparkSession, table: str) -> DataFrame:
+    return SK.read_batches(spark, table, S.DAILY_TUPLES, DAILY_KEYS)
+
+
+def read_event_clients(spark: SparkSession, table: str) -> DataFrame:
+    return SK.read_batches(spark, table, EVENT_CLIENTS, EVENT_KEYS)
+
+
 def daily_tuples_stream(searches: DataFrame, watermark: str = "10 minutes") -> DataFrame:
     """Daily tuples kept current in update mode. Rows arriving later than the
     watermark after their day closed are left to the nightly month-partition
@@ -93,7 +106,7 @@ def daily_tuples_stream(searches: DataFrame, watermark: str = "10 minutes") -> D
                      E.normalize_query("query").alias("query_normalized"))
             .agg(F.count(F.lit(1)).alias("search_count"))
             .select(F.to_date(F.col("w.start")).alias("date"), "username", "query_normalized",
-                    "search_count", E.month_key(F.to_date(F.col("w.start"))).alias("month")))
+                    "search_count"))
 
 
 def start_daily_tuples(searches: DataFrame, table: str, checkpoint: str,
@@ -101,7 +114,7 @@ def start_daily_tuples(searches: DataFrame, table: str, checkpoint: str,
     use_rocksdb_state(searches.sparkSession)
     q = (daily_tuples_stream(searches, watermark).writeStream.outputMode("update")
          .option("checkpointLocation", checkpoint)
-         .foreachBatch(_upsert_batch(table, ["date", "username", "query_normalized"], "month")))
+         .foreachBatch(_write_batch(table)))
     return q.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
 
 
@@ -110,13 +123,17 @@ def event_clients_stream(searches: DataFrame, window_seconds: int = 300,
     """Per (user, query, time bucket): number of distinct clients and the first
     and last sighting (distinct counts are not allowed on streams; the set of
     clients per event is bounded by the number of clients)."""
+    # an event-time window (not a bare bucket number) keeps the watermark on
+    # the key, so closed windows leave the state; windows start at multiples
+    # of their length since the epoch, which makes the bucket its number
+    bucket = F.unix_timestamp("w.start") / F.lit(window_seconds)
     return (searches.withWatermark("timestamp", watermark)
-            .groupBy(F.col("username"), E.normalize_query("query").alias("norm_query"),
-                     E.time_bucket("timestamp", window_seconds).alias("time_bucket"))
+            .groupBy(F.window("timestamp", f"{window_seconds} seconds").alias("w"),
+                     F.col("username"), E.normalize_query("query").alias("norm_query"))
             .agg(F.size(F.collect_set("client_id")).cast("bigint").alias("client_count"),
                  F.min("timestamp").alias("earliest"), F.max("timestamp").alias("latest"))
-            .withColumn("day", F.to_date(F.timestamp_seconds(F.col("time_bucket")
-                                                             * F.lit(window_seconds)))))
+            .select("username", "norm_query", bucket.cast("bigint").alias("time_bucket"),
+                    "client_count", "earliest", "latest", F.to_date("w.start").alias("day")))
 
 
 def start_event_clients(searches: DataFrame, table: str, checkpoint: str,
@@ -126,27 +143,60 @@ def start_event_clients(searches: DataFrame, table: str, checkpoint: str,
     q = (event_clients_stream(searches, window_seconds, watermark).writeStream
          .outputMode("update")
          .option("checkpointLocation", checkpoint)
-         .foreachBatch(_upsert_batch(table, ["username", "norm_query", "time_bucket"], "day")))
+         .foreachBatch(_write_batch(table)))
     return q.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
 
 
-def drain(query, timeout_s: int = 600) -> None:
-    """Wait for an availableNow / once query to finish and surface errors."""
-    query.awaitTermination(timeout_s)
+def drain(query) -> None:
+    """Wait for an availableNow / once query to finish, however long its
+    backlog takes, and surface its error."""
+    query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
-    if query.isActive:
-        query.stop()
-        raise TimeoutError("stream did not finish in time")
 
 
-def batch_metrics(query) -> list[dict]:
-    """Observed metrics of every finished micro-batch of a query."""
-    out = []
-    for p in query.recentProgress:
+BATCH_METRICS = "query STRING, batch_id BIGINT, input_rows BIGINT, rows BIGINT, dropped BIGINT, backlog BIGINT"
+
+
+class BatchMetrics(StreamingQueryListener):
+    """Appends the observed metrics of every micro-batch to a table, for as
+    long as it is registered (``recentProgress`` keeps the last 100 only).
+    ``backlog`` is the number of rows or files still waiting, where the source
+    tells it."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
         m = (p.observedMetrics or {}).get("ingest")
-        out.append({"batch_id": p.batchId, "input_rows": p.numInputRows,
-                    "rows": None if m is None else m["rows"],
-                    "dropped": None if m is None else m["dropped"]})
-    return out
+        waiting = [int(v) for s in p.sources for k, v in (s.metrics or {}).items()
+                   if k in ("numFilesOutstanding", "maxOffsetsBehindLatest")]
+        row = (str(p.id), p.batchId, p.numInputRows, m and m["rows"], m and m["dropped"],
+               sum(waiting) if waiting else None)
+        self.spark.createDataFrame([row], BATCH_METRICS).coalesce(1).write.mode("append").parquet(self.path)
+
+
+def record_metrics(spark: SparkSession, path: str) -> BatchMetrics:
+    listener = BatchMetrics(spark, path)
+    spark.streams.addListener(listener)
+    return listener
+
+
+def stop_metrics(spark: SparkSession, listener: BatchMetrics) -> None:
+    """Unregister after all progress events that are under way have arrived."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    spark.streams.removeListener(listener)
+
 
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(BATCH_METRICS).parquet(path)

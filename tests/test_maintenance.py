@@ -107,16 +107,27 @@ def test_jdbc_option_mapping():
     assert SC.jdbc_options("postgresql://u@h/d", "t")["url"] == "jdbc:postgresql://h:5432/d"
 
 
-def test_upsert_partitions_touches_only_batch_partitions(spark):
-    table = SK.warehouse_root(spark) + "/test-upsert-parts"
+def test_batch_table_folds_replays_and_compacts(spark):
+    table = SK.warehouse_root(spark) + "/test-batches"
     SK.delete_path(spark, table)
-    schema = "k string, v long, day string"
-    SK.upsert_partitions(spark.createDataFrame([("a", 1, "d1"), ("b", 1, "d2")], schema),
-                         table, ["k"], "day")
-    SK.upsert_partitions(spark.createDataFrame([("a", 5, "d1"), ("c", 1, "d1")], schema),
-                         table, ["k"], "day")
-    got = sorted(map(tuple, spark.read.schema(schema).parquet(table).collect()))
-    assert got == [("a", 5, "d1"), ("b", 1, "d2"), ("c", 1, "d1")]
+    schema = "k string, v long"
+    read = lambda: sorted(map(tuple, SK.read_batches(spark, table, schema, ["k"]).collect()))
+    assert read() == []
+    rows = [[("a", 1), ("b", 1)], [("a", 5), ("c", 1)], [("b", 9)]]
+    for n, r in enumerate(rows):
+        SK.write_batch(spark.createDataFrame(r, schema), table, n)
+    assert read() == [("a", 5), ("b", 9), ("c", 1)]
+    # a crash in the middle of a replay: the batch's folder is gone or incomplete
+    SK.delete_path(spark, f"{table}/batch_id=2/_SUCCESS")
+    assert read() == [("a", 5), ("b", 1), ("c", 1)]
+    SK.write_batch(spark.createDataFrame(rows[2], schema), table, 2)
+    assert read() == [("a", 5), ("b", 9), ("c", 1)]
+    SK.compact_batches(spark, table, schema, ["k"])
+    assert SK.list_dirs(spark, table) == ["upto=2"] and read() == [("a", 5), ("b", 9), ("c", 1)]
+    SK.write_batch(spark.createDataFrame([("a", 7)], schema), table, 10)
+    SK.compact_batches(spark, table, schema, ["k"])
+    SK.compact_batches(spark, table, schema, ["k"])
+    assert SK.list_dirs(spark, table) == ["upto=10"] and read() == [("a", 7), ("b", 9), ("c", 1)]
 
 
 def test_pair_log_view_equals_upserts(spark):
@@ -128,34 +139,166 @@ def test_pair_log_view_equals_upserts(spark):
     assert sorted(map(tuple, via_upsert.collect())) == sorted(map(tuple, via_log.collect()))
 
 
-def test_archive_job_rerun_and_crash_leftover(spark):
+def _log(spark, root, rows, mode="append"):
     from sightline.functions import expr as E
+    (spark.createDataFrame(rows, S.SEARCHES).withColumn("month", E.month_key("timestamp"))
+     .write.mode(mode).partitionBy("month").parquet(f"{root}/searches"))
+
+
+LOG = [("c1", dt.datetime(2024, 1, 3, 10), "u1", "Pink Floyd"),
+       ("c2", dt.datetime(2024, 1, 3, 11), "u2", "pink floyd "),
+       ("c1", dt.datetime(2024, 1, 4, 11), None, "no user"),
+       ("c1", dt.datetime(2024, 2, 9, 12), "u1", "Abba"),
+       ("c1", dt.datetime(2024, 3, 1, 12), "u3", "live month")]
+LATE = [("c1", dt.datetime(2024, 1, 9, 9), "u9", "late"), ("c2", dt.datetime(2024, 1, 3, 12), "u1", "pink floyd")]
+
+
+def _run_archive(spark, root, delete=True):
     from sightline.plans import jobs as J
-    root = SK.warehouse_root(spark) + "/test-archive-job"
-    SK.delete_path(spark, root)
-    rows = [("c1", dt.datetime(2024, 1, 3, 10), "u1", "Pink Floyd"),
-            ("c2", dt.datetime(2024, 1, 3, 11), "u2", "pink floyd "),
-            ("c1", dt.datetime(2024, 2, 9, 12), "u1", "Abba"),
-            ("c1", dt.datetime(2024, 3, 1, 12), "u3", "live month")]
-    raw = spark.createDataFrame(rows, S.SEARCHES).withColumn("month", E.month_key("timestamp"))
-    raw.write.partitionBy("month").parquet(f"{root}/searches")
-    for _ in range(2):
-        J.archive_job(spark, root, f"{root}/searches", "2024-03", D(2024, 3, 2), delete_after=True)
-    # a crash after marking January deleted but before dropping it leaves the folder behind
-    raw.where(F.col("month") == "2024-01").write.mode("append").partitionBy("month").parquet(
-        f"{root}/searches")
-    J.archive_job(spark, root, f"{root}/searches", "2024-03", D(2024, 3, 2), delete_after=True)
-    left = SC.scan_searches_by_month(spark, f"{root}/searches")
-    assert [r.month for r in left.select("month").distinct().collect()] == ["2024-03"]
-    cum = SK.read_table(spark, f"{root}/stats_cumulative", S.CUMULATIVE).first()
-    assert cum.total_searches == 3 and cum.client_totals == {"c1": 2, "c2": 1}
-    assert cum.last_archive_month == "2024-02"
+    return J.archive_job(spark, root, f"{root}/searches", "2024-03", D(2024, 3, 2), delete_after=delete)
+
+
+def _everything(spark, root):
+    """All rows of the product: archive plus log."""
+    live = spark.read.schema(S.SEARCHES).parquet(f"{root}/searches").select(*S.SEARCHES.names)
+    arch = SC.scan_archive(spark, f"{root}/archive/searches").drop("run", "month")
+    return sorted((tuple(r) for r in live.unionByName(arch).collect()), key=str)
+
+
+def _check_archive(spark, root, rows):
+    old = [r for r in rows if r[1] < dt.datetime(2024, 3, 1)]
+    assert _everything(spark, root) == sorted(rows, key=str)
+    arch = SC.scan_archive(spark, f"{root}/archive/searches")
+    assert arch.count() == len(old)
     led = {r.month: (r.record_count, r.deleted)
            for r in SK.read_table(spark, f"{root}/archives", S.ARCHIVE_LEDGER).collect()}
-    assert led == {"2024-01": (2, True), "2024-02": (1, True)}
+    assert led == {m: (sum(f"{r[1]:%Y-%m}" == m for r in old), True) for m in ("2024-01", "2024-02")}
+    full = [r for r in old if r[2] and r[3]]
+    cum = SK.read_table(spark, f"{root}/stats_cumulative", S.CUMULATIVE).first()
+    assert cum.total_searches == len(full)
+    assert cum.client_totals == {c: sum(r[0] == c for r in full) for c in ("c1", "c2")}
     pairs = M.current_user_query_pairs(spark.read.parquet(f"{root}/user_query_pairs"))
-    assert sorted((r.username, r.query_normalized) for r in pairs.collect()) == [
-        ("u1", "abba"), ("u1", "pink floyd"), ("u2", "pink floyd")]
+    assert {(r.username, r.query_normalized) for r in pairs.collect()} == {
+        (r[2], r[3].strip().lower()) for r in full}
+    tuples = SC.scan_archived_tuples(spark, f"{root}/archive/daily_tuples")
+    assert tuples.agg(F.sum("search_count")).first()[0] == len(full)
+    stats = spark.read.schema(S.DAILY_CLIENT_STATS).parquet(f"{root}/daily_client_stats")
+    assert stats.agg(F.sum("search_count")).first()[0] == len(full)
+
+
+def test_archive_job_keeps_null_and_late_rows(spark):
+    root = SK.warehouse_root(spark) + "/test-archive-late"
+    SK.delete_path(spark, root)
+    _log(spark, root, LOG)
+    first = _run_archive(spark, root)
+    assert {r["month"]: (r["rows"], r["incomplete"]) for r in first} == {"2024-01": (3, 1), "2024-02": (1, 0)}
+    assert _run_archive(spark, root) == []
+    _check_archive(spark, root, LOG)
+    # rows reach January after it was archived and deleted
+    _log(spark, root, LATE)
+    assert _everything(spark, root) == sorted(LOG + LATE, key=str)
+    assert [r["month"] for r in _run_archive(spark, root)] == ["2024-01"]
+    _check_archive(spark, root, LOG + LATE)
+
+
+def test_archive_job_in_flight_rows_and_late_deletion(spark, monkeypatch):
+    """Rows that arrive between the archive write and the deletion stay."""
+    from sightline.plans import jobs as J
+    root = SK.warehouse_root(spark) + "/test-archive-flight"
+    SK.delete_path(spark, root)
+    _log(spark, root, LOG)
+    plain = J._refresh_from_archive
+
+    def while_it_runs(*a):
+        _log(spark, root, LATE)
+        return plain(*a)
+
+    monkeypatch.setattr(J, "_refresh_from_archive", while_it_runs)
+    _run_archive(spark, root)
+    monkeypatch.setattr(J, "_refresh_from_archive", plain)
+    assert _everything(spark, root) == sorted(LOG + LATE, key=str)
+    _run_archive(spark, root, delete=False)
+    _run_archive(spark, root)
+    _check_archive(spark, root, LOG + LATE)
+
+
+def test_archive_job_survives_a_crash_at_every_step(spark, monkeypatch):
+    """The job dies before its n-th write or deletion, for every n; started
+    again it ends as if it had never died."""
+    root = SK.warehouse_root(spark) + "/test-archive-crash"
+    real = {n: getattr(SK, n) for n in ("write_version", "archive_daily_tuples", "delete_path")}
+    n = 0
+    while True:
+        for name, f in real.items():
+            monkeypatch.setattr(SK, name, f)
+        SK.delete_path(spark, root)
+        _log(spark, root, LOG)
+        _run_archive(spark, root)
+        _log(spark, root, LATE)
+        left = [n]
+
+        def dying(f):
+            def call(*a, **k):
+                if not left[0]:
+                    raise KeyboardInterrupt
+                left[0] -= 1
+                return f(*a, **k)
+            return call
+
+        for name, f in real.items():
+            monkeypatch.setattr(SK, name, dying(f))
+        try:
+            _run_archive(spark, root)
+            done = True
+        except KeyboardInterrupt:
+            done = False
+        for name, f in real.items():
+            monkeypatch.setattr(SK, name, f)
+        assert _everything(spark, root).__len__() >= len(LOG + LATE)      # nothing is gone
+        assert set(_everything(spark, root)) == set(LOG + LATE)
+        _run_archive(spark, root)
+        _check_archive(spark, root, LOG + LATE)
+        if done:
+            break
+        n += 3
+    assert n > 6
+
+
+def test_one_day_is_written_by_several_tasks(spark):
+    root = SK.warehouse_root(spark) + "/test-one-day"
+    SK.delete_path(spark, root)
+    t = spark.range(40_000).select(F.lit(D(2024, 1, 1)).alias("date"), F.col("id").cast("string").alias("username"),
+                                   F.lit("q").alias("query_normalized"), F.lit(1).cast("long").alias("search_count"))
+    SK.archive_daily_tuples(t, "2024-01", root)
+    assert len(SK.list_files(spark, f"{root}/daily_tuples/month=2024-01")) > 1
+
+
+def test_writers_leave_the_session_settings(spark):
+    key = "spark.sql.sources.partitionOverwriteMode"
+    was = spark.conf.get(key)
+    spark.conf.set(key, "static")
+    try:
+        root = SK.warehouse_root(spark) + "/test-settings"
+        SK.delete_path(spark, root)
+        _log(spark, root, LOG)
+        _run_archive(spark, root)
+        _log(spark, root, LATE)
+        _run_archive(spark, root)
+        _check_archive(spark, root, LOG + LATE)
+        assert spark.conf.get(key) == "static"
+    finally:
+        spark.conf.set(key, was)
+
+
+def test_detail_tables_are_sorted_for_lookups(spark):
+    root = SK.warehouse_root(spark) + "/test-detail-order"
+    SK.delete_path(spark, root)
+    df = spark.range(50_000).select((F.col("id") % 5000).cast("int").alias("rank"), F.lit(D(2024, 1, 1)).alias("date"),
+                                    F.col("id").alias("search_count"), F.col("id").alias("unique_users"))
+    path = SK.export_detail_tables(root, {"query_daily": df.repartition(8)})["query_daily"]
+    per_file = (spark.read.parquet(path).groupBy(F.input_file_name()).agg(F.min("rank").alias("lo"), F.max("rank").alias("hi"))
+                .orderBy("lo").collect())
+    assert len(per_file) > 1 and all(x.hi <= y.lo for x, y in zip(per_file, per_file[1:]))
 
 
 def test_period_stats_job_tables_equal_direct_computation(spark, sf_small):

@@ -39,7 +39,7 @@ def test_daily_tuples_stream_many_batches(spark, sf_small):
                               f"{base}/_ck", ONCE, watermark=WIDE)
     SJ.drain(q)
     assert len([p for p in q.recentProgress if p.numInputRows]) > 5
-    got = spark.read.parquet(f"{base}/t").select(*[f.name for f in S.DAILY_TUPLES.fields])
+    got = SJ.read_daily_tuples(spark, f"{base}/t")
     want = R.daily_search_tuples(FX.searches_s1(spark, sf_small))
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
@@ -50,7 +50,7 @@ def test_event_clients_stream_many_batches(spark, sf_small):
     q = SJ.start_event_clients(FX.s1c_from_events(_stream(spark, src)), f"{base}/t",
                                f"{base}/_ck", 300, ONCE, watermark=WIDE)
     SJ.drain(q)
-    got = (spark.read.parquet(f"{base}/t").groupBy("client_count")
+    got = (SJ.read_event_clients(spark, f"{base}/t").groupBy("client_count")
            .agg(F.count(F.lit(1)).alias("n")))
     ev = CV.search_events(FX.searches_s1c(spark, sf_small), "2000-01-01 00:00:00",
                           "2100-01-01 00:00:00", 300)
@@ -70,3 +70,44 @@ def test_ingest_dedupes_redelivered_events(spark, sf_small):
                         ONCE, dedupe_within=WIDE)
     SJ.drain(q)
     assert spark.read.parquet(f"{base}/log").count() == ev.count()
+
+
+def test_event_clients_state_is_dropped_behind_the_watermark(spark):
+    """Batches ten days apart with a 10-minute watermark: closed windows leave
+    the state and the table keeps all of them."""
+    import datetime as dt
+    base = SK.warehouse_root(spark) + f"/test-evict-{uuid.uuid4().hex[:8]}"
+    schema = "client_id string, timestamp timestamp, username string, query string"
+    for k in range(6):
+        rows = [(f"c{i % 3}", dt.datetime(2024, 1, 1) + dt.timedelta(days=10 * k, minutes=i), f"u{i}", "q")
+                for i in range(20)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{base}/src")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/src")
+    metrics = SJ.record_metrics(spark, f"{base}/metrics")
+    q = SJ.start_event_clients(stream, f"{base}/t", f"{base}/_ck", 300, ONCE)
+    SJ.drain(q)
+    SJ.stop_metrics(spark, metrics)
+    state = [s for p in q.recentProgress for s in p.stateOperators]
+    assert sum(s.numRowsRemoved for s in state) >= 80 and state[-1].numRowsTotal <= 40
+    assert SJ.read_event_clients(spark, f"{base}/t").count() == 120
+    rows = SJ.read_metrics(spark, f"{base}/metrics").where(F.col("query") == str(q.id))
+    assert rows.agg(F.sum("input_rows")).first()[0] == 120
+
+
+def test_daily_tuples_replay_after_a_crash(spark, sf_small):
+    """The last batch's folder is half written and its commit lost: a restart
+    replays it and the table is whole."""
+    src = _day_files(spark, sf_small)
+    base = SK.warehouse_root(spark) + f"/test-replay-{uuid.uuid4().hex[:8]}"
+    start = lambda: SJ.start_daily_tuples(FX.s1_from_events(_stream(spark, src)), f"{base}/t",
+                                          f"{base}/_ck", ONCE, watermark=WIDE)
+    SJ.drain(start())
+    last = max(int(d.split("=")[1]) for d in SK.list_dirs(spark, f"{base}/t"))
+    SK.delete_path(spark, f"{base}/t/batch_id={last}")
+    SK.delete_path(spark, f"{base}/_ck/commits/{last}")
+    want = R.daily_search_tuples(FX.searches_s1(spark, sf_small))
+    before = SJ.read_daily_tuples(spark, f"{base}/t")
+    assert before.agg(F.sum("search_count")).first()[0] < want.agg(F.sum("search_count")).first()[0]
+    SJ.drain(start())
+    got = SJ.read_daily_tuples(spark, f"{base}/t")
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
