@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import expr as E
+from ..session import materialize
 from ..sources.scans import scan_time_range
 
 EVENT = ["username", "norm_query", "time_bucket"]
@@ -154,8 +155,9 @@ def sample_converged(events: DataFrame, limit: int = 10) -> DataFrame:
 
 def convergence_report(searches: DataFrame, start, end, window_seconds: int = 300
                        ) -> dict[str, DataFrame]:
-    """All reports over one scan; ``search_events`` is computed once and kept."""
-    ev = search_events(searches, start, end, window_seconds).persist()
+    """All reports over one scan; ``search_events`` is computed once, into a
+    checkpoint that goes when no report refers to it any more."""
+    ev = materialize(search_events(searches, start, end, window_seconds))
     return {"event_client_distribution": event_client_distribution(ev),
             "full_convergence": full_convergence(ev),
             "spread_histogram": spread_histogram(ev),

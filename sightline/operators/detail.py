@@ -60,19 +60,6 @@ def slug_map(query_daily: DataFrame, cutoff=None, blacklist: list[str] | None =
     return q.select(Q, E.slug(Q).alias("slug"))
 
 
-def slug_map_from_stats(query_stats: DataFrame, cutoff=None,
-                        min_users: int = E.MIN_DETAIL_USERS,
-                        blacklist: list[str] | None = None) -> DataFrame:
-    """The same slugs as ``slug_map`` without materialising the daily series:
-    a query has daily rows up to the cutoff exactly when it is eligible
-    (>= min_users users) and was first seen on or before the cutoff."""
-    q = query_stats.where(F.col("unique_users") >= min_users)
-    if cutoff is not None:
-        q = q.where(F.col("first_date") <= F.lit(cutoff).cast("date"))
-    if blacklist:
-        q = q.where(~E.is_blacklisted(Q, blacklist))
-    return q.select(Q, E.slug(Q).alias("slug"))
-
 
 def word_index(detail: DataFrame) -> DataFrame:
     """Distinct (word, rank) over the words of each ranked query."""
@@ -161,7 +148,3 @@ def suggest_search(index: DataFrame, term: str, n: int = 12) -> DataFrame:
 def recent_searches(searches: DataFrame, n: int = 10) -> DataFrame:
     return (searches.select("client_id", "timestamp", "query")
             .orderBy(F.col("timestamp").desc(), "client_id", "query").limit(n))
-
-
-def all_time_stats(tuples: DataFrame) -> DataFrame:
-    return all_time_query_stats(tuples)

@@ -58,14 +58,6 @@ def upsert_period_summary(existing: DataFrame, new: DataFrame) -> DataFrame:
     return upsert(existing, new, ["period_type", "period_id"])
 
 
-def replace_periods(existing: DataFrame, new: DataFrame, recomputed: DataFrame) -> DataFrame:
-    """Rows of every recomputed period are replaced by the new rows; a
-    recomputed period with no new rows disappears (it is not kept stale)."""
-    keys = ["period_type", "period_id"]
-    return (existing.join(recomputed.select(*keys).distinct(), keys, "left_anti")
-            .unionByName(new.select(existing.columns)))
-
-
 def refresh_query_daily(old: DataFrame, new: DataFrame, known: DataFrame,
                         backfill: DataFrame | None, min_live_date) -> DataFrame:
     """Known queries: rows from the first live date on are replaced; newly

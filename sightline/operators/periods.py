@@ -83,12 +83,5 @@ def available_periods(summary: DataFrame, max_ts) -> DataFrame:
                    F.col("start_date").cast("timestamp_ntz").alias("start_ts"),
                    (end.cast("timestamp_ntz") + F.expr("INTERVAL '23:59:59' HOUR TO SECOND"))
                    .alias("end_ts"))
-    return out.where(F.col("start_ts") <= F.lit(max_ts).cast("timestamp_ntz"))
-
-
-def period_start_end(period_type, period_id) -> tuple:
-    pt, pid = E.col(period_type), E.col(period_id)
-    start = (F.when(pt == "week", week_start_from_id(pid))
-             .when(pt == "month", F.to_date(F.concat(pid, F.lit("-01")))))
-    end = F.when(pt == "week", F.date_add(start, 6)).when(pt == "month", F.last_day(start))
-    return start, end
+    out = out.where(F.col("start_ts") <= F.lit(max_ts).cast("timestamp_ntz"))
+    return out.orderBy(F.col("start_date").desc(), "period_type")

@@ -48,35 +48,35 @@ def eligible_pairs(pairs: DataFrame, eligible: DataFrame, as_of=None,
 
 
 def cooccurrence(pairs: DataFrame, min_shared: int = E.SIMILAR_MIN_SHARED,
-                 chunk: int = 2000, mirror: bool = True, distinct_input: bool = False,
-                 max_broadcast_heavy: int = 200_000) -> DataFrame:
+                 chunk: int = 2000, mirror: bool = True, distinct_input: bool = False) -> DataFrame:
     """Shared users per query pair (>= min_shared), both directions.
-    The (user, query) input is read three times (degrees, both join sides):
-    it is de-duplicated and materialised once unless the caller did so."""
+
+    A pair can share ``min_shared`` users only if each of its queries has that
+    many, so rarer queries leave before the join (exact). The (user, query)
+    input is read several times: it is de-duplicated and materialised once
+    unless the caller did so."""
     p = pairs.select("username", Q)
     if not distinct_input:
         p = materialize(p.distinct())
-    # only users with more than ``chunk`` queries are split; their number is at
-    # most (#pairs / chunk). It is counted first: none -> no join at all; up to
-    # ``max_broadcast_heavy`` rows -> broadcast (no shuffle of the pairs for
-    # it); more -> an ordinary shuffle join.
+    if min_shared > 1:
+        often = p.groupBy(Q).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_shared)
+        p = materialize(p.join(often.select(Q), Q, "left_semi"))
+    # a user with d > chunk queries has blocks 0..d/chunk; every two blocks
+    # meet in a group of their own, so no group holds more than 2 * chunk rows
     heavy = (p.groupBy("username").agg(F.count(F.lit(1)).alias("_d"))
              .where(F.col("_d") > chunk))
-    n_heavy = heavy.count()
-    if n_heavy == 0:
-        p = p.withColumn("_d", F.lit(None).cast("bigint"))
-    elif n_heavy <= max_broadcast_heavy:
-        p = p.join(F.broadcast(heavy), "username", "left")
-    else:
-        p = p.join(heavy, "username", "left")
-    salts = F.greatest(F.lit(1), F.ceil(F.coalesce(F.col("_d"), F.lit(1)) / F.lit(chunk))
-                       ).cast("int")
-    left = p.select("username", F.col(Q).alias("qa"),
-                    F.pmod(F.xxhash64(Q), salts).cast("int").alias("_salt"))
-    right = p.select("username", F.col(Q).alias("qb"),
-                     F.explode(F.sequence(F.lit(0), salts - 1)).alias("_salt"))
-    shared = (left.join(right, ["username", "_salt"])
-              .where(F.col("qa") < F.col("qb"))
+    p = p.join(heavy, "username", "left")
+    blocks = F.coalesce(F.ceil(F.col("_d") / F.lit(chunk)), F.lit(1)).cast("int")
+    mine = F.pmod(F.xxhash64(Q), blocks).cast("int")
+    meets = F.transform(F.sequence(F.lit(0), blocks - 1), lambda other: F.struct(
+        F.least(mine, other).alias("i"), F.greatest(mine, other).alias("j")))
+    rows = p.select("username", Q, mine.alias("_mine"), F.explode(meets).alias("_meet"))
+    side = lambda q, m: rows.select(
+        "username", F.col("_meet.i").alias("_i"), F.col("_meet.j").alias("_j"), F.col(Q).alias(q),
+        F.col("_mine").alias(m))
+    shared = (side("qa", "_ma").join(side("qb", "_mb"), ["username", "_i", "_j"])
+              # two rows of one block meet in that block's own group only
+              .where((F.col("qa") < F.col("qb")) & ((F.col("_i") == F.col("_j")) | (F.col("_ma") != F.col("_mb"))))
               .groupBy("qa", "qb").agg(F.count(F.lit(1)).alias("shared_users"))
               .where(F.col("shared_users") >= min_shared))
     out = shared.select(F.col("qa").alias("query"), F.col("qb").alias("similar_query"),

@@ -93,12 +93,12 @@ def period_summary_from(pairs: DataFrame, by_query: DataFrame) -> DataFrame:
                        F.sum("total_searches").alias("total_searches"),
                        F.min("first_date").alias("first_date"),
                        F.max("last_date").alias("last_date")))
-    # The condition is always true (searches >= 1) but reads every column of
-    # ``pairs``, so both branches keep the same ``pairs`` aggregate and its
-    # shuffle is computed once and reused (ReusedExchange) instead of the
-    # optimizer pruning this branch into a second, different aggregation.
-    keep = ((F.col("searches") >= 0) | F.col("first_date").isNull()
-            | F.col("last_date").isNull())
+    # True for every row, null counts included, but it reads every column of
+    # ``pairs``: both branches keep the same aggregate and its shuffle is
+    # computed once and reused (ReusedExchange) instead of the optimizer
+    # pruning this branch into a second, different aggregation.
+    keep = ((F.col("searches") >= F.lit(-2**63)) | F.col("searches").isNull()
+            | F.col("first_date").isNull() | F.col("last_date").isNull())
     users = (pairs.where(keep).select(*IK, "username").distinct()
              .groupBy(*IK).agg(F.count(F.lit(1)).alias("total_users")))
     return (per_period.join(users, IK, "inner")
@@ -151,16 +151,6 @@ def query_length_dist(tuples: DataFrame, max_words: int = E.MAX_QUERY_WORDS,
     return length_from(by_query, max_words, exclude_empty)
 
 
-def period_statistics(tuples: DataFrame, min_users: int = E.MIN_TOP_USERS,
-                      max_words: int = E.MAX_QUERY_WORDS) -> dict[str, DataFrame]:
-    """Summary, top list and length distribution from one shared ``pairs``."""
-    pairs = period_pairs(tuples)
-    by_query = queries_by_period(pairs)
-    return {"period_summary": period_summary_from(pairs, by_query),
-            "period_top_queries": top_from(by_query, min_users),
-            "query_length_dist": length_from(by_query, max_words)}
-
-
 # ---------------------------------------------------------------------------
 # Per-query series
 # ---------------------------------------------------------------------------
@@ -230,7 +220,7 @@ def daily_flow(daily: DataFrame, start=None, end=None) -> DataFrame:
         d = d.where(F.col("date") >= F.lit(start))
     if end is not None:
         d = d.where(F.col("date") <= F.lit(end))
-    return d.select("client_id", "date", "search_count", "unique_users")
+    return d.select("client_id", "date", "search_count", "unique_users").orderBy("date", "client_id")
 
 
 def daily_unique_users(daily: DataFrame) -> DataFrame:
@@ -258,7 +248,7 @@ def month_client_counts(month_rows: DataFrame) -> DataFrame:
 
 
 def raw_per_client(searches: DataFrame) -> DataFrame:
-    return searches.groupBy("client_id").agg(F.count(F.lit(1)).alias("n"))
+    return searches.groupBy("client_id").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "client_id")
 
 
 def distinct_clients(searches: DataFrame) -> DataFrame:
@@ -332,10 +322,15 @@ def period_client_totals(daily: DataFrame) -> DataFrame:
     return keyed.groupBy(*PERIOD_KEYS, "client_id").agg(F.sum("search_count").alias("n"))
 
 
-def period_overview(daily: DataFrame, summary: DataFrame, periods: DataFrame) -> DataFrame:
+def period_overview(daily: DataFrame, summary: DataFrame, periods: DataFrame,
+                    cutoff=None) -> DataFrame:
     """Per week / month: totals from daily client stats, replaced by the
-    summary row when there is one; without one the reference's estimate
-    (queries = int(users * 0.6), pairs = users) flagged by ``is_estimate``."""
+    summary row when there is one; without one an estimate (queries =
+    int(users * 0.6), pairs = users) flagged by ``is_estimate``. With a
+    ``cutoff`` (the last full day) later days do not count, and a period that
+    begins after it has no row."""
+    if cutoff is not None:
+        daily = daily.where(F.col("date") <= F.lit(cutoff).cast("date"))
     p = periods.where(F.col("period_type").isin("week", "month"))
     d = daily.select("date", "search_count", "unique_users")
     # periods of one type never overlap, so each daily row meets one week and

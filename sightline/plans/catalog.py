@@ -25,7 +25,8 @@ def s2_tuples(spark, sf):
 
 BLACKLIST = E.parse_blacklist(FX.TEST_BLACKLIST)
 BLACKLIST_RX = E.blacklist_regex(BLACKLIST)
-SALT = E.derive_salt(FX.TEST_SALT)
+# the salt of the key in fixtures.py, as text
+SALT = "CHKANX39xaMXfhe3Qkx9-x6rLQi6O-3rJD3FHVwY3Ig="
 
 # ---------------------------------------------------------------------------
 # Rollups
@@ -241,15 +242,7 @@ def q_full_convergence(spark, sf):
     return CV.full_convergence(s1c_events(spark, sf))
 
 
-@register("spread_histogram", CONV_CTE + """
-SELECT time_spread, sort_order, COUNT(*) AS event_count, round(AVG(client_count), 6) AS avg_clients
-FROM (SELECT client_count, (epoch_us(latest) - epoch_us(earliest)) / 1000000.0 AS sp,
-        CASE WHEN sp < 60 THEN '< 1 min' WHEN sp < 300 THEN '1-5 min' WHEN sp < 900 THEN '5-15 min'
-             WHEN sp < 3600 THEN '15-60 min' ELSE '> 1 hour' END AS time_spread,
-        CASE WHEN sp < 60 THEN 1 WHEN sp < 300 THEN 2 WHEN sp < 900 THEN 3
-             WHEN sp < 3600 THEN 4 ELSE 5 END AS sort_order
-      FROM ec WHERE client_count >= 2) b
-WHERE (SELECT n FROM nc) >= 2 GROUP BY 1, 2""")
+@register("spread_histogram", O.spread_sql(CONV_CTE))
 def q_spread_histogram(spark, sf):
     return CV.spread_histogram(s1c_events(spark, sf))
 
@@ -260,19 +253,7 @@ def q_events_per_client(spark, sf):
     return CV.events_per_client(s1c_events(spark, sf))
 
 
-@register("client_overlap", CONV_CTE + """,
-cnt AS (SELECT client_id, COUNT(*) AS n FROM se GROUP BY 1),
-sh AS (SELECT a.client_id AS client_a, b.client_id AS client_b, COUNT(*) AS shared
-       FROM se a JOIN se b ON a.username = b.username AND a.norm_query = b.norm_query
-        AND a.time_bucket = b.time_bucket AND a.client_id < b.client_id GROUP BY 1, 2),
-p AS (SELECT a.client_id AS client_a, b.client_id AS client_b, a.n AS count_a, b.n AS count_b,
-             COALESCE(sh.shared, 0) AS shared
-      FROM cnt a JOIN cnt b ON a.client_id < b.client_id
-      LEFT JOIN sh ON sh.client_a = a.client_id AND sh.client_b = b.client_id)
-SELECT client_a, client_b, count_a, count_b, shared,
-       round(shared * 100.0 / count_a, 6) AS pct_a_in_b, round(shared * 100.0 / count_b, 6) AS pct_b_in_a,
-       round(shared * 100.0 / count_a, 6) >= 95 AS a_subset, round(shared * 100.0 / count_b, 6) >= 95 AS b_subset
-FROM p""")
+@register("client_overlap", O.overlap_sql(CONV_CTE))
 def q_client_overlap(spark, sf):
     return CV.client_overlap(s1c_events(spark, sf))
 
@@ -573,17 +554,13 @@ def q_event_client_distribution_s1(spark, sf):
     return CV.event_client_distribution(s1_events(spark, sf))
 
 
-@register("spread_histogram_s1", S1_CONV + """
-SELECT time_spread, sort_order, COUNT(*) AS event_count, round(AVG(client_count), 6) AS avg_clients
-FROM (SELECT client_count, (epoch_us(latest) - epoch_us(earliest)) / 1000000.0 AS sp,
-        CASE WHEN sp < 60 THEN '< 1 min' WHEN sp < 300 THEN '1-5 min' WHEN sp < 900 THEN '5-15 min'
-             WHEN sp < 3600 THEN '15-60 min' ELSE '> 1 hour' END AS time_spread,
-        CASE WHEN sp < 60 THEN 1 WHEN sp < 300 THEN 2 WHEN sp < 900 THEN 3
-             WHEN sp < 3600 THEN 4 ELSE 5 END AS sort_order
-      FROM ec WHERE client_count >= 2) b
-WHERE (SELECT n FROM nc) >= 2 GROUP BY 1, 2""")
+# in the S1 log the clients meet within weeks, not within minutes
+S1_MONTH = conv_cte(O.S1_SQL, 30 * 86400)
+
+
+@register("spread_histogram_s1", O.spread_sql(S1_MONTH))
 def q_spread_histogram_s1(spark, sf):
-    return CV.spread_histogram(s1_events(spark, sf))
+    return CV.spread_histogram(CV.search_events(FX.searches_s1(spark, sf), _S1_START, _S1_END, 30 * 86400))
 
 
 @register("unique_contribution_s1", S1_CONV + """,
@@ -613,33 +590,13 @@ def q_period_top_queries_s1(spark, sf):
 S1C_HOUR = conv_cte(O.S1C_SQL, 3600)
 
 
-@register("spread_histogram_hour", S1C_HOUR + """
-SELECT time_spread, sort_order, COUNT(*) AS event_count, round(AVG(client_count), 6) AS avg_clients
-FROM (SELECT client_count, (epoch_us(latest) - epoch_us(earliest)) / 1000000.0 AS sp,
-        CASE WHEN sp < 60 THEN '< 1 min' WHEN sp < 300 THEN '1-5 min' WHEN sp < 900 THEN '5-15 min'
-             WHEN sp < 3600 THEN '15-60 min' ELSE '> 1 hour' END AS time_spread,
-        CASE WHEN sp < 60 THEN 1 WHEN sp < 300 THEN 2 WHEN sp < 900 THEN 3
-             WHEN sp < 3600 THEN 4 ELSE 5 END AS sort_order
-      FROM ec WHERE client_count >= 2) b
-WHERE (SELECT n FROM nc) >= 2 GROUP BY 1, 2""")
+@register("spread_histogram_hour", O.spread_sql(S1C_HOUR))
 def q_spread_histogram_hour(spark, sf):
     ev = CV.search_events(FX.searches_s1c(spark, sf), _S1_START, _S1_END, 3600)
     return CV.spread_histogram(ev)
 
 
-@register("client_overlap_hour", S1C_HOUR + """,
-cnt AS (SELECT client_id, COUNT(*) AS n FROM se GROUP BY 1),
-sh AS (SELECT a.client_id AS client_a, b.client_id AS client_b, COUNT(*) AS shared
-       FROM se a JOIN se b ON a.username = b.username AND a.norm_query = b.norm_query
-        AND a.time_bucket = b.time_bucket AND a.client_id < b.client_id GROUP BY 1, 2),
-p AS (SELECT a.client_id AS client_a, b.client_id AS client_b, a.n AS count_a, b.n AS count_b,
-             COALESCE(sh.shared, 0) AS shared
-      FROM cnt a JOIN cnt b ON a.client_id < b.client_id
-      LEFT JOIN sh ON sh.client_a = a.client_id AND sh.client_b = b.client_id)
-SELECT client_a, client_b, count_a, count_b, shared,
-       round(shared * 100.0 / count_a, 6) AS pct_a_in_b, round(shared * 100.0 / count_b, 6) AS pct_b_in_a,
-       round(shared * 100.0 / count_a, 6) >= 95 AS a_subset, round(shared * 100.0 / count_b, 6) >= 95 AS b_subset
-FROM p""")
+@register("client_overlap_hour", O.overlap_sql(S1C_HOUR))
 def q_client_overlap_hour(spark, sf):
     ev = CV.search_events(FX.searches_s1c(spark, sf), _S1_START, _S1_END, 3600)
     return CV.client_overlap(ev)

@@ -27,8 +27,8 @@ from ..sources import fixtures as FX
 from ..sources import scans as SC
 from ..sources import sinks as SK
 from . import oracle as O
-from .catalog import AS_OF, BLACKLIST, BLACKLIST_RX, CUTOFF, DETAIL_CTE, s2_tuples
-from .registry import register
+from .catalog import AS_OF, BLACKLIST, BLACKLIST_RX, CONV_CTE, CUTOFF, DETAIL_CTE, TOKEN_SPLIT, s2_tuples
+from .registry import ORACLE, register
 
 SPLIT = dt.date(2001, 1, 1)           # first live-only day
 LIVE_FROM = dt.date(2000, 12, 1)      # live part starts one month earlier
@@ -251,12 +251,22 @@ def q_insert_if_absent_daily(spark, sf):
                               ["client_id", "date"])
 
 
-@register("merge_cumulative", f"""
-WITH m AS (SELECT * FROM {O.S2_SQL} s)
-SELECT client_id, COUNT(*) AS n, (SELECT COUNT(*) FROM m) AS total_searches,
-       (SELECT MIN("timestamp") FROM m) AS first_search, (SELECT MAX("timestamp") FROM m) AS last_search,
-       (SELECT MAX(strftime("timestamp", '%Y-%m')) FROM m) AS last_archive_month
-FROM m GROUP BY client_id""")
+_CUMULATIVE_S2 = f"""
+SELECT client_id, COUNT(*) AS n, (SELECT COUNT(*) FROM {O.S2_SQL} s) AS total_searches,
+       (SELECT MIN("timestamp") FROM {O.S2_SQL} s) AS first_search,
+       (SELECT MAX("timestamp") FROM {O.S2_SQL} s) AS last_search,
+       (SELECT MAX(strftime("timestamp", '%Y-%m')) FROM {O.S2_SQL} s) AS last_archive_month
+FROM {O.S2_SQL} x GROUP BY client_id"""
+
+
+def _cumulative_rows(cur):
+    return cur.select(F.explode("client_totals").alias("client_id", "n"), "total_searches",
+                      F.col("first_search").cast("timestamp_ntz").alias("first_search"),
+                      F.col("last_search").cast("timestamp_ntz").alias("last_search"),
+                      "last_archive_month")
+
+
+@register("merge_cumulative", _CUMULATIVE_S2)
 def q_merge_cumulative(spark, sf):
     """All months but the last folded in one pass, the last one merged into
     the stored row, then an empty month."""
@@ -269,10 +279,7 @@ def q_merge_cumulative(spark, sf):
     cur = M.cumulative_from_month_totals(per_month).checkpoint()   # one row
     cur = M.merge_cumulative(cur, s.where(F.col("month") == last).drop("month"), last).checkpoint()
     cur = M.merge_cumulative(cur, s.where("false").drop("month"), "2100-01")
-    return cur.select(F.explode("client_totals").alias("client_id", "n"), "total_searches",
-                      F.col("first_search").cast("timestamp_ntz").alias("first_search"),
-                      F.col("last_search").cast("timestamp_ntz").alias("last_search"),
-                      "last_archive_month")
+    return _cumulative_rows(cur)
 
 
 @register("refresh_query_daily", f"""
@@ -280,23 +287,31 @@ SELECT query_normalized, date, CAST(SUM(search_count) AS BIGINT) AS search_count
        COUNT(DISTINCT username) AS unique_users
 FROM {O.T2} t WHERE query_normalized IN {O.eligible_sql(O.T2)} GROUP BY 1, 2""")
 def q_refresh_query_daily(spark, sf):
+    """From a stale table: its live rows are wrong, it holds live days that do
+    not exist, and half of the eligible queries are not in it yet."""
     t, arch, _ = t2_parts(spark, sf)
     elig = ST.eligible_queries(t)
-    old = ST.query_daily_from(arch, elig)
-    new = ST.query_daily_from(t.where(F.col("date") >= F.lit(SPLIT)), elig)
-    return M.refresh_query_daily(old, new, elig, None, SPLIT)
+    half = F.pmod(F.xxhash64("query_normalized"), F.lit(2)) == 0
+    good = ST.query_daily_from(t, elig.where(half))
+    live = F.col("date") >= F.lit(SPLIT)
+    wrong = good.where(live).select("query_normalized", F.date_add("date", 1).alias("date"),
+                                    (F.col("search_count") + 7).alias("search_count"), "unique_users")
+    stale = good.where(~live).unionByName(wrong)
+    fresh = ST.query_daily_from(t.where(live), elig)
+    backfill = ST.query_daily_backfill(arch, t, stale)
+    return M.refresh_query_daily(stale, fresh.unionByName(backfill), stale, backfill, SPLIT)
 
 
 @register("query_daily_backfill", f"""
-WITH ex AS (SELECT DISTINCT query_normalized FROM {T2A} x
-            WHERE query_normalized IN {O.eligible_sql(T2A, 40)}),
+WITH ex AS (SELECT DISTINCT query_normalized FROM {T2A} x WHERE length(query_normalized) % 2 = 0),
 need AS (SELECT * FROM {O.eligible_sql(O.T2)} e WHERE query_normalized NOT IN (SELECT * FROM ex))
 SELECT query_normalized, date, CAST(SUM(search_count) AS BIGINT) AS search_count,
        COUNT(DISTINCT username) AS unique_users
 FROM {T2A} a WHERE query_normalized IN (SELECT * FROM need) GROUP BY 1, 2""")
 def q_query_daily_backfill(spark, sf):
+    """The table knows the queries of even length; the others became eligible."""
     t, arch, _ = t2_parts(spark, sf)
-    existing = ST.query_daily_from(arch, ST.eligible_queries(arch, 40))
+    existing = arch.where(F.length("query_normalized") % 2 == 0)
     return ST.query_daily_backfill(arch, t, existing)
 
 
@@ -379,9 +394,12 @@ def q_distinct_pairs_two_pass(spark, sf):
 @register("approx_distinct", f"""SELECT date, COUNT(DISTINCT username) AS exact_users,
        TRUE AS within_tolerance FROM {O.T2} t GROUP BY 1""")
 def q_approx_distinct(spark, sf):
-    """The estimate against the exact count of each day."""
+    """The estimate against the exact count of each day: within 5 %, or one
+    user on days of a few users."""
     got = ST.approx_distinct(s2_tuples(spark, sf))
-    return got.select("date", "exact_users", (F.col("rel_error") <= 0.05).alias("within_tolerance"))
+    close = F.abs(F.col("approx_users") - F.col("exact_users")) <= F.greatest(
+        F.lit(1.0), 0.05 * F.col("exact_users"))
+    return got.select("date", "exact_users", close.alias("within_tolerance"))
 
 
 CUMULATIVE_SQL = f"""
@@ -531,25 +549,33 @@ def q_export_search_index(spark, sf):
 
 
 @register("export_detail_tables", DETAIL_CTE + f"""
-SELECT 'queries' AS table_name, COUNT(*) AS row_count FROM dq
-UNION ALL SELECT 'query_daily', COUNT(*) FROM qd JOIN dq ON dq.query = qd.query_normalized
-  WHERE date <= DATE '{CUTOFF}'
-UNION ALL SELECT 'query_similar', COUNT(*) FROM sim JOIN dq a ON a.query = sim.query
-  JOIN dq b ON b.query = sim.similar_query""")
+SELECT 'queries' AS table_name, rank, query AS text, unique_users AS a, total_searches AS b, slug AS extra FROM dq
+UNION ALL SELECT 'word_index', rank, word, NULL, NULL, NULL FROM (SELECT DISTINCT word, rank FROM (
+  SELECT rank, unnest(regexp_split_to_array(lower(query), '{TOKEN_SPLIT}')) AS word FROM dq) x WHERE word <> '') w
+UNION ALL SELECT 'query_daily', rank, strftime(date, '%Y-%m-%d'), search_count, qd.unique_users, NULL
+  FROM qd JOIN dq ON dq.query = qd.query_normalized WHERE date <= DATE '{CUTOFF}'
+UNION ALL SELECT 'query_similar', a.rank, CAST(b.rank AS VARCHAR), shared_users, NULL, NULL
+  FROM sim JOIN dq a ON a.query = sim.query JOIN dq b ON b.query = sim.similar_query""")
 def q_export_detail_tables(spark, sf):
+    """The rows of all four tables as they were written."""
     from .catalog import s2_detail, s2_similar
     t = s2_tuples(spark, sf)
     d = s2_detail(spark, sf)
-    tables = {"queries": d,
+    tables = {"queries": d, "word_index": DT.word_index(d),
               "query_daily": DT.detail_daily(d, ST.query_daily_stats(t), CUTOFF),
               "query_similar": DT.detail_similar(d, s2_similar(spark, sf))}
     paths = SK.export_detail_tables(run_dir(spark, "detail"), tables)
-    out = None
-    for name, p in paths.items():
-        c = spark.read.parquet(p).agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("table_name"), "row_count")
-        out = c if out is None else out.unionByName(c)
-    return out
+    read = {name: spark.read.parquet(p) for name, p in paths.items()}
+    none = F.lit(None)
+    row = lambda df, name, text, a, b, extra: df.select(
+        F.lit(name).alias("table_name"), "rank", text.cast("string").alias("text"), a.cast("bigint").alias("a"),
+        b.cast("bigint").alias("b"), extra.cast("string").alias("extra"))
+    return (row(read["queries"], "queries", F.col("query"), F.col("unique_users"), F.col("total_searches"), F.col("slug"))
+            .unionByName(row(read["word_index"], "word_index", F.col("word"), none, none, none))
+            .unionByName(row(read["query_daily"], "query_daily", F.col("date"), F.col("search_count"),
+                             F.col("unique_users"), none))
+            .unionByName(row(read["query_similar"], "query_similar", F.col("similar_rank"), F.col("shared_users"),
+                             none, none)))
 
 
 # ---------------------------------------------------------------------------
@@ -558,6 +584,20 @@ def q_export_detail_tables(spark, sf):
 from . import jobs as J  # noqa: E402
 
 
+def once_per_session(job):
+    """A composed job writes several tables and each has a query of its own:
+    within one Spark application the job runs once per input."""
+    done: dict[tuple, object] = {}
+
+    def run(spark, sf):
+        key = (spark.sparkContext.applicationId, sf)
+        if key not in done:
+            done[key] = job(spark, sf)
+        return done[key]
+    return run
+
+
+@once_per_session
 def _period_stats_twice(spark, sf):
     t, arch, live = t2_parts(spark, sf)
     tuples = SC.tuples_all(arch, live, ledger_for(arch))
@@ -573,20 +613,90 @@ def q_period_stats_job(spark, sf):
     return SK.read_table(spark, f"{root}/period_summary_stats", S.PERIOD_SUMMARY)
 
 
-@register("publish_job", DETAIL_CTE + "SELECT * FROM dq")
-def q_publish_job(spark, sf):
+@register("period_stats_job_top", O.top_sql(O.T2))
+def q_period_stats_job_top(spark, sf):
+    root, _ = _period_stats_twice(spark, sf)
+    return spark.read.schema(S.PERIOD_TOP).parquet(f"{root}/period_top_queries").select(*S.PERIOD_TOP.names)
+
+
+@register("period_stats_job_length", ORACLE["query_length_dist"])
+def q_period_stats_job_length(spark, sf):
+    root, _ = _period_stats_twice(spark, sf)
+    return spark.read.schema(S.PERIOD_LENGTH).parquet(f"{root}/period_query_length_dist").select(
+        *S.PERIOD_LENGTH.names)
+
+
+@register("period_stats_job_daily", f"""
+SELECT query_normalized, date, CAST(SUM(search_count) AS BIGINT) AS search_count,
+       COUNT(DISTINCT username) AS unique_users
+FROM {O.T2} t WHERE query_normalized IN {O.eligible_sql(O.T2)} GROUP BY 1, 2""")
+def q_period_stats_job_daily(spark, sf):
+    """A first run over the archived part alone, then the refresh and backfill
+    that the live part makes necessary."""
+    t, arch, live = t2_parts(spark, sf)
+    root = run_dir(spark, "nightly_daily")
+    J.period_stats_job(spark, root, arch.where(F.col("date") < F.lit(LIVE_FROM)), arch.limit(0))
+    J.period_stats_job(spark, root, SC.tuples_all(arch, live, ledger_for(arch)), live)
+    return SK.read_table(spark, f"{root}/query_daily_stats", S.QUERY_DAILY)
+
+
+@once_per_session
+def _published(spark, sf) -> str:
     from ..operators import similarity as SM
     root, tuples = _period_stats_twice(spark, sf)
     daily = s2_union_daily(spark, sf)
     pairs = SM.user_query_pairs(tuples, AS_OF, "run_date")
     J.publish_job(spark, root, tuples, pairs, daily, AS_OF.isoformat(), BLACKLIST)
-    return spark.read.parquet(f"{root}/publish/queries")
+    return f"{root}/publish"
+
+
+@register("publish_job", DETAIL_CTE + "SELECT * FROM dq")
+def q_publish_job(spark, sf):
+    return spark.read.parquet(f"{_published(spark, sf)}/queries")
+
+
+@register("publish_job_word_index", ORACLE["word_index"])
+def q_publish_job_word_index(spark, sf):
+    return spark.read.parquet(f"{_published(spark, sf)}/word_index")
+
+
+@register("publish_job_query_daily", ORACLE["detail_daily"])
+def q_publish_job_query_daily(spark, sf):
+    return spark.read.parquet(f"{_published(spark, sf)}/query_daily")
+
+
+@register("publish_job_search_index", ORACLE["export_search_index"])
+def q_publish_job_search_index(spark, sf):
+    return (spark.read.text(f"{_published(spark, sf)}/search_index")
+            .select(F.from_json("value", "q STRING, u BIGINT, t BIGINT, s STRING").alias("j")).select("j.*"))
+
+
+@register("publish_job_cumulative_overview", CUMULATIVE_SQL)
+def q_publish_job_cumulative_overview(spark, sf):
+    return SK.read_table(spark, f"{_published(spark, sf)}/cumulative_overview")
+
+
+@register("publish_job_query_lists", f"""
+WITH t AS ({O.top_sql(O.T2)}),
+k AS (SELECT * FROM t WHERE NOT {O.blacklist_sql('query_normalized', BLACKLIST_RX)})
+SELECT period_type, period_id, CAST(row_number() OVER (PARTITION BY period_type, period_id ORDER BY rank) AS INTEGER) AS rank,
+       query_normalized AS query, unique_users, total_searches FROM k""")
+def q_publish_job_query_lists(spark, sf):
+    schema = ("rank INT, query STRING, unique_users BIGINT, total_searches BIGINT, period_type STRING, "
+              "period_id STRING")
+    return spark.read.schema(schema).json(f"{_published(spark, sf)}/query_lists")
+
+
+@register("publish_job_client_totals", f"SELECT client_id, CAST(SUM(search_count) AS BIGINT) AS n FROM {DAILY_ALL} d GROUP BY 1")
+def q_publish_job_client_totals(spark, sf):
+    return SK.read_table(spark, f"{_published(spark, sf)}/client_totals")
 
 
 # every month of the fixture's history lies before this one
 ARCHIVE_MONTH = "2100-01"
 
 
+@once_per_session
 def _archived(spark, sf) -> str:
     """The whole raw log archived and deleted; the second run finds nothing."""
     root = run_dir(spark, "archive_job")
@@ -632,45 +742,27 @@ def q_archive_job_pairs(spark, sf):
     return M.current_user_query_pairs(spark.read.parquet(f"{_archived(spark, sf)}/user_query_pairs"))
 
 
-_CUMULATIVE_S2 = f"""
-SELECT client_id, COUNT(*) AS n, (SELECT COUNT(*) FROM {O.S2_SQL} s) AS total_searches,
-       (SELECT MIN("timestamp") FROM {O.S2_SQL} s) AS first_search,
-       (SELECT MAX("timestamp") FROM {O.S2_SQL} s) AS last_search,
-       (SELECT MAX(strftime("timestamp", '%Y-%m')) FROM {O.S2_SQL} s) AS last_archive_month
-FROM {O.S2_SQL} x GROUP BY client_id"""
+@register("archive_job_cumulative", _CUMULATIVE_S2)
+def q_archive_job_cumulative(spark, sf):
+    return _cumulative_rows(SK.read_table(spark, f"{_archived(spark, sf)}/stats_cumulative", S.CUMULATIVE))
 
 
-def _cumulative_rows(cur):
-    return cur.select(F.explode("client_totals").alias("client_id", "n"), "total_searches",
-                      F.col("first_search").cast("timestamp_ntz").alias("first_search"),
-                      F.col("last_search").cast("timestamp_ntz").alias("last_search"),
-                      "last_archive_month")
+def _convergence(spark, sf, name):
+    from .catalog import _S1_END, _S1_START, _W
+    return J.convergence_job(FX.searches_s1c(spark, sf), _S1_START, _S1_END, _W)[name]
 
 
-@register("archive_job_cumulative", _CUMULATIVE_S2)
-def q_archive_job_cumulative(spark, sf):
-    return _cumulative_rows(SK.read_table(spark, f"{_archived(spark, sf)}/stats_cumulative", S.CUMULATIVE))
+def _register_convergence() -> None:
+    """One query per report of the job, against the report's own SQL."""
+    for report in ("event_client_distribution", "full_convergence", "spread_histogram", "events_per_client",
+                   "unique_contribution", "sample_converged"):
+        register(f"convergence_job_{report}", ORACLE[report])(
+            lambda spark, sf, report=report: _convergence(spark, sf, report))
 
 
-def _overlap_sql() -> str:
-    from .catalog import CONV_CTE
-    return CONV_CTE + """,
-cnt AS (SELECT client_id, COUNT(*) AS n FROM se GROUP BY 1),
-sh AS (SELECT a.client_id AS client_a, b.client_id AS client_b, COUNT(*) AS shared
-       FROM se a JOIN se b ON a.username = b.username AND a.norm_query = b.norm_query
-        AND a.time_bucket = b.time_bucket AND a.client_id < b.client_id GROUP BY 1, 2),
-p AS (SELECT a.client_id AS client_a, b.client_id AS client_b, a.n AS count_a, b.n AS count_b,
-             COALESCE(sh.shared, 0) AS shared
-      FROM cnt a JOIN cnt b ON a.client_id < b.client_id
-      LEFT JOIN sh ON sh.client_a = a.client_id AND sh.client_b = b.client_id)
-SELECT client_a, client_b, count_a, count_b, shared,
-       round(shared * 100.0 / count_a, 6) AS pct_a_in_b, round(shared * 100.0 / count_b, 6) AS pct_b_in_a,
-       round(shared * 100.0 / count_a, 6) >= 95 AS a_subset, round(shared * 100.0 / count_b, 6) >= 95 AS b_subset
-FROM p"""
-
-
-@register("convergence_job", _overlap_sql())
+@register("convergence_job", O.overlap_sql(CONV_CTE))
 def q_convergence_job(spark, sf):
-    from .catalog import _S1_END, _S1_START, _W
-    rep = J.convergence_job(FX.searches_s1c(spark, sf), _S1_START, _S1_END, _W)
-    return rep["client_overlap"]
+    return _convergence(spark, sf, "client_overlap")
+
+
+_register_convergence()

@@ -42,21 +42,37 @@ def _t(root: str, name: str) -> str:
 
 def period_stats_job(spark: SparkSession, root: str, tuples: DataFrame, live: DataFrame,
                      min_users: int = E.MIN_TOP_USERS, detail_users: int = E.MIN_DETAIL_USERS,
-                     daily_only: bool = False) -> dict[str, str]:
+                     daily_only: bool = False, rebuild_daily: bool = False) -> dict[str, str]:
     """Refresh period summary / top / length tables and the per-query daily
-    series from ``tuples`` (= ``tuples_all``)."""
+    series from ``tuples`` (= ``tuples_all``).
+
+    The series is refreshed in place: rows from the first live date on are
+    computed anew, and queries that have become eligible get their whole
+    history. ``rebuild_daily`` computes all of it (after late rows reached the
+    archive)."""
     out = {}
     snap = _t(root, f"_snapshot/tuples-{uuid.uuid4().hex[:12]}")
     tuples = SK.snapshot(tuples, snap)
     try:
         _period_tables(spark, root, tuples, live, min_users, daily_only, out)
-        daily = ST.query_daily_stats(tuples, detail_users)
-        out["query_daily_stats"] = SK.write_version(daily, _t(root, "query_daily_stats"))
+        out["query_daily_stats"] = SK.write_version(
+            _daily_series(spark, root, tuples, live, detail_users, rebuild_daily), _t(root, "query_daily_stats"))
     finally:
         SK.delete_path(spark, snap)
     return out
 
 
+def _daily_series(spark, root, tuples, live, min_users, rebuild) -> DataFrame:
+    old = SK.read_table(spark, _t(root, "query_daily_stats"), S.QUERY_DAILY)
+    since = P.min_live_date(live).first()[0]
+    if rebuild or since is None or old.isEmpty():
+        return ST.query_daily_stats(tuples, min_users)
+    recent = F.col("date") >= F.lit(since).cast("date")
+    fresh = ST.query_daily_from(tuples.where(recent), ST.eligible_queries(tuples, min_users))
+    backfill = ST.query_daily_backfill(tuples.where(~recent), tuples, old, min_users)
+    return M.refresh_query_daily(old, fresh.unionByName(backfill), old, backfill, since)
+
+
 def _period_tables(spark, root, tuples, live, min_users, daily_only, out) -> None:
     if not daily_only:
         existing = SK.read_table(spark, _t(root, "period_summary_stats"), S.PERIOD_SUMMARY)
@@ -87,13 +103,18 @@ def _period_tables(spark, root, tuples, live, min_users, daily_only, out) -> Non
 def publish_job(spark: SparkSession, root: str, tuples: DataFrame, pairs: DataFrame,
                 daily_stats: DataFrame, as_of, blacklist: list[str] | None = None,
                 recent_days: int | None = E.RECENT_DAYS) -> dict[str, str]:
-    """Similarity graph, detail tables, search index and overviews."""
+    """Similarity graph, detail tables, query lists, search index, client
+    totals and overviews. The pairs table is cleaned of blacklisted queries
+    first (its latest pair per user and query, written as a new version)."""
     import datetime as dt
     cutoff = (dt.date.fromisoformat(str(as_of)[:10]) - dt.timedelta(days=1))
     qd = SK.read_table(spark, _t(root, "query_daily_stats"), S.QUERY_DAILY)
     eligible = qd.select("query_normalized").distinct()
     if blacklist:
         eligible = eligible.where(~E.is_blacklisted("query_normalized", blacklist))
+    pairs = M.blacklist_delete_pairs(M.current_user_query_pairs(pairs), blacklist or [])
+    pairs_path = SK.write_version(pairs, _t(root, "current_user_query_pairs"))
+    pairs = spark.read.schema(pairs.schema).parquet(pairs_path)
     sim = SM.query_similarity(SM.eligible_pairs(pairs, eligible, as_of, recent_days, blacklist))
     stats = ST.all_time_query_stats(tuples)
     slugs = DT.slug_map(qd, cutoff, blacklist)
@@ -109,8 +130,14 @@ def publish_job(spark: SparkSession, root: str, tuples: DataFrame, pairs: DataFr
     out["cumulative_overview"] = SK.write_version(ST.cumulative_overview(summary, as_of),
                                                   f"{pub}/cumulative_overview")
     out["period_overview"] = SK.write_version(
-        ST.period_overview(daily_stats, summary, P.generate_periods(tuples)),
+        ST.period_overview(daily_stats, summary, P.generate_periods(tuples), cutoff),
         f"{pub}/period_overview")
+    top = spark.read.schema(S.PERIOD_TOP).parquet(_t(root, "period_top_queries"))
+    out["query_lists"] = SK.export_period_lists(top, slugs, blacklist or [], f"{pub}/query_lists")
+    out["current_user_query_pairs"] = pairs_path
+    out["client_totals"] = SK.write_version(ST.client_totals(daily_stats), f"{pub}/client_totals")
+    out["period_client_totals"] = SK.write_version(ST.period_client_totals(daily_stats),
+                                                   f"{pub}/period_client_totals")
     return out
 
 

@@ -6,6 +6,8 @@ driver's tables, with COUNT(DISTINCT ...) where Spark uses two group-bys.
 
 from __future__ import annotations
 
+from ..functions.expr import SPREAD_BUCKETS, SPREAD_LAST
+
 from ..sources.fixtures import DOC_SQL, S1_SQL, S1C_SQL, S2_SQL  # noqa: F401
 
 WEEK_ID = ("CAST(isoyear(date) AS VARCHAR) || '-W' || lpad(CAST(week(date) AS VARCHAR), 2, '0')")
@@ -86,3 +88,33 @@ UNION ALL SELECT 'all_time', 'all_time', mn, mx FROM r)"""
 def daily_stats_sql(searches_sql: str, where: str = "TRUE") -> str:
     return f"""(SELECT client_id, CAST("timestamp" AS DATE) AS date, COUNT(*) AS search_count,
        COUNT(DISTINCT username) AS unique_users FROM {searches_sql} ds WHERE {where} GROUP BY 1, 2)"""
+
+
+def spread_sql(cte: str) -> str:
+    """Histogram of spreads: the events join a table of bounds (fixed values)."""
+    rows = [(0, *SPREAD_BUCKETS[0])]
+    rows += [(SPREAD_BUCKETS[i - 1][0], *SPREAD_BUCKETS[i]) for i in range(1, len(SPREAD_BUCKETS))]
+    rows.append((SPREAD_BUCKETS[-1][0], "1e18", *SPREAD_LAST))
+    bounds = ", ".join(f"({lo}, {hi}, '{label}', {order})" for lo, hi, label, order in rows)
+    return cte + f""", bounds(lo, hi, time_spread, sort_order) AS (VALUES {bounds})
+SELECT time_spread, sort_order, COUNT(*) AS event_count, round(AVG(client_count), 6) AS avg_clients
+FROM ec JOIN bounds ON (epoch_us(latest) - epoch_us(earliest)) / 1000000.0 >= lo
+                   AND (epoch_us(latest) - epoch_us(earliest)) / 1000000.0 < hi
+WHERE client_count >= 2 AND (SELECT n FROM nc) >= 2 GROUP BY 1, 2"""
+
+
+def overlap_sql(cte: str) -> str:
+    """Shared events of every two clients."""
+    return cte + """,
+cnt AS (SELECT client_id, COUNT(*) AS n FROM se GROUP BY 1),
+sh AS (SELECT a.client_id AS client_a, b.client_id AS client_b, COUNT(*) AS shared
+       FROM se a JOIN se b ON a.username = b.username AND a.norm_query = b.norm_query
+        AND a.time_bucket = b.time_bucket AND a.client_id < b.client_id GROUP BY 1, 2),
+p AS (SELECT a.client_id AS client_a, b.client_id AS client_b, a.n AS count_a, b.n AS count_b,
+             COALESCE(sh.shared, 0) AS shared
+      FROM cnt a JOIN cnt b ON a.client_id < b.client_id
+      LEFT JOIN sh ON sh.client_a = a.client_id AND sh.client_b = b.client_id)
+SELECT client_a, client_b, count_a, count_b, shared,
+       round(shared * 100.0 / count_a, 6) AS pct_a_in_b, round(shared * 100.0 / count_b, 6) AS pct_b_in_a,
+       round(shared * 100.0 / count_a, 6) >= 95 AS a_subset, round(shared * 100.0 / count_b, 6) >= 95 AS b_subset
+FROM p"""

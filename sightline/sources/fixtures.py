@@ -124,8 +124,3 @@ S2_SQL = """(SELECT o_orderpriority AS client_id, o_orderdate AS "timestamp", CA
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey)"""
 
 DOC_SQL = "(SELECT doc_id, lower(trim(text)) AS query FROM documents)"
-
-
-def tuples_sql(searches_sql: str) -> str:
-    return f"""(SELECT CAST("timestamp" AS DATE) AS date, username, lower(trim(query)) AS query_normalized,
-       COUNT(*) AS search_count FROM {searches_sql} s GROUP BY ALL)"""

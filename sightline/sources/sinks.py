@@ -177,6 +177,21 @@ def export_queries_json(top: DataFrame, slugs: DataFrame | None, path: str) -> s
     return path
 
 
+def export_period_lists(top: DataFrame, slugs: DataFrame | None, blacklist: list[str], path: str) -> str:
+    """JSON lines of the lists of all periods (``period_type=/period_id=``):
+    blacklisted queries are removed first and the rest numbered anew."""
+    from ..operators.ranking import rank_within
+    keys = ["period_type", "period_id"]
+    kept = top.where(~E.is_blacklisted("query_normalized", blacklist))
+    t = rank_within(kept.withColumnRenamed("rank", "_old"), keys, [F.col("_old").asc()])
+    t = t.select(*keys, "rank", F.col("query_normalized").alias("query"), "unique_users", "total_searches")
+    if slugs is not None:
+        t = t.join(slugs.select(F.col("query_normalized").alias("query"), "slug"), "query", "left")
+    (t.repartitionByRange(*keys, "rank").sortWithinPartitions(*keys, "rank")
+     .write.mode("overwrite").partitionBy(*keys).json(path))
+    return path
+
+
 def export_search_index(index: DataFrame, path: str) -> str:
     """One JSON object {q, u, t, s?} per line, users desc; s omitted if null."""
     (index.orderBy(F.col("u").desc(), F.col("t").desc(), F.col("q"))

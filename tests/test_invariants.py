@@ -50,7 +50,7 @@ def test_cooccurrence_symmetric_and_salting_exact(tuples):
     plain = SM.cooccurrence(pairs, min_shared=1, chunk=10**9)
     salted = SM.cooccurrence(pairs, min_shared=1, chunk=2)   # every user is "heavy"
     assert plain.exceptAll(salted).count() == 0 and salted.exceptAll(plain).count() == 0
-    shuffled = SM.cooccurrence(pairs, min_shared=1, chunk=2, max_broadcast_heavy=0)
+    shuffled = SM.cooccurrence(pairs, min_shared=1, chunk=2)
     assert plain.exceptAll(shuffled).count() == 0 and shuffled.exceptAll(plain).count() == 0
     mirrored = plain.select(F.col("similar_query").alias("query"),
                             F.col("query").alias("similar_query"), "shared_users")
