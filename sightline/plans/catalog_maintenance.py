@@ -733,7 +733,8 @@ def q_archive_job_tuples(spark, sf):
 
 @register("archive_job_client_stats", f"SELECT * FROM {DAILY_ALL}")
 def q_archive_job_client_stats(spark, sf):
-    return spark.read.schema(S.DAILY_CLIENT_STATS).parquet(f"{_archived(spark, sf)}/daily_client_stats")
+    stats = spark.read.schema(S.DAILY_CLIENT_STATS).parquet(f"{_archived(spark, sf)}/daily_client_stats")
+    return stats.select(*S.DAILY_CLIENT_STATS.names)
 
 
 @register("archive_job_pairs", f"""SELECT DISTINCT username, lower(trim(query)) AS query_normalized,
