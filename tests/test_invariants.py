@@ -95,3 +95,34 @@ def test_length_dist_empty_query_rule(spark):
             ST.query_length_dist(t, exclude_empty=True).where(
                 F.col("period_type") == "all_time").collect()}
     assert keep == {(1, 1), (3, 1)} and drop == {(3, 1)}
+
+
+def test_one_very_heavy_user_is_split_and_exact(spark):
+    """One user holds most pairs: blocks meet two by two, results as by hand."""
+    from itertools import combinations
+
+    rows = [("heavy", f"q{k:03d}") for k in range(120)]
+    rows += [(f"u{u}", f"q{k:03d}") for u in range(6) for k in range(u, 120, 7)]
+    rows += [("heavy", f"rare{k}") for k in range(50)]          # below min_shared: pruned
+    pairs = spark.createDataFrame(rows, "username string, query_normalized string")
+    got = {(r.query, r.similar_query): r.shared_users
+           for r in SM.cooccurrence(pairs, min_shared=2, chunk=15, mirror=False).collect()}
+    users = {}
+    for u, q in rows:
+        users.setdefault(q, set()).add(u)
+    want = {(a, b): len(users[a] & users[b]) for a, b in combinations(sorted(users), 2)
+            if len(users[a] & users[b]) >= 2}
+    assert got == want and len(want) > 500
+
+
+def test_client_range_and_has_rows(spark):
+    import datetime as dt
+
+    from sightline import schema as S
+    from sightline.sources import scans as SC
+    rows = [("c1", dt.datetime(2024, 1, 1, h), "u", "q") for h in range(5)] + [
+        ("c2", dt.datetime(2024, 1, 1, 2), "u", "q")]
+    df = spark.createDataFrame(rows, S.SEARCHES)
+    got = SC.scan_client_range(df, "c1", "2024-01-01 01:00:00", "2024-01-01 03:00:00")
+    assert sorted(r.timestamp.hour for r in got.collect()) == [1, 2, 3]      # both ends belong
+    assert SC.has_rows(got) and not SC.has_rows(got.where("client_id = 'c2'"))
