@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import vocabulary as V
-from .shared import blank_words, drop_table, write_once
+from .shared import blank_words, write_once
 
 STATES, ROUNDS, SEGMENT = 8, 8, 64
 HALF = 2048
