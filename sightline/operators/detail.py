@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from ..functions import expr as E
 from .ranking import rank_within
-from .stats import all_time_query_stats
 
 Q = "query_normalized"
 
