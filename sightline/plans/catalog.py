@@ -16,7 +16,7 @@ from ..operators import stats as ST
 from ..sources import fixtures as FX
 from . import oracle as O
 
-from .registry import register
+from .registry import once_per_session, register
 
 
 def s2_tuples(spark, sf):
@@ -429,10 +429,27 @@ def q_slug_dimension(spark, sf):
     return DT.slug_map(ST.query_daily_stats(t), CUTOFF, BLACKLIST)
 
 
+@once_per_session
+def _detail_paths(spark, sf):
+    """The detail tables as the publish step writes them: point lookups read
+    these, sorted on the lookup column, instead of building the list anew."""
+    import uuid
+
+    from ..sources import sinks as SK
+    d = s2_detail(spark, sf)
+    return SK.export_detail_tables(f"{SK.warehouse_root(spark)}/lookup-{uuid.uuid4().hex}", {
+        "queries": d, "query_daily": DT.detail_daily(d, ST.query_daily_stats(s2_tuples(spark, sf)), CUTOFF),
+        "query_similar": DT.detail_similar(d, s2_similar(spark, sf))})
+
+
+def s2_detail_table(spark, sf, name):
+    return spark.read.parquet(_detail_paths(spark, sf)[name])
+
+
 @register("query_by_slug", DETAIL_CTE + """
 SELECT * FROM dq WHERE slug = (SELECT slug FROM dq WHERE rank = 1)""")
 def q_query_by_slug(spark, sf):
-    d = s2_detail(spark, sf)
+    d = s2_detail_table(spark, sf, "queries")
     return DT.query_by_slug(d, d.where(F.col("rank") == 1).select("slug").scalar())
 
 
@@ -440,9 +457,7 @@ def q_query_by_slug(spark, sf):
 SELECT rank, date, search_count, qd.unique_users FROM qd JOIN dq ON dq.query = qd.query_normalized
 WHERE date <= DATE '{CUTOFF.isoformat()}' AND rank = 1""")
 def q_daily_by_rank(spark, sf):
-    t = s2_tuples(spark, sf)
-    daily = DT.detail_daily(s2_detail(spark, sf), ST.query_daily_stats(t), CUTOFF)
-    return DT.daily_by_rank(daily, 1)
+    return DT.daily_by_rank(s2_detail_table(spark, sf, "query_daily"), 1)
 
 
 @register("similar_detail", DETAIL_CTE + """,
@@ -452,8 +467,8 @@ SELECT ds.similar_rank, ds.rank, ds.score, ds.shared_users, dq.query AS similar_
 FROM ds JOIN dq ON dq.rank = ds.similar_rank WHERE ds.rank = 1
 ORDER BY score DESC, shared_users DESC, similar_rank LIMIT 10""")
 def q_similar_detail(spark, sf):
-    d = s2_detail(spark, sf)
-    return DT.similar_detail(d, DT.detail_similar(d, s2_similar(spark, sf)), 1)
+    return DT.similar_detail(s2_detail_table(spark, sf, "queries"),
+                             s2_detail_table(spark, sf, "query_similar"), 1)
 
 
 @register("top25_chart", f"""

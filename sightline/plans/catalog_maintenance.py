@@ -28,7 +28,7 @@ from ..sources import scans as SC
 from ..sources import sinks as SK
 from . import oracle as O
 from .catalog import AS_OF, BLACKLIST, BLACKLIST_RX, CONV_CTE, CUTOFF, DETAIL_CTE, TOKEN_SPLIT, s2_tuples
-from .registry import ORACLE, register
+from .registry import ORACLE, once_per_session, register
 
 SPLIT = dt.date(2001, 1, 1)           # first live-only day
 LIVE_FROM = dt.date(2000, 12, 1)      # live part starts one month earlier
@@ -584,19 +584,6 @@ def q_export_detail_tables(spark, sf):
 from . import jobs as J  # noqa: E402
 
 
-def once_per_session(job):
-    """A composed job writes several tables and each has a query of its own:
-    within one Spark application the job runs once per input."""
-    done: dict[tuple, object] = {}
-
-    def run(spark, sf):
-        key = (spark.sparkContext.applicationId, sf)
-        if key not in done:
-            done[key] = job(spark, sf)
-        return done[key]
-    return run
-
-
 @once_per_session
 def _period_stats_twice(spark, sf):
     t, arch, live = t2_parts(spark, sf)

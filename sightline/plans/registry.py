@@ -23,5 +23,18 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def once_per_session(job):
+    """A composed job writes several tables and each has a query of its own:
+    within one Spark application the job runs once per input."""
+    done: dict[tuple, object] = {}
+
+    def run(spark, sf):
+        key = (spark.sparkContext.applicationId, sf)
+        if key not in done:
+            done[key] = job(spark, sf)
+        return done[key]
+    return run
+
+
 def load_all() -> None:
     from . import catalog, catalog_maintenance, catalog_streaming  # noqa: F401
