@@ -12,9 +12,12 @@ are still apart:
    similarity, corrected for chance agreement of B bits, by counting bits; the
    pairs above it are confirmed on the full sets.
 3. Where a bucket still holds several groups, its members are compared in
-   blocks by their packed signatures; only pairs of different groups above the
-   estimate leave the block and are confirmed. So every pair that shares a
-   band is either inside one group already or was tested: no cap, no sample.
+   blocks by their packed signatures and each proposes its likeliest partner in
+   another group; proposals are confirmed and the groups joined, round after
+   round (a round proposes as many pairs as there are members, not pairs of
+   members). When no proposal holds, all pairs still apart that pass the
+   estimate are confirmed. So every pair that shares a band is either inside one
+   group already or was tested: no cap, no sample.
 
 With 32 bands of 4 rows a pair at the threshold (0.75) misses all bands with
 probability 5e-6, and its estimate lies below ``FLOOR`` (five deviations
@@ -234,8 +237,10 @@ def confirmed(pairs: DataFrame, docs: DataFrame, sketches: DataFrame, id_col: st
     return done
 
 
-def open_pairs(members: DataFrame, signatures: DataFrame, roots: DataFrame) -> DataFrame:
-    """(a, b, estimate): pairs that share a bucket but lie in different groups."""
+def open_pairs(members: DataFrame, signatures: DataFrame, roots: DataFrame,
+               best_only: bool = False) -> DataFrame:
+    """(a, b): pairs that share a bucket, lie in different groups and pass the
+    estimate; with ``best_only`` one per member and block, its likeliest."""
     at = members.join(roots, "node", "left").select(
         "key", "node", F.coalesce("root", "node").alias("root"))
     mixed = at.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
@@ -248,8 +253,7 @@ def open_pairs(members: DataFrame, signatures: DataFrame, roots: DataFrame) -> D
         F.least(other, mine).alias("i"), F.greatest(other, mine).alias("j"))))
     rows = rows.select("key", "node", "root", "n", "sig", mine.alias("mine"), tasks.alias("t"))
     rows = rows.select("key", "t.i", "t.j", "mine", "node", "root", "n", "sig")
-    out = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType()),
-                        T.StructField("est", T.DoubleType())])
+    out = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def pairs(run: list) -> Iterator[tuple[np.ndarray, ...]]:
@@ -259,6 +263,7 @@ def open_pairs(members: DataFrame, signatures: DataFrame, roots: DataFrame) -> D
             sig = sig.reshape(-1, LONGS).view(np.uint64)
             same = int(tab.column("i")[0].as_py()) == int(tab.column("j")[0].as_py())
             left = np.arange(len(node)) if same else np.flatnonzero(mine == tab.column("i")[0].as_py())
+            best, partner = np.zeros(len(node)), np.zeros(len(node), np.int64)
             for x in left.tolist():
                 y = np.arange(x + 1, len(node)) if same else np.flatnonzero(mine != mine[x])
                 y = y[(root[y] != root[x]) & (node[y] != node[x])
@@ -272,7 +277,17 @@ def open_pairs(members: DataFrame, signatures: DataFrame, roots: DataFrame) -> D
                 agree = 1 - np.bitwise_count(z & _ONES).sum(axis=1) / K
                 est = (agree - 2.0 ** -B) / (1 - 2.0 ** -B)
                 y, est = y[est >= FLOOR], est[est >= FLOOR]
-                yield np.minimum(node[y], node[x]), np.maximum(node[y], node[x]), est
+                if best_only and len(y):  # for both: a later member may find its best in x
+                    better = est > best[y]
+                    best[y[better]], partner[y[better]] = est[better], node[x]
+                    k = int(np.argmax(est))
+                    if est[k] > best[x]:
+                        best[x], partner[x] = est[k], node[y[k]]
+                elif not best_only:
+                    yield np.minimum(node[y], node[x]), np.maximum(node[y], node[x])
+            if best_only:
+                has = best > 0
+                yield np.minimum(node[has], partner[has]), np.maximum(node[has], partner[has])
 
         def send(run: list) -> Iterator[pa.RecordBatch]:
             got = list(pairs(run))
@@ -295,7 +310,7 @@ def open_pairs(members: DataFrame, signatures: DataFrame, roots: DataFrame) -> D
             yield from send(held)
 
     return (rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-            .mapInArrow(compare, out).groupBy("a", "b").agg(F.max("est").alias("est")))
+            .mapInArrow(compare, out).distinct())
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -331,25 +346,22 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     links = test(star_pairs(members, signatures))
     roots = components(links)
-    rest = write_once(open_pairs(members.distinct(), signatures, roots), "open")
-    if rest.limit(1).count():
-        # first the likeliest pair of each two groups, then all that is still apart
-        def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-            ra = roots.select(F.col("node").alias("a"), F.col("root").alias("ra"))
-            rb = roots.select(F.col("node").alias("b"), F.col("root").alias("rb"))
-            return (pairs.join(ra, "a", "left").join(rb, "b", "left")
-                    .select("a", "b", "est", F.coalesce("ra", "a").alias("ra"),
-                            F.coalesce("rb", "b").alias("rb")).where("ra <> rb"))
-
-        best = apart(rest, roots).groupBy(F.least("ra", "rb").alias("lo"), F.greatest("ra", "rb").alias("hi")
-                                          ).agg(F.max_by(F.struct("a", "b"), F.struct("est", "a", "b")).alias("p"))
-        first = test(best.select("p.a", "p.b"))
-        links = links.union(first)
-        roots = components(links)
-        more = write_once(apart(rest, roots).select("a", "b"), "apart")
-        if more.limit(1).count():
-            links = links.union(test(more))
+    members = members.distinct()
+    while True:  # each open member proposes its likeliest partner, as long as that joins groups
+        likely = write_once(open_pairs(members, signatures, roots, best_only=True), "likely")
+        if not likely.limit(1).count():
+            break
+        found = test(likely.select("a", "b"))
+        if found.limit(1).count():
+            links = links.union(found)
+            roots = components(links)
+            continue
+        # no proposal holds: whatever is still apart is tested in full
+        rest = write_once(open_pairs(members, signatures, roots).join(likely, ["a", "b"], "left_anti"), "open")
+        if rest.limit(1).count():
+            links = links.union(test(rest.select("a", "b")))
             roots = components(links)
+        break
     # one row per node: its group, then the smallest id of the group
     nodes = sketches.where("node is not null").groupBy("node").agg(F.min("id").alias("id"))
     nodes = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
