@@ -237,6 +237,14 @@ def confirmed(pairs: DataFrame, docs: DataFrame, sketches: DataFrame, id_col: st
     return done
 
 
+def open_members(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows (key, node) of buckets that still hold several groups. Groups
+    only grow, so a bucket that holds one is done for good."""
+    at = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    several = at.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+    return at.join(several.select("key"), "key").select("key", "node")
+
+
 def open_pairs(members: DataFrame, signatures: DataFrame, roots: DataFrame,
                best_only: bool = False) -> DataFrame:
     """(a, b): pairs that share a bucket, lie in different groups and pass the
@@ -348,6 +356,7 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     roots = components(links)
     members = members.distinct()
     while True:  # each open member proposes its likeliest partner, as long as that joins groups
+        members = write_once(open_members(members, roots), "members")
         likely = write_once(open_pairs(members, signatures, roots, best_only=True), "likely")
         if not likely.limit(1).count():
             break
