@@ -87,34 +87,41 @@ class Node:
 
 
 
-def _purpose(tag: str, attrs: str, inside: bool) -> tuple[int, bool, str]:
-    """(2: never content by element or role, 1: by class or id, 0; marks the
-    article; name for the label)."""
+def _purpose(tag: str, attrs: str, inside: bool) -> tuple[int, str, str]:
+    """(2: never content by element or role, 1: by class or id, 0; "main" or
+    "article" if it marks the article; name for the label)."""
     if tag in NEVER or (tag == "header" and not inside):
-        return 2, False, ""
-    article = tag in ("article", "main")
+        return 2, "", ""
+    article = tag if tag in ("article", "main") else ""
     if not attrs or "=" not in attrs and "hidden" not in attrs:
         return 0, article, ""
     found = {k.lower(): v.strip("\"'") for k, v in _ATTR.findall(attrs)}
     role = found.get("role", "").lower()
     words = set(_SPLIT.split(f"{found.get('class', '')} {found.get('id', '')}".lower()))
-    article = article or role in ("main", "article") or found.get("itemprop", "").lower() == "articlebody"
+    if role == "main" or found.get("itemprop", "").lower() == "articlebody":
+        article = "main"
+    elif role == "article":
+        article = article or "article"
     if ("hidden" in found or found.get("aria-hidden") == "true" or role in ROLES
             or "display:none" in found.get("style", "").replace(" ", "").lower()):
-        return 2, False, ""
+        return 2, "", ""
     # classes of the page or of the article speak of the whole layout
     speaks = words & (COMMENTS if article else PURPOSE) if tag not in ("html", "body") else set()
     never = bool(speaks) or ("header" in words and not inside and not article)
     return int(never), article, " ".join(sorted(w for w in words if w))
 
 
-def parse(page: str) -> tuple[Node, list[tuple[str, int, bool, Node]]]:
+class Mark(str):
+    """The element that is, or holds, the article; its kind as a string."""
+
+
+def parse(page: str) -> tuple[Node, list[tuple[str, int, Mark | None, Node]]]:
     """The tree of block elements, and the blocks of text in page order:
-    (text, never content: 0 to 2, in the article, element)."""
+    (text, never content: 0 to 2, article it is in, element)."""
     root = Node("#")
-    leaves: list[tuple[str, int, bool, Node]] = []
+    leaves: list[tuple[str, int, Mark | None, Node]] = []
     # element, node (None: inline), never, article, never of the nearest node
-    stack = [("#", root, 0, False, 0)]
+    stack = [("#", root, 0, None, 0)]
     buffer: list[str] = []
     at, depth = 0, 0
 
@@ -172,7 +179,7 @@ def parse(page: str) -> tuple[Node, list[tuple[str, int, bool, Node]]]:
                     break
             flush()
         _, _, never, article, base = stack[-1]
-        own, marks, name = _purpose(tag, attrs, article)
+        own, marks, name = _purpose(tag, attrs, article is not None)
         node = None
         if tag in BLOCK and depth < DEPTH:
             node = Node(f"{tag} {name}" if name else tag)
@@ -181,8 +188,9 @@ def parse(page: str) -> tuple[Node, list[tuple[str, int, bool, Node]]]:
         if attrs.endswith("/") and tag not in BLOCK:
             continue
         low = max(never, own)
-        stack.append((tag, node, low, article or (marks and not own and never < 2),
-                      low if node is not None else base))
+        if marks and not own and never < 2 and (article is None or article == "article" != marks):
+            article = Mark(marks)
+        stack.append((tag, node, low, article, low if node is not None else base))
     if at < len(page):
         say(page[at:])
     flush()
@@ -339,19 +347,26 @@ def main_text(page: str | None, wrapper: list | None) -> str:
     if not page:
         return ""
     root, leaves = parse(page)
+    fixed = template_nodes(wrapper, fold(root), set()) if wrapper else set()
     live = [x for x in leaves if not x[1]]
     # an article in an element whose class alone speaks against it is taken
     # if the page has no other
-    inside = [t for t, _, article, _ in live if article] or [
-        t for t, never, article, _ in leaves if article and never < 2]
-    if inside:
-        return "\n".join(inside)
-    if wrapper:
-        fixed = template_nodes(wrapper, fold(root), set())
-        slots = [t for t, _, _, node in live if id(node) not in fixed]
-        if slots:
-            return "\n".join(slots)
-    return "\n".join(t for t, *_ in live)
+    inside = [x for x in live if x[2]] or [x for x in leaves if x[2] and x[1] < 2]
+    slots, within = ([x for x in xs if id(x[3]) not in fixed] for xs in (live, inside))
+    if inside and _narrows(inside, within, slots, bool(wrapper) and wrapper[1] >= MIN_PAGES):
+        return "\n".join(x[0] for x in within or inside)
+    return "\n".join(x[0] for x in slots or live)
+
+
+def _narrows(inside: list, within: list, slots: list, known: bool) -> bool:
+    """Whether the text is in the article: always for main and its like and,
+    without a wrapper, for an only article; else if no more slot text stands
+    outside (an article may also be a teaser card)."""
+    marks = {id(x[2]): x[2] for x in inside}.values()
+    if any(m != "article" for m in marks) or (not known and len(marks) == 1):
+        return True
+    outside = sum(len(x[0]) for x in slots if not x[2])
+    return outside <= sum(len(x[0]) for x in within)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",

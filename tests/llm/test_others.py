@@ -44,6 +44,20 @@ def test_main_text(pages, bound, monkeypatch):
     assert W.extract(pages.where("false")).count() == 0
 
 
+def test_template_inside_the_article_and_teaser_cards(spark):
+    from sightline.llm import wrappers as W
+    rows = [(k, f"http://news.example.com/{k}", f"<article><h1>Head {k}</h1><p>story {k}</p><blockquote>Read us daily</blockquote>"
+             f"<p>end {k}</p></article>") for k in range(8)]
+    card = "<article><h3>Card {0} {1}</h3></article>"
+    rows += [(100 + k, f"http://cards.example.com/{k}", f"<div class='b1'><h1>Head {k}</h1><p>{'long body of the page ' * 5}{k}</p></div>"
+              f"<div class='b2'>{card.format(k, 1)}{card.format(k, 2)}</div>") for k in range(8)]
+    got = {r["page_id"]: r["text"] for r in W.extract(spark.createDataFrame(
+        rows, "page_id bigint, url string, html string").repartition(3)).collect()}
+    for k in range(8):
+        assert got[k] == f"Head {k}\nstory {k}\nend {k}"
+        assert got[100 + k].startswith(f"Head {k}\nlong body")
+
+
 def test_matching_against_enumeration():
     from itertools import combinations
 
