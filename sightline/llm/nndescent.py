@@ -1,8 +1,9 @@
 """Approximate nearest neighbours: NN-descent graph and greedy graph search.
 
-* Vectors that are equal are one *node* (its 64-bit hash); a node keeps the
-  ``k`` + 1 smallest ids among its rows, which is all that a list of the k
-  nearest can need. A vector that a third of the rows share is one node.
+* Vectors of one direction (to 2^-40 of the largest component) are one *node*;
+  a node keeps the ``k`` + 1 smallest ids among its rows, which is all that a list
+  of the k nearest can need. A vector that a third of the rows share is one node.
+  Nodes are numbered by their smallest id, so ties go to the smaller id everywhere.
 * Start: random hyperplanes cut the nodes into cells of about ``LEAF`` nodes, a
   few times over; inside a cell each node takes its nearest. A cell that came
   out larger is dealt into parts by hash.
@@ -15,8 +16,9 @@
   yet visited with the graph (lists both ways), scores their neighbours and
   merges them into the beam, until a beam holds only visited nodes.
 
-Inside, vectors are 8-bit codes (64 bytes for 64 dimensions travel, not 256);
-the beams are then scored again on the original vectors in double precision.
+Inside, vectors travel in single precision (scaled by a power of two, so vectors
+given in single precision are exact) and are normalised and scored in double;
+the whole beams are then scored again on the original vectors in double.
 
 Defined cases: rows without an id, and vectors null, zero or holding null or
 non-finite components take no part; of vectors of several dimensions the most
@@ -41,21 +43,26 @@ from .shared import drop_table, write_once
 
 K, LEAF, TREES, ROUNDS, CHANGE = 20, 1024, 8, 3, 0.02
 BEAM, EXPAND = 224, 64
-RESCORE = 64
 
 LIST = T.StructType([T.StructField("node", T.LongType()), T.StructField("near", T.BinaryType()),
                      T.StructField("score", T.BinaryType())])
 PAIR = T.StructType([T.StructField("node", T.LongType()), T.StructField("other", T.LongType()),
-                     T.StructField("score", T.FloatType())])
+                     T.StructField("score", T.DoubleType())])
 
 
 def code(v: np.ndarray) -> np.ndarray:
-    """8-bit codes of the rows of a matrix (direction only)."""
-    return np.rint(v * (127 / np.abs(v).max(axis=1, keepdims=True))).astype(np.int8)
+    """Single-precision rows of a matrix, scaled by a power of two."""
+    return np.ldexp(v, -np.frexp(np.abs(v).max(axis=1, keepdims=True))[1]).astype(np.float32)
 
 
-def unit(codes: np.ndarray) -> np.ndarray:
-    f = codes.astype(np.float32)
+def direction(v: np.ndarray) -> np.ndarray:
+    """Equal rows for rows of a matrix that differ by a positive factor only."""
+    return np.rint(v / np.abs(v).max(axis=1, keepdims=True) * 2.0 ** 40).astype(np.int64)
+
+
+def unit(codes) -> np.ndarray:
+    """The vectors of length 1, in double, of some codes (Arrow or bytes)."""
+    f = np.stack([np.frombuffer(c if isinstance(c, bytes) else c.as_py(), np.float32) for c in codes]).astype(float)
     return f / np.linalg.norm(f, axis=1, keepdims=True)
 
 
@@ -102,14 +109,15 @@ def _sink(schema: T.StructType, size: int = 20_000):
 # -- nodes ------------------------------------------------------------------------
 
 def nodes_of(vectors: DataFrame, id_col: str, vector_col: str, k: int) -> tuple[DataFrame, DataFrame]:
-    """(node, vec, code, ids) per distinct usable vector, and (id, node) per row."""
+    """(node, vec, code, ids, way) per direction, and (id, way) per row: node is
+    a number in the order of the smallest ids, way a hash of the direction."""
     src = vectors.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vec"))
     bad = F.exists("vec", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     src = src.where(~bad & F.exists("vec", lambda x: x != 0))
     sizes = src.groupBy(F.size("vec").alias("d")).count().orderBy(F.desc("count"), "d").first()
     src = src.where(F.size("vec") == (sizes["d"] if sizes else -1))
-    row = T.StructType([T.StructField("id", T.LongType()), T.StructField("node", T.LongType()),
+    row = T.StructType([T.StructField("id", T.LongType()), T.StructField("way", T.LongType()),
                         T.StructField("vec", T.ArrayType(T.DoubleType())), T.StructField("code", T.BinaryType())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,18 +126,19 @@ def nodes_of(vectors: DataFrame, id_col: str, vector_col: str, k: int) -> tuple[
                 continue
             flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
             m = np.ascontiguousarray(flat.reshape(batch.num_rows, -1))
-            ids = np.array([xxhash.xxh3_64_intdigest(r.tobytes()) for r in m], np.uint64).view(np.int64)
+            ids = np.array([xxhash.xxh3_64_intdigest(r.tobytes()) for r in direction(m)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(ids), batch.column(1),
                  pa.array([c.tobytes() for c in code(m)], pa.binary())], names=row.names)
 
     rows = write_once(src.mapInArrow(encode, row), "vectors")
-    rank = F.row_number().over(Window.partitionBy("node").orderBy("id"))
-    few = rows.select("node", "id").distinct().withColumn("r", rank).where(F.col("r") <= k + 1)
-    ids = few.groupBy("node").agg(F.sort_array(F.collect_list("id")).alias("ids"))  # k + 1 at most
-    first = few.where("r = 1").select("node", "id")
-    nodes = rows.join(first, ["node", "id"]).dropDuplicates(["node"]).join(ids, "node")
-    return write_once(nodes.select("node", "vec", "code", "ids"), "nodes"), rows.select("id", "node")
+    rank = F.row_number().over(Window.partitionBy("way").orderBy("id"))
+    few = rows.select("way", "id").distinct().withColumn("r", rank).where(F.col("r") <= k + 1)
+    ids = few.groupBy("way").agg(F.sort_array(F.collect_list("id")).alias("ids"))  # k + 1 at most
+    first = few.where("r = 1").select("way", "id")
+    nodes = rows.join(first, ["way", "id"]).dropDuplicates(["way"]).join(ids, "way").orderBy("id", "way")
+    nodes = nodes.withColumn("node", F.monotonically_increasing_id())  # one id may come with several vectors
+    return write_once(nodes.select("node", "vec", "code", "ids", "way"), "nodes"), rows.select("id", "way")
 
 
 # -- the graph ----------------------------------------------------------------------
@@ -155,7 +164,7 @@ def start_lists(nodes: DataFrame, count: int, k: int = K, leaf: int = LEAF, tree
         for batch in batches:
             if not batch.num_rows:
                 continue
-            m = unit(np.stack([np.frombuffer(c.as_py(), np.int8) for c in batch.column(1)]))
+            m = unit(batch.column(1))
             planes = np.random.default_rng(17).standard_normal((trees, max(1, bits), m.shape[1])).astype(np.float32)
             for t in range(trees):
                 side = (m @ planes[t].T > 0)[:, :bits].astype(np.int64)
@@ -174,7 +183,7 @@ def start_lists(nodes: DataFrame, count: int, k: int = K, leaf: int = LEAF, tree
         put = _sink(LIST, 4000)
         for tab in by_run(batches, "cell"):
             ids = tab.column("node").to_numpy()
-            m = unit(np.stack([np.frombuffer(c.as_py(), np.int8) for c in tab.column("code")]))
+            m = unit(tab.column("code"))
             n = min(k, len(ids) - 1)
             if n < 1:
                 continue
@@ -195,7 +204,7 @@ def keep_best(lists: DataFrame, k: int = K) -> DataFrame:
         put = _sink(LIST, 4000)
         for tab in by_run(batches, "node"):
             near = np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in tab.column("near")])
-            score = np.concatenate([np.frombuffer(x.as_py(), np.float32) for x in tab.column("score")])
+            score = np.concatenate([np.frombuffer(x.as_py(), np.float64) for x in tab.column("score")])
             near, score = _best(near, score, k)
             yield from put(([tab.column("node")[0].as_py()], [near.tobytes()], [score.tobytes()]))
         yield from put()
@@ -209,7 +218,7 @@ def _edges(lists: DataFrame) -> DataFrame:
         for batch in batches:
             for node, near, score in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
                 other = np.frombuffer(near.as_py(), np.int64)
-                yield from put((np.full(len(other), node), other, np.frombuffer(score.as_py(), np.float32)))
+                yield from put((np.full(len(other), node), other, np.frombuffer(score.as_py(), np.float64)))
         yield from put()
 
     return lists.mapInArrow(run, PAIR)
@@ -238,11 +247,11 @@ def descend(lists: DataFrame, codes: DataFrame, k: int = K) -> tuple[DataFrame,
             ids = tab.column("member").to_numpy()
             if len(ids) < 2:
                 continue
-            m = unit(np.stack([np.frombuffer(c.as_py(), np.int8) for c in tab.column("code")]))
+            m = unit(tab.column("code"))
             s = m @ m.T
             np.fill_diagonal(s, -9)
-            score = [np.frombuffer(x.as_py(), np.float32) for x in tab.column("score")]
-            least = np.array([x[-1] if len(x) >= k else -2 for x in score], np.float32)
+            score = [np.frombuffer(x.as_py(), np.float64) for x in tab.column("score")]
+            least = np.array([x[-1] if len(x) >= k else -2 for x in score])
             a, b = np.nonzero(s > least[:, None])
             if len(a):
                 near = [set(np.frombuffer(x.as_py(), np.int64).tolist()) for x in tab.column("near")]
@@ -258,18 +267,18 @@ def descend(lists: DataFrame, codes: DataFrame, k: int = K) -> tuple[DataFrame,
         for tab in by_run(batches, "node"):
             rows = tab.column("other").to_numpy()
             single = tab.column("near").is_null().to_numpy()
-            near, score = [rows[single]], [tab.column("one").to_numpy()[single].astype(np.float32)]
+            near, score = [rows[single]], [tab.column("one").to_numpy()[single]]
             for x, y in zip(tab.column("near").to_pylist(), tab.column("score").to_pylist()):
                 if x is not None:
                     near.append(np.frombuffer(x, np.int64))
-                    score.append(np.frombuffer(y, np.float32))
+                    score.append(np.frombuffer(y, np.float64))
             best, s = _best(np.concatenate(near), np.concatenate(score), k)
             yield from put(([tab.column("node")[0].as_py()], [best.tobytes()], [s.tobytes()]))
         yield from put()
 
     none = F.lit(None).cast("binary")
     rows = found.select("node", "other", F.col("score").alias("one"), none.alias("near"), none.alias("score")).union(
-        lists.select("node", F.lit(0).cast("long"), F.lit(0.0).cast("float"), "near", "score"))
+        lists.select("node", F.lit(0).cast("long"), F.lit(0.0), "near", "score"))
     new = write_once(rows.repartition("node").sortWithinPartitions("node").mapInArrow(merge, LIST), "lists")
     sent = found.count()
     drop_table(found)
@@ -321,7 +330,7 @@ def search(queries: DataFrame, graph: DataFrame, beam: int = BEAM, expand: int =
     spark = graph.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     held = graph.repartition(parts, "node").persist(StorageLevel.DISK_ONLY)  # shuffled once for all steps
-    entry = np.array([9.0], np.float32).tobytes()
+    entry = np.array([9.0]).tobytes()
     state = queries.select("query", "code", "entry")
 
     def begin(batches):
@@ -351,10 +360,10 @@ def search(queries: DataFrame, graph: DataFrame, beam: int = BEAM, expand: int =
         for batch in batches:
             for query, code_, near, codes in zip(*(batch.column(batch.schema.get_field_index(x)).to_pylist()
                                                    for x in ("query", "code", "near", "codes"))):
-                ids = np.frombuffer(near, np.int64)
-                s = unit(np.frombuffer(codes, np.int8).reshape(len(ids), -1)) @ unit(
-                    np.frombuffer(code_, np.int8)[None, :])[0]
-                yield from put(([query], [near], [s.astype(np.float32).tobytes()]))
+                size = len(code_)
+                m = unit([codes[lo:lo + size] for lo in range(0, len(codes), size)])
+                # ties are ties whatever the last bits of a sum
+                yield from put(([query], [near], [np.round(m @ unit([code_])[0], 14).tobytes()]))
         yield from put()
 
     def update(left, right):
@@ -362,12 +371,12 @@ def search(queries: DataFrame, graph: DataFrame, beam: int = BEAM, expand: int =
         if not len(left):
             return pd.DataFrame({n: [] for n in STATE.names})
         s = left.iloc[0]
-        near, score = np.frombuffer(s["near"], np.int64), np.frombuffer(s["score"], np.float32)
+        near, score = np.frombuffer(s["near"], np.int64), np.frombuffer(s["score"], np.float64)
         seen = np.frombuffer(s["seen"], np.uint8).copy()
         seen[np.flatnonzero(seen == 0)[:expand]] = 1
         if len(right):
             more = np.concatenate([np.frombuffer(x, np.int64) for x in right["near"]])
-            got = np.concatenate([np.frombuffer(x, np.float32) for x in right["score"]])
+            got = np.concatenate([np.frombuffer(x, np.float64) for x in right["score"]])
             more, first = np.unique(more, return_index=True)
             new = ~np.isin(more, near)
             near = np.concatenate((near, more[new]))
@@ -396,12 +405,12 @@ def search(queries: DataFrame, graph: DataFrame, beam: int = BEAM, expand: int =
 
 
 def nearest(vectors: DataFrame, wanted: F.Column, k: int = 5, id_col: str = "vec_id",
-            vector_col: str = "embedding", most: int = RESCORE) -> DataFrame:
+            vector_col: str = "embedding") -> DataFrame:
     """The k nearest rows of each row that ``wanted`` (a condition on ``id``)
     names: query_id, rank, vec_id, score."""
     nodes, rows = nodes_of(vectors, id_col, vector_col, k)
     graph = with_codes(build(nodes), nodes)
-    asked = rows.where(wanted).distinct()
+    asked = rows.where(wanted).distinct().join(nodes.select("way", "node"), "way").select("id", "node")
     starts = asked.select("node").distinct().join(nodes, "node")
     beams = search(starts.select(F.col("node").alias("query"), "code", F.col("node").alias("entry")), graph)
 
@@ -409,7 +418,7 @@ def nearest(vectors: DataFrame, wanted: F.Column, k: int = 5, id_col: str = "vec
         for batch in batches:
             q, v = [], []
             for query, near in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = np.frombuffer(near, np.int64)[:most]
+                ids = np.frombuffer(near, np.int64)
                 q.append(np.full(len(ids), query))
                 v.append(ids)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else np.empty(0, np.int64))
@@ -422,7 +431,7 @@ def nearest(vectors: DataFrame, wanted: F.Column, k: int = 5, id_col: str = "vec
     cosine = dot("vec", "own") / (F.sqrt(dot("vec", "vec")) * F.sqrt(dot("own", "own")))
     scored = found.select("query", cosine.alias("score"), F.explode("ids").alias("vec_id"))
     # k + 1 per query node: one of them may be the asking row itself
-    place = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    place = Window.partitionBy("query").orderBy(F.desc(F.round("score", 14)), "vec_id")
     best = scored.withColumn("r", F.row_number().over(place)).where(F.col("r") <= k + 1)
     best = best.groupBy("query").agg(F.sort_array(F.collect_list(F.struct("r", "score", "vec_id"))).alias("best"))
     out = asked.join(best.withColumnRenamed("query", "node"), "node").select(

@@ -155,6 +155,26 @@ def test_nearest(spark):
     assert len(few) == 2
 
 
+@pytest.mark.parametrize("jitter", [0.001, 0.01])
+def test_nearest_in_dense_groups_and_among_scaled_copies(spark, jitter):
+    from sightline.llm import nndescent as N
+    rng = np.random.default_rng(5)
+    x = (rng.standard_normal(64) * (1 + jitter * rng.standard_normal((2000, 64)))).astype(np.float32).astype(float)
+    scaled = rng.standard_normal(64).astype(np.float32).astype(float)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(9000 + i, (scaled * (i + 1)).tolist()) for i in range(300)]
+    got = {}
+    for r in N.nearest(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), F.col("id") % 50 == 0).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+    m = x / np.linalg.norm(x, axis=1, keepdims=True)
+    hit = 0
+    for q in range(0, 2000, 50):
+        s = m @ m[q]
+        s[q] = -9
+        hit += len({v for _, v in got[q]} & set(np.argsort(-s)[:5].tolist()))
+    assert hit >= 0.9 * 5 * 40
+    assert [v for _, v in sorted(got[9250])] == [9000, 9001, 9002, 9003, 9004]
+
+
 def test_nearest_recall_on_the_table(spark, sf_mid):
     from sightline.llm import nndescent as N
     df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
