@@ -174,9 +174,21 @@ def places(line: Column, regex: Column) -> Column:
     return F.slice(walk, 2, F.size(parts))
 
 
+def padded(key: str) -> str:
+    """A keyword as looked for: short ones as whole words, others as prefixes."""
+    return f" {key} " if len(key) < 4 else f" {key}"
+
+
+def gate_keys() -> list[str]:
+    """The padded keywords of rules and base phrases; one that holds another
+    needs no look of its own."""
+    keys = sorted({padded(key) for _, _, key, _ in rules()} | {padded(p) for p in BASE}, key=lambda k: (len(k), k))
+    return [k for i, k in enumerate(keys) if not any(o in k for o in keys[:i])]
+
+
 def _rule_table() -> Column:
     return F.array(*[F.struct(F.lit(p).alias("priority"), F.lit(label).alias("label"),
-                              F.lit(f" {key} " if len(key) < 4 else f" {key}").alias("key"),
+                              F.lit(padded(key)).alias("key"),
                               F.lit(regex).alias("regex")) for p, label, key, regex in rules()])
 
 
@@ -220,12 +232,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     label; till is minus the last word)."""
     lines = docs.select(F.col(id_col), word_line(F.col(text_col)).alias("_line"))
     line = F.col("_line")
-    keys = sorted({key for _, _, key, _ in rules()} | set(BASE), key=len)
-    # a longer key that holds a shorter one needs no look of its own
-    short = [k for i, k in enumerate(keys) if not any(o in k for o in keys[:i])]
     gate = F.lit(False)
-    for k in short:
-        gate = gate | F.contains(line, F.lit(f" {k} " if len(k) < 4 else f" {k}"))
+    for k in gate_keys():
+        gate = gate | F.contains(line, F.lit(k))
     alternatives = "|".join(BASE)
 
     def base(at):

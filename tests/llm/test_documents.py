@@ -291,6 +291,27 @@ def test_licenses(docs, none):
     assert L.summary(L.scan(none)).count() == 0
 
 
+def minimal(regex):
+    """A shortest text of a rule: options left out, first alternatives."""
+    for old, new in ((r"\(\?:[^()]*\)(?:\?|\{0,6\})", ""), (r"\(\?:([^()|]*)[^()]*\)", r"\1"), (r"\[cs\]", "c"),
+                     (r"\[\^ \]\{1,40\}", "x"), (r"\[0-9\]", "2"), (r".\?", "")):
+        regex = re.sub(old, new, regex)
+    return regex
+
+
+def test_each_license_rule_passes_the_gate(spark):
+    from sightline.llm import licenses as L
+    texts = [(i, minimal(rx)) for i, (*_, rx) in enumerate(L.rules())]
+    assert all(re.fullmatch(L.rules()[i][3], t) for i, t in texts)
+    said = {9001: ("SPDX-License-Identifier: LGPL-2.1", "lgpl-2.1"), 9002: ("SPDX-License-Identifier: AGPL-3.0", "agpl-3"),
+            9003: ("SPDX-License-Identifier: 0BSD", "0bsd"), 9004: ("FreeBSD License", "bsd-2-clause-freebsd")}
+    df = spark.createDataFrame(texts + [(i, t) for i, (t, _) in said.items()], "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in L.summary(L.scan(df)).collect()}
+    assert [t for i, t in texts if not got[i]["score"] > 0] == []
+    for i, (_, label) in said.items():
+        assert label in got[i]["labels"].split(","), (i, got[i]["labels"])
+
+
 def test_language(spark, sf_mid, docs, none):
     from sightline.llm import langid as G
     real = spark.read.parquet(f"{sf_mid}/documents.parquet")
