@@ -53,6 +53,8 @@ BROADCAST_BYTES = 32 << 20
 # Fixed values of HTML: elements by kind.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title noscript template iframe svg math".split())
+ENDLESS = {"script", "style", "textarea", "title"}  # without an end tag they take the rest of the page
+FOREIGN = {"svg", "math"}    # may close themselves
 BLOCK = set("""address article aside blockquote body caption center dd details dialog dir div dl dt
 fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup html li main menu nav ol
 optgroup option p pre search section select summary table tbody td tfoot th thead tr ul head""".split())
@@ -124,6 +126,7 @@ def parse(page: str) -> tuple[Node, list[tuple[str, int, Mark | None, Node]]]:
     stack = [("#", root, 0, None, 0)]
     buffer: list[str] = []
     at, depth = 0, 0
+    unclosed: set[str] = set()   # raw elements that no end tag follows
 
     def flush() -> None:
         if buffer:
@@ -165,8 +168,13 @@ def parse(page: str) -> tuple[Node, list[tuple[str, int, Mark | None, Node]]]:
             buffer.append(" ")
             continue
         if tag in RAW:
+            if tag in FOREIGN and attrs.endswith("/") or tag in unclosed:
+                continue
             stop = re.compile(f"</{tag}\\s*>", re.I).search(page, at)
-            at = stop.end() if stop else len(page)
+            if stop or tag in ENDLESS:
+                at = stop.end() if stop else len(page)
+            else:  # only the tag itself
+                unclosed.add(tag)
             continue
         if tag in BLOCK:
             shut = CLOSES.get(tag, {"p"} if tag not in ("html", "body", "head") else set())

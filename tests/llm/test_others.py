@@ -58,6 +58,16 @@ def test_template_inside_the_article_and_teaser_cards(spark):
         assert got[100 + k].startswith(f"Head {k}\nlong body")
 
 
+def test_raw_elements_without_an_end_tag():
+    from sightline.llm import wrappers as W
+    page = "<article><p>one {} two</p><p>three</p></article>"
+    for raw in ('<svg width="1"/>', "<math />", "<svg>", "<noscript>", "<template>", "<math>", "<iframe src=x>"):
+        assert W.main_text(page.format(raw), None) == "one two\nthree", raw
+    assert W.main_text(page.format("<svg/>") + "<svg><text>x</text></svg>", None) == "one two\nthree"
+    assert W.main_text(page.format("<svg><text>x</text></svg>"), None) == "one two\nthree"
+    assert W.main_text(page.format("<script>"), None) == "one"
+
+
 def test_matching_against_enumeration():
     from itertools import combinations
 
