@@ -4,8 +4,9 @@ Pages of one host share a template. Each page becomes a tree of its block
 elements (runs of equal leaf siblings folded into one), and simple tree
 matching aligns it with the host's wrapper: the order-keeping matching of
 children that maximises the number of matched nodes. A wrapper node counts the
-pages it matched and the texts it saw there; a node whose text is the same on
-nearly all of them is template, one whose text varies is a slot for content.
+pages it matched and the texts of the single elements it saw there (lossy counts
+with error bounds); an element whose text is the same on nearly all of them is
+template, one whose text varies is a slot for content.
 
 * ``induce``: every task aligns its pages with a wrapper per host and sends one
   wrapper per host; wrappers of a host are merged by aligning them with one
@@ -45,7 +46,8 @@ from pyspark.sql import types as T
 from .shared import write_once
 
 MIN_PAGES, CONSTANT = 4, 0.75
-TEXTS = 4                    # texts a wrapper node counts (Misra-Gries)
+SHARE = 0.1                  # of its parent's pages: layouts of one host side by side
+BUCKET = 50                  # pages between prunings; what rarer nodes and texts are dropped
 DEPTH = 60                   # deeper elements count as part of their ancestor
 PARTS = 64
 BROADCAST_BYTES = 32 << 20
@@ -222,8 +224,8 @@ def fold(node: Node) -> list:
     return [node.label, 1, None, kids, [node]]
 
 
-def _text_key(tree: list) -> str:
-    return str(_hash("\n".join(t for n in tree[4] for t in n.own)))
+def _text_key(element: Node) -> str:
+    return str(_hash("\n".join(element.own)))
 
 
 def matching(a: list, b: list) -> int:
@@ -268,47 +270,58 @@ def aligned(xs: list, ys: list) -> list[tuple[int, int]]:
     return out[::-1]
 
 
-def _add(texts: dict, more: dict) -> dict:
-    """Misra-Gries: whatever more than a (TEXTS + 1)-th saw is kept."""
-    for k, n in more.items():
-        texts[k] = texts.get(k, 0) + n
-    if len(texts) > TEXTS:
-        cut = sorted(texts.values(), reverse=True)[TEXTS]
-        texts = {k: n - cut for k, n in texts.items() if n > cut}
-    return texts
+def _add(a: dict, b: dict, pages_a: int, pages_b: int) -> dict:
+    """Lossy counts {text: [pages, error]} of a part with those of another
+    added, of so many pages each."""
+    if pages_b >= BUCKET:
+        for k in a.keys() - b.keys():
+            a[k][1] += pages_b // BUCKET
+    for k, (n, error) in b.items():
+        held = a.setdefault(k, [0, pages_a // BUCKET])
+        held[0] += n
+        held[1] += error
+    return a
 
 
 def own_wrapper(tree: list) -> list:
-    """A page as the wrapper of one page."""
-    return [tree[0], 1, {_text_key(tree): 1}, [own_wrapper(k) for k in tree[3]]]
+    """A page as the wrapper of one page: [label, pages, {text: [pages, error]},
+    children, error]. Texts are those of the single elements."""
+    return [tree[0], 1, {_text_key(n): [1, 0] for n in tree[4] if n.own}, [own_wrapper(k) for k in tree[3]], 0]
 
 
-def merged(a: list, b: list) -> list:
+def _late(w: list, missed: int) -> list:
+    """A node that another part, which may have dropped it, does not have."""
+    return [w[0], w[1], w[2], [_late(k, missed) for k in w[3]], w[4] + missed] if missed else w
+
+
+def merged(a: list, b: list, pages_a: int | None = None, pages_b: int | None = None) -> list:
     """Two wrappers of a host aligned; what only one has stays in its place."""
+    pages_a, pages_b = pages_a or a[1], pages_b or b[1]
     kids, i, j = [], 0, 0
     for x, y in [*aligned(a[3], b[3]), (len(a[3]), len(b[3]))]:
-        kids += a[3][i:x] + b[3][j:y]
+        kids += [_late(k, pages_b // BUCKET) for k in a[3][i:x]] + [_late(k, pages_a // BUCKET) for k in b[3][j:y]]
         if x < len(a[3]):
-            kids.append(merged(a[3][x], b[3][y]))
+            kids.append(merged(a[3][x], b[3][y], pages_a, pages_b))
         i, j = x + 1, y + 1
-    return [a[0], a[1] + b[1], _add(a[2], b[2]), kids]
+    return [a[0], a[1] + b[1], _add(a[2], b[2], a[1], b[1]), kids, a[4] + b[4]]
 
 
 def pruned(w: list, total: int | None = None) -> list:
-    """Without nodes that less than a fiftieth of the pages have: no template."""
+    """Without nodes that at most a ``BUCKET``-th of the pages can have, and
+    without such texts of a node: no template. Lossy counting: what is not held
+    was on no more pages, and a new entry starts with that as its error."""
     total = total or w[1]
-    return [w[0], w[1], w[2], [pruned(k, total) for k in w[3] if k[1] * 50 >= total]]
+    texts = {k: v for k, v in w[2].items() if v[0] + v[1] > w[1] // BUCKET}
+    return [w[0], w[1], texts, [pruned(k, total) for k in w[3] if k[1] + k[4] > total // BUCKET], w[4]]
 
 
-def template_nodes(w: list, tree: list, out: set, total: int | None = None) -> set:
-    """Elements of a page whose aligned wrapper node is constant, with the
-    wrapper's text."""
-    total = total or w[1]
-    if total >= MIN_PAGES and 2 * w[1] >= total and tree[4][0].own:
-        if w[2].get(_text_key(tree), 0) >= CONSTANT * w[1]:
-            out.update(map(id, tree[4]))
+def template_nodes(w: list, tree: list, out: set, parent: int | None = None) -> set:
+    """Elements of a page whose text is constant in the aligned wrapper node; the
+    node must be on a fair share of the pages that have its parent."""
+    if w[1] >= MIN_PAGES and w[1] >= SHARE * (parent or w[1]):
+        out.update(id(n) for n in tree[4] if n.own and w[2].get(_text_key(n), (0,))[0] >= CONSTANT * w[1])
     for x, y in aligned(w[3], tree[3]):
-        template_nodes(w[3][x], tree[3][y], out, total)
+        template_nodes(w[3][x], tree[3][y], out, w[1])
     return out
 
 
@@ -331,7 +344,8 @@ def induce(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> Da
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 new = own_wrapper(fold(parse(page)[0]))
                 held = mine.get(host)
-                mine[host] = pruned(merged(held, new)) if held else new
+                new = merged(held, new) if held else new
+                mine[host] = pruned(new) if new[1] % BUCKET == 0 else new
         part = TaskContext.get().partitionId() % PARTS
         hosts = sorted(mine)
         yield pa.RecordBatch.from_arrays(

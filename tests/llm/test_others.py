@@ -58,6 +58,29 @@ def test_template_inside_the_article_and_teaser_cards(spark):
         assert got[100 + k].startswith(f"Head {k}\nlong body")
 
 
+def test_late_layouts_and_folded_siblings():
+    from sightline.llm import wrappers as W
+
+    def page(k):
+        layout = f"l{'abc'[k // 120]}"  # three layouts of 120 pages, one after another
+        return (f"<div class={layout}><div class={layout}-top><b>Daily {layout}</b></div><p>Free letter</p><p>first {k}</p>"
+                f"<p>second {k}</p></div>")
+
+    def learn(ks):
+        held = None
+        for k in ks:
+            new = W.own_wrapper(W.fold(W.parse(page(k))[0]))
+            held = W.merged(held, new) if held else new
+            held = W.pruned(held) if held[1] % W.BUCKET == 0 else held
+        return held
+
+    one = learn(range(360))
+    parts = W.pruned(W.merged(W.pruned(W.merged(learn(range(100)), learn(range(100, 170)))), learn(range(170, 360))))
+    for w in (one, parts):
+        for k in range(0, 360, 7):
+            assert W.main_text(page(k), w) == f"first {k}\nsecond {k}"
+
+
 def test_raw_elements_without_an_end_tag():
     from sightline.llm import wrappers as W
     page = "<article><p>one {} two</p><p>three</p></article>"
