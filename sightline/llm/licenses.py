@@ -181,8 +181,12 @@ def padded(key: str) -> str:
 
 def gate_keys() -> list[str]:
     """The padded keywords of rules and base phrases; one that holds another
-    needs no look of its own."""
-    keys = sorted({padded(key) for _, _, key, _ in rules()} | {padded(p) for p in BASE}, key=lambda k: (len(k), k))
+    needs no look of its own. A short one that ends words of others ("lgpl") is
+    looked for anywhere: the gate may let more texts through, never fewer."""
+    every = {padded(key) for _, _, key, _ in rules()} | {padded(p) for p in BASE}
+    short = {k.strip() for k in every if k.endswith(" ")}
+    ends = {k for k in short if any(k in o and padded(k) not in f"{o} " for o in every)}
+    keys = sorted(every | ends, key=lambda k: (len(k), k))
     return [k for i, k in enumerate(keys) if not any(o in k for o in keys[:i])]
 
 
