@@ -111,6 +111,17 @@ def op2(spark, sf_dir):
     return N.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
 
 
+@query("op11_toxicity")
+def op11(spark, sf_dir):
+    from . import toxicity as X
+    docs = table(spark, sf_dir, "documents")
+    model = X.train(docs, table(spark, sf_dir, "labels"))
+    out = F.coalesce(X.held_out_digit("doc_id") == 2, F.lit(False))
+    got = X.score(docs, model)
+    return got.select("doc_id", out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"),
+                      "n_sentences", "n_offending", "worst_start", "worst_length")
+
+
 # The audited archive: pages as WARC records in files of 256 page ids, and a
 # replica with damage placed by a rule on the id.
 _RECORD = r"""

@@ -8,7 +8,9 @@ a stage that reads them does not recompute what made them.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,3 +70,18 @@ def replace_columns(batch: pa.RecordBatch, new: dict[str, pa.Array]) -> pa.Recor
     return pa.RecordBatch.from_arrays(
         [c.cast(f.type) if c.type != f.type else c for c, f in zip(cols, batch.schema)],
         schema=batch.schema)
+
+
+def slices(batch: pa.RecordBatch, column: int, rows: int = 1024, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of at most ``rows`` rows and, unless one row alone is
+    longer, ``size`` bytes of a text or binary column."""
+    col = batch.column(column)
+    wide = pa.types.is_large_string(col.type) or pa.types.is_large_binary(col.type)
+    ends = np.frombuffer(col.buffers()[1], np.int64 if wide else np.int32)[col.offset:col.offset + len(col) + 1] if (
+        len(col)) else np.zeros(1, np.int64)
+    lo = 0
+    while lo < batch.num_rows:
+        hi = int(np.searchsorted(ends, int(ends[lo]) + size, side="right")) - 1
+        hi = min(max(hi, lo + 1), lo + rows, batch.num_rows)
+        yield batch.slice(lo, hi - lo)
+        lo = hi
