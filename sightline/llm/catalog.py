@@ -122,6 +122,12 @@ def op11(spark, sf_dir):
                       "n_sentences", "n_offending", "worst_start", "worst_length")
 
 
+@query("op13_alignment")
+def op13(spark, sf_dir):
+    from . import alignment as A
+    return A.align(table(spark, sf_dir, "documents"))
+
+
 # The audited archive: pages as WARC records in files of 256 page ids, and a
 # replica with damage placed by a rule on the id.
 _RECORD = r"""

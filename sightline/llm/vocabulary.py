@@ -90,7 +90,7 @@ def unpack(sizes: bytes, gaps: bytes, freqs: bytes) -> tuple[np.ndarray, np.ndar
     return doc, run - before[doc], np.frombuffer(freqs, np.uint8).astype(np.int64)
 
 
-def _keys(column: pa.Array) -> bytes:
+def keys_bytes(column: pa.Array) -> bytes:
     sink = pa.BufferOutputStream()
     batch = pa.record_batch([column], ["key"])
     with pa.ipc.new_stream(sink, batch.schema) as out:
@@ -145,7 +145,7 @@ def index(docs: DataFrame, id_col: str, text_col: str, split: Callable[[str], Co
             sizes.append(len(g))
             gaps.append(g.tobytes())
             freqs.append(q.tobytes())
-        yield {"block": number, "bucket": -1, "keys": _keys(pa.array(ids, key_type)),
+        yield {"block": number, "bucket": -1, "keys": keys_bytes(pa.array(ids, key_type)),
                "sizes": np.array(sizes, np.uint32).tobytes(), "gaps": b"".join(gaps),
                "freqs": b"".join(freqs),
                "extra": sequence(ids, texts) if sequence is not None else None}
