@@ -128,6 +128,43 @@ def op13(spark, sf_dir):
     return A.align(table(spark, sf_dir, "documents"))
 
 
+_PIECES = f"regexp_split_to_array({_LOWER}, '[.,;:!?\\x0A-\\x0D]')"
+
+
+@query("op12_phrases", f"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(p, '[^\\x20\\x09]+') AS w
+                FROM (SELECT lang, unnest({_PIECES}) AS p FROM documents)),
+totals AS (SELECT lang, sum(len(w)) AS n FROM pieces GROUP BY lang),
+grams AS (SELECT lang, k, g, count(*) AS a
+          FROM (SELECT lang, k, list_slice(w, i, i + k - 1) AS g
+                FROM pieces, unnest(range(1, 6)) AS s(k), unnest(range(1, len(w) - k + 2)) AS t(i))
+          GROUP BY lang, k, g HAVING count(*) >= 100),
+inside AS (SELECT DISTINCT x.lang, list_slice(x.g, i, i + m - 1) AS g, x.a
+           FROM grams x, unnest(range(2, x.k)) AS s(m), unnest(range(1, x.k - m + 2)) AS t(i)),
+longest AS (SELECT lang, g, max(a) AS most FROM inside GROUP BY lang, g),
+cuts AS (SELECT x.lang, x.g, x.a, c, list_slice(x.g, 1, c) AS head, list_slice(x.g, c + 1, x.k) AS rest
+         FROM grams x LEFT JOIN longest y ON x.lang = y.lang AND x.g = y.g, unnest(range(1, x.k)) AS s(c)
+         WHERE x.k >= 2 AND coalesce(y.most, 0) < x.a),
+scored AS (SELECT c.lang, c.g, c.a, c.c, h.a AS l, r.a AS r, t.n,
+                  (1000::HUGEINT * c.a * t.n) // (h.a::HUGEINT * r.a) AS score
+           FROM cuts c JOIN grams h ON h.lang = c.lang AND h.g = c.head JOIN grams r ON r.lang = c.lang AND r.g = c.rest
+                JOIN totals t ON t.lang = c.lang),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, c) = 1),
+grown AS (SELECT lang, list_slice(g, 1, k - 1) AS g, a AS right_most, 0 AS left_most FROM grams WHERE k > 2
+          UNION ALL SELECT lang, list_slice(g, 2, k), 0, a FROM grams WHERE k > 2),
+sides AS (SELECT lang, g, max(left_most) AS left_most, max(right_most) AS right_most FROM grown GROUP BY lang, g),
+ranked AS (SELECT w.lang, row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, array_to_string(w.g, ' ')) AS rank,
+                  array_to_string(w.g, ' ') AS phrase, a, l, r, n, score, left_most, right_most
+           FROM weakest w LEFT JOIN sides s ON s.lang = w.lang AND s.g = w.g)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score,
+       CAST(coalesce(left_most, 0) AS BIGINT) AS left_most, CAST(coalesce(right_most, 0) AS BIGINT) AS right_most
+FROM ranked WHERE rank <= 2000
+""")
+def op12(spark, sf_dir):
+    from . import phrases as P
+    return P.collocations(table(spark, sf_dir, "documents"))
+
+
 # The audited archive: pages as WARC records in files of 256 page ids, and a
 # replica with damage placed by a rule on the id.
 _RECORD = r"""

@@ -223,10 +223,11 @@ def baum_welch(blocks: DataFrame, states: int = STATES, rounds: int = ROUNDS) ->
     return chain, per_class
 
 
-def _class_totals(pieces: list[bytes], counts: np.ndarray) -> bytes:
+def _class_totals(pieces: list[bytes], counts: np.ndarray, bucket: int) -> bytes:
     """(class, training tokens, distinct training words) of a bucket's pieces."""
     cls = np.fromiter(map(word_class, pieces), np.int64, len(pieces))
-    n = np.bincount(cls, counts, CLASSES)
+    n = np.zeros(CLASSES, np.int64)
+    np.add.at(n, cls, np.asarray(counts, np.int64))  # whole numbers beyond 2^53
     v = np.bincount(cls, np.asarray(counts) > 0, CLASSES)
     at = np.flatnonzero(n)
     return np.stack([at, n[at], v[at]]).astype(np.int64).tobytes()
@@ -278,7 +279,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", state
                     mark=_counts, sequence=_sequences, as_bytes=True)
     blocks = table.where("bucket < 0")
     chain, per_class = baum_welch(blocks, states, rounds)
-    values = write_once(V.by_bucket(table, lambda pieces, counts: counts, n_buckets, _class_totals), "counts")
+    values = write_once(V.by_bucket(table, lambda pieces, counts, _: counts, n_buckets, _class_totals, np.uint64), "counts")
     n_class, v_class = _summed(values)
     ends = float(round(per_class[END]))
     n_all, v_all = n_class.sum() + ends, v_class.sum() + (ends > 0)
@@ -317,4 +318,4 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", state
     emit = chain.emit.copy()
     emit[:END] /= 10 ** below[:END, None]
     more = _forward(blocks, Chain(chain.first, chain.later, chain.move, emit))
-    return V.by_block(table, values.where("block >= 0"), finish, schema, more)
+    return V.by_block(table, values.where("block >= 0"), finish, schema, more, np.uint64)

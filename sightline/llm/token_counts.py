@@ -123,7 +123,7 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per document: id, n_tokens, n_bytes (UTF-8)."""
     path, n = model or model_path(), n_buckets or V.bucket_count(docs)
     table = V.index(docs, id_col, text_col, pre_tokens, n, "tokens", sequence=_bytes)
-    values = V.by_bucket(table, lambda keys, _: piece_counts(path, keys), n)
+    values = V.by_bucket(table, lambda keys, *_: piece_counts(path, keys), n)
     schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), *SCHEMA.fields[1:]])
 
     def finish(row, got):

@@ -184,13 +184,14 @@ VALUE_SCHEMA = T.StructType([
 
 
 def by_bucket(table: DataFrame, value: Callable, n_buckets: int,
-              total: Callable | None = None) -> DataFrame:
+              total: Callable | None = None, kind: type = np.uint32) -> DataFrame:
     """Values of the pieces, worked out once per distinct piece of the corpus.
 
-    ``value(pieces, marks)`` gets the distinct pieces of a bucket and the sum
-    of their marks (None without marks) and returns a uint32 array. The result
-    has one row per (block, bucket): the values in the order of its pieces.
-    ``total(pieces, marks)`` may add bytes per bucket, in a row of block -1.
+    ``value(pieces, marks, bucket)`` gets the distinct pieces of a bucket and the
+    sum of their marks (None without marks) and returns whole numbers, kept as
+    ``kind``; a number beyond it raises. The result has one row per (block,
+    bucket): the values in the order of its pieces. ``total(pieces, marks, bucket)``
+    may add bytes per bucket, in a row of block -1.
     """
     rows = table.where("bucket >= 0").select("block", "bucket", "pieces", "marks")
 
@@ -202,21 +203,24 @@ def by_bucket(table: DataFrame, value: Callable, n_buckets: int,
             sums = np.zeros(len(numbers), np.int64)
             for i, m in zip(at, pdf["marks"]):  # a block names a piece once
                 sums[i] += np.frombuffer(m, np.uint32)
-        got = np.asarray(value(list(numbers), sums if len(sums) else None), np.uint32)
+        got = np.asarray(value(list(numbers), sums if len(sums) else None, key[0]), np.int64)
+        if len(got) and not 0 <= int(got.min()) <= int(got.max()) <= np.iinfo(kind).max:
+            raise OverflowError("a value of the vocabulary does not fit its kind")
+        got = got.astype(kind)
         out = pdf[["block", "bucket"]].assign(values=[got[i].tobytes() for i in at])
         if total is not None:
-            out.loc[len(out)] = [-1, key[0], total(list(numbers), sums)]
+            out.loc[len(out)] = [-1, key[0], total(list(numbers), sums, key[0])]
         return out
 
     return rows.repartition(n_buckets, "bucket").groupBy("bucket").applyInPandas(run, VALUE_SCHEMA)
 
 
 def by_block(table: DataFrame, values: DataFrame, finish: Callable, schema: T.StructType,
-             more: DataFrame | None = None) -> DataFrame:
+             more: DataFrame | None = None, kind: type = np.uint32) -> DataFrame:
     """Meet values and frequency lists by block.
 
     ``finish(lists, values)`` gets the block's frequency row (a dict) and the
-    values of its pieces (uint32, in the order of their numbers), and returns
+    values of its pieces (``kind``, in the order of their numbers), and returns
     a pandas frame. ``more`` (block, extra) takes the place of the block's own
     ``extra``.
     """
@@ -229,7 +233,7 @@ def by_block(table: DataFrame, values: DataFrame, finish: Callable, schema: T.St
         if not len(lists):
             return pd.DataFrame({f.name: [] for f in schema})
         vals = vals.sort_values("bucket")  # the order of the piece numbers
-        got = np.frombuffer(b"".join(vals["values"]), np.uint32)
+        got = np.frombuffer(b"".join(vals["values"]), kind)
         return finish(lists.iloc[0].to_dict(), got)
 
     return left.groupBy("block").cogroup(values.groupBy("block")).applyInPandas(run, schema)
