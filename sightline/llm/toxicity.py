@@ -117,6 +117,8 @@ class Model:
         """P(document), its number of sentences, and (start, end, p) of those
         with features."""
         plain, rows = self.instances(text)
+        if self.bias == -np.inf:  # nothing toxic was learned from
+            return 0.0, plain + len(rows), []
         got = [(a, b, float(_p(self.bias + self.weights[f].sum()))) for a, b, f in rows]
         clear = plain * np.log1p(-_p(self.bias)) + sum(np.log1p(-min(p, 1 - 1e-12)) for *_, p in got)
         return float(-np.expm1(clear)), plain + len(rows), got
@@ -293,7 +295,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     names, clean, toxic = choose(counted, features)
     drop_table(counted)
     if not toxic:
-        return Model([], np.zeros(0), -40.0)
+        return Model([], np.zeros(0), -np.inf)
     model = Model(names, np.zeros(len(names)), -5.0)
     table = bags(rows, model)
     speed, speed_bias = np.zeros(len(names)), 0.0
