@@ -117,6 +117,12 @@ SENTENCES = [
     ("ofl", "font software", "this font software is licensed under the sil open font license"),
 ]
 
+# Every text that a rule or a base phrase matches holds one of these.
+STEMS = ["licen", "gpl", " cc by ", " cc0 ", "creative commons", "no attribution", "zero clause", "rights reserved",
+         "public domain", "is hereby granted", "noninfringement", "for any purpose", "redistribution and use",
+         "neither the name", "advertising materials", "an as is basis", "free software", "accompanying materials",
+         "express or implied", "free and unencumbered", "just do what", "all copyright and related"]
+
 WEIGHT = {1: 1.0, 2: 0.9, 3: 0.8, 4: 0.7, 5: 0.5}
 BASE_WEIGHT = 0.6
 LONGEST = 400
@@ -191,9 +197,12 @@ def gate_keys() -> list[str]:
 
 
 def _rule_table() -> Column:
-    return F.array(*[F.struct(F.lit(p).alias("priority"), F.lit(label).alias("label"),
-                              F.lit(padded(key)).alias("key"),
-                              F.lit(regex).alias("regex")) for p, label, key, regex in rules()])
+    """The rules by keyword, so that each keyword is looked for once."""
+    by_key: dict[str, list[Column]] = {}
+    for p, label, key, regex in rules():
+        by_key.setdefault(padded(key), []).append(F.struct(
+            F.lit(p).alias("priority"), F.lit(label).alias("label"), F.lit(regex).alias("regex")))
+    return F.array(*[F.struct(F.lit(key).alias("key"), F.array(*own).alias("rules")) for key, own in by_key.items()])
 
 
 def detections(line: Column) -> Column:
@@ -206,7 +215,8 @@ def detections(line: Column) -> Column:
                             rule["priority"].alias("priority"), rule["label"].alias("label"))
         return F.transform(places(line, rule["regex"]), one)
 
-    present = F.filter(F.col("_rules"), lambda r: F.contains(line, r["key"]))
+    present = F.flatten(F.transform(F.filter(F.col("_rules"), lambda r: F.contains(line, r["key"])),
+                                    lambda r: r["rules"]))
     return F.array_sort(F.flatten(F.transform(present, found)))
 
 
@@ -236,9 +246,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     label; till is minus the last word)."""
     lines = docs.select(F.col(id_col), word_line(F.col(text_col)).alias("_line"))
     line = F.col("_line")
-    gate = F.lit(False)
+    stem, gate = F.lit(False), F.lit(False)
+    for k in STEMS:
+        stem = stem | F.contains(line, F.lit(k))
     for k in gate_keys():
         gate = gate | F.contains(line, F.lit(k))
+    gate = stem & gate  # most texts hold no stem, and nothing else is looked for in them
     alternatives = "|".join(BASE)
 
     def base(at):
