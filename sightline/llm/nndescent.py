@@ -41,7 +41,7 @@ from pyspark.sql import types as T
 
 from .shared import drop_table, write_once
 
-K, LEAF, TREES, ROUNDS, CHANGE = 20, 1024, 8, 3, 0.02
+K, LEAF, TREES, CHANGE = 20, 1024, 8, 0.02
 BEAM, EXPAND = 224, 64
 
 LIST = T.StructType([T.StructField("node", T.LongType()), T.StructField("near", T.BinaryType()),
@@ -285,17 +285,17 @@ def descend(lists: DataFrame, codes: DataFrame, k: int = K) -> tuple[DataFrame,
     return new, sent
 
 
-def build(nodes: DataFrame, k: int = K, rounds: int = ROUNDS) -> DataFrame:
-    """The neighbour graph: packed lists of the k best per node (written)."""
+def build(nodes: DataFrame, k: int = K) -> DataFrame:
+    """The neighbour graph: packed lists of the k best per node (written). Rounds
+    go on until few entries change; a round never lowers a score, so they end."""
     count = nodes.count()
     lists = write_once(keep_best(start_lists(nodes, count, k), k), "lists")
-    for _ in range(rounds):
+    while True:
         new, sent = descend(lists, nodes, k)
         drop_table(lists)
         lists = new
         if sent <= CHANGE * k * count:
-            break
-    return lists
+            return lists
 
 
 def with_codes(lists: DataFrame, nodes: DataFrame, k: int = K) -> DataFrame:
@@ -427,6 +427,11 @@ def nearest(vectors: DataFrame, wanted: F.Column, k: int = 5, id_col: str = "vec
     pair = T.StructType([T.StructField("query", T.LongType()), T.StructField("node", T.LongType())])
     found = beams.mapInArrow(unpack, pair).join(nodes.select("node", "vec", "ids"), "node").join(
         starts.select(F.col("node").alias("query"), F.col("vec").alias("own")), "query")
+    # by powers of two (exact), so that no square vanishes or overflows
+    for name in ("vec", "own"):
+        top = F.array_max(F.transform(name, lambda x: F.abs(x)))
+        power = F.pow(F.lit(2.0), -F.greatest(F.least(F.floor(F.log2(top)), F.lit(1000)), F.lit(-1000)))
+        found = found.withColumn("_by", power).withColumn(name, F.transform(name, lambda x: x * F.col("_by"))).drop("_by")
     dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     cosine = dot("vec", "own") / (F.sqrt(dot("vec", "vec")) * F.sqrt(dot("own", "own")))
     scored = found.select("query", cosine.alias("score"), F.explode("ids").alias("vec_id"))
