@@ -69,6 +69,10 @@ class Chain:
     move: np.ndarray    # (states, states)
     emit: np.ndarray    # (classes, states): columns sum to 1
 
+    def single(self) -> Chain:
+        """In single precision: the recursions are scaled at every step."""
+        return Chain(*(x.astype(np.float32) for x in (self.first, self.later, self.move, self.emit)))
+
     @classmethod
     def start(cls, states: int = STATES, seed: int = 5) -> Chain:
         rng = np.random.default_rng(seed)
@@ -108,7 +112,7 @@ class Chain:
         n, length = seqs.shape
         k = len(self.first)
         active = [int((sizes > t).sum()) for t in range(length)]
-        alpha, scale = np.zeros((length, n, k)), np.ones((length, n))
+        alpha, scale = np.zeros((length, n, k), self.emit.dtype), np.ones((length, n), self.emit.dtype)
         a = np.where(opens[:, None], self.first, self.later) * self.emit[seqs[:, 0]]
         for t in range(length):
             m = active[t]
@@ -117,7 +121,7 @@ class Chain:
             s = a.sum(axis=1)
             a = a / s[:, None]
             alpha[t, :m], scale[t, :m] = a, s
-        beta, move = np.ones((n, k)), np.zeros((k, k))
+        beta, move = np.ones((n, k), self.emit.dtype), np.zeros((k, k))
         for t in range(length - 2, -1, -1):
             m = active[t + 1]
             ahead = self.emit[seqs[:m, t + 1]] * beta[:m] / scale[t + 1, :m, None]
@@ -160,6 +164,20 @@ def _texts(data: bytes) -> tuple[list[np.ndarray], np.ndarray]:
     return np.split(whole, cuts[:-1]) if len(ends) else [], trains
 
 
+def _segments(data: bytes) -> tuple[np.ndarray, ...]:
+    """The training sequences of a block, from long to short: all classes in a
+    row, and of each sequence its place there, its size and whether it begins a text."""
+    sizes, trains, flat = _restore(data)
+    whole = np.insert(flat, np.cumsum(sizes), END)
+    size = sizes + 1
+    begin, mine = (np.cumsum(size) - size)[trains], size[trains]
+    parts = -(-mine // SEGMENT)
+    nth = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
+    long = np.minimum(SEGMENT, np.repeat(mine, parts) - SEGMENT * nth)
+    order = np.argsort(-long, kind="stable")
+    return whole, (np.repeat(begin, parts) + SEGMENT * nth)[order], long[order], (nth == 0)[order]
+
+
 def _counts(ids: list, lists: list, n: int) -> np.ndarray:
     """Occurrences of each piece of the block in training texts."""
     mine = [x for i, x in zip(ids, lists) if training(i)]
@@ -177,23 +195,18 @@ def _expected(blocks: DataFrame, chain: Chain) -> DataFrame:
     k = len(chain.first)
     schema = T.StructType([T.StructField("row", T.IntegerType()),
                            *[T.StructField(f"s{j}", T.DoubleType()) for j in range(k)]])
-    shared = blocks.sparkSession.sparkContext.broadcast(chain)
+    shared = blocks.sparkSession.sparkContext.broadcast(chain.single())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, total, ends = shared.value, np.zeros((CLASSES + 2 + k, k)), 0
         for batch in batches:
             for data in batch.column(0):
-                seqs, trains = _texts(data.as_py())
-                cut = [(s[p:p + SEGMENT], p == 0) for s, use in zip(seqs, trains) if use
-                       for p in range(0, len(s), SEGMENT)]
-                cut.sort(key=lambda x: -len(x[0]))
-                for lo in range(0, len(cut), BATCH):
-                    part = cut[lo:lo + BATCH]
-                    sizes = np.array([len(s) for s, _ in part])
-                    table = np.full((len(part), int(sizes[0])), END)
-                    live = np.arange(table.shape[1])[None, :] < sizes[:, None]
-                    table[live] = np.concatenate([s for s, _ in part])
-                    first, later, move, emit = model.expect(table, sizes, np.array([o for _, o in part]))
+                whole, starts, long, opens = _segments(data.as_py())
+                for lo in range(0, len(starts), BATCH):
+                    sizes, step = long[lo:lo + BATCH], np.arange(int(long[lo]))
+                    at = starts[lo:lo + BATCH, None] + step
+                    table = np.where(step < sizes[:, None], whole[np.minimum(at, len(whole) - 1)], END)
+                    first, later, move, emit = model.expect(table, sizes, opens[lo:lo + BATCH])
                     total[:CLASSES] += emit
                     total[CLASSES] += first
                     total[CLASSES + 1] += later
