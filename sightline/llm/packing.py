@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import write_once
+from .shared import slices, write_once
 
 WINDOW, GRID, END = 2048, 32, 1
 MAX_COLUMNS = 20_000    # triples taken into the matrix: those that most documents could form
@@ -263,7 +263,7 @@ def lengths(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, place, tk = TaskContext.get().partitionId(), 0, tokens_of(paths)
-        for batch in batches:
+        for batch in (p for whole in batches for p in slices(whole, 1)):
             n, full, crc, parts = [], [], [], []
             for text in batch.column(1).to_pylist():
                 ids = memoryview(tk.ids(text) + tail)
@@ -305,38 +305,38 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
         T.StructField("doc_tokens", T.LongType()), T.StructField("sequence_id", T.LongType()),
         T.StructField("offset", T.LongType())])
 
-    def run(mine, firsts):
-        import pandas as pd
-        out = [pieces(mine.sort_values("place"), firsts, shared.value, window, grid)] if len(mine) else []
-        return pd.concat(out)[schema.names[1:] + ["key"]].rename(columns={"key": id_col}) if out else (
-            pd.DataFrame({n: [] for n in schema.names}))
+    def run(mine: pa.Table, firsts: pa.Table) -> pa.Table:
+        from pyspark.sql.pandas.types import to_arrow_schema
+        out = to_arrow_schema(schema)
+        if not mine.num_rows:
+            return out.empty_table()
+        return pieces(mine.sort_by("place"), firsts, shared.value, window, grid).rename_columns(schema.names).cast(out)
 
-    return table.groupBy("task").cogroup(ranks.groupBy("task")).applyInPandas(run, schema)
+    return table.groupBy("task").cogroup(ranks.groupBy("task")).applyInArrow(run, schema)
 
 
-def pieces(mine, firsts, rows: np.ndarray, window: int, grid: int):
-    """The pieces of one task's documents (pandas frames in, a frame out)."""
-    import pandas as pd
-    key = pd.array(mine["key"], dtype="Int64") if mine["key"].dtype.kind in "if" else mine["key"].array
-    n = mine["n"].to_numpy()
+def pieces(mine: pa.Table, firsts: pa.Table, rows: np.ndarray, window: int, grid: int) -> pa.Table:
+    """The pieces of one task's documents. Ids stay Arrow values throughout: a
+    null among them must not turn large ones into floats."""
+    n = mine.column("n").to_numpy()
     rest = n % window
     # whole windows: sequences of their own, numbered within the task
     k = n // window
     doc = np.repeat(np.arange(len(n)), k)
     nth = np.arange(len(doc)) - np.repeat(np.cumsum(k) - k, k)
-    task = int(mine["task"].iloc[0])
+    task = mine.column("task")[0].as_py()
     parts = [(doc, nth * window, np.full(len(doc), window),
-              np.frombuffer(b"".join(mine["full"]), np.uint32).astype(np.int64),
+              np.frombuffer(b"".join(mine.column("full").to_pylist()), np.uint32).astype(np.int64),
               ((task + 1) << 32) + np.arange(len(doc)), np.zeros(len(doc), np.int64))]
     # remainders: rank within the length, then the plan's ranges
     first = np.zeros(window, np.int64)
-    first[firsts["rest"].to_numpy()] = firsts["first"].to_numpy()
+    first[firsts.column("rest").to_numpy()] = firsts.column("first").to_numpy()
     order = np.argsort(rest, kind="stable")
     sizes = np.bincount(rest, minlength=window)
     rank = np.empty(len(n), np.int64)
     rank[order] = np.arange(len(n)) - (np.cumsum(sizes) - sizes)[rest[order]]
     rank += first[rest]
-    crc, grids = mine["crc"].to_numpy(), mine["grid"].to_numpy()
+    crc, grids = mine.column("crc").to_numpy(), mine.column("grid").to_pylist()
     out = []
     bounds = np.searchsorted(rows[:, 0], np.arange(window + 1))
     for length in np.flatnonzero(sizes[1:]) + 1:
@@ -356,5 +356,6 @@ def pieces(mine, firsts, rows: np.ndarray, window: int, grid: int):
     if out:
         parts.append(tuple(np.array(c, np.int64) for c in zip(*out)))
     doc, start, size, crcs, sequence, offset = (np.concatenate(c) for c in zip(*parts))
-    return pd.DataFrame({"key": key[doc], "start": start, "length": size, "ids_crc32": crcs,
-                         "doc_tokens": n[doc], "sequence_id": sequence, "offset": offset})
+    key = mine.column("key").combine_chunks().take(pa.array(doc))
+    return pa.table([key, *(pa.array(c) for c in (start, size, crcs, n[doc], sequence, offset))],
+                    names=["key", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
