@@ -7,17 +7,17 @@ are still apart:
 1. ``sketch``: one pass over the documents. Texts with the same shingle set are
    one *node* (its 64-bit set hash). Of K minima per set, ``rows`` of them make
    a band key, and the low B bits of all K are packed into longs.
-2. Band keys meet in buckets; each member is paired with the bucket's smallest
-   node (a star, not all pairs). The packed signatures give an estimate of the
+2. Band keys meet in buckets, whose smallest node is their hub; each node is
+   paired with the hub it shares most buckets with (stars, not all pairs). The packed signatures give an estimate of the
    similarity, corrected for chance agreement of B bits, by counting bits; the
    pairs above it are confirmed on the full sets.
 3. Where a bucket still holds several groups, its members are compared in
-   blocks by their packed signatures and each proposes its likeliest partner in
-   another group; proposals are confirmed and the groups joined, round after
-   round (a round proposes as many pairs as there are members, not pairs of
-   members). When no proposal holds, all pairs still apart that pass the
-   estimate are confirmed. So every pair that shares a band is either inside one
-   group already or was tested: no cap, no sample.
+   blocks by their packed signatures. Likely pairs in different groups hold
+   together *families*; a block names only pairs that join something new, so as
+   many as it has members. A family's members meet in blocks with their full sets,
+   where the likely pairs are confirmed unless they are joined by then. So every
+   pair that shares a band and passes the estimate is either inside one group
+   already or was tested: no cap, no sample, and no list of all pairs.
 
 With 32 bands of 4 rows a pair at the threshold (0.75) misses all bands with
 probability 5e-6, and its estimate lies below ``FLOOR`` (five deviations
@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .components import components
-from .shared import blank_words, drop_table, write_once
+from .shared import blank_words, drop_table, slices, write_once
 
 WORDS, SIMILAR = 5, 75
 BANDS, ROWS, B = 32, 4, 4
@@ -49,6 +49,8 @@ K = BANDS * ROWS
 LONGS = K * B // 64
 FLOOR = 0.55            # confirmed if the estimate reaches this
 BLOCK = 512             # members compared at a time inside a bucket
+BLOCK_BYTES = 16 << 20  # and their sets
+BITS_BYTES = 32 << 20   # of a table of bits over the shingles of a block
 GROUP = 256             # pairs of one hub confirmed at a time
 BROADCAST_IDS = 2_000_000   # 16 MB of ids; above it the join shuffles
 
@@ -120,8 +122,7 @@ def sketch(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 2048):
-                part = batch.slice(lo, 2048)
+            for part in slices(batch, 1):
                 sizes, nodes, mins = [], [], []
                 for text in part.column(1).to_pylist():
                     s = shingle_set(text)
@@ -162,25 +163,83 @@ def _sizes_fit(a: str, b: str) -> Column:
 
 
 def star_pairs(members: DataFrame, signatures: DataFrame) -> DataFrame:
-    """(a, b): each node with one hub of its buckets that the estimate lets pass."""
+    """(a, b): each node with the hub of its buckets that it shares most of them
+    with, if the estimate lets the pair pass."""
     hubs = members.groupBy("key").agg(F.min("node").alias("b"), F.max("node").alias("other"))
     hubs = hubs.where("b <> other").select("key", "b")
-    pairs = (members.join(hubs, "key").where("node <> b")
-             .select(F.col("node").alias("a"), "b").distinct())
+    shared = (members.distinct().join(hubs, "key").where("node <> b")
+              .groupBy(F.col("node").alias("a"), "b").agg(F.count(F.lit(1)).alias("bands")))
+    pairs = shared.groupBy("a").agg(F.max_by("b", F.struct("bands", -F.col("b"))).alias("b"))
     x = signatures.select(F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("sig").alias("a_sig"))
     y = signatures.select(F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("sig").alias("b_sig"))
-    good = (pairs.join(x, "a").join(y, "b")
-            .where(_sizes_fit("a_n", "b_n") & (estimate("a_sig", "b_sig") >= FLOOR)))
-    return good.groupBy("a").agg(F.min("b").alias("b"))
+    return (pairs.join(x, "a").join(y, "b")
+            .where(_sizes_fit("a_n", "b_n") & (estimate("a_sig", "b_sig") >= FLOOR)).select("a", "b"))
+
+
+SET = T.StructType([T.StructField("node", T.LongType()), T.StructField("shingles", T.BinaryType())])
+
+
+def with_sets(uses: DataFrame, docs: DataFrame, sketches: DataFrame, id_col: str, text_col: str,
+              fields: list[T.StructField]) -> DataFrame:
+    """The rows of ``uses`` (node, and an array ``uses`` of structs of ``fields``), one
+    per use, with the node's full set. Sets are made anew from the text of one row per
+    node, the one of its smallest (id, text hash), and sent straight to their uses."""
+    holder = sketches.where("node is not null").groupBy("node").agg(F.min(F.struct(
+        F.col("id").isNull().alias("none"), "id", "text_hash")).alias("at"))
+    wanted = write_once(uses.join(holder, "node").select(
+        "node", "uses", F.col("at.id").alias("id"), F.col("at.text_hash").alias("text_hash")), "wanted")
+    sends = wanted.agg(F.sum(F.size("uses"))).first()[0] or 0
+    small = sends <= BROADCAST_IDS
+    src = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"),
+                      F.col(text_col).cast("binary").alias("text"))
+    own = wanted.where("id is not null")
+    rows = src.join(F.broadcast(own) if small else own, ["id", "text_hash"])
+    # nodes without any id: rows without one, each text once
+    lone = (src.where("id is null").groupBy("text_hash").agg(F.first("text").alias("text"))
+            .join(wanted.where("id is null").drop("id"), "text_hash"))
+    columns = ["node", "uses", "text"]
+    rows = rows.select(columns).unionByName(lone.select(columns))
+    out = T.StructType([*fields, *SET.fields])
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (p for batch in batches for p in slices(batch, 2, size=1 << 20)):
+            where, blobs = [], []
+            for text in part.column(2).to_pylist():
+                blobs.append(shingle_set(text).tobytes())
+            use = part.column(1)
+            where = np.repeat(np.arange(part.num_rows), np.diff(use.offsets.to_numpy()))
+            flat = use.flatten()
+            cols = [flat.field(f.name) for f in fields]
+            # a set goes as often as it is used: a few rows at a time
+            sizes = np.cumsum(np.array([len(b) for b in blobs], np.int64)[where])
+            lo = 0
+            while lo < len(where):
+                hi = max(lo + 1, int(np.searchsorted(sizes, (sizes[lo - 1] if lo else 0) + (8 << 20))))
+                at = where[lo:hi]
+                yield pa.RecordBatch.from_arrays(
+                    [*(c.slice(lo, hi - lo) for c in cols), part.column(0).take(pa.array(at)),
+                     pa.array([blobs[i] for i in at.tolist()], pa.binary())], names=out.names)
+                lo = hi
+
+    got = rows.mapInArrow(sets, out)
+    got._llm_path = wanted._llm_path  # to be dropped when the result is written
+    return got
+
+
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= SIMILAR * (len(a) + len(b) - both)
+
+
+PAIRS = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, sketches: DataFrame, id_col: str,
               text_col: str) -> DataFrame:
-    """The pairs (a, b) that hold on the full sets.
+    """The pairs (a, b) of nodes with their hub that hold on the full sets.
 
     Pairs of one b go in groups of ``GROUP`` so that its set travels once per
-    group and no group grows with the data. The sets are made anew from the
-    texts of one document per node.
+    group and no group grows with the data.
     """
     slot = F.xxhash64("a") % 65536
     width = pairs.groupBy("b").agg((F.ceil(F.count(F.lit(1)) / GROUP)).alias("parts"))
@@ -189,28 +248,8 @@ def confirmed(pairs: DataFrame, docs: DataFrame, sketches: DataFrame, id_col: st
     needs = (pairs.select(F.col("a").alias("node"), "b", "part")
              .union(pairs.select(F.col("b").alias("node"), "b", "part").distinct()))
     needs = needs.groupBy("node").agg(F.collect_list(F.struct("b", "part")).alias("uses"))
-    # one text per node: its smallest id (a node without any id is looked up
-    # among the rows without one)
-    holder = sketches.where("node is not null").groupBy("node").agg(F.min("id").alias("id"))
-    needs = write_once(needs.join(holder, "node").select("id", "node", "uses"), "needs")
-    wanted = needs.where("id is not null").select("id").distinct()
-    wanted = F.broadcast(wanted) if needs.count() <= BROADCAST_IDS else wanted
-    src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
-    texts = src.join(wanted, "id", "left_semi").unionByName(src.where("id is null"))
-    set_schema = T.StructType([T.StructField("node", T.LongType()),
-                               T.StructField("shingles", T.BinaryType())])
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            got = [(node_of(s), s.tobytes()) for t in batch.column(1).to_pylist()
-                   if len(s := shingle_set(t))]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.binary())],
-                names=set_schema.names)
-
-    use = needs.select("node", F.explode("uses").alias("u")).select("node", "u.b", "u.part")
-    sent = texts.mapInArrow(sets, set_schema).join(use, "node")
-    out = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+    sent = with_sets(needs, docs, sketches, id_col, text_col,
+                     [T.StructField("b", T.LongType()), T.StructField("part", T.LongType())])
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub, held, found = None, None, []
@@ -221,104 +260,175 @@ def confirmed(pairs: DataFrame, docs: DataFrame, sketches: DataFrame, id_col: st
                 s = np.frombuffer(blobs[i].as_py(), np.uint64)
                 if node == b:
                     hub, held = (b, part), s
-                elif hub == (b, part):
-                    both = len(np.intersect1d(held, s, assume_unique=True))
-                    if 100 * both >= SIMILAR * (len(held) + len(s) - both):
-                        found.append((node, b))
+                elif hub == (b, part) and similar(held, s):
+                    found.append((node, b))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=out.names)
+                [pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=PAIRS.names)
             found = []
 
     grouped = (sent.repartition("b", "part")
                .sortWithinPartitions("b", "part", (F.col("node") != F.col("b")), "node"))
-    done = write_once(grouped.mapInArrow(check, out).distinct(), "links")
+    done = write_once(grouped.mapInArrow(check, PAIRS).distinct(), "links")
     drop_table(pairs)
-    drop_table(needs)
+    drop_table(sent)
     return done
 
 
 def open_members(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """The rows (key, node) of buckets that still hold several groups. Groups
+    """The rows (key, node, root) of buckets that still hold several groups. Groups
     only grow, so a bucket that holds one is done for good."""
     at = members.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
     several = at.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
-    return at.join(several.select("key"), "key").select("key", "node")
-
-
-def open_pairs(members: DataFrame, signatures: DataFrame, roots: DataFrame,
-               best_only: bool = False) -> DataFrame:
-    """(a, b): pairs that share a bucket, lie in different groups and pass the
-    estimate; with ``best_only`` one per member and block, its likeliest."""
-    at = members.join(roots, "node", "left").select(
-        "key", "node", F.coalesce("root", "node").alias("root"))
-    mixed = at.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
-                                  F.count(F.lit(1)).alias("m")).where("lo <> hi")
-    mixed = mixed.select("key", F.ceil(F.col("m") / BLOCK).alias("parts"))
-    rows = at.join(mixed, "key").join(signatures, "node")
+    return at.join(several.select("key"), "key")
+
+
+class Groups(dict):
+    """Union-find over the groups of a block."""
+
+    def find(self, x: int) -> int:
+        while (up := self.get(x, x)) != x:
+            self[x] = self.get(up, up)
+            x = up
+        return x
+
+    def join(self, x: int, y: int) -> bool:
+        x, y = self.find(x), self.find(y)
+        if x != y:
+            self[max(x, y)] = min(x, y)
+        return x != y
+
+
+def _by_block(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[pa.Table]:
+    """Runs of rows that agree in ``names`` (the input is sorted by them)."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        ids = np.stack([batch.column(batch.schema.get_field_index(c)).to_numpy() for c in names])
+        cuts = [0, *(np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+        for lo, hi in zip(cuts, cuts[1:]):
+            part = batch.slice(lo, hi - lo)
+            if held and any(held[-1].column(held[-1].schema.get_field_index(c))[0]
+                            != part.column(part.schema.get_field_index(c))[0] for c in names):
+                yield pa.Table.from_batches(held)
+                held = []
+            if part.num_rows:
+                held.append(part)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def likely_in(tab: pa.Table, i: int, j: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(x, ys, estimates): members of a block that lie in different groups and may be
+    linked, by sizes and packed signatures."""
+    node, root, n, mine = (tab.column(c).to_numpy() for c in ("node", "root", "n", "mine"))
+    sig = np.concatenate([c.flatten().to_numpy() for c in tab.column("sig").chunks]).reshape(-1, LONGS).view(np.uint64)
+    left = np.arange(len(node)) if i == j else np.flatnonzero(mine == i)
+    for x in left.tolist():
+        y = np.arange(x + 1, len(node)) if i == j else np.flatnonzero(mine != mine[x])
+        y = y[(root[y] != root[x]) & (node[y] != node[x])
+              & (100 * np.minimum(n[y], n[x]) >= SIMILAR * np.maximum(n[y], n[x]))]
+        if len(y):
+            d = sig[y] ^ sig[x]
+            z = d.copy()
+            for s in range(1, B):
+                z |= d >> np.uint64(s)
+            agree = 1 - np.bitwise_count(z & _ONES).sum(axis=1) / K
+            est = (agree - 2.0 ** -B) / (1 - 2.0 ** -B)
+            if (ok := est >= FLOOR).any():
+                yield x, y[ok], est[ok]
+
+
+def _blocks(rows: DataFrame, by: str, parts: DataFrame) -> DataFrame:
+    """Members of ``by`` dealt into ``parts`` and sent to the meetings (i, j),
+    i <= j, of their part with every part."""
+    rows = rows.join(parts, by)
     mine = F.pmod(F.xxhash64("node"), F.col("parts"))
-    # block (i, j), i <= j: rows of block i and rows of block j meet once
-    tasks = F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda other: F.struct(
-        F.least(other, mine).alias("i"), F.greatest(other, mine).alias("j"))))
-    rows = rows.select("key", "node", "root", "n", "sig", mine.alias("mine"), tasks.alias("t"))
-    rows = rows.select("key", "t.i", "t.j", "mine", "node", "root", "n", "sig")
-    out = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+    meetings = F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda other: F.struct(
+        F.least(other, mine).alias("i"), F.greatest(other, mine).alias("j")))
+    return rows.withColumn("mine", mine).withColumn("meetings", meetings)
+
+
+def forest(members: DataFrame, signatures: DataFrame) -> DataFrame:
+    """(a, b): what holds together the members of open buckets that lie in different
+    groups and pass the estimate. A block sends at most as many pairs as it has
+    members, since only those that join something new go on."""
+    parts = members.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("parts"))
+    rows = _blocks(members.join(signatures, "node"), "key", parts)
+    rows = rows.select("key", "node", "root", "n", "sig", "mine", F.explode("meetings").alias("m"))
+    rows = rows.select("key", "m.i", "m.j", "mine", "node", "root", "n", "sig")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def pairs(run: list) -> Iterator[tuple[np.ndarray, ...]]:
-            tab = pa.Table.from_batches(run)
-            node, root, n, mine = (tab.column(c).to_numpy() for c in ("node", "root", "n", "mine"))
-            sig = np.concatenate([c.flatten().to_numpy() for c in tab.column("sig").chunks])
-            sig = sig.reshape(-1, LONGS).view(np.uint64)
-            same = int(tab.column("i")[0].as_py()) == int(tab.column("j")[0].as_py())
-            left = np.arange(len(node)) if same else np.flatnonzero(mine == tab.column("i")[0].as_py())
-            best, partner = np.zeros(len(node)), np.zeros(len(node), np.int64)
-            for x in left.tolist():
-                y = np.arange(x + 1, len(node)) if same else np.flatnonzero(mine != mine[x])
-                y = y[(root[y] != root[x]) & (node[y] != node[x])
-                      & (100 * np.minimum(n[y], n[x]) >= SIMILAR * np.maximum(n[y], n[x]))]
-                if not len(y):
-                    continue
-                d = sig[y] ^ sig[x]
-                z = d.copy()
-                for s in range(1, B):
-                    z |= d >> np.uint64(s)
-                agree = 1 - np.bitwise_count(z & _ONES).sum(axis=1) / K
-                est = (agree - 2.0 ** -B) / (1 - 2.0 ** -B)
-                y, est = y[est >= FLOOR], est[est >= FLOOR]
-                if best_only and len(y):  # for both: a later member may find its best in x
-                    better = est > best[y]
-                    best[y[better]], partner[y[better]] = est[better], node[x]
-                    k = int(np.argmax(est))
-                    if est[k] > best[x]:
-                        best[x], partner[x] = est[k], node[y[k]]
-                elif not best_only:
-                    yield np.minimum(node[y], node[x]), np.maximum(node[y], node[x])
-            if best_only:
-                has = best > 0
-                yield np.minimum(node[has], partner[has]), np.maximum(node[has], partner[has])
-
-        def send(run: list) -> Iterator[pa.RecordBatch]:
-            got = list(pairs(run))
-            if got:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*got)],
-                                                 names=out.names)
-
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            ids = np.stack([batch.column(c).to_numpy() for c in ("key", "i", "j")])
-            cuts = [0, *(np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
-            for lo, hi in zip(cuts, cuts[1:]):
-                part = batch.slice(lo, hi - lo)
-                if held and any(held[-1].column(c)[0] != part.column(c)[0] for c in ("key", "i", "j")):
-                    yield from send(held)
-                    held = []
-                if part.num_rows:
-                    held.append(part)
-        if held:
-            yield from send(held)
+        for tab in _by_block(batches, ("key", "i", "j")):
+            node, held, out = tab.column("node").to_numpy(), Groups(), []
+            for x, ys, _ in likely_in(tab, tab.column("i")[0].as_py(), tab.column("j")[0].as_py()):
+                out += [(int(node[x]), y) for y in node[ys].tolist() if held.join(int(node[x]), y)]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in (0, 1)],
+                                                 names=PAIRS.names)
 
     return (rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-            .mapInArrow(compare, out).distinct())
+            .mapInArrow(compare, PAIRS).distinct())
+
+
+def _intersections(sets: list[np.ndarray]):
+    """A function (x, ys) -> sizes of the intersections of set x with sets ys: on rows
+    of bits over the shingles that several sets hold, or set by set where that
+    table would be large."""
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    known, at, count = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(count > 1)
+    if len(shared) * len(sets) > 8 * BITS_BYTES:
+        return lambda x, ys: np.array([len(np.intersect1d(sets[x], sets[y], assume_unique=True)) for y in ys], np.int64)
+    column = np.full(len(known), -1)
+    column[shared] = np.arange(len(shared))
+    col = column[at]
+    bits = np.zeros((len(sets), -(-len(shared) // 64) * 64), bool)
+    bits[owner[col >= 0], col[col >= 0]] = True
+    words = np.packbits(bits, axis=1).view(np.uint64)
+    return lambda x, ys: np.bitwise_count(words[ys] & words[x]).sum(axis=1, dtype=np.int64)
+
+
+def joining(members: DataFrame, signatures: DataFrame, roots: DataFrame, families: DataFrame, docs: DataFrame,
+            sketches: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(a, b): links that join the groups of a family, confirmed on the full sets.
+
+    A family's members go in parts (by number and by size of their sets) that meet
+    pairwise, so a set travels once per part and not once per pair. A meeting confirms
+    likely pairs, best estimate first, and skips those that are joined already.
+    """
+    rows = families.join(members.select("node", "root").distinct(), "node").join(signatures, "node")
+    parts = rows.groupBy("family").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") * 8 / BLOCK_BYTES)).alias("parts"))
+    rows = write_once(_blocks(rows, "family", parts), "families")
+    uses = rows.select("node", F.transform("meetings", lambda m: F.struct(
+        "family", m["i"].alias("i"), m["j"].alias("j"), "mine", "root", "n", "sig")).alias("uses"))
+    fields = [*(T.StructField(c, T.LongType()) for c in ("family", "i", "j", "mine", "root", "n")),
+              T.StructField("sig", T.ArrayType(T.LongType()))]
+    full = with_sets(uses, docs, sketches, id_col, text_col, fields)
+
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tab in _by_block(batches, ("family", "i", "j")):
+            node, root = (tab.column(c).to_numpy() for c in ("node", "root"))
+            sets = [np.frombuffer(x, np.uint64) for x in tab.column("shingles").to_pylist()]
+            size, held, out = np.array([len(s) for s in sets], np.int64), Groups(), []
+            likely = list(likely_in(tab, tab.column("i")[0].as_py(), tab.column("j")[0].as_py()))
+            if not likely:
+                continue
+            common = _intersections(sets)
+            for x, ys, est in sorted(likely, key=lambda t: -t[2].max()):
+                ys = ys[np.argsort(-est, kind="stable")]
+                ys = ys[[held.find(int(root[y])) != held.find(int(root[x])) for y in ys.tolist()]]
+                both = common(x, ys) if len(ys) else np.empty(0, np.int64)
+                for y in ys[100 * both >= SIMILAR * (size[ys] + size[x] - both)].tolist():
+                    if held.join(int(root[x]), int(root[y])):
+                        out.append((int(node[x]), int(node[y])))
+            yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], pa.int64()) for k in (0, 1)],
+                                             names=PAIRS.names)
+
+    met = full.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j", "node")
+    done = write_once(met.mapInArrow(confirm, PAIRS).distinct(), "links")
+    drop_table(rows)
+    drop_table(full)
+    return done
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -350,32 +460,29 @@ def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     members = sketches.where("node is not null").select(F.explode("bands").alias("key"), "node")
     signatures = sketches.where("node is not null").groupBy("node").agg(
         F.min("n_shingles").alias("n"), F.first("sig").alias("sig"))
-    test = lambda pairs: confirmed(pairs, docs, sketches, id_col, text_col)
-
-    links = test(star_pairs(members, signatures))
+    links = confirmed(star_pairs(members, signatures), docs, sketches, id_col, text_col)
     roots = components(links)
-    members = members.distinct()
-    while True:  # each open member proposes its likeliest partner, as long as that joins groups
-        members = write_once(open_members(members, roots), "members")
-        likely = write_once(open_pairs(members, signatures, roots, best_only=True), "likely")
-        if not likely.limit(1).count():
-            break
-        found = test(likely.select("a", "b"))
-        if found.limit(1).count():
-            links = links.union(found)
-            roots = components(links)
-            continue
-        # no proposal holds: whatever is still apart is tested in full
-        rest = write_once(open_pairs(members, signatures, roots).join(likely, ["a", "b"], "left_anti"), "open")
-        if rest.limit(1).count():
-            links = links.union(test(rest.select("a", "b")))
-            roots = components(links)
-        break
+    # what lies in one bucket but in different groups: families of likely pairs
+    still = write_once(open_members(members.distinct(), roots), "members")
+    likely = write_once(forest(still, signatures), "likely")
+    if likely.limit(1).count():
+        families = components(likely)
+        found = joining(still, signatures, roots, families.withColumnRenamed("root", "family"), docs, sketches,
+                        id_col, text_col)
+        old, before = roots, links
+        roots = components(links.union(found))
+        for done in (old, before, found, families):
+            drop_table(done)
+    else:
+        drop_table(links)
+    drop_table(still)
+    drop_table(likely)
     # one row per node: its group, then the smallest id of the group
     nodes = sketches.where("node is not null").groupBy("node").agg(F.min("id").alias("id"))
     nodes = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     firsts = nodes.groupBy("root").agg(F.min("id").alias("component_id"))
     named = write_once(nodes.join(firsts, "root").select("node", "component_id"), "named")
+    drop_table(roots)
     rows = sketches.select("id", "text_hash", "n_shingles", "node").join(named, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component_id"))
     return rows.select(F.col("id").alias(id_col), "text_hash", "n_shingles", component.alias("component_id"),
