@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import ALNUM_TABLE, alnum_words, replace_columns
+from .shared import ALNUM_TABLE, alnum_words, replace_columns, slices
 
 WINDOW = 10
 SHARD_WORDS = 100_000
@@ -213,15 +213,15 @@ def scan(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.list_(pa.int64()))]
-        for batch in batches:
+        for part in (p for batch in batches for p in slices(batch, 1)):
             rows = []
-            for text in batch.column(1).to_pylist():
+            for text in part.column(1).to_pylist():
                 words, spans, found = _found(text, shards)
                 rows.append((len(words), sum(b - a for a, b in spans), sorted(found),
                              [list(s) for s in spans]))
             cols = list(zip(*rows)) or [[]] * 4
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(list(c), t) for c, t in zip(cols, kinds))],
+                [part.column(0), *(pa.array(list(c), t) for c, t in zip(cols, kinds))],
                 names=schema.names)
 
     return src.mapInArrow(run, schema)
@@ -255,12 +255,12 @@ def remove(docs: DataFrame, items: DataFrame, text_col: str = "text", window: in
     shards = automata(items, window, **how)
     names = docs.columns
 
+    k = names.index(text_col)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            k = names.index(text_col)
-            texts, keep = batch.column(k).to_pylist(), []
-            sizes = batch.column(names.index(size_col)).to_pylist() if size_col in names else None
-            for i, text in enumerate(texts):
+        for part in (p for batch in batches for p in slices(batch, k)):
+            keep, changed = [], {}
+            for i, text in enumerate(part.column(k).to_pylist()):
                 raw = text.encode() if text is not None else None
                 words, spans, _ = _found(raw, shards)
                 hit = sum(b - a for a, b in spans)
@@ -269,13 +269,16 @@ def remove(docs: DataFrame, items: DataFrame, text_col: str = "text", window: in
                     cut = _cut(raw, spans)
                     while (again := _found(cut, shards)[1]):  # passages that the cut brought together
                         cut = _cut(cut, again)
-                    texts[i] = cut.decode()
-                    if sizes is not None:
-                        sizes[i] = len(texts[i])
+                    changed[i] = cut.decode()
                     keep[-1] = bool(alnum_words(cut))
-            new = {text_col: pa.array(texts, batch.column(k).type)}
-            if sizes is not None:
-                new[size_col] = pa.array(sizes, batch.column(names.index(size_col)).type)
-            yield replace_columns(batch, new).filter(pa.array(keep, pa.bool_()))
+            if changed:  # only then is the column made anew
+                texts = part.column(k).to_pylist()
+                new = {text_col: pa.array([changed.get(i, t) for i, t in enumerate(texts)], part.column(k).type)}
+                if size_col in names:
+                    old = part.column(names.index(size_col))
+                    new[size_col] = pa.array([len(changed[i]) if i in changed else n for i, n in enumerate(old.to_pylist())],
+                                             old.type)
+                part = replace_columns(part, new)
+            yield part.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

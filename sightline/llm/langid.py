@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import write_once
+from .shared import slices, write_once
 
 # Families of closely related languages; any other code is a
 # family of its own.
@@ -42,6 +42,7 @@ FAMILY = {
 }
 UND = "und"
 BITS, ORDERS = 14, 3
+STRETCH = 1 << 18       # characters looked at in one go
 PER_LANGUAGE = 1000     # bound of the sample
 EPOCHS, REGULAR = 15, 1e-4
 
@@ -49,18 +50,40 @@ _BLANKS = re.compile(r"\s+")
 _LETTER = re.compile(r"[^\W\d_]")
 
 
-def grams(text: str) -> np.ndarray:
-    """Hashed n-grams of the whole text, in order, with repetitions."""
-    c = np.frombuffer(f" {_BLANKS.sub(' ', text.lower()).strip()} ".encode("utf-32-le", "replace"),
-                      np.uint32).astype(np.uint64)
-    out, h = [], np.zeros(len(c), np.uint64)
-    for n in range(1, ORDERS + 1):
-        if len(c) < n:
-            break
-        h = (h[:len(c) - n + 1] + c[n - 1:] + np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15)
-        out.append((h >> np.uint64(64 - BITS)).astype(np.int32))
-        h = h ^ (h >> np.uint64(29))
-    return np.concatenate(out)
+def _stretches(text: str) -> Iterator[str]:
+    """" text " in lower case with runs of blanks as one, about ``STRETCH``
+    characters at a time, cut before blanks where there is one near."""
+    lo, last = 0, " "
+    yield " "
+    while lo < len(text):
+        hi = lo + STRETCH
+        blank = _BLANKS.search(text, hi, hi + 256)
+        hi = blank.start() if blank else hi
+        part = _BLANKS.sub(" ", text[lo:hi].lower())
+        if last == " ":
+            part = part.lstrip()
+        if part:
+            yield part
+            last = part[-1]
+        lo = hi
+    if last != " ":
+        yield " "
+
+
+def gram_counts(text: str) -> np.ndarray:
+    """How often each hashed n-gram occurs in the whole text. Memory does not
+    follow the text: a stretch is counted together with the end of the last."""
+    total, tail = np.zeros(1 << BITS, np.int64), ""
+    for part in _stretches(text):
+        c = np.frombuffer((tail + part).encode("utf-32-le", "replace"), np.uint32).astype(np.uint64)
+        h = np.zeros(len(c), np.uint64)
+        for n in range(1, min(ORDERS, len(c)) + 1):
+            h = (h[:len(c) - n + 1] + c[n - 1:] + np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15)
+            new = max(0, len(tail) - n + 1)     # n-grams that end in this stretch
+            total += np.bincount((h[new:] >> np.uint64(64 - BITS)).astype(np.int64), minlength=1 << BITS)
+            h = h ^ (h >> np.uint64(29))
+        tail = (tail + part)[1 - ORDERS:]
+    return total
 
 
 @dataclass
@@ -74,7 +97,9 @@ class Model:
     def predict(self, text: str | None) -> tuple[str, float]:
         if not text or not self.families or not _LETTER.search(text):
             return UND, 0.0
-        margin = self.weights[grams(text)].mean(axis=0, dtype=np.float64) + self.bias
+        n = gram_counts(text)
+        at = np.flatnonzero(n)
+        margin = (n[at] / n.sum()) @ self.weights[at] + self.bias
         family, sure = self._vote("", self.families, margin)
         language, surer = self._vote(family, self.languages[family], margin)
         return language, sure * surer
@@ -107,10 +132,11 @@ def held_out_digit(id_col: str) -> Column:
 
 def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, which: Column,
            per_language: int = PER_LANGUAGE) -> DataFrame:
-    """At most about ``per_language`` labelled texts of each language: those
-    whose id has the smallest hashes (rows with equal hashes stay together).
+    """At most ``per_language`` labelled texts of each language: those whose id
+    has the smallest hashes, among rows of one id those of the smallest text hash.
 
-    The bound per language is found on ids alone; the texts then pass a filter.
+    The bound per language is found on ids alone; the texts then pass a filter,
+    and what ties at the bound is counted off.
     """
     spot = F.xxhash64(F.col(id_col).cast("string"))
     rows = docs.where(which & F.col(text_col).isNotNull())
@@ -119,11 +145,14 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, which: Co
             .withColumn("r", rank).where(F.col("r") <= per_language)
             .groupBy("lang").agg(F.max("spot").alias("edge")))  # one row per language
     return (rows.select(F.col(lang_col).alias("lang"), spot.alias("spot"), F.col(text_col).alias("text"))
-            .join(F.broadcast(edge), "lang").where("spot <= edge").select("lang", "spot", "text"))
+            .join(F.broadcast(edge), "lang").where("spot <= edge")
+            .withColumn("r", F.row_number().over(
+                Window.partitionBy("lang").orderBy("spot", F.xxhash64("text"), "text")))
+            .where(F.col("r") <= per_language).select("lang", "spot", "text"))
 
 
 def _vector(text: str) -> tuple[np.ndarray, np.ndarray]:
-    n = np.bincount(grams(text), minlength=1 << BITS)
+    n = gram_counts(text)
     at = np.flatnonzero(n)
     return at.astype(np.int32), (n[at] / n.sum()).astype(np.float32)
 
@@ -160,11 +189,11 @@ def train(docs: DataFrame, which: Column, id_col: str = "doc_id", text_col: str
         T.StructField("at", T.BinaryType()), T.StructField("share", T.BinaryType())])
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for part in (p for batch in batches for p in slices(batch, 2)):
             got = [_vector(t) if t else (np.empty(0, np.int32), np.empty(0, np.float32))
-                   for t in batch.column(2).to_pylist()]
+                   for t in part.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([a.tobytes() for a, _ in got], pa.binary()),
+                [part.column(0), part.column(1), pa.array([a.tobytes() for a, _ in got], pa.binary()),
                  pa.array([s.tobytes() for _, s in got], pa.binary())], names=schema.names)
 
     rows = write_once(sample(docs, id_col, text_col, lang_col, which, per_language)
@@ -213,10 +242,10 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
                            T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            got = [shared.value.predict(t) for t in batch.column(1).to_pylist()]
+        for part in (p for batch in batches for p in slices(batch, 1)):
+            got = [shared.value.predict(t) for t in part.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([g[0] for g in got], pa.string()),
+                [part.column(0), pa.array([g[0] for g in got], pa.string()),
                  pa.array([g[1] for g in got], pa.float64())], names=schema.names)
 
     return src.mapInArrow(run, schema)
@@ -229,8 +258,8 @@ def accepted(docs: DataFrame, model: Model, text_col: str = "text", least: float
     k = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            got = [shared.value.predict(t) for t in batch.column(k).to_pylist()]
-            yield batch.filter(pa.array([g[0] != UND and g[1] >= least for g in got], pa.bool_()))
+        for part in (p for batch in batches for p in slices(batch, k)):
+            got = [shared.value.predict(t) for t in part.column(k).to_pylist()]
+            yield part.filter(pa.array([g[0] != UND and g[1] >= least for g in got], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -74,7 +74,8 @@ def replace_columns(batch: pa.RecordBatch, new: dict[str, pa.Array]) -> pa.Recor
 
 def slices(batch: pa.RecordBatch, column: int, rows: int = 1024, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in parts of at most ``rows`` rows and, unless one row alone is
-    longer, ``size`` bytes of a text or binary column."""
+    longer, ``size`` bytes of a text or binary column. What Arrow holds of earlier
+    parts goes back to the system, since a worker lives on through many stages."""
     col = batch.column(column)
     wide = pa.types.is_large_string(col.type) or pa.types.is_large_binary(col.type)
     ends = np.frombuffer(col.buffers()[1], np.int64 if wide else np.int32)[col.offset:col.offset + len(col) + 1] if (
@@ -85,3 +86,4 @@ def slices(batch: pa.RecordBatch, column: int, rows: int = 1024, size: int = 4 <
         hi = min(max(hi, lo + 1), lo + rows, batch.num_rows)
         yield batch.slice(lo, hi - lo)
         lo = hi
+    pa.default_memory_pool().release_unused()
