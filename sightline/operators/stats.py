@@ -270,6 +270,23 @@ def approx_distinct(tuples: DataFrame, rsd: float = 0.02) -> DataFrame:
                           / F.col("exact_users"))
 
 
+def distinct_sketches(tuples: DataFrame, lg_k: int = 14) -> DataFrame:
+    """Per day HyperLogLog sketches of users, queries and (query, user) pairs, of
+    fixed size: what is kept to count distinct values of any span of days later
+    (relative error about 1.04 / 2^(lg_k / 2))."""
+    pair = F.concat_ws("\0", Q, "username")
+    return tuples.groupBy("date").agg(*[F.hll_sketch_agg(c, lg_k).alias(n) for n, c in (
+        ("users", F.col("username")), ("queries", F.col(Q)), ("pairs", pair))])
+
+
+def approx_periods(sketches: DataFrame, kinds=("week", "month", "all_time")) -> DataFrame:
+    """Distinct users, queries and pairs of every period from the sketches of its
+    days: sketches are merged, the tuples are not read again."""
+    merged = assign_periods(sketches, kinds).groupBy(*IK).agg(
+        *[F.hll_sketch_estimate(F.hll_union_agg(c)).alias(f"approx_{c}") for c in ("users", "queries", "pairs")])
+    return merged.select(*period_names(), "approx_users", "approx_queries", "approx_pairs")
+
+
 def distinct_pairs_two_pass(tuples: DataFrame) -> DataFrame:
     """Distinct (user, query) pairs, then rows per query: two group-bys."""
     return (tuples.select(Q, "username").distinct()

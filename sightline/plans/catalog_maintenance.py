@@ -402,6 +402,44 @@ def q_approx_distinct(spark, sf):
     return got.select("date", "exact_users", close.alias("within_tolerance"))
 
 
+@register("approx_periods", f"""
+WITH t AS (SELECT * FROM {O.T2} t),
+p AS (SELECT 'week' AS period_type, strftime(date, '%G-W%V') AS period_id, username, query_normalized FROM t
+      UNION ALL SELECT 'month', strftime(date, '%Y-%m'), username, query_normalized FROM t
+      UNION ALL SELECT 'all_time', 'all_time', username, query_normalized FROM t)
+SELECT period_type, period_id, COUNT(DISTINCT username) AS exact_users, COUNT(DISTINCT query_normalized) AS exact_queries,
+       COUNT(DISTINCT (query_normalized, username)) AS exact_pairs, TRUE AS within_tolerance
+FROM p GROUP BY 1, 2""")
+def q_approx_periods(spark, sf):
+    """One written table of daily sketches answers every period; each estimate
+    against the exact count: within 3 %, or one in small periods."""
+    tuples = s2_tuples(spark, sf)
+    path = SK.write_version(ST.distinct_sketches(tuples), f"{run_dir(spark, 'sketches')}/daily")
+    got = ST.approx_periods(spark.read.parquet(path))
+    exact = ST.assign_periods(tuples).groupBy(*ST.IK).agg(
+        F.countDistinct("username").alias("exact_users"), F.countDistinct(ST.Q).alias("exact_queries"),
+        F.countDistinct(ST.Q, "username").alias("exact_pairs"))
+    exact = exact.select(*ST.period_names(), "exact_users", "exact_queries", "exact_pairs")
+    close = F.lit(True)
+    for c in ("users", "queries", "pairs"):
+        close = close & (F.abs(F.col(f"approx_{c}") - F.col(f"exact_{c}")) <= F.greatest(
+            F.lit(1.0), 0.03 * F.col(f"exact_{c}")))
+    return got.join(exact, ["period_type", "period_id"]).select(
+        "period_type", "period_id", "exact_users", "exact_queries", "exact_pairs", close.alias("within_tolerance"))
+
+
+@register("tuples_of_month", f"SELECT * FROM {O.T2} t WHERE strftime(date, '%Y-%m') IN ('1995-01', '1996-06', '1997-12')")
+def q_tuples_of_month(spark, sf):
+    """Three months of archive and live tables, both partitioned by month."""
+    _, arch, live = t2_parts(spark, sf)
+    root = run_dir(spark, "tuples_of_month")
+    for name, part in (("archive", arch), ("live", live)):
+        SK.archive_daily_tuples(part, None, f"{root}/{name}")
+    parts = [SC.scan_archived_tuples(spark, f"{root}/{n}/daily_tuples", with_month=True) for n in ("archive", "live")]
+    tuples = SC.tuples_all(*parts, ledger_for(arch), with_month=True)
+    return SC.of_months(tuples, ["1995-01", "1996-06", "1997-12"]).drop("month")
+
+
 CUMULATIVE_SQL = f"""
 WITH c AS (
 SELECT period_type, period_id, total_searches, total_users, unique_queries AS total_queries,

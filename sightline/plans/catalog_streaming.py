@@ -6,9 +6,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..sources import fixtures as FX
+from ..sources import scans as SC
+from ..sources import sinks as SK
 from ..streaming import jobs as SJ
+from . import jobs as J
 from . import oracle as O
-from .catalog import SALT
+from .catalog import AS_OF, SALT
 from .catalog_maintenance import run_dir
 from .registry import register
 
@@ -33,10 +36,30 @@ SELECT client_id, "timestamp", sha256('{SALT}' || username) AS username, query
 FROM {O.S1_SQL} s WHERE username IS NOT NULL AND query IS NOT NULL""")
 def q_stream_ingest(spark, sf):
     _, path = _ingest(spark, sf)
-    back = spark.read.parquet(path).select("client_id", "timestamp", "username", "query")
+    back = SC.scan_log(spark, path).select("client_id", "timestamp", "username", "query")
     return back.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
+@register("stream_archive", f"""
+WITH s AS (SELECT client_id, "timestamp", sha256('{SALT}' || username) AS username, query,
+                  strftime("timestamp", '%Y-%m') AS month FROM {O.S1_SQL} s
+           WHERE username IS NOT NULL AND query IS NOT NULL)
+SELECT *, CASE WHEN month < (SELECT max(month) FROM s) THEN 'archive' ELSE 'log' END AS place FROM s""")
+def q_stream_archive(spark, sf):
+    """The streamed log archived up to its last month and deleted: every row is
+    in one place, and both can be read."""
+    _, log = _ingest(spark, sf)
+    root = run_dir(spark, "stream_archive")
+    last = max(m for m, _, _ in SK.committed_files(spark, log))
+    J.archive_job(spark, root, log, last, AS_OF, delete_after=True)
+    cols = ["client_id", "timestamp", "username", "query", "month"]
+    rows = SC.scan_log(spark, log).select(*cols, F.lit("log").alias("place"))
+    if SK.path_exists(spark, f"{root}/archive/searches"):
+        rows = rows.unionByName(SC.scan_archive(spark, f"{root}/archive/searches").select(
+            *cols, F.lit("archive").alias("place")))
+    return rows.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
 @register("stream_metrics", f"""
 SELECT CAST(0 AS BIGINT) AS batch_id, COUNT(*) AS input_rows, COUNT(*) AS "rows",
        CAST(SUM(CASE WHEN username IS NULL OR query IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS dropped

@@ -21,7 +21,6 @@ import uuid
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import schema as S
 from ..functions import expr as E
@@ -148,8 +147,10 @@ def archive_job(spark: SparkSession, root: str, searches_path: str, current_mont
                 as_of, delete_after: bool = False) -> list[dict]:
     """Archive the finished months of the raw log, all of them in one pass.
 
-    ``searches_path`` is the raw log partitioned by ``month`` (the layout the
-    ingest stream writes). The unit of work is the *file*: ``archived_files``
+    ``searches_path`` is the raw log as the ingest stream leaves it (``batch=``
+    folders with months inside) or partitioned by ``month``. Only committed files
+    count: what a killed batch left behind is not there yet, and nothing keeps a
+    list of files that a deletion would make wrong. The unit of work is the *file*: ``archived_files``
     lists every raw file whose rows are in the archive, and only files on that
     list are ever deleted. So a row that reaches a month late, even a month
     archived and deleted long ago, or while this job runs, is in a file of its
@@ -173,13 +174,9 @@ def archive_job(spark: SparkSession, root: str, searches_path: str, current_mont
     # names of files that are archived but still there (as many as Spark lists)
     done = {r.file for r in noted.where(~F.col("deleted")).select("file").toLocalIterator()}
     run = (noted.agg(F.max("run")).first()[0] or 0) + 1
-    months = sorted(d[len("month="):] for d in SK.list_dirs(spark, searches_path)
-                    if d.startswith("month=") and d[len("month="):] < current_month)
-    new = [(m, f, n) for m in months for f, n in SK.list_files(spark, f"{searches_path}/month={m}")
-           if f not in done]
+    new = sorted(x for x in SK.committed_files(spark, searches_path) if x[0] < current_month and x[1] not in done)
     if new:
-        rows = (spark.read.schema(T.StructType([*S.SEARCHES.fields, T.StructField("month", T.StringType())]))
-                .option("basePath", searches_path).parquet(*[f for _, f, _ in new]))
+        rows = SC.read_log_files(spark, searches_path, [f for _, f, _ in new])
         seen = Observation(f"archive_run_{run}")
         out = f"{raw}/run={run}"
         (rows.repartitionByRange("month", "timestamp").sortWithinPartitions("month", "timestamp")
@@ -199,6 +196,7 @@ def archive_job(spark: SparkSession, root: str, searches_path: str, current_mont
     report = _refresh_from_archive(spark, root, raw, archived, noted)
     if delete_after:
         _delete_archived(spark, root, archived, noted, as_of)
+        SK.drop_empty_batches(spark, searches_path)
     return [{**r, "deleted": delete_after} for r in report]
 
 

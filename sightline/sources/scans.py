@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from .. import schema as S
 from ..functions import expr as E
+from . import sinks as SK
 
 
 def scan_searches(spark: SparkSession, path: str, observation=None) -> DataFrame:
@@ -29,6 +30,36 @@ def scan_searches_by_month(spark: SparkSession, path: str, observation=None) ->
     return drop_incomplete(df, observation)
 
 
+def scan_log(spark: SparkSession, path: str, observation=None) -> DataFrame:
+    """The raw log as the ingest stream and batch jobs leave it, with ``month``:
+    complete batches only; month filters prune folders in either layout."""
+    parts = []
+    fields = [*S.SEARCHES.fields, T.StructField("month", T.StringType())]
+    names = SK.list_dirs(spark, path)
+    for prefix, schema in (("month=", fields), ("batch=", [*fields[:-1], T.StructField("batch", T.StringType()), fields[-1]])):
+        dirs = [f"{path}/{d}" for d in names if d.startswith(prefix)
+                and (prefix == "month=" or SK.path_exists(spark, f"{path}/{d}/_SUCCESS"))]
+        if dirs:
+            df = spark.read.schema(T.StructType(schema)).option("basePath", path).parquet(*dirs)
+            parts.append(df.select([f.name for f in fields]))
+    df = parts[0] if parts else spark.createDataFrame([], T.StructType(fields))
+    for more in parts[1:]:
+        df = df.unionByName(more)
+    return drop_incomplete(df, observation)
+
+
+def read_log_files(spark: SparkSession, path: str, files: list[str]) -> DataFrame:
+    """Every row of some files of the log, with ``month``."""
+    fields = T.StructType([*S.SEARCHES.fields, T.StructField("month", T.StringType())])
+    batch = [f for f in files if "/batch=" in f]
+    out = None
+    for part in (batch, [f for f in files if "/batch=" not in f]):
+        if part:
+            df = spark.read.schema(fields).option("basePath", path).parquet(*part).select(fields.names)
+            out = df if out is None else out.unionByName(df)
+    return out
+
+
 def scan_archive(spark: SparkSession, path: str) -> DataFrame:
     """The archived raw log (``path/run=<n>/month=YYYY-MM``), every row of it."""
     schema = T.StructType([*S.SEARCHES.fields, T.StructField("run", T.LongType()),
@@ -70,16 +101,16 @@ def scan_client_range(df: DataFrame, client: str, start, end) -> DataFrame:
     return scan_time_range(df, start, end).where(F.col("client_id") == client)
 
 
-def scan_archived_tuples(spark: SparkSession, path: str | None) -> DataFrame:
-    """All archived daily tuples, cast to the declared schema; empty if none."""
-    if path:
-        try:
-            df = spark.read.schema(S.DAILY_TUPLES).parquet(path)
-            return df.select([F.col(f.name).cast(f.dataType) for f in S.DAILY_TUPLES.fields])
-        except Exception as exc:  # no files yet
-            if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc):
-                raise
-    return spark.createDataFrame([], S.DAILY_TUPLES)
+def scan_archived_tuples(spark: SparkSession, path: str | None, with_month: bool = False) -> DataFrame:
+    """All archived daily tuples, cast to the declared schema; empty if none.
+    With ``with_month`` the partition column stays: filters on it prune folders."""
+    fields = [*S.DAILY_TUPLES.fields, T.StructField("month", T.StringType())]
+    names = [f.name for f in (fields if with_month else S.DAILY_TUPLES.fields)]
+    if path and SK.path_exists(spark, path):
+        own = path.rstrip("/").rsplit("/", 1)[-1].startswith("month=")  # one month's folder
+        base = path.rstrip("/").rsplit("/", 1)[0] if own else path
+        return spark.read.schema(T.StructType(fields)).option("basePath", base).parquet(path).select(names)
+    return spark.createDataFrame([], T.StructType(fields)).select(names)
 
 
 def deleted_months(ledger: DataFrame) -> DataFrame:
@@ -87,20 +118,28 @@ def deleted_months(ledger: DataFrame) -> DataFrame:
     return ledger.where(F.col("deleted")).select("month").distinct()
 
 
-def tuples_all(archived: DataFrame, live: DataFrame, ledger: DataFrame) -> DataFrame:
+def tuples_all(archived: DataFrame, live: DataFrame, ledger: DataFrame, with_month: bool = False) -> DataFrame:
     """Archived and live daily tuples as one relation.
 
     The ledger decides which copy of a month is read: a month marked deleted is
     read from the archive, every other month from the live table, never both.
     The month list is bounded by the number of months of history.
+
+    A side that comes with its partition column ``month`` is joined on it, not
+    on a function of the date. With ``with_month`` the column stays, so that a
+    question about some months (``of_months``) reads their folders alone.
     """
     done = F.broadcast(deleted_months(ledger))
-    cols = [f.name for f in S.DAILY_TUPLES.fields]
-    a = archived.withColumn("_m", E.month_key("date"))
-    lv = live.withColumn("_m", E.month_key("date"))
-    a = a.join(done, a["_m"] == done["month"], "left_semi").select(cols)
-    lv = lv.join(done, lv["_m"] == done["month"], "left_anti").select(cols)
-    return a.unionByName(lv)
+    cols = [f.name for f in S.DAILY_TUPLES.fields] + (["month"] if with_month else [])
+    own = lambda df: df if "month" in df.columns else df.withColumn("month", E.month_key("date"))
+    a = own(archived).join(done, "month", "left_semi").select(cols)
+    return a.unionByName(own(live).join(done, "month", "left_anti").select(cols))
+
+
+def of_months(tuples: DataFrame, months: list[str]) -> DataFrame:
+    """The tuples of some months. On ``tuples_all(..., with_month=True)`` the
+    filter reaches the partition column on either side of the union."""
+    return tuples.where(F.col("month").isin(list(months)))
 
 
 def has_rows(df: DataFrame) -> bool:

@@ -267,20 +267,73 @@ def read_batches(spark: SparkSession, table: str, schema, keys: list[str]) -> Da
                            for c in schema.names])
 
 
-def compact_batches(spark: SparkSession, table: str, schema, keys: list[str]) -> None:
+def compact_batches(spark: SparkSession, table: str, schema, keys: list[str], grace: bool = False) -> None:
     """Fold all complete batches into one folder. Readers use it from the
     moment its write is complete; only then the folders it replaces go, so a
-    crash at any step leaves a table that reads the same."""
+    crash at any step leaves a table that reads the same. With ``grace`` what
+    was replaced stays until the next fold, for readers that had begun."""
     batches, folded = _complete(spark, table, "batch_id"), _complete(spark, table, "upto")
     last = max(batches, default=None)
     if last is not None and (not folded or last > folded[-1]):
         read_batches(spark, table, schema, keys).write.mode("overwrite").parquet(f"{table}/upto={last}")
         folded.append(last)
-    for n in folded[:-1]:
-        delete_path(spark, f"{table}/upto={n}")
-    for n in batches:
-        if n <= folded[-1]:
-            delete_path(spark, f"{table}/batch_id={n}")
+    done = folded[-2:-1] if grace else folded[-1:]
+    if done:
+        for kind, numbers, bound in (("upto", folded, done[0] - 1 if grace else folded[-1] - 1),
+                                     ("batch_id", batches, done[0])):
+            for n in numbers:
+                if n <= bound:
+                    delete_path(spark, f"{table}/{kind}={n}")
+
+
+# ---------------------------------------------------------------------------
+# The raw log: ``month=`` folders that jobs wrote, or ``batch=`` folders with
+# months inside that a stream wrote. A batch counts once it is complete.
+# ---------------------------------------------------------------------------
+
+def write_log_batch(rows: DataFrame, log: str, stream: str, batch_id: int) -> None:
+    """Append one micro-batch of stream ``stream``. A replay replaces what the
+    batch left unfinished; a complete batch is never written again, since its
+    files may be archived and gone by then."""
+    spark, path = rows.sparkSession, f"{log}/batch={stream}-{batch_id:010d}"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        (rows.hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "static")
+         .partitionBy("month").parquet(path))
+
+
+def _log_batches(spark: SparkSession, log: str) -> list[str]:
+    return [d for d in list_dirs(spark, log) if d.startswith("batch=") and path_exists(spark, f"{log}/{d}/_SUCCESS")]
+
+
+def committed_files(spark: SparkSession, log: str) -> list[tuple[str, str, int]]:
+    """(month, path, bytes) of the log's files; those of a batch that did not
+    finish are not there yet."""
+    places = [log, *(f"{log}/{d}" for d in _log_batches(spark, log))]
+    return [(d[len("month="):], f, n) for place in places for d in list_dirs(spark, place) if d.startswith("month=")
+            for f, n in list_files(spark, f"{place}/{d}")]
+
+
+def drop_empty_batches(spark: SparkSession, log: str) -> None:
+    """Remove batch folders whose files are all gone, but for the last batch of
+    each stream, which might be replayed."""
+    batches = _log_batches(spark, log)
+    last = {d.rsplit("-", 1)[0]: d for d in batches}  # names sort by number
+    for d in batches:
+        if d not in last.values() and not any(list_files(spark, f"{log}/{d}/{m}") for m in list_dirs(spark, f"{log}/{d}")):
+            delete_path(spark, f"{log}/{d}")
+
+
+def stream_name(spark: SparkSession, checkpoint: str) -> str:
+    """A name that stays with a checkpoint folder: batch numbers begin anew in
+    another one."""
+    path = f"{checkpoint.rstrip('/')}/log-name"
+    if not path_exists(spark, path):
+        import uuid
+        fs, p = _fs(spark, path)
+        out = fs.create(p)
+        out.writeBytes(uuid.uuid4().hex)
+        out.close()
+    return spark.read.text(path).first()[0]
 
 
 def list_files(spark: SparkSession, folder: str) -> list[tuple[str, int]]:

@@ -54,13 +54,18 @@ def start_ingest(events: DataFrame, key: str, sink: str, checkpoint: str,
     by default; the source's maxFilesPerTrigger / maxOffsetsPerTrigger caps a
     batch, as the collector's 10 000-row flush did). With ``dedupe_within``
     (e.g. "10 minutes") an event delivered twice within that event-time span
-    is written once (state bounded by the watermark)."""
+    is written once (state bounded by the watermark).
+
+    Every batch owns a folder of the log (``sinks.write_log_batch``): it counts when
+    it is complete, a replay replaces or skips it, and files may be archived and
+    deleted without any list of the stream's going wrong. ``scans.scan_log`` reads it."""
     if dedupe_within:
         events = (events.withWatermark("timestamp", dedupe_within)
                   .dropDuplicatesWithinWatermark(["client_id", "timestamp", "username", "query"]))
     out = pseudonymized(observe_batches(events), key)
-    w = (out.writeStream.format("parquet").option("path", sink)
-         .option("checkpointLocation", checkpoint).partitionBy("month").outputMode("append"))
+    name = SK.stream_name(events.sparkSession, checkpoint)
+    w = (out.writeStream.option("checkpointLocation", checkpoint).outputMode("append")
+         .foreachBatch(lambda batch, n: SK.write_log_batch(batch, sink, name, n)))
     return w.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
 
 
@@ -82,10 +87,17 @@ EVENT_CLIENTS = ("username STRING, norm_query STRING, time_bucket BIGINT, client
                  "earliest TIMESTAMP, latest TIMESTAMP, day DATE")
 
 
-def _write_batch(table: str):
-    """foreachBatch sink: the changed groups of a batch in the batch's folder."""
+FOLD_EVERY = 360  # batches: an hour of the default trigger
+
+
+def _write_batch(table: str, schema, keys: list[str], fold_every: int):
+    """foreachBatch sink: the changed groups of a batch in the batch's folder;
+    every so many batches the folders are folded into one, so a reader never
+    lists more than two such spans."""
     def write(batch: DataFrame, batch_id: int) -> None:
         SK.write_batch(batch, table, batch_id)
+        if (batch_id + 1) % fold_every == 0:
+            SK.compact_batches(batch.sparkSession, table, schema, keys, grace=True)
     return write
 
 
@@ -110,11 +122,12 @@ def daily_tuples_stream(searches: DataFrame, watermark: str = "10 minutes") -> D
 
 
 def start_daily_tuples(searches: DataFrame, table: str, checkpoint: str,
-                       trigger: dict | None = None, watermark: str = "10 minutes"):
+                       trigger: dict | None = None, watermark: str = "10 minutes",
+                       fold_every: int = FOLD_EVERY):
     use_rocksdb_state(searches.sparkSession)
     q = (daily_tuples_stream(searches, watermark).writeStream.outputMode("update")
          .option("checkpointLocation", checkpoint)
-         .foreachBatch(_write_batch(table)))
+         .foreachBatch(_write_batch(table, S.DAILY_TUPLES, DAILY_KEYS, fold_every)))
     return q.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
 
 
@@ -138,12 +151,12 @@ def event_clients_stream(searches: DataFrame, window_seconds: int = 300,
 
 def start_event_clients(searches: DataFrame, table: str, checkpoint: str,
                         window_seconds: int = 300, trigger: dict | None = None,
-                        watermark: str = "10 minutes"):
+                        watermark: str = "10 minutes", fold_every: int = FOLD_EVERY):
     use_rocksdb_state(searches.sparkSession)
     q = (event_clients_stream(searches, window_seconds, watermark).writeStream
          .outputMode("update")
          .option("checkpointLocation", checkpoint)
-         .foreachBatch(_write_batch(table)))
+         .foreachBatch(_write_batch(table, EVENT_CLIENTS, EVENT_KEYS, fold_every)))
     return q.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
 
 

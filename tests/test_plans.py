@@ -46,3 +46,28 @@ def test_no_python_udf_in_registered_jobs(spark, sf_small):
         for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
                      "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
             assert node not in p, (name, node)
+
+
+def test_one_month_reads_one_month(spark):
+    import datetime as dt
+
+    from sightline import schema as S
+    from sightline.sources import scans as SC
+    from sightline.sources import sinks as SK
+    root = SK.warehouse_root(spark) + "/test-month-pruning"
+    SK.delete_path(spark, root)
+    rows = [(dt.date(2024, m, 3), f"u{m}", "q", m) for m in range(1, 7)]
+    tuples = spark.createDataFrame(rows, S.DAILY_TUPLES)
+    for name, part in (("archive", "month(date) < 4"), ("live", "month(date) >= 3")):
+        SK.archive_daily_tuples(tuples.where(part), None, f"{root}/{name}")
+    ledger = spark.createDataFrame([(f"2024-0{m}", "", 1, 1, None, True) for m in (1, 2, 3)], S.ARCHIVE_LEDGER)
+    a, b = (SC.scan_archived_tuples(spark, f"{root}/{n}/daily_tuples", with_month=True) for n in ("archive", "live"))
+    every = SC.tuples_all(a, b, ledger, with_month=True)
+    assert sorted(r["search_count"] for r in every.collect()) == [1, 2, 3, 4, 5, 6]
+    one = SC.of_months(every, ["2024-03"])
+    assert [r["search_count"] for r in one.collect()] == [3]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
+    assert len(scans) >= 2 and all("PartitionFilters: [" in x and "month#" in x.split("PartitionFilters: [")[1].split("]")[0]
+                                   for x in scans)
+    assert SC.scan_archived_tuples(spark, f"{root}/none").count() == 0
