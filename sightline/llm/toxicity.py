@@ -71,11 +71,18 @@ class Model:
     features: list[str]
     weights: np.ndarray
     bias: float
-    number: dict[str, int] = field(default_factory=dict)
+    whole: dict[str, int] = field(default_factory=dict)     # features by kind: number of each
+    begin: dict[str, int] = field(default_factory=dict)
+    end: dict[str, int] = field(default_factory=dict)
+    likely: tuple[set, set] = ((), ())                      # first and last letters of some beginning and ending
     known: dict[str, tuple[int, ...]] = field(default_factory=dict)
 
     def __post_init__(self):
-        self.number = {f: i for i, f in enumerate(self.features)}
+        for i, f in enumerate(self.features):
+            kind = self.whole if f[-1] == "." else self.begin if f[-1] == "-" else self.end
+            kind[f.strip(".-")] = i
+        least = PARTS[0]
+        self.likely = {f[:least] for f in self.begin}, {f[-least:] for f in self.end}
 
     def __getstate__(self):
         return {"features": self.features, "weights": self.weights, "bias": self.bias}
@@ -88,8 +95,13 @@ class Model:
         if got is None:
             if len(self.known) >= KNOWN:
                 self.known.clear()
-            got = self.known[word] = tuple(
-                self.number[f] for f in word_features(word) if f in self.number)
+            out, least = [self.whole.get(word)], PARTS[0]  # the numbers of `word_features`, none built
+            sizes = [k for k in PARTS if k < len(word)]
+            if word[:least] in self.likely[0]:
+                out += [self.begin.get(word[:k]) for k in sizes]
+            if word[-least:] in self.likely[1]:
+                out += [self.end.get(word[-k:]) for k in sizes]
+            got = self.known[word] = tuple([i for i in out if i is not None])
         return got
 
     def instances(self, text: str | None) -> tuple[int, list[tuple[int, int, list[int]]]]:

@@ -181,6 +181,15 @@ def test_noisy_or_and_its_slopes():
     assert abs((like(w, bias + 1e-6) - like(w, bias - 1e-6)) / 2e-6 - grad[2]) < 1e-6 and (curve > 0).all()
 
 
+def test_features_of_a_word():
+    from sightline.llm import toxicity as X
+    words = ["ab", "abc", "abcd", "schimpfwort", "wort", "xwortes"]
+    names = sorted({f for w in words for f in X.word_features(w)})
+    model = X.Model(names[::2], np.zeros(len(names[::2])), -1.0)
+    for w in [*words, "unbekannt", "abcx"]:
+        assert sorted(names[::2][i] for i in model.of_word(w)) == sorted(set(X.word_features(w)) & set(names[::2]))
+
+
 def test_toxicity_learns_from_document_labels(spark):
     from sightline.llm import toxicity as X
     rng = np.random.default_rng(4)
