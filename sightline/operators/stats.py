@@ -3,8 +3,9 @@
 The core plan (all periods at once, no loop over periods)::
 
     tuples (date, username, query_normalized, search_count)
-      -> explode to (period_type, period_id)            x3 rows, narrow
-      -> pairs    = groupBy(period, query, user)          the one wide shuffle
+      -> by (query, user)                                the one wide shuffle, x1
+      -> explode to (period_type, period_id)            x3 rows, inside the task
+      -> pairs    = groupBy(period, query, user)          no shuffle: same keys
            -> by_query = groupBy(period, query)           partial-aggregated
                 -> summary, top list (users >= 5), length distribution
            -> by_user  = distinct (period, user)         -> total_users
@@ -72,13 +73,39 @@ def assign_periods(tuples: DataFrame, kinds=("week", "month", "all_time")) -> Da
 
 def period_pairs(tuples: DataFrame, kinds=("week", "month", "all_time")) -> DataFrame:
     """Distinct (period, query, user) with searches and first/last date
-    (period as internal keys)."""
-    return (assign_periods(tuples, kinds)
+    (period as internal keys). Tuples travel once, by query and user; a pair's
+    periods are then in one task, so the threefold rows are never shuffled."""
+    placed = tuples.select("date", "username", Q, "search_count").repartition(Q, "username")
+    return (assign_periods(placed, kinds)
             .groupBy(*IK, Q, "username")
             .agg(F.sum("search_count").alias("searches"),
                  F.min("date").alias("first_date"), F.max("date").alias("last_date")))
 
 
+def month_pairs(tuples: DataFrame) -> DataFrame:
+    """Period state: one row per (month, query, user). It is additive over
+    months, so months are replaced one by one and ``pairs_from_state`` folds them."""
+    return (tuples.groupBy(E.month_key("date").alias("month"), Q, "username")
+            .agg(F.sum("search_count").alias("searches"),
+                 F.min("date").alias("first_date"), F.max("date").alias("last_date")))
+
+
+def pairs_from_state(state: DataFrame, months: list[str] | None = None) -> DataFrame:
+    """(period, query, user) rows of all_time and of the months named, from the
+    month pairs: a month is read as it stands, all_time is one fold over months."""
+    key = F.substring("month", 1, 4).cast("int") * 100 + F.substring("month", 6, 2).cast("int")
+    rest = [Q, "username", "searches", "first_date", "last_date"]
+    every = (state.groupBy(Q, "username")
+             .agg(F.sum("searches").alias("searches"), F.min("first_date").alias("first_date"),
+                  F.max("last_date").alias("last_date"))
+             .select(F.lit(PERIOD_CODES["all_time"]).cast("tinyint").alias("_pt"), F.lit(0).alias("_pk"), *rest))
+    if not months:
+        return every
+    own = state.where(F.col("month").isin(list(months))).select(
+        F.lit(PERIOD_CODES["month"]).cast("tinyint").alias("_pt"), key.alias("_pk"), *rest)
+    return own.unionByName(every)
+
+
 def queries_by_period(pairs: DataFrame) -> DataFrame:
     return (pairs.groupBy(*IK, Q)
             .agg(F.count(F.lit(1)).alias("unique_users"),
@@ -191,14 +218,20 @@ def query_daily_backfill(archived: DataFrame, tuples: DataFrame, existing: DataF
 
 
 def query_profile(tuples: DataFrame) -> DataFrame:
-    """Per query: all-time users and searches, first and last day, active days."""
-    per_user = tuples.groupBy(Q, "username").agg(F.sum("search_count").alias("s"))
-    stats = per_user.groupBy(Q).agg(F.count(F.lit(1)).alias("unique_users"),
-                                    F.sum("s").alias("total_searches"))
-    days = (tuples.select(Q, "date").distinct()
-            .groupBy(Q).agg(F.min("date").alias("first_seen"), F.max("date").alias("last_seen"),
-                            F.count(F.lit(1)).alias("active_days")))
-    return stats.join(days, Q, "inner")
+    """Per query: all-time users and searches, first and last day, active days.
+
+    One scan: users and days of a query come from one aggregation by grouping
+    sets (a row per user, a row per day), folded by query."""
+    by_user = F.col("_set") == 1  # the day is not in the set
+    parts = (tuples.where(F.col(Q).isNotNull())
+             .groupingSets([[F.col(Q), F.col("username")], [F.col(Q), F.col("date")]],
+                           F.col(Q), F.col("username"), F.col("date"))
+             .agg(F.grouping_id().alias("_set"), F.sum("search_count").alias("s")))
+    return (parts.groupBy(Q)
+            .agg(F.count_if(by_user).alias("unique_users"),
+                 F.sum(F.when(by_user, F.col("s"))).alias("total_searches"),
+                 F.min("date").alias("first_seen"), F.max("date").alias("last_seen"),
+                 F.count_if(~by_user).alias("active_days")))
 
 
 # ---------------------------------------------------------------------------

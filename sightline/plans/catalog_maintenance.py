@@ -223,7 +223,7 @@ def q_replace_period(spark, sf):
         F.lit("x").alias("period_type"), F.lit("x").alias("period_id")), "rank")
     SK.replace_period_partitions(ST.period_top_queries(live), path, P.generate_periods(live),
                                  "rank")
-    back = spark.read.schema(S.PERIOD_TOP).parquet(path)
+    back = SK.read_table(spark, path, S.PERIOD_TOP)
     return back.select(*[f.name for f in S.PERIOD_TOP.fields])
 
 
@@ -641,13 +641,13 @@ def q_period_stats_job(spark, sf):
 @register("period_stats_job_top", O.top_sql(O.T2))
 def q_period_stats_job_top(spark, sf):
     root, _ = _period_stats_twice(spark, sf)
-    return spark.read.schema(S.PERIOD_TOP).parquet(f"{root}/period_top_queries").select(*S.PERIOD_TOP.names)
+    return SK.read_table(spark, f"{root}/period_top_queries", S.PERIOD_TOP).select(*S.PERIOD_TOP.names)
 
 
 @register("period_stats_job_length", ORACLE["query_length_dist"])
 def q_period_stats_job_length(spark, sf):
     root, _ = _period_stats_twice(spark, sf)
-    return spark.read.schema(S.PERIOD_LENGTH).parquet(f"{root}/period_query_length_dist").select(
+    return SK.read_table(spark, f"{root}/period_query_length_dist", S.PERIOD_LENGTH).select(
         *S.PERIOD_LENGTH.names)
 
 

@@ -41,62 +41,148 @@ def _t(root: str, name: str) -> str:
 
 def period_stats_job(spark: SparkSession, root: str, tuples: DataFrame, live: DataFrame,
                      min_users: int = E.MIN_TOP_USERS, detail_users: int = E.MIN_DETAIL_USERS,
-                     daily_only: bool = False, rebuild_daily: bool = False) -> dict[str, str]:
+                     daily_only: bool = False, rebuild_daily: bool = False,
+                     late_months: list[str] | tuple = ()) -> dict[str, str]:
     """Refresh period summary / top / length tables and the per-query daily
-    series from ``tuples`` (= ``tuples_all``).
+    series from ``tuples`` (= ``tuples_all``; with its ``month`` column, months
+    that are not touched are not read).
+
+    State: ``pairs_by_month``, the (month, query, user) pairs. Months of stale
+    periods are computed anew, others stand; month and all_time statistics come
+    from it, weeks from the tuples of their months. ``late_months`` are months
+    whose archived tuples have changed since: they count as stale.
 
     The series is refreshed in place: rows from the first live date on are
     computed anew, and queries that have become eligible get their whole
     history. ``rebuild_daily`` computes all of it (after late rows reached the
     archive)."""
     out = {}
+    existing = SK.read_table(spark, _t(root, "period_summary_stats"), S.PERIOD_SUMMARY)
+    todo = _periods_to_do(tuples, existing, live, late_months)
+    months = _months_of(todo, _state_months(spark, root))
     snap = _t(root, f"_snapshot/tuples-{uuid.uuid4().hex[:12]}")
-    tuples = SK.snapshot(tuples, snap)
+    touched = SK.snapshot(_in_months(tuples, months).select(*S.DAILY_TUPLES.names), snap)
     try:
-        _period_tables(spark, root, tuples, live, min_users, daily_only, out)
-        out["query_daily_stats"] = SK.write_version(
-            _daily_series(spark, root, tuples, live, detail_users, rebuild_daily), _t(root, "query_daily_stats"))
+        state = _refresh_state(spark, root, touched, months)
+        keys = spark.createDataFrame([(r.period_type, r.period_id) for r in todo],
+                                     "period_type STRING, period_id STRING")
+        pairs = ST.pairs_from_state(state, [r.period_id for r in todo if r.period_type == "month"])
+        if daily_only:
+            pairs = ST.pairs_from_state(state)
+        else:  # periods to compute: one row per week, a bounded broadcast
+            weeks = ST.period_pairs(touched, ("week",)).join(
+                F.broadcast(keys.select(*ST.period_internal())), ST.IK, "left_semi")
+            pairs = weeks.unionByName(pairs)
+        pairs = pairs.persist(StorageLevel.MEMORY_AND_DISK)
+        by_query = ST.queries_by_period(pairs).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if not daily_only:
+                _period_tables(spark, root, existing, keys, pairs, by_query, min_users, out)
+            eligible = by_query.where((F.col("_pt") == ST.PERIOD_CODES["all_time"])
+                                      & (F.col("unique_users") >= detail_users)).select("query_normalized")
+            out["query_daily_stats"] = SK.write_version(
+                _daily_series(spark, root, tuples, touched, live, eligible, rebuild_daily),
+                _t(root, "query_daily_stats"))
+        finally:
+            by_query.unpersist()
+            pairs.unpersist()
     finally:
         SK.delete_path(spark, snap)
     return out
 
 
-def _daily_series(spark, root, tuples, live, min_users, rebuild) -> DataFrame:
+def _periods_to_do(tuples, existing, live, late) -> list:
+    """Stale periods, one row each (a bounded list: weeks and months of the
+    history). Dates up to the last summary are known from it, so only tuples from
+    then on, and of late months, are looked at. A period inside the span of the
+    last summary, over before the first live date and without a row, was empty
+    then and stays so unless a late month touches it."""
+    known = existing.where("period_type = 'all_time' and first_date is not null")
+    first, last = known.agg(F.min("first_date"), F.max("last_date")).first()
+    dates = tuples.select("date")
+    if last is not None:
+        recent = F.col("date") >= F.lit(last.replace(day=1))
+        if "month" in tuples.columns:
+            recent = F.col("month") >= f"{last:%Y-%m}"
+        dates = (tuples.where(recent).select("date")
+                 .unionByName(_in_months(tuples, list(late)).select("date"))
+                 .unionByName(known.select(F.explode(F.array("first_date", "last_date")).alias("date"))))
+    is_late = F.lit(False)
+    for start, end in map(SC.month_range, late):
+        is_late |= (F.col("start_date") < F.lit(end.date())) & (F.col("end_date") >= F.lit(start.date()))
+    periods = P.generate_periods(dates)
+    stale = P.stale_periods(periods, existing, live)
+    if last is not None:
+        live_from = P.min_live_date(live).first()[0]
+        if live_from is not None:
+            stale = stale.where(~((F.col("period_type") != "all_time") & (F.col("start_date") >= F.lit(first))
+                                  & (F.col("end_date") <= F.lit(last)) & (F.col("end_date") < F.lit(live_from))))
+    return stale.unionByName(periods.where(is_late)).distinct().collect()
+
+
+def _state_months(spark, root) -> set[str]:
+    return {d[6:] for d in SK.list_dirs(spark, _t(root, "pairs_by_month")) if d.startswith("month=")}
+
+
+def _months_of(periods: list, held: set[str]) -> list[str]:
+    """Months that stale weeks and months touch, and months without state."""
+    months, every = set(), set()
+    for r in periods:
+        day, mine = r.start_date.replace(day=1), every if r.period_type == "all_time" else months
+        while day <= r.end_date:
+            mine.add(f"{day:%Y-%m}")
+            day = SC.month_range(f"{day:%Y-%m}")[1].date()
+    return sorted(months | (every - held))
+
+
+def _in_months(tuples: DataFrame, months: list[str]) -> DataFrame:
+    if "month" in tuples.columns:
+        return SC.of_months(tuples, months)
+    if not months:
+        return tuples.where(F.lit(False))
+    span = F.col("date").between(F.lit(SC.month_range(min(months))[0].date()),
+                                 F.last_day(F.lit(SC.month_range(max(months))[0].date())))
+    return tuples.where(span & E.month_key("date").isin(months))
+
+
+STATE = ("query_normalized STRING, username STRING, searches BIGINT, first_date DATE, last_date DATE, "
+         "month STRING")
+
+
+def _refresh_state(spark, root, touched, months) -> DataFrame:
+    """Month pairs of the months named computed anew. Only this job reads the
+    state; a run killed here leaves its periods stale, so the next one redoes them."""
+    path = _t(root, "pairs_by_month")
+    (ST.month_pairs(touched).repartitionByRange("month", "query_normalized", "username")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path))
+    full = {r[0] for r in touched.select(E.month_key("date")).distinct().collect()}
+    for m in months:
+        if m not in full:
+            SK.delete_path(spark, f"{path}/month={m}")
+    return spark.read.schema(STATE).parquet(path)
+
+
+def _daily_series(spark, root, tuples, touched, live, eligible, rebuild) -> DataFrame:
     old = SK.read_table(spark, _t(root, "query_daily_stats"), S.QUERY_DAILY)
     since = P.min_live_date(live).first()[0]
     if rebuild or since is None or old.isEmpty():
-        return ST.query_daily_stats(tuples, min_users)
+        return ST.query_daily_from(tuples, eligible)
     recent = F.col("date") >= F.lit(since).cast("date")
-    fresh = ST.query_daily_from(tuples.where(recent), ST.eligible_queries(tuples, min_users))
-    backfill = ST.query_daily_backfill(tuples.where(~recent), tuples, old, min_users)
+    fresh = ST.query_daily_from(touched.where(recent), eligible)
+    need = eligible.join(old.select("query_normalized").distinct(), "query_normalized", "left_anti")
+    backfill = fresh.limit(0) if need.isEmpty() else ST.query_daily_from(tuples.where(~recent), need)
     return M.refresh_query_daily(old, fresh.unionByName(backfill), old, backfill, since)
 
 
-def _period_tables(spark, root, tuples, live, min_users, daily_only, out) -> None:
-    if not daily_only:
-        existing = SK.read_table(spark, _t(root, "period_summary_stats"), S.PERIOD_SUMMARY)
-        todo = P.stale_periods(P.generate_periods(tuples), existing, live)
-        keys = todo.select("period_type", "period_id")
-        # periods to compute: one row per week / month, a bounded broadcast
-        tagged = ST.assign_periods(tuples).join(
-            F.broadcast(todo.select(*ST.period_internal())), ST.IK, "left_semi")
-        pairs = (tagged.groupBy(*ST.IK, "query_normalized", "username")
-                 .agg(F.sum("search_count").alias("searches"), F.min("date").alias("first_date"),
-                      F.max("date").alias("last_date"))
-                 .persist(StorageLevel.MEMORY_AND_DISK))
-        by_query = ST.queries_by_period(pairs).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            summary = ST.period_summary_from(pairs, by_query)
-            out["period_summary_stats"] = SK.write_version(
-                M.upsert_period_summary(existing, summary), _t(root, "period_summary_stats"))
-            for name, df, order in (
-                    ("period_top_queries", ST.top_from(by_query, min_users), "rank"),
-                    ("period_query_length_dist", ST.length_from(by_query), "query_length")):
-                SK.replace_period_partitions(df, _t(root, name), keys, order)
-                out[name] = _t(root, name)
-        finally:
-            by_query.unpersist()
-            pairs.unpersist()
+def _period_tables(spark, root, existing, keys, pairs, by_query, min_users, out) -> None:
+    for name, df, order in (
+            ("period_top_queries", ST.top_from(by_query, min_users), "rank"),
+            ("period_query_length_dist", ST.length_from(by_query), "query_length")):
+        out[name] = SK.replace_period_partitions(df, _t(root, name), keys, order)
+    # last: a period counts as done by its summary
+    summary = ST.period_summary_from(pairs, by_query)
+    out["period_summary_stats"] = SK.write_version(
+        M.upsert_period_summary(existing, summary), _t(root, "period_summary_stats"))
 
 
 def publish_job(spark: SparkSession, root: str, tuples: DataFrame, pairs: DataFrame,
@@ -131,7 +217,7 @@ def publish_job(spark: SparkSession, root: str, tuples: DataFrame, pairs: DataFr
     out["period_overview"] = SK.write_version(
         ST.period_overview(daily_stats, summary, P.generate_periods(tuples), cutoff),
         f"{pub}/period_overview")
-    top = spark.read.schema(S.PERIOD_TOP).parquet(_t(root, "period_top_queries"))
+    top = SK.read_table(spark, _t(root, "period_top_queries"), S.PERIOD_TOP)
     out["query_lists"] = SK.export_period_lists(top, slugs, blacklist or [], f"{pub}/query_lists")
     out["current_user_query_pairs"] = pairs_path
     out["client_totals"] = SK.write_version(ST.client_totals(daily_stats), f"{pub}/client_totals")

@@ -89,7 +89,8 @@ def write_version(df: DataFrame, table_path: str, partition_by: list[str] | None
     delete_path(spark, path)   # leftovers of a failed attempt at this version
     w = df.write.mode("overwrite").option("compression", "snappy")
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        # a session in dynamic mode would write no _SUCCESS
+        w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "static")
     w.parquet(path)
     for old in v[:-keep + 1] if keep > 1 else v:
         delete_path(spark, f"{table_path}/v={old}")
@@ -97,30 +98,32 @@ def write_version(df: DataFrame, table_path: str, partition_by: list[str] | None
 
 
 # ---------------------------------------------------------------------------
-# Period tables: partitioned by (period_type, period_id), dynamic overwrite
+# Period tables: versioned, partitioned by (period_type, period_id)
 # ---------------------------------------------------------------------------
 
 def replace_period_partitions(df: DataFrame, path: str, recomputed: DataFrame,
-                              order: str | None = None) -> None:
-    """Overwrite only the partitions of the periods present in ``df`` and
-    remove the partitions of recomputed periods that have no rows now.
-
-    Rows are range-partitioned on (period, ``order``) before the write: each
-    task holds a contiguous run of periods, so a period lands in one file
+                              order: str | None = None) -> str:
+    """Write the next version of a period table and return its path: the rows of
+    ``df``, and of every period neither in ``df`` nor recomputed the rows it had.
+    A recomputed period without rows is thereby emptied.
+
+    Readers (``read_table``) see the old version whole until the new one is
+    whole. The price is that unchanged periods are copied; they are aggregated
+    rows. Rows are range-partitioned on (period, ``order``) before the write:
+    each task holds a contiguous run of periods, so a period lands in one file
     (or a few, for a period too large for one task, such as all_time),
     instead of every task writing a small file for every period."""
     spark = df.sparkSession
-    keys = ["period_type", "period_id"] + ([order] if order else [])
+    period = ["period_type", "period_id"]
+    keys = period + ([order] if order else [])
+    columns = df.columns
     df = snapshot(df, f"{path.rstrip('/')}-next")  # evaluated once: written and compared
-    (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("period_type", "period_id").parquet(path))
-    empty = recomputed.select("period_type", "period_id").distinct().join(
-        df.select("period_type", "period_id").distinct(), ["period_type", "period_id"],
-        "left_anti")
-    for r in empty.toLocalIterator():  # one row per emptied period (bounded)
-        delete_path(spark, f"{path}/period_type={r.period_type}/period_id={r.period_id}")
+    redone = recomputed.select(period).unionByName(df.select(period)).distinct()
+    old = read_table(spark, path, df.schema).select(columns)
+    rows = old.join(redone, period, "left_anti").select(columns).unionByName(df)
+    new = write_version(rows.repartitionByRange(*keys).sortWithinPartitions(*keys), path, partition_by=period)
     delete_path(spark, f"{path.rstrip('/')}-next")
+    return new
 
 
 # ---------------------------------------------------------------------------

@@ -30,7 +30,7 @@ def test_emptied_period_partition_is_removed(spark):
     recomputed = spark.createDataFrame([("week", "2024-W01"), ("week", "2024-W02")],
                                        "period_type string, period_id string")
     SK.replace_period_partitions(again, root, recomputed)
-    back = spark.read.schema(S.PERIOD_TOP).parquet(root).collect()
+    back = SK.read_table(spark, root, S.PERIOD_TOP).collect()
     assert [(r.period_id, r.unique_users) for r in back] == [("2024-W01", 7)]
 
 
@@ -313,12 +313,12 @@ def test_period_stats_job_tables_equal_direct_computation(spark, sf_small):
     SK.delete_path(spark, root)
     for _ in range(2):
         J.period_stats_job(spark, root, tuples, live)
-    top = spark.read.schema(S.PERIOD_TOP).parquet(f"{root}/period_top_queries").select(
+    top = SK.read_table(spark, f"{root}/period_top_queries", S.PERIOD_TOP).select(
         *[f.name for f in S.PERIOD_TOP.fields])
     want_top = ST.period_top_queries(t)
     assert top.exceptAll(want_top).count() == 0 and want_top.exceptAll(top).count() == 0
-    length = spark.read.schema(S.PERIOD_LENGTH).parquet(
-        f"{root}/period_query_length_dist").select(*[f.name for f in S.PERIOD_LENGTH.fields])
+    length = SK.read_table(spark, f"{root}/period_query_length_dist", S.PERIOD_LENGTH).select(
+        *[f.name for f in S.PERIOD_LENGTH.fields])
     want_len = ST.query_length_dist(t)
     assert length.exceptAll(want_len).count() == 0 and want_len.exceptAll(length).count() == 0
     daily = SK.read_table(spark, f"{root}/query_daily_stats", S.QUERY_DAILY)
@@ -326,6 +326,85 @@ def test_period_stats_job_tables_equal_direct_computation(spark, sf_small):
     assert daily.exceptAll(want_daily).count() == 0 and want_daily.exceptAll(daily).count() == 0
 
 
+def _state_log(spark, root, rows):
+    """Daily tuples by month, as the archive keeps them, read with their month."""
+    SK.delete_path(spark, root)
+    SK.archive_daily_tuples(spark.createDataFrame(rows, S.DAILY_TUPLES), None, root)
+    return SC.scan_archived_tuples(spark, f"{root}/daily_tuples", with_month=True)
+
+
+def _same(a, b):
+    return sorted(map(str, a.collect())) == sorted(map(str, b.select(a.columns).collect()))
+
+
+def test_new_month_reads_one_month(spark, monkeypatch):
+    from sightline.plans import jobs as J
+    base = SK.warehouse_root(spark) + "/test-period-state"
+    SK.delete_path(spark, base)
+    rows = [(D(2024, m, d), f"u{u}", q, 1) for m in (1, 2, 3) for d in (3, 20, 28) for u in range(6) for q in "ab"]
+    old = _state_log(spark, base + "/log1", rows)
+    J.period_stats_job(spark, base + "/nightly", old, old.limit(0).drop("month"), detail_users=2)
+    more = rows + [(D(2024, 4, d), f"u{u}", q, 2) for d in (10, 12) for u in range(7) for q in "bc"]
+    new = _state_log(spark, base + "/log2", more)
+    asked = []
+    real = SC.of_months
+    monkeypatch.setattr(SC, "of_months", lambda t, months: asked.append(sorted(months)) or real(t, months))
+    live = new.where("month = '2024-04'").drop("month")
+    J.period_stats_job(spark, base + "/nightly", new, live, detail_users=2)
+    assert [m for m in asked if m] == [["2024-04"]]
+    every = spark.createDataFrame(more, S.DAILY_TUPLES)
+    assert _same(ST.period_summary(every), SK.read_table(spark, base + "/nightly/period_summary_stats"))
+    assert _same(ST.period_top_queries(every), SK.read_table(spark, base + "/nightly/period_top_queries", S.PERIOD_TOP))
+    assert _same(ST.query_daily_stats(every, 2), SK.read_table(spark, base + "/nightly/query_daily_stats"))
+
+
+def test_late_month_is_computed_anew(spark):
+    from sightline.plans import jobs as J
+    base = SK.warehouse_root(spark) + "/test-period-late"
+    SK.delete_path(spark, base)
+    rows = [(D(2024, m, 15), f"u{u}", "a", 1) for m in (1, 2, 3) for u in range(6)]
+    live = spark.createDataFrame(rows, S.DAILY_TUPLES).where("month(date) = 3")
+    J.period_stats_job(spark, base, spark.createDataFrame(rows, S.DAILY_TUPLES), live)
+    rows += [(D(2024, 1, 31), "late", "a", 5), (D(2023, 12, 30), "early", "b", 5)]
+    late = spark.createDataFrame(rows, S.DAILY_TUPLES)
+    J.period_stats_job(spark, base, late, live, rebuild_daily=True, late_months=["2024-01", "2023-12"])
+    assert _same(ST.period_summary(late), SK.read_table(spark, base + "/period_summary_stats"))
+    assert _same(ST.period_top_queries(late), SK.read_table(spark, base + "/period_top_queries", S.PERIOD_TOP))
+
+
+def test_period_job_of_nothing(spark):
+    from sightline.plans import jobs as J
+    base = SK.warehouse_root(spark) + "/test-period-none"
+    SK.delete_path(spark, base)
+    none = spark.createDataFrame([], S.DAILY_TUPLES)
+    J.period_stats_job(spark, base, none, none)
+    assert SK.read_table(spark, base + "/period_summary_stats").count() == 0
+
+
+def test_reader_of_a_period_table_sees_whole_versions(spark, monkeypatch):
+    root = SK.warehouse_root(spark) + "/test-period-versions"
+    SK.delete_path(spark, root)
+    row = lambda week, n: ("week", week, "q", n, n, 1)
+    first = spark.createDataFrame([row("2024-W01", 5), row("2024-W02", 6)], S.PERIOD_TOP)
+    keys = first.select("period_type", "period_id")
+    SK.replace_period_partitions(first, root, keys)
+    before = SK.read_table(spark, root, S.PERIOD_TOP)
+    # a write killed before it is complete
+    SK.write_version(first.limit(1), root, ["period_type", "period_id"])
+    SK.delete_path(spark, f"{root}/v=2/_SUCCESS")
+    assert SK.read_table(spark, root, S.PERIOD_TOP).count() == 2
+    SK.replace_period_partitions(spark.createDataFrame([row("2024-W02", 9)], S.PERIOD_TOP), root, keys.limit(0))
+    assert sorted(r.unique_users for r in before.collect()) == [5, 6]
+    assert sorted(r.unique_users for r in SK.read_table(spark, root, S.PERIOD_TOP).collect()) == [5, 9]
+
+
+def test_query_profile_counts(spark):
+    t = spark.createDataFrame([(D(2024, 1, 1), "u", "q", 1), (D(2024, 1, 1), "v", "q", 2), (D(2024, 1, 3), "u", "q", 4),
+                               (D(2024, 1, 3), None, "q", 1), (D(2024, 1, 3), "u", None, 4)], S.DAILY_TUPLES)
+    got = ST.query_profile(t)
+    assert [tuple(r) for r in got.collect()] == [("q", 3, 8, D(2024, 1, 1), D(2024, 1, 3), 2)]
+
+
 def test_cluster_conf_sizes_partitions():
     from sightline.session import cluster_conf
     c = cluster_conf(100 * 1024 ** 4, 8000)

@@ -1,12 +1,13 @@
-"""Physical plan checks: one exchange on the exploded tuples, reused pairs
-exchange, WindowGroupLimit for the top 20, pushed filters, no Python nodes."""
+"""Physical plan checks: tuples shuffled once before they are exploded, reused
+tuples exchange, WindowGroupLimit for the top 20, pushed filters, no Python nodes."""
 
 import datetime as dt
 
+from sightline import schema as S
 from sightline.operators import similarity as SM, stats as ST
 from sightline.plans import catalog as C
 from sightline.plans import registry
-from sightline.sources import fixtures as FX, scans as SC
+from sightline.sources import fixtures as FX, scans as SC, sinks as SK
 
 
 def plan(df):
@@ -18,8 +19,23 @@ def test_summary_reuses_pairs_exchange(spark, sf_small):
     df = ST.period_summary(C.s2_tuples(spark, sf_small))
     df.collect()
     final = plan(df).split("== Initial Plan ==")[0]
-    # the exploded tuples are shuffled once; the user branch reuses that exchange
-    assert final.count("Generate inline") == 1 and "ReusedExchange" in final
+    # the tuples are shuffled once, before their periods; the user branch reuses that exchange
+    assert "ReusedExchange" in final
+    assert sum("Exchange hashpartitioning(query_normalized" in x and "username" in x and "Reused" not in x
+               for x in final.splitlines()) == 1
+    assert not [x for x in final.splitlines() if "Exchange hashpartitioning(_pt" in x
+                and "query_normalized" in x and "username" in x]
+
+
+def test_query_profile_scans_once(spark, sf_small):
+    p = plan(ST.query_profile(spark.read.schema(S.DAILY_TUPLES).parquet(_tuples_folder(spark, sf_small))))
+    assert p.count("FileScan parquet") == 1 and "Expand" in p
+
+
+def _tuples_folder(spark, sf):
+    root = SK.warehouse_root(spark) + "/test-profile-tuples"
+    C.s2_tuples(spark, sf).write.mode("overwrite").parquet(root)
+    return root
 
 
 def test_similarity_uses_window_group_limit(spark, sf_small):
