@@ -91,6 +91,51 @@ def test_raw_elements_without_an_end_tag():
     assert W.main_text(page.format("<script>"), None) == "one"
 
 
+def test_class_words_inside_an_article_yield_to_the_wrapper():
+    from sightline.llm import wrappers as W
+
+    def page(k):
+        return (f"<article><h1>Act {k}</h1><p>intro {k}</p><div class='legal'><p>statute {k}</p></div>"
+                f"<div class='search-algorithms'>search {k}</div><section id='social'>club {k}</section>"
+                f"<div class='promo'>Read us daily</div><div class='ad'>buy {k}</div>"
+                f"<div class='comment-list'>I {k}</div></article>")
+
+    held = W.own_wrapper(W.fold(W.parse(page(0))[0]))
+    for k in range(1, 8):
+        held = W.merged(held, W.own_wrapper(W.fold(W.parse(page(k))[0])))
+    assert W.main_text(page(3), held) == "Act 3\nintro 3\nstatute 3\nsearch 3\nclub 3"
+    assert W.main_text(page(3), None) == "Act 3\nintro 3"  # no wrapper: classes decide
+
+
+@pytest.mark.parametrize("rows", ["<tr><td>{0}</td><td>b {0}</td></tr>", "<tr><td>{0}</td></tr><tr><td>{0}</td><th>x</th></tr>"])
+def test_long_table(rows):
+    import time
+
+    from sightline.llm import wrappers as W
+
+    def page(k, n):
+        return f"<article><h1>T {k}</h1><table>{''.join(rows.format(k + i) for i in range(n))}</table></article>"
+
+    held = W.own_wrapper(W.fold(W.parse(page(0, 1000))[0]))
+    for k in range(1, 5):
+        held = W.merged(held, W.own_wrapper(W.fold(W.parse(page(k * 7000, 1000 - k))[0])))
+    start = time.time()
+    got = W.main_text(page(90000, 1001), held).split("\n")
+    assert got[0] == "T 90000" and time.time() - start < 3
+    assert [x for x in got if x.isdigit()][:3] == ["90000", "90001", "90002"] or "x" in rows
+    assert {str(90000 + i) for i in range(1001)} <= set(got)
+
+
+def test_unclosed_tags_take_time_in_proportion():
+    import time
+
+    from sightline.llm import wrappers as W
+    for junk in ("<b>x", "<i></b>", "<b><p>y</p>", "</q>", "<a ", "<div><i></b>", "<p><b></div>"):
+        start = time.time()
+        got = W.main_text("<article>" + junk * (1_000_000 // len(junk)) + "<p>end</p></article>", None)
+        assert got.endswith("end") and time.time() - start < 6, junk  # under 1 s when idle; quadratic takes minutes
+
+
 def test_matching_against_enumeration():
     from itertools import combinations
 
