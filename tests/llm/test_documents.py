@@ -143,6 +143,21 @@ def test_plan_uses_every_length_once():
     assert sum(256 - v >= 16 for v in filled.values()) <= 1  # padding stays below the grid
 
 
+def test_components_against_union_find(spark):
+    from sightline.llm.components import components
+    rng = np.random.default_rng(5)
+    ids = rng.integers(-2**62, 2**62, 300).tolist()
+    links = [(ids[i], ids[j]) for i, j in rng.integers(0, 300, (170, 2)).tolist()]
+    links += [(ids[0], ids[k]) for k in range(1, 40)] + [(x, y) for x, y in zip(ids[100:140], ids[101:140])]
+    root = {x: x for pair in links for x in pair}
+    for _ in range(len(root)):
+        for x, y in links:
+            root[x] = root[y] = min(root[x], root[y])
+    got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
+    assert got == root
+    assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
 def brute_components(rows):
     sets = []
     for _, t in rows:
