@@ -1,14 +1,17 @@
 """Benchmark decontamination with a generalised suffix automaton.
 
-The normalised test items go into one suffix automaton over words (bounded
-size, broadcast). Training texts stream through it word by word: the automaton
-holds the longest suffix read so far that occurs in some item. Where that
-length reaches ``window`` words (or a whole item of fewer words ends), the
-words are a hit. Nothing is shuffled; each document is one pass.
-
-Size of the broadcast: an automaton holds at most ``shard_words`` item words
-(plus one item); more items than that make several automata, and the documents
-pass through them one after the other, with the same result.
+The normalised test items go into suffix automata over words. Training texts
+stream through them word by word: an automaton holds the longest suffix read so
+far that occurs in some item. Where that length reaches ``window`` words (or a
+whole item of fewer words ends), the words are a hit. Documents are not shuffled.
+
+Size: items are dealt by hash to shards of about ``shard_words`` words, and a
+task builds each shard's automaton and writes it to the shared folder; the
+driver never sees an item. The documents meet ``at_once`` automata at a time,
+which is all that is broadcast: what a round found travels with its document,
+in a written table, to the next round. A benchmark of up to ``at_once`` shards
+is one round and one pass over the documents without such a table. The longest
+single item is the one thing that a shard's size does not bound.
 
 Defined cases: a null or empty text has no words, is never contaminated and is
 returned as it is; items that are null or have no words match nothing; an item
@@ -21,26 +24,36 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import pickle
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import ALNUM_TABLE, alnum_words, replace_columns, slices
+from .shared import ALNUM_TABLE, alnum_words, drop_table, replace_columns, slices, write_once
 
 WINDOW = 10
 SHARD_WORDS = 100_000
+AT_ONCE = 4
 _WORD = re.compile(rb"[^\x20]+")
+_WORDS_OF_TEXT = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_NONE: dict = {}
 
 
 @dataclass
 class SuffixAutomaton:
-    """Generalised suffix automaton over word numbers."""
+    """Generalised suffix automaton over word numbers.
+
+    While it grows, ``step`` holds a dictionary per state; afterwards a state
+    with one way on is an entry of ``only`` (word) and ``to`` (state), and the
+    few with several are in ``many``."""
 
     window: int
     vocab: dict[bytes, int] = field(default_factory=dict)
@@ -51,6 +64,9 @@ class SuffixAutomaton:
     short: dict[int, dict] = field(default_factory=dict)    # state -> {words: item ids}
     near_short: list[int] = field(default_factory=list)     # state -> nearest suffix in short
     min_words: int = 0
+    only: array = field(default_factory=lambda: array("i"))
+    to: array = field(default_factory=lambda: array("i"))
+    many: dict[int, dict[int, int]] = field(default_factory=dict)
 
     def _extend(self, last: int, w: int) -> int:
         if w in self.step[last]:
@@ -111,8 +127,19 @@ class SuffixAutomaton:
             up = a.link[s]
             a.near_short[s] = s if s in a.short else a.near_short[up] if up >= 0 else -1
         a.min_words = min([window, *(n for d in short.values() for n in d)])
+        a._pack()
         return a
 
+    def _pack(self) -> None:
+        ways = [next(iter(d.items())) if len(d) == 1 else (-1, -1) for d in self.step]
+        self.only, self.to = (array("i", x) for x in zip(*ways))
+        self.many = {s: d for s, d in enumerate(self.step) if len(d) > 1}
+        self.step = []
+        self.length, self.link, self.near_short = (array("i", x) for x in (self.length, self.link, self.near_short))
+
+    def _next(self, s: int, w: int) -> int:
+        return self.to[s] if self.only[s] == w else self.many.get(s, _NONE).get(w, -1)
+
     def hits(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set]:
         """Merged word intervals [from, to) under occurrences, and the items."""
         get, spans, items = self.vocab.get, [], set()
@@ -124,14 +151,14 @@ class SuffixAutomaton:
         return spans, items
 
     def _walk(self, ids: list[int], base: int, spans: list, items: set) -> None:
-        step, link, length, window = self.step, self.link, self.length, self.window
+        link, length, window, step = self.link, self.length, self.window, self._next
         s = n = 0
         for i, w in enumerate(ids):
-            while s and w not in step[s]:
+            while (t := step(s, w)) < 0 and s:
                 s = link[s]
                 n = length[s]
-            if w in step[s]:
-                s = step[s][w]
+            if t >= 0:
+                s = t
                 n += 1
             best = 0
             if n >= window:
@@ -164,37 +191,101 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def automata(items: DataFrame, window: int = WINDOW, id_col: str = "item_id",
-             text_col: str = "text", shard_words: int = SHARD_WORDS) -> list:
-    """Broadcast automata over the items, at most ``shard_words`` words each.
+AUTOMATA = "shard BIGINT, automaton BINARY"
 
-    The items stream through the driver one partition at a time, so it holds
-    one shard's words and never the whole table.
-    """
-    sc = items.sparkSession.sparkContext
-    out, shard, n = [], [], 0
-    rows = items.select(F.col(id_col).cast("string"), F.col(text_col).cast("binary"))
-    for item, text in rows.toLocalIterator():
-        words = alnum_words(bytes(text) if text is not None else None)
-        if not words:
-            continue
-        shard.append((item, words))
-        n += len(words)
-        if n >= shard_words:
-            out.append(sc.broadcast(SuffixAutomaton.build(shard, window)))
-            shard, n = [], 0
-    if shard:
-        out.append(sc.broadcast(SuffixAutomaton.build(shard, window)))
-    return out
 
+class Automata:
+    """The automata of an item table, built in tasks and written; ``rounds`` are
+    the ranges of shards that documents meet together."""
+
+    def __init__(self, items: DataFrame, window: int = WINDOW, id_col: str = "item_id", text_col: str = "text",
+                 shard_words: int = SHARD_WORDS, at_once: int = AT_ONCE):
+        def build(key, rows):
+            texts = [(i, w) for i, t in zip(rows["id"], rows["text"]) if (w := alnum_words(t))]
+            return pd.DataFrame({"shard": [key[0]], "automaton": [pickle.dumps(SuffixAutomaton.build(texts, window))]})
 
-def _found(text: bytes | None, shards: list) -> tuple[list[bytes], list[tuple[int, int]], set]:
-    words, spans, items = alnum_words(text), [], set()
-    for b in shards:
-        s, i = b.value.hits(words)
+        n_words = F.regexp_count(F.col("text").cast("string"), F.lit(_WORDS_OF_TEXT))
+        rows = (items.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("binary").alias("text"))
+                .dropDuplicates(["id", "text"]).where(n_words > 0))
+        total = rows.agg(F.sum(n_words)).first()[0] or 0
+        n = -(-total // shard_words)
+        self._sc = items.sparkSession.sparkContext
+        self.rounds = [(lo, min(lo + at_once, n) - 1) for lo in range(0, n, at_once)]
+        self.table = None
+        if n:
+            shard = F.pmod(F.xxhash64("id", "text"), F.lit(n)).alias("shard")
+            self.table = write_once(rows.select(shard, "*").groupBy("shard").applyInPandas(build, AUTOMATA), "automata")
+
+    def load(self, at: tuple[int, int]):
+        """Broadcast one round, serialised."""
+        rows = self.table.where(F.col("shard").between(*at)).select("automaton").collect()
+        return self._sc.broadcast([bytes(r[0]) for r in rows])
+
+
+Found = tuple[list[tuple[int, int]], set]  # merged spans, items
+
+
+def _find(words: list[bytes], machines: list[SuffixAutomaton], before: Found = ([], set())) -> Found:
+    spans, items = list(before[0]), set(before[1])
+    for a in machines:
+        s, i = a.hits(words)
         spans += s
         items |= i
-    return words, merge(spans) if len(shards) > 1 else spans, items
+    return merge(spans), items
+
+
+_FOUND = T.StructType([T.StructField("spans", T.ArrayType(T.ArrayType(T.LongType()))),
+                       T.StructField("items", T.ArrayType(T.StringType()))])
+_FOUND_ARROW = pa.struct([("spans", pa.list_(pa.list_(pa.int64()))), ("items", pa.list_(pa.string()))])
+_SPANS = pa.list_(pa.list_(pa.int64()))
+
+
+def _new_name(name: str, taken: list[str]) -> str:
+    while name.lower() in {t.lower() for t in taken}:
+        name += "_"
+    return name
+
+
+def _through(docs: DataFrame, text_col: str, automata: Automata, finish: Callable, schema: T.StructType) -> DataFrame:
+    """The documents past all automata, one round at a time. ``finish(part,
+    found, machines)`` makes the result of a part: per row, ``found`` gives its
+    words and ``Found`` over all rounds; ``machines`` is the last round."""
+    k, width = docs.columns.index(text_col), len(docs.columns)
+    column = _new_name("_found", docs.columns)
+    carried = T.StructType([*docs.schema.fields, T.StructField(column, _FOUND)])
+
+    def searched(batches, blobs, begun):
+        machines = [pickle.loads(x) for x in blobs]
+        for part in (p for batch in batches for p in slices(batch, k)):
+            old = part.column(width).to_pylist() if begun else itertools.repeat(None)
+            texts = (alnum_words(t.encode() if isinstance(t, str) else t) for t in part.column(k).to_pylist())
+            found = [(w, _find(w, machines, (map(tuple, o["spans"]), o["items"]) if o else ([], set())))
+                     for w, o in zip(texts, old)]
+            yield part.select(carried.names[:width]) if begun else part, found, machines
+
+    def one_round(blobs, begun):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part, found, _ in searched(batches, blobs.value, begun):
+                cells = [{"spans": list(map(list, spans)), "items": sorted(items)} for _, (spans, items) in found]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(cells, _FOUND_ARROW)], names=carried.names)
+        return run
+
+    rows = docs
+    for at in automata.rounds[:-1]:
+        blobs = automata.load(at)
+        done = write_once(rows.mapInArrow(one_round(blobs, rows is not docs), carried), "decontaminate")
+        blobs.unpersist()
+        if rows is not docs:
+            drop_table(rows)
+        rows = done
+    last = automata.load(automata.rounds[-1]) if automata.rounds else None
+    begun = rows is not docs
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, found, machines in searched(batches, last.value if last else [], begun):
+            yield finish(part, found, machines)
+
+    return rows.mapInArrow(run, schema)
 
 
 SCAN_SCHEMA = T.StructType([
@@ -207,24 +298,17 @@ def scan(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
          window: int = WINDOW, **how) -> DataFrame:
     """One row per document: id, n_words, n_hit, sorted item_ids, and spans
     (word intervals [from, to), merged) under occurrences of item windows."""
-    shards = automata(items, window, **how)
-    src = docs.select(F.col(id_col), F.col(text_col).cast("binary").alias("_text"))
+    src = docs.select(F.col(id_col), F.col(text_col).cast("binary").alias(_new_name("_text", [id_col])))
     schema = T.StructType([src.schema[0], *SCAN_SCHEMA.fields])
+    kinds = [pa.int64(), pa.int64(), pa.list_(pa.string()), _SPANS]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.list_(pa.int64()))]
-        for part in (p for batch in batches for p in slices(batch, 1)):
-            rows = []
-            for text in part.column(1).to_pylist():
-                words, spans, found = _found(text, shards)
-                rows.append((len(words), sum(b - a for a, b in spans), sorted(found),
-                             [list(s) for s in spans]))
-            cols = list(zip(*rows)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), *(pa.array(list(c), t) for c, t in zip(cols, kinds))],
-                names=schema.names)
+    def finish(part, found, _):
+        rows = [(len(w), sum(b - a for a, b in spans), sorted(ids), list(map(list, spans))) for w, (spans, ids) in found]
+        cols = list(zip(*rows)) or [[]] * 4
+        return pa.RecordBatch.from_arrays([part.column(0), *(pa.array(list(c), t) for c, t in zip(cols, kinds))],
+                                          names=schema.names)
 
-    return src.mapInArrow(run, schema)
+    return _through(src, src.columns[1], Automata(items, window, **how), finish, schema)
 
 
 def digest(ids: list[str]) -> str:
@@ -247,27 +331,28 @@ def remove(docs: DataFrame, items: DataFrame, text_col: str = "text", window: in
            max_coverage: float = 0.5, size_col: str | None = "n_chars", **how) -> DataFrame:
     """Documents without the benchmark passages, columns as given.
 
-    Spans under item windows are cut out of the text. A document of which
-    more than ``max_coverage`` of the words (or all) lie in such spans goes.
-    ``size_col`` (if present) becomes the new number of characters of a text
-    that was cut; everything else stays byte for byte.
+    Spans under item windows are cut out of the text, and so are passages that
+    a cut brings together. A document of which more than ``max_coverage`` of the
+    words (or all) lie in such spans goes. ``size_col`` (if present) becomes the
+    new number of characters of a text that was cut; everything else stays byte
+    for byte. With more than one round of automata, a cut text passes through all
+    rounds again until nothing is found.
     """
-    shards = automata(items, window, **how)
+    automata = Automata(items, window, **how)
+    one = len(automata.rounds) <= 1
     names = docs.columns
-
+    open_col = _new_name("_open", names)
     k = names.index(text_col)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in (p for batch in batches for p in slices(batch, k)):
+    def cut_spans(first: bool):
+        def finish(part, found, machines):
             keep, changed = [], {}
-            for i, text in enumerate(part.column(k).to_pylist()):
-                raw = text.encode() if text is not None else None
-                words, spans, _ = _found(raw, shards)
+            for i, (words, (spans, _)) in enumerate(found):
                 hit = sum(b - a for a, b in spans)
-                keep.append(not hit or hit <= max_coverage * len(words))
+                keep.append(not hit or not first or hit <= max_coverage * len(words))
                 if hit and keep[-1]:
-                    cut = _cut(raw, spans)
-                    while (again := _found(cut, shards)[1]):  # passages that the cut brought together
+                    cut = _cut(part.column(k)[i].as_py().encode(), spans)
+                    while one and (again := _find(alnum_words(cut), machines)[0]):
                         cut = _cut(cut, again)
                     changed[i] = cut.decode()
                     keep[-1] = bool(alnum_words(cut))
@@ -279,6 +364,22 @@ def remove(docs: DataFrame, items: DataFrame, text_col: str = "text", window: in
                     new[size_col] = pa.array([len(changed[i]) if i in changed else n for i, n in enumerate(old.to_pylist())],
                                              old.type)
                 part = replace_columns(part, new)
-            yield part.filter(pa.array(keep, pa.bool_()))
-
-    return docs.mapInArrow(run, docs.schema)
+            if not one:
+                part = replace_columns(part, {open_col: pa.array([i in changed for i in range(len(found))], pa.bool_())})
+            return part.filter(pa.array(keep, pa.bool_()))
+        return finish
+
+    if one:
+        return _through(docs, text_col, automata, cut_spans(True), docs.schema)
+    todo, done = docs.withColumn(open_col, F.lit(True)), []
+    while True:  # each turn takes words out of every text that stays open
+        first = not done
+        got = write_once(_through(todo, text_col, automata, cut_spans(first), todo.schema), "decontaminated")
+        done.append(got.where(~F.col(open_col)))
+        todo = got.where(open_col)
+        if todo.isEmpty():
+            break
+    out = done[0]
+    for more in done[1:]:
+        out = out.unionByName(more)
+    return out.drop(open_col)

@@ -364,12 +364,12 @@ ITEMS = [(1, PASSAGE), (22, "short item"), (3, None), (4, ""), (5, "two"), (1, P
          (6, "zeta eta theta iota kappa lambda mu nu xi omicron pi")]
 
 
-@pytest.mark.parametrize("shard", [100_000, 5])
-def test_decontamination_scan(spark, docs, none, shard):
+@pytest.mark.parametrize("shard, at_once", [(100_000, 4), (5, 100), (15, 1)])
+def test_decontamination_scan(spark, docs, none, shard, at_once):
     from sightline.llm import decontaminate as D
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
     got = {}
-    for r in D.scan(docs, items, shard_words=shard).collect():
+    for r in D.scan(docs, items, shard_words=shard, at_once=at_once).collect():
         got.setdefault(str(r["doc_id"]), []).append((r["n_words"], r["n_hit"], sorted(r["item_ids"]),
                                                      sorted(p for a, b in r["spans"] for p in range(a, b))))
     want = {}
@@ -406,10 +406,37 @@ def test_automaton_against_brute_force():
     check()
 
 
-def test_decontamination_cuts_passages_and_keeps_clean_texts(spark, docs):
+def test_automaton_keeps_arrays_and_survives_pickling():
+    import pickle
+
+    from sightline.llm.decontaminate import SuffixAutomaton
+    words = [b"w%d" % (i * i % 101) for i in range(3000)]
+    a = SuffixAutomaton.build([(1, words), (2, words[500:900])], 10)
+    b = pickle.loads(pickle.dumps(a))
+    assert not b.step and len(b.many) < len(b.only) / 2
+    spans, found = b.hits([b"other", *words[600:640], b"other"])
+    assert spans == [(1, 41)] and found == {1, 2}
+
+
+@pytest.mark.parametrize("how", [{}, {"shard_words": 3, "at_once": 1}])
+def test_decontamination_cuts_what_a_cut_brings_together(spark, how):
+    from sightline.llm import decontaminate as D
+    x, y, z = ([f"{c}{i}" for i in range(12)] for c in "xyz")
+    items = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate((x, y, z))], "item_id bigint, text string")
+    rest = " ".join(f"r{i}" for i in range(60))
+    nested = " ".join([*x[:6], *y[:6], *z, *y[6:], *x[6:]])
+    rows = [(1, f"{rest} {nested}", 5), (2, rest, 5), (3, None, 5), (4, "", 5), (5, nested, 5), (1, f"{rest} {nested}", 5)]
+    got = D.remove(spark.createDataFrame(rows, "doc_id bigint, text string, n_chars int"), items, **how)
+    assert sorted((r["doc_id"], r["text"] or "", r["n_chars"]) for r in got.collect()) == [
+        (1, rest, len(rest)), (1, rest, len(rest)), (2, rest, 5), (3, "", 5), (4, "", 5)]
+
+
+@pytest.mark.parametrize("how", [{}, {"shard_words": 20, "at_once": 1}])
+def test_decontamination_cuts_passages_and_keeps_clean_texts(spark, docs, how):
     from sightline.llm import decontaminate as D
-    items = spark.createDataFrame([(1, PASSAGE)], "item_id bigint, text string")
-    left = D.remove(docs, items)
+    others = [(k, " ".join(f"other{k}x{i}" for i in range(12))) for k in range(2, 6)]
+    items = spark.createDataFrame([(1, PASSAGE), *others], "item_id bigint, text string")
+    left = D.remove(docs, items, **how)
     assert left.schema == docs.schema
     got = {(r["doc_id"], r["text"]): r["n_chars"] for r in left.collect()}
     clean = [(i, t) for i, t in ROWS if not brute_hits(t, [(1, PASSAGE)])[1]]
