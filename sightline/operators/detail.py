@@ -7,7 +7,7 @@ time whether it fits a broadcast).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import expr as E
@@ -144,6 +144,65 @@ def suggest_search(index: DataFrame, term: str, n: int = 12) -> DataFrame:
             .orderBy(F.col("u").desc(), F.col("t").desc(), F.col("q")).limit(n))
 
 
+GRAM = 3
+
+
+def _grams(text, sizes):
+    """Distinct substrings of the given sizes of the lower-cased text."""
+    low = F.lower(text)
+    none = F.array().cast("array<string>")
+
+    def of_size(k):
+        starts = F.sequence(F.lit(1), F.char_length(low) - k + 1)
+        return F.coalesce(F.when(F.char_length(low) >= k, F.transform(starts, lambda i: F.substring(low, i, F.lit(k)))), none)
+
+    return F.array_distinct(F.concat(*(of_size(k) for k in sizes)))
+
+
+def gram_postings(table: DataFrame, text_col: str, key_col: str) -> DataFrame:
+    """(gram, key) for the distinct trigrams of every text. Written sorted by gram,
+    a look-up reads the row groups of its own grams only."""
+    return table.select(F.explode(_grams(F.col(text_col), [GRAM])).alias("gram"), F.col(key_col)).distinct()
+
+
+def _candidates(postings: DataFrame, key_col: str, term: str) -> DataFrame:
+    """Keys whose text holds all trigrams of the term (the term itself or not)."""
+    grams = sorted({term[i:i + GRAM] for i in range(len(term) - GRAM + 1)})
+    return (postings.where(F.col("gram").isin(grams)).groupBy(key_col).agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") == len(grams)).select(key_col))
+
+
+def table_search_indexed(ranked: DataFrame, postings: DataFrame, term: str | None, **limits) -> DataFrame:
+    """``table_search`` by way of the trigram postings of (query, rank); a term of
+    fewer than three characters has no trigram and searches the table."""
+    low = (term or "").lower().strip()
+    if len(low) >= GRAM:
+        ranked = ranked.join(_candidates(postings, "rank", low), "rank", "left_semi")
+    return table_search(ranked, term, **limits)
+
+
+def suggestions(index: DataFrame, n: int = 12) -> DataFrame:
+    """For every substring of one to three characters, the ``n`` index entries that
+    ``suggest_search`` would give, with their place (from 1)."""
+    best = Window.partitionBy("term").orderBy(F.col("u").desc(), F.col("t").desc(), F.col("q"))
+    return (index.select(F.explode(_grams(F.col("q"), range(1, GRAM + 1))).alias("term"), "q", "u", "t", "s")
+            .withColumn("place", F.row_number().over(best)).where(F.col("place") <= n))
+
+
+def suggest_search_indexed(index: DataFrame, short: DataFrame, postings: DataFrame, term: str, n: int = 12
+                           ) -> DataFrame:
+    """``suggest_search`` from tables: a term of up to three characters is read from
+    ``suggestions`` (made for at least ``n``), a longer one through the trigram postings
+    of (q, q). An empty term matches every entry, as there."""
+    low = term.lower()
+    if not low:
+        return suggest_search(index, term, n)
+    if len(low) <= GRAM:
+        return (short.where((F.col("term") == low) & (F.col("place") <= n)).orderBy("place")
+                .select("q", "u", "t", "s"))
+    return suggest_search(index.join(_candidates(postings, "q", low), "q", "left_semi"), term, n)
+
+
 def recent_searches(searches: DataFrame, n: int = 10) -> DataFrame:
     return (searches.select("client_id", "timestamp", "query")
             .orderBy(F.col("timestamp").desc(), "client_id", "query").limit(n))

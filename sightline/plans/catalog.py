@@ -16,7 +16,7 @@ from ..operators import stats as ST
 from ..sources import fixtures as FX
 from . import oracle as O
 
-from .registry import once_per_session, register
+from .registry import ORACLE, once_per_session, register
 
 
 def s2_tuples(spark, sf):
@@ -512,6 +512,43 @@ def q_suggest_search(spark, sf):
     return DT.suggest_search(q_search_index(spark, sf), "small")
 
 
+@once_per_session
+def _search_paths(spark, sf):
+    """Search tables, written once: the ranked list with its trigrams, the search
+    box index with its trigrams and the suggestions for short terms."""
+    import uuid
+
+    from ..sources import sinks as SK
+    d, ix = s2_detail(spark, sf), q_search_index(spark, sf)
+    return SK.export_detail_tables(f"{SK.warehouse_root(spark)}/search-{uuid.uuid4().hex}", {
+        "queries": d, "grams": DT.gram_postings(d, "query", "rank"), "entries": ix,
+        "entry_grams": DT.gram_postings(ix, "q", "q"), "suggestions": DT.suggestions(ix)})
+
+
+def s2_search_table(spark, sf, name):
+    return spark.read.parquet(_search_paths(spark, sf)[name])
+
+
+@register("table_search_indexed", ORACLE["table_search"])
+def q_table_search_indexed(spark, sf):
+    return DT.table_search_indexed(*(s2_search_table(spark, sf, t) for t in ("queries", "grams")), "small")
+
+
+def _suggest(spark, sf, term):
+    return DT.suggest_search_indexed(*(s2_search_table(spark, sf, t) for t in ("entries", "suggestions", "entry_grams")),
+                                     term)
+
+
+@register("suggest_search_indexed", ORACLE["suggest_search"])
+def q_suggest_search_indexed(spark, sf):
+    return _suggest(spark, sf, "small")
+
+
+@register("suggest_search_short", ORACLE["suggest_search"].replace("'small'", "'sm'"))
+def q_suggest_search_short(spark, sf):
+    return _suggest(spark, sf, "sm")
+
+
 @register("recent_searches", f"""
 SELECT client_id, "timestamp", query FROM {O.S1_SQL} s ORDER BY "timestamp" DESC, client_id, query LIMIT 10""")
 def q_recent_searches(spark, sf):

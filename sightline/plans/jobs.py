@@ -208,7 +208,8 @@ def publish_job(spark: SparkSession, root: str, tuples: DataFrame, pairs: DataFr
     out = SK.export_detail_tables(pub, {
         "queries": detail, "word_index": DT.word_index(detail),
         "query_daily": DT.detail_daily(detail, qd, cutoff),
-        "query_similar": DT.detail_similar(detail, sim)})
+        "query_similar": DT.detail_similar(detail, sim),
+        "grams": DT.gram_postings(detail, "query", "rank")})
     out["search_index"] = SK.export_search_index(DT.search_index(stats, slugs, blacklist),
                                                  f"{pub}/search_index")
     summary = SK.read_table(spark, _t(root, "period_summary_stats"), S.PERIOD_SUMMARY)

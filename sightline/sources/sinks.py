@@ -206,12 +206,13 @@ def export_search_index(index: DataFrame, path: str) -> str:
 # Sort order of the detail tables: a point lookup on the first column skips
 # the files and row groups whose range does not hold it.
 DETAIL_ORDER = {"queries": ["slug", "rank"], "word_index": ["word", "rank"],
-                "query_daily": ["rank", "date"], "query_similar": ["rank", "similar_rank"]}
+                "query_daily": ["rank", "date"], "query_similar": ["rank", "similar_rank"],
+                "grams": ["gram", "rank"], "entries": ["q"], "entry_grams": ["gram", "q"], "suggestions": ["term", "place"]}
 
 
 def export_detail_tables(root: str, tables: dict[str, DataFrame]) -> dict[str, str]:
-    """Write the detail tables (queries, word_index, query_daily, query_similar),
-    each range-partitioned and sorted on its lookup column."""
+    """Write the detail and search tables (the names of ``DETAIL_ORDER``), each
+    range-partitioned and sorted on its lookup column."""
     out = {}
     for name, df in tables.items():
         p = f"{root}/{name}"

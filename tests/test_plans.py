@@ -87,3 +87,28 @@ def test_one_month_reads_one_month(spark):
     assert len(scans) >= 2 and all("PartitionFilters: [" in x and "month#" in x.split("PartitionFilters: [")[1].split("]")[0]
                                    for x in scans)
     assert SC.scan_archived_tuples(spark, f"{root}/none").count() == 0
+
+
+def test_searches_read_the_grams_of_their_term(spark):
+    """Indexed searches give the rows of the plain ones, and their scan is filtered by gram."""
+    from sightline.operators import detail as DT
+    texts = ["Small blue", "small", "malls", "sma all", "", None, "ÄÖÜ straße", "aaaa", "x", "mall small", "100% _a"]
+    root = SK.warehouse_root(spark) + "/test-search"
+    ranked = spark.createDataFrame([(i + 1, t, 40 - i % 3) for i, t in enumerate(texts)], "rank int, query string, u bigint")
+    index = ranked.select(ranked["query"].alias("q"), "u", (ranked["rank"] * 2).cast("bigint").alias("t"),
+                          ranked["query"].alias("s"))
+    paths = SK.export_detail_tables(root, {
+        "grams": DT.gram_postings(ranked, "query", "rank"), "entry_grams": DT.gram_postings(index, "q", "q"),
+        "suggestions": DT.suggestions(index, 3)})
+    grams, entry_grams, short = (spark.read.parquet(paths[n]) for n in ("grams", "entry_grams", "suggestions"))
+    for term in ("small", "SMALL ", "mall", "aa", "aaa", "äöü", "straße", "% _", "none", "", "m", None):
+        want = DT.table_search(ranked, term, limit_match=3).collect()
+        assert DT.table_search_indexed(ranked, grams, term, limit_match=3).collect() == want, term
+        if term is not None:
+            want = [(r["q"], r["u"], r["t"], r["s"]) for r in DT.suggest_search(index, term, 3).collect()]
+            got = DT.suggest_search_indexed(index, short, entry_grams, term, 3).collect()
+            assert [(r["q"], r["u"], r["t"], r["s"]) for r in got] == want, term
+    assert DT.gram_postings(ranked.where("false"), "query", "rank").count() == 0
+    p = plan(DT.table_search_indexed(ranked, grams, "small"))
+    assert any("FileScan parquet" in x and "PushedFilters: [" in x and "In(gram" in x for x in p.splitlines())
+    assert "EqualTo(term,sm)" in plan(DT.suggest_search_indexed(index, short, entry_grams, "sm"))
