@@ -4,7 +4,7 @@ The core plan (all periods at once, no loop over periods)::
 
     tuples (date, username, query_normalized, search_count)
       -> by (query, user)                                the one wide shuffle, x1
-      -> explode to (period_type, period_id)            x3 rows, inside the task
+      -> weeks, months, all_time: each reads that shuffle in tasks of its own
       -> pairs    = groupBy(period, query, user)          no shuffle: same keys
            -> by_query = groupBy(period, query)           partial-aggregated
                 -> summary, top list (users >= 5), length distribution
@@ -17,6 +17,8 @@ map-side partial aggregates, never by raw rows of one group.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -66,6 +68,9 @@ def assign_periods(tuples: DataFrame, kinds=("week", "month", "all_time")) -> Da
     d = F.col("date")
     keys = {"week": F.extract(F.lit("YEAROFWEEK"), d) * 100 + F.weekofyear(d),
             "month": F.year(d) * 100 + F.month(d), "all_time": F.lit(0)}
+    if len(kinds) == 1:
+        return tuples.select("*", F.lit(PERIOD_CODES[kinds[0]]).cast("tinyint").alias("_pt"),
+                             keys[kinds[0]].cast("int").alias("_pk"))
     arr = F.array(*[F.struct(F.lit(PERIOD_CODES[k]).cast("tinyint").alias("_pt"),
                              keys[k].cast("int").alias("_pk")) for k in kinds])
     return tuples.select("*", F.inline(arr))
@@ -74,12 +79,20 @@ def assign_periods(tuples: DataFrame, kinds=("week", "month", "all_time")) -> Da
 def period_pairs(tuples: DataFrame, kinds=("week", "month", "all_time")) -> DataFrame:
     """Distinct (period, query, user) with searches and first/last date
     (period as internal keys). Tuples travel once, by query and user; a pair's
-    periods are then in one task, so the threefold rows are never shuffled."""
+    periods are then in one partition, so the threefold rows are never shuffled.
+    Weeks, months and all_time read that shuffle in tasks of their own, since a
+    task keeps every row of its periods in a hash table."""
     placed = tuples.select("date", "username", Q, "search_count").repartition(Q, "username")
-    return (assign_periods(placed, kinds)
-            .groupBy(*IK, Q, "username")
-            .agg(F.sum("search_count").alias("searches"),
-                 F.min("date").alias("first_date"), F.max("date").alias("last_date")))
+    # the same column for every row, read from the date: all kinds need the same
+    # columns of the shuffle, so it is written once and reused
+    every = F.coalesce(F.year("date") * 0, F.lit(0))
+    of_kind = lambda kind: (placed.select(
+        "*", F.lit(PERIOD_CODES[kind]).cast("tinyint").alias("_pt"), every.alias("_pk"))
+        if kind == "all_time" else assign_periods(placed, (kind,)))
+    parts = [of_kind(kind).groupBy(*IK, Q, "username")
+             .agg(F.sum("search_count").alias("searches"),
+                  F.min("date").alias("first_date"), F.max("date").alias("last_date")) for kind in kinds]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def month_pairs(tuples: DataFrame) -> DataFrame:
@@ -90,10 +103,13 @@ def month_pairs(tuples: DataFrame) -> DataFrame:
                  F.min("date").alias("first_date"), F.max("date").alias("last_date")))
 
 
+def _month_number():
+    return F.substring("month", 1, 4).cast("int") * 100 + F.substring("month", 6, 2).cast("int")
+
+
 def pairs_from_state(state: DataFrame, months: list[str] | None = None) -> DataFrame:
     """(period, query, user) rows of all_time and of the months named, from the
     month pairs: a month is read as it stands, all_time is one fold over months."""
-    key = F.substring("month", 1, 4).cast("int") * 100 + F.substring("month", 6, 2).cast("int")
     rest = [Q, "username", "searches", "first_date", "last_date"]
     every = (state.groupBy(Q, "username")
              .agg(F.sum("searches").alias("searches"), F.min("first_date").alias("first_date"),
@@ -102,10 +118,20 @@ def pairs_from_state(state: DataFrame, months: list[str] | None = None) -> DataF
     if not months:
         return every
     own = state.where(F.col("month").isin(list(months))).select(
-        F.lit(PERIOD_CODES["month"]).cast("tinyint").alias("_pt"), key.alias("_pk"), *rest)
+        F.lit(PERIOD_CODES["month"]).cast("tinyint").alias("_pt"), _month_number().alias("_pk"), *rest)
     return own.unionByName(every)
 
 
+def users_from_state(state: DataFrame, months: list[str] | None = None) -> DataFrame:
+    """(period, user) rows of all_time and of the months named, not distinct."""
+    of = lambda kind, key, rows: rows.select(
+        F.lit(PERIOD_CODES[kind]).cast("tinyint").alias("_pt"), key.alias("_pk"), "username")
+    every = of("all_time", F.lit(0), state)
+    if not months:
+        return every
+    return of("month", _month_number(), state.where(F.col("month").isin(list(months)))).unionByName(every)
+
+
 def queries_by_period(pairs: DataFrame) -> DataFrame:
     return (pairs.groupBy(*IK, Q)
             .agg(F.count(F.lit(1)).alias("unique_users"),
@@ -113,22 +139,27 @@ def queries_by_period(pairs: DataFrame) -> DataFrame:
                  F.min("first_date").alias("first_date"), F.max("last_date").alias("last_date")))
 
 
-def period_summary_from(pairs: DataFrame, by_query: DataFrame) -> DataFrame:
+def users_by_period(rows: DataFrame) -> DataFrame:
+    """Distinct users per period of rows (period, username, ...); weeks, months and
+    all_time apart, so that no shuffle holds all of them."""
+    parts = [rows.where(F.col("_pt") == F.lit(code).cast("tinyint")).select(*IK, "username").distinct()
+             .groupBy(*IK).agg(F.count(F.lit(1)).alias("total_users")) for code in PERIOD_CODES.values()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def period_summary_from(users: DataFrame, by_query: DataFrame) -> DataFrame:
     per_period = (by_query.groupBy(*IK)
                   .agg(F.count(F.lit(1)).alias("unique_queries"),
                        F.sum("unique_users").alias("unique_pairs"),
                        F.sum("total_searches").alias("total_searches"),
                        F.min("first_date").alias("first_date"),
                        F.max("last_date").alias("last_date")))
-    # True for every row, null counts included, but it reads every column of
-    # ``pairs``: both branches keep the same aggregate and its shuffle is
-    # computed once and reused (ReusedExchange) instead of the optimizer
-    # pruning this branch into a second, different aggregation.
-    keep = ((F.col("searches") >= F.lit(-2**63)) | F.col("searches").isNull()
-            | F.col("first_date").isNull() | F.col("last_date").isNull())
-    users = (pairs.where(keep).select(*IK, "username").distinct()
-             .groupBy(*IK).agg(F.count(F.lit(1)).alias("total_users")))
-    return (per_period.join(users, IK, "inner")
+    # null-safe keys and a test of an aggregate for undated rows: a test of the keys
+    # would be pushed below the shuffle, one for every kind, and part what they share
+    named = users.select(F.col("_pt").alias("_ut"), F.col("_pk").alias("_uk"), "total_users")
+    same = F.col("_pt").eqNullSafe(F.col("_ut")) & F.col("_pk").eqNullSafe(F.col("_uk"))
+    dated = (F.col("_pt") == PERIOD_CODES["all_time"]) | F.col("first_date").isNotNull()
+    return (per_period.join(named, same, "inner").where(dated)
             .select(*period_names(), "unique_queries", "unique_pairs", "total_searches",
                     "total_users", "first_date", "last_date"))
 
@@ -137,7 +168,13 @@ def period_summary(tuples: DataFrame) -> DataFrame:
     """Per period: searches, distinct users, queries, (user, query) pairs,
     first and last date. Empty periods have no row."""
     pairs = period_pairs(tuples)
-    return period_summary_from(pairs, queries_by_period(pairs))
+    # True for every row, null counts included, but it reads every column of
+    # ``pairs``: both branches keep the same aggregate and its shuffle is
+    # computed once and reused (ReusedExchange) instead of the optimizer
+    # pruning this branch into a second, different aggregation.
+    keep = ((F.col("searches") >= F.lit(-2**63)) | F.col("searches").isNull()
+            | F.col("first_date").isNull() | F.col("last_date").isNull())
+    return period_summary_from(users_by_period(pairs.where(keep)), queries_by_period(pairs))
 
 
 def top_order():

@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,34 +59,35 @@ def period_stats_job(spark: SparkSession, root: str, tuples: DataFrame, live: Da
     existing = SK.read_table(spark, _t(root, "period_summary_stats"), S.PERIOD_SUMMARY)
     todo = _periods_to_do(tuples, existing, live, late_months)
     months = _months_of(todo, _state_months(spark, root))
-    snap = _t(root, f"_snapshot/tuples-{uuid.uuid4().hex[:12]}")
+    run = uuid.uuid4().hex[:12]
+    snap, folded = (_t(root, f"_snapshot/{name}-{run}") for name in ("tuples", "by-query"))
     touched = SK.snapshot(_in_months(tuples, months).select(*S.DAILY_TUPLES.names), snap)
     try:
         state = _refresh_state(spark, root, touched, months)
         keys = spark.createDataFrame([(r.period_type, r.period_id) for r in todo],
                                      "period_type STRING, period_id STRING")
-        pairs = ST.pairs_from_state(state, [r.period_id for r in todo if r.period_type == "month"])
-        if daily_only:
-            pairs = ST.pairs_from_state(state)
-        else:  # periods to compute: one row per week, a bounded broadcast
-            weeks = ST.period_pairs(touched, ("week",)).join(
-                F.broadcast(keys.select(*ST.period_internal())), ST.IK, "left_semi")
+        whole = [r.period_id for r in todo if r.period_type == "month"]
+        # periods to compute: one row per week, a bounded broadcast
+        todo_keys = F.broadcast(keys.select(*ST.period_internal()))
+        pairs = ST.pairs_from_state(state, [] if daily_only else whole)
+        if not daily_only:
+            weeks = ST.period_pairs(touched, ("week",)).join(todo_keys, ST.IK, "left_semi")
             pairs = weeks.unionByName(pairs)
-        pairs = pairs.persist(StorageLevel.MEMORY_AND_DISK)
-        by_query = ST.queries_by_period(pairs).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            if not daily_only:
-                _period_tables(spark, root, existing, keys, pairs, by_query, min_users, out)
-            eligible = by_query.where((F.col("_pt") == ST.PERIOD_CODES["all_time"])
-                                      & (F.col("unique_users") >= detail_users)).select("query_normalized")
-            out["query_daily_stats"] = SK.write_version(
-                _daily_series(spark, root, tuples, touched, live, eligible, rebuild_daily),
-                _t(root, "query_daily_stats"))
-        finally:
-            by_query.unpersist()
-            pairs.unpersist()
+        # pairs are folded as they come and never kept; users come from the snapshot and the state
+        by_query = SK.snapshot(ST.queries_by_period(pairs), folded)
+        if not daily_only:
+            users = ST.assign_periods(touched.select("date", "username"), ("week",)).join(
+                todo_keys, ST.IK, "left_semi").select(*ST.IK, "username")
+            users = ST.users_by_period(users.unionByName(ST.users_from_state(state, whole)))
+            _period_tables(spark, root, existing, keys, users, by_query, min_users, out)
+        eligible = by_query.where((F.col("_pt") == ST.PERIOD_CODES["all_time"])
+                                  & (F.col("unique_users") >= detail_users)).select("query_normalized")
+        out["query_daily_stats"] = SK.write_version(
+            _daily_series(spark, root, tuples, touched, live, eligible, rebuild_daily),
+            _t(root, "query_daily_stats"))
     finally:
         SK.delete_path(spark, snap)
+        SK.delete_path(spark, folded)
     return out
 
 
@@ -174,13 +174,13 @@ def _daily_series(spark, root, tuples, touched, live, eligible, rebuild) -> Data
     return M.refresh_query_daily(old, fresh.unionByName(backfill), old, backfill, since)
 
 
-def _period_tables(spark, root, existing, keys, pairs, by_query, min_users, out) -> None:
+def _period_tables(spark, root, existing, keys, users, by_query, min_users, out) -> None:
     for name, df, order in (
             ("period_top_queries", ST.top_from(by_query, min_users), "rank"),
             ("period_query_length_dist", ST.length_from(by_query), "query_length")):
         out[name] = SK.replace_period_partitions(df, _t(root, name), keys, order)
     # last: a period counts as done by its summary
-    summary = ST.period_summary_from(pairs, by_query)
+    summary = ST.period_summary_from(users, by_query)
     out["period_summary_stats"] = SK.write_version(
         M.upsert_period_summary(existing, summary), _t(root, "period_summary_stats"))
 

@@ -18,6 +18,10 @@ REQUIRED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
+# Set where the session names no value of its own. Tasks behind a shuffle keep most
+# rows they read in hash tables, ten to thirty times what the compressed shuffle
+# holds: tasks of Spark's 64 MB would spill.
+UNLESS_SET = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m"}
 # Performance settings: applied when this package builds the session; a
 # cluster's own values are left alone.
 SESSION_DEFAULTS = {
@@ -33,6 +37,9 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in REQUIRED.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
+    for key, value in UNLESS_SET.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
     return spark
 
 

@@ -112,3 +112,30 @@ def test_searches_read_the_grams_of_their_term(spark):
     p = plan(DT.table_search_indexed(ranked, grams, "small"))
     assert any("FileScan parquet" in x and "PushedFilters: [" in x and "In(gram" in x for x in p.splitlines())
     assert "EqualTo(term,sm)" in plan(DT.suggest_search_indexed(index, short, entry_grams, "sm"))
+
+
+def test_kinds_of_periods_are_counted_apart(spark, sf_small):
+    """Weeks, months and all_time are hashed in tasks of their own (no threefold
+    rows in one task), and none of their tests reaches below the shared shuffle."""
+    df = ST.period_summary(C.s2_tuples(spark, sf_small))
+    df.collect()
+    final = plan(df).split("== Initial Plan ==")[0]
+    assert "Generate" not in final and "Union" in final
+    assert sum("FileScan parquet [l_orderkey" in x for x in final.splitlines()) == 1
+
+
+def test_undated_tuples_count_for_all_time_only(spark):
+    rows = [(dt.date(2024, 1, 3), "a", "x", 2), (None, "b", "x", 5)]
+    got = {r.period_id: (r.total_users, r.total_searches) for r in
+           ST.period_summary(spark.createDataFrame(rows, S.DAILY_TUPLES)).collect()}
+    assert got == {"2024-W01": (1, 2), "2024-01": (1, 2), "all_time": (2, 7)}
+
+
+def test_partition_size_is_set_unless_the_session_names_one(spark):
+    from sightline.session import configure
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    other = spark.newSession()
+    other.conf.unset(key)
+    assert configure(other).conf.get(key) == "16m"
+    other.conf.set(key, "32m")
+    assert configure(other).conf.get(key) == "32m"
