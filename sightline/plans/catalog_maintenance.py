@@ -622,10 +622,21 @@ def q_export_detail_tables(spark, sf):
 from . import jobs as J  # noqa: E402
 
 
+@once_per_session
+def _stored_parts(spark, sf):
+    """The archived and the live tuples and the ledger as tables, partitioned by
+    month, which is how the jobs find them: written once, each job reads files."""
+    root = run_dir(spark, "stored")
+    SK.archive_daily_tuples(s2_tuples(spark, sf), None, root)
+    t = SC.scan_archived_tuples(spark, f"{root}/daily_tuples", with_month=True)
+    arch, live = t.where(F.col("date") < F.lit(SPLIT)), t.where(F.col("date") >= F.lit(LIVE_FROM))
+    ledger = SK.write_version(ledger_for(arch), f"{root}/archives")
+    return arch, live, SC.tuples_all(arch, live, spark.read.parquet(ledger), with_month=True)
+
+
 @once_per_session
 def _period_stats_twice(spark, sf):
-    t, arch, live = t2_parts(spark, sf)
-    tuples = SC.tuples_all(arch, live, ledger_for(arch))
+    _, live, tuples = _stored_parts(spark, sf)
     root = run_dir(spark, "nightly")
     for _ in range(2):
         J.period_stats_job(spark, root, tuples, live)
@@ -658,10 +669,10 @@ FROM {O.T2} t WHERE query_normalized IN {O.eligible_sql(O.T2)} GROUP BY 1, 2""")
 def q_period_stats_job_daily(spark, sf):
     """A first run over the archived part alone, then the refresh and backfill
     that the live part makes necessary."""
-    t, arch, live = t2_parts(spark, sf)
+    arch, live, tuples = _stored_parts(spark, sf)
     root = run_dir(spark, "nightly_daily")
     J.period_stats_job(spark, root, arch.where(F.col("date") < F.lit(LIVE_FROM)), arch.limit(0))
-    J.period_stats_job(spark, root, SC.tuples_all(arch, live, ledger_for(arch)), live)
+    J.period_stats_job(spark, root, tuples, live)
     return SK.read_table(spark, f"{root}/query_daily_stats", S.QUERY_DAILY)
 
 
@@ -669,7 +680,7 @@ def q_period_stats_job_daily(spark, sf):
 def _published(spark, sf) -> str:
     from ..operators import similarity as SM
     root, tuples = _period_stats_twice(spark, sf)
-    daily = s2_union_daily(spark, sf)
+    daily = spark.read.parquet(SK.write_version(s2_union_daily(spark, sf), f"{root}/daily_client_stats"))
     pairs = SM.user_query_pairs(tuples, AS_OF, "run_date")
     J.publish_job(spark, root, tuples, pairs, daily, AS_OF.isoformat(), BLACKLIST)
     return f"{root}/publish"

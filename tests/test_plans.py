@@ -139,3 +139,10 @@ def test_partition_size_is_set_unless_the_session_names_one(spark):
     assert configure(other).conf.get(key) == "16m"
     other.conf.set(key, "32m")
     assert configure(other).conf.get(key) == "32m"
+
+
+def test_stored_tuples_are_read_not_joined_anew(spark, sf_small):
+    from sightline.plans import catalog_maintenance as CM
+    _, live, tuples = CM._stored_parts(spark, sf_small)
+    for df in (live, tuples):
+        assert "l_orderkey" not in plan(df) and "month=" in df.inputFiles()[0]
