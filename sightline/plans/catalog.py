@@ -436,10 +436,17 @@ def _detail_paths(spark, sf):
     import uuid
 
     from ..sources import sinks as SK
-    d = s2_detail(spark, sf)
-    return SK.export_detail_tables(f"{SK.warehouse_root(spark)}/lookup-{uuid.uuid4().hex}", {
-        "queries": d, "query_daily": DT.detail_daily(d, ST.query_daily_stats(s2_tuples(spark, sf)), CUTOFF),
-        "query_similar": DT.detail_similar(d, s2_similar(spark, sf))})
+    root = f"{SK.warehouse_root(spark)}/lookup-{uuid.uuid4().hex}"
+    t = SK.snapshot(s2_tuples(spark, sf), f"{root}/_tuples")  # read by all three tables
+    stats = ST.all_time_query_stats(t)
+    d = DT.detail_queries(stats, blacklist=BLACKLIST, slug_cutoff=CUTOFF)
+    pairs = SM.eligible_pairs(SM.user_query_pairs(t, AS_OF, "run_date"), ST.eligible_queries(t), AS_OF,
+                              E.RECENT_DAYS, BLACKLIST)
+    out = SK.export_detail_tables(root, {
+        "queries": d, "query_daily": DT.detail_daily(d, ST.query_daily_stats(t), CUTOFF),
+        "query_similar": DT.detail_similar(d, SM.query_similarity(pairs))})
+    SK.delete_path(spark, f"{root}/_tuples")
+    return out
 
 
 def s2_detail_table(spark, sf, name):
@@ -519,8 +526,12 @@ def _search_paths(spark, sf):
     import uuid
 
     from ..sources import sinks as SK
-    d, ix = s2_detail(spark, sf), q_search_index(spark, sf)
-    return SK.export_detail_tables(f"{SK.warehouse_root(spark)}/search-{uuid.uuid4().hex}", {
+    root = f"{SK.warehouse_root(spark)}/search-{uuid.uuid4().hex}"
+    # one row per query, counted once: the list, the index and their postings come from it
+    stats = SK.snapshot(ST.all_time_query_stats(s2_tuples(spark, sf)), f"{root}/stats")
+    d = DT.detail_queries(stats, blacklist=BLACKLIST, slug_cutoff=CUTOFF)
+    ix = DT.search_index(stats, blacklist=BLACKLIST, slug_cutoff=CUTOFF)
+    return SK.export_detail_tables(root, {
         "queries": d, "grams": DT.gram_postings(d, "query", "rank"), "entries": ix,
         "entry_grams": DT.gram_postings(ix, "q", "q"), "suggestions": DT.suggestions(ix)})
 
