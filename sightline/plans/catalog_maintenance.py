@@ -13,7 +13,9 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
@@ -413,12 +415,15 @@ FROM p GROUP BY 1, 2""")
 def q_approx_periods(spark, sf):
     """One written table of daily sketches answers every period; each estimate
     against the exact count: within 3 %, or one in small periods."""
-    tuples = s2_tuples(spark, sf)
-    path = SK.write_version(ST.distinct_sketches(tuples), f"{run_dir(spark, 'sketches')}/daily")
+    root = run_dir(spark, "sketches")
+    tuples = SK.snapshot(s2_tuples(spark, sf), f"{root}/tuples")  # read for the sketches and for every kind
+    path = SK.write_version(ST.distinct_sketches(tuples), f"{root}/daily")
     got = ST.approx_periods(spark.read.parquet(path))
-    exact = ST.assign_periods(tuples).groupBy(*ST.IK).agg(
-        F.countDistinct("username").alias("exact_users"), F.countDistinct(ST.Q).alias("exact_queries"),
-        F.countDistinct(ST.Q, "username").alias("exact_pairs"))
+    # each kind and each count apart: together they are nine rows a tuple in one task
+    counts = {"exact_users": ["username"], "exact_queries": [ST.Q], "exact_pairs": [ST.Q, "username"]}
+    kinds = [[ST.assign_periods(tuples, (kind,)).groupBy(*ST.IK).agg(F.countDistinct(*cols).alias(name))
+              for name, cols in counts.items()] for kind in ST.PERIOD_CODES]
+    exact = reduce(DataFrame.unionByName, [reduce(lambda a, b: a.join(b, ST.IK), of) for of in kinds])
     exact = exact.select(*ST.period_names(), "exact_users", "exact_queries", "exact_pairs")
     close = F.lit(True)
     for c in ("users", "queries", "pairs"):

@@ -18,10 +18,11 @@ REQUIRED = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
-# Set where the session names no value of its own. Tasks behind a shuffle keep most
-# rows they read in hash tables, ten to thirty times what the compressed shuffle
-# holds: tasks of Spark's 64 MB would spill.
-UNLESS_SET = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m"}
+# Set where the session names no value of its own. Tasks keep most rows they read in
+# hash tables, ten to thirty times what compressed shuffles and files hold: tasks of
+# Spark's 64 MB behind a shuffle and 128 MB of a file would spill.
+UNLESS_SET = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
+              "spark.sql.files.maxPartitionBytes": "16m"}
 # Performance settings: applied when this package builds the session; a
 # cluster's own values are left alone.
 SESSION_DEFAULTS = {

@@ -133,12 +133,12 @@ def test_undated_tuples_count_for_all_time_only(spark):
 
 def test_partition_size_is_set_unless_the_session_names_one(spark):
     from sightline.session import configure
-    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     other = spark.newSession()
-    other.conf.unset(key)
-    assert configure(other).conf.get(key) == "16m"
-    other.conf.set(key, "32m")
-    assert configure(other).conf.get(key) == "32m"
+    for key in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes"):
+        other.conf.unset(key)
+        assert configure(other).conf.get(key) == "16m"
+        other.conf.set(key, "32m")
+        assert configure(other).conf.get(key) == "32m"
 
 
 def test_stored_tuples_are_read_not_joined_anew(spark, sf_small):
@@ -146,3 +146,10 @@ def test_stored_tuples_are_read_not_joined_anew(spark, sf_small):
     _, live, tuples = CM._stored_parts(spark, sf_small)
     for df in (live, tuples):
         assert "l_orderkey" not in plan(df) and "month=" in df.inputFiles()[0]
+
+
+def test_exact_counts_of_periods_do_not_multiply_rows(spark, sf_small):
+    registry.load_all()
+    df = registry.QUERIES["approx_periods"](spark, sf_small)
+    assert "Expand" not in plan(df)
+    assert df.where("not within_tolerance").isEmpty() and not df.isEmpty()
