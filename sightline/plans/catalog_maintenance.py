@@ -421,9 +421,10 @@ def q_approx_periods(spark, sf):
     got = ST.approx_periods(spark.read.parquet(path))
     # each kind and each count apart: together they are nine rows a tuple in one task
     counts = {"exact_users": ["username"], "exact_queries": [ST.Q], "exact_pairs": [ST.Q, "username"]}
-    kinds = [[ST.assign_periods(tuples, (kind,)).groupBy(*ST.IK).agg(F.countDistinct(*cols).alias(name))
-              for name, cols in counts.items()] for kind in ST.PERIOD_CODES]
-    exact = reduce(DataFrame.unionByName, [reduce(lambda a, b: a.join(b, ST.IK), of) for of in kinds])
+    each = [reduce(DataFrame.unionByName, [
+        ST.assign_periods(tuples, (kind,)).groupBy(*ST.IK).agg(F.countDistinct(*cols).alias(name))
+        for kind in ST.PERIOD_CODES]) for name, cols in counts.items()]
+    exact = reduce(lambda a, b: a.join(b, ST.IK), each)
     exact = exact.select(*ST.period_names(), "exact_users", "exact_queries", "exact_pairs")
     close = F.lit(True)
     for c in ("users", "queries", "pairs"):
