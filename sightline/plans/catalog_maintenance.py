@@ -742,9 +742,8 @@ ARCHIVE_MONTH = "2100-01"
 def _archived(spark, sf) -> str:
     """The whole raw log archived and deleted; the second run finds nothing."""
     root = run_dir(spark, "archive_job")
-    (FX.searches_s2(spark, sf).withColumn("month", E.month_key("timestamp"))
-     .repartitionByRange("month", "timestamp").write.partitionBy("month")
-     .parquet(f"{root}/searches"))
+    (SK.by_month(FX.searches_s2(spark, sf).withColumn("month", E.month_key("timestamp")))
+     .write.partitionBy("month").parquet(f"{root}/searches"))
     for _ in range(2):
         J.archive_job(spark, root, f"{root}/searches", ARCHIVE_MONTH, AS_OF, delete_after=True)
     left = [f for d in SK.list_dirs(spark, f"{root}/searches")

@@ -266,7 +266,7 @@ def archive_job(spark: SparkSession, root: str, searches_path: str, current_mont
         rows = SC.read_log_files(spark, searches_path, [f for _, f, _ in new])
         seen = Observation(f"archive_run_{run}")
         out = f"{raw}/run={run}"
-        (rows.repartitionByRange("month", "timestamp").sortWithinPartitions("month", "timestamp")
+        (SK.by_month(rows).sortWithinPartitions("month", "timestamp")
          .observe(seen, F.count(F.lit(1)).alias("rows"))
          .write.mode("overwrite").partitionBy("month").option("compression", "snappy").parquet(out))
         held = spark.read.schema(S.SEARCHES).parquet(out).count()
@@ -294,24 +294,27 @@ def _refresh_from_archive(spark, root, raw, archived, noted) -> list[dict]:
     archive, which has the late rows too)."""
     ledger_path = _t(root, "archives")
     ledger = SK.read_table(spark, ledger_path, S.ARCHIVE_LEDGER)
-    bad = (F.col("username").isNull() | F.col("query").isNull()).cast("bigint")
     sizes = noted.groupBy("month").agg(F.sum("bytes").alias("file_size"))
     before = ledger.select("month", F.col("record_count").alias("_before"), F.col("deleted").alias("_deleted"))
-    counts = (archived.groupBy("month").agg(F.count(F.lit(1)).alias("record_count"), F.sum(bad).alias("incomplete"))
+    # rows alone are counted from the files' footers; columns are read for touched months only
+    counts = (archived.groupBy("month").agg(F.count(F.lit(1)).alias("record_count"))
               .join(sizes, "month").join(before, "month", "left")
               .where(~F.col("record_count").eqNullSafe(F.col("_before"))).orderBy("month"))
     touched = counts.collect()  # at most one row per month of history
     if not touched:
         return []
-    rows = SC.drop_incomplete(archived.where(F.col("month").isin([r.month for r in touched])))
+    mine = archived.where(F.col("month").isin([r.month for r in touched]))
+    bad = mine.where(F.col("username").isNull() | F.col("query").isNull())
+    incomplete = dict(bad.groupBy("month").count().collect())  # at most one row per month
+    rows = SC.drop_incomplete(mine)
     SK.archive_daily_tuples(R.daily_search_tuples(rows), None, _t(root, "archive"))
     stats = R.daily_client_stats(rows).withColumn("month", E.month_key("date"))
-    _overwrite_months(stats, _t(root, "daily_client_stats"), ["date", "client_id"])
+    _overwrite_months(stats, _t(root, "daily_client_stats"))
     entries = spark.createDataFrame(
         [(r.month, f"{raw}/run=*/month={r.month}", r.record_count, r.file_size, None, bool(r._deleted))
          for r in touched], S.ARCHIVE_LEDGER)
     SK.write_version(M.upsert(ledger, entries, ["month"]), ledger_path)
-    return [{"month": r.month, "rows": r.record_count, "incomplete": r.incomplete, "bytes": r.file_size}
+    return [{"month": r.month, "rows": r.record_count, "incomplete": incomplete.get(r.month, 0), "bytes": r.file_size}
             for r in touched]
 
 
@@ -328,13 +331,13 @@ def _delete_archived(spark, root, archived, noted, as_of) -> None:
     pairs = (rows.where(F.col("run").isin(runs))
              .select("username", E.normalize_query("query").alias("query_normalized"), "run", "month").distinct()
              .withColumn("last_seen", F.lit(as_of).cast("date")))
-    (pairs.select("username", "query_normalized", "last_seen", "run", "month")
+    (SK.by_month(pairs.select("username", "query_normalized", "last_seen", "run", "month"), "run")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("run", "month").parquet(_t(root, "user_query_pairs")))
     totals = (rows.where(F.col("month").isin(months)).groupBy("month", "client_id")
               .agg(F.count(F.lit(1)).alias("n"), F.min("timestamp").alias("first_search"),
                    F.max("timestamp").alias("last_search")))
-    _overwrite_months(totals, _t(root, "month_totals"), ["client_id"])
+    _overwrite_months(totals, _t(root, "month_totals"))
     SK.write_version(M.cumulative_from_month_totals(spark.read.parquet(_t(root, "month_totals"))),
                      _t(root, "stats_cumulative"))
     ledger = SK.read_table(spark, _t(root, "archives"), S.ARCHIVE_LEDGER)
@@ -345,8 +348,8 @@ def _delete_archived(spark, root, archived, noted, as_of) -> None:
     SK.write_version(noted.withColumn("deleted", F.lit(True)), _t(root, "archived_files"))
 
 
-def _overwrite_months(df: DataFrame, path: str, keys: list[str]) -> None:
-    (df.repartitionByRange("month", *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+def _overwrite_months(df: DataFrame, path: str) -> None:
+    (SK.by_month(df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("month").parquet(path))
 
 

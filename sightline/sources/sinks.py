@@ -130,6 +130,14 @@ def replace_period_partitions(df: DataFrame, path: str, recomputed: DataFrame,
 # Archives
 # ---------------------------------------------------------------------------
 
+def by_month(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows of a month (and of the further ``keys``) together, for a write
+    partitioned by them: about one file per month, and a month too large for one task is
+    split by size. Unlike a range partitioning this samples nothing, so what is
+    written is computed once, and no task writes to every month."""
+    return df.hint("rebalance", *keys, "month")
+
+
 def archive_raw_month(searches: DataFrame, month: str, root: str) -> tuple[str, int, int]:
     """One month of the raw log as Parquet/snappy in timestamp order.
     Returns (path, rows, bytes); the row count is observed during the write."""
@@ -157,8 +165,7 @@ def archive_daily_tuples(tuples: DataFrame, month: str | None, root: str
     if month is not None:
         t = t.where(F.col("month") == month)
     path = f"{root}/daily_tuples"
-    # the user and the query are range keys too: one day can fill several tasks
-    (t.repartitionByRange("month", "date", "username", "query_normalized")
+    (by_month(t)
      .observe(obs, F.count(F.lit(1)).alias("rows"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("month").option("compression", "snappy").parquet(path))

@@ -460,3 +460,27 @@ def test_stale_periods_without_live_data_keeps_all(spark):
     kept = {(r.period_type, r.period_id) for r in P.stale_periods(periods, existing, live).collect()}
     assert ("month", "2024-01") not in kept and ("month", "2024-02") in kept   # Feb has no summary
     assert ("all_time", "all_time") in kept and ("month", "2024-03") in kept
+
+
+def test_merges_keep_null_keys_and_repeats(spark):
+    """A null key meets nothing; repeated rows of a key stay or go together."""
+    old = spark.createDataFrame([("a", None, 1), ("a", "x", 2), ("a", "x", 3), ("b", "y", 4)], "k string, j string, v long")
+    new = spark.createDataFrame([("a", None, 5), ("a", "x", 6), ("c", "z", 7), ("c", "z", 8)], "k string, j string, v long")
+    values = lambda df: sorted(r.v for r in df.collect())
+    assert values(M.upsert(old, new, ["k", "j"])) == [1, 4, 5, 6, 7, 8]
+    assert values(M.insert_if_absent(old, new, ["k", "j"])) == [1, 2, 3, 4, 5, 7, 8]
+
+
+def test_archive_writes_few_files_a_month(spark):
+    """Files follow the months, not the tasks."""
+    root = SK.warehouse_root(spark) + "/test-archive-files"
+    SK.delete_path(spark, root)
+    rows = [(f"c{i % 3}", dt.datetime(2024, 1 + i % 2, 1 + i % 28, i % 24), f"u{i % 50}", f"q {i % 70}") for i in range(600)]
+    _log(spark, root, rows)
+    _run_archive(spark, root)
+    for table in ("user_query_pairs/run=1", "archive/searches/run=1", "archive/daily_tuples", "daily_client_stats"):
+        months = [d for d in SK.list_dirs(spark, f"{root}/{table}") if d.startswith("month=")]
+        assert len(months) == 2
+        assert all(len(SK.list_files(spark, f"{root}/{table}/{m}")) == 1 for m in months), table
+    pairs = M.current_user_query_pairs(spark.read.parquet(f"{root}/user_query_pairs"))
+    assert pairs.count() == len({(r[2], r[3]) for r in rows})
