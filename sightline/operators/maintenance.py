@@ -8,7 +8,9 @@ readable and no plan overwrites a path it reads.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,16 +20,26 @@ from ..sources.scans import deleted_months
 Q = "query_normalized"
 
 
+def _merged(existing: DataFrame, new: DataFrame, keys: list[str], wins: bool) -> DataFrame:
+    """Rows of both sides; of keys on both, the new rows (``wins``) or the old ones.
+    A null in a key meets nothing. Each side is computed once: a join against its own
+    keys would compute it again, since only the keys are asked for there."""
+    rows = (existing.withColumn("_new", F.lit(False))
+            .unionByName(new.select(existing.columns).withColumn("_new", F.lit(True))))
+    side = F.col("_new") == F.lit(wins)
+    rows = rows.withColumn("_met", F.max(side).over(Window.partitionBy(*keys)))
+    no_key = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
+    return rows.where(side | ~F.col("_met") | no_key).select(existing.columns)
+
+
 def upsert(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Insert; on key conflict the new row replaces the old one (last wins)."""
-    return (existing.join(new.select(*keys).distinct(), keys, "left_anti")
-            .unionByName(new.select(existing.columns)))
+    return _merged(existing, new, keys, True)
 
 
 def insert_if_absent(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """Insert; on key conflict the old row stays (first wins)."""
-    return existing.unionByName(
-        new.join(existing.select(*keys).distinct(), keys, "left_anti").select(existing.columns))
+    return _merged(existing, new, keys, False)
 
 
 def new_user_query_pairs(searches: DataFrame, as_of, month: str | None = None) -> DataFrame:

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expr as E
+from .maintenance import insert_if_absent
 from .periods import PERIOD_KEYS
 from .ranking import rank_within
 
@@ -279,9 +280,7 @@ def union_daily(archived: DataFrame, live: DataFrame) -> DataFrame:
     """Archived and live daily client stats; a (client, date) present in both
     is taken from the archive only (the live rollup may still hold it)."""
     cols = ["client_id", "date", "search_count", "unique_users"]
-    return archived.select(cols).unionByName(
-        live.join(archived.select("client_id", "date"), ["client_id", "date"], "left_anti")
-        .select(cols))
+    return insert_if_absent(archived.select(cols), live, ["client_id", "date"])
 
 
 def daily_flow(daily: DataFrame, start=None, end=None) -> DataFrame:

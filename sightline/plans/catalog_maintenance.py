@@ -52,13 +52,19 @@ def _ntz(df, c="timestamp"):
     return df.withColumn(c, F.col(c).cast("timestamp_ntz"))
 
 
-def t2_parts(spark, sf):
-    t = s2_tuples(spark, sf)
+@once_per_session
+def _stored_searches(spark, sf):
+    """S2 joined and written once, as the jobs find a log: for queries that read it several times."""
+    return SK.snapshot(FX.searches_s2(spark, sf), run_dir(spark, "searches-s2"))
+
+
+def t2_parts(spark, sf, searches=None):
+    t = s2_tuples(spark, sf) if searches is None else R.daily_search_tuples(searches)
     return t, t.where(F.col("date") < F.lit(SPLIT)), t.where(F.col("date") >= F.lit(LIVE_FROM))
 
 
-def s2_parts(spark, sf):
-    s = FX.searches_s2(spark, sf)
+def s2_parts(spark, sf, searches=None):
+    s = FX.searches_s2(spark, sf) if searches is None else searches
     d = E.event_date("timestamp")
     return s, s.where(d < F.lit(SPLIT)), s.where(d >= F.lit(LIVE_FROM))
 
@@ -210,7 +216,7 @@ WITH ex AS {O.summary_sql(T2A)}, nw AS {O.summary_sql(T2L)}
 SELECT * FROM ex WHERE (period_type, period_id) NOT IN (SELECT (period_type, period_id) FROM nw)
 UNION ALL SELECT * FROM nw""")
 def q_upsert_period_summary(spark, sf):
-    _, arch, live = t2_parts(spark, sf)
+    _, arch, live = t2_parts(spark, sf, _stored_searches(spark, sf))
     return M.upsert_period_summary(ST.period_summary(arch), ST.period_summary(live))
 
 
@@ -339,8 +345,8 @@ def q_add_missing_columns(spark, sf):
 # Daily client statistics (archived + live) and overviews
 # ---------------------------------------------------------------------------
 
-def s2_union_daily(spark, sf):
-    _, arch, live = s2_parts(spark, sf)
+def s2_union_daily(spark, sf, searches=None):
+    _, arch, live = s2_parts(spark, sf, searches)
     return ST.union_daily(R.daily_client_stats(arch), R.daily_client_stats(live))
 
 
@@ -492,9 +498,11 @@ SELECT period_type, period_id, CAST(ts AS BIGINT) AS total_searches, CAST(tu AS
        CAST(last_date AS TIMESTAMP) + INTERVAL '23:59:59.999999' AS last_search, NOT has AS is_estimate
 FROM w""")
 def q_period_overview(spark, sf):
-    t, arch, _ = t2_parts(spark, sf)
-    return ST.period_overview(s2_union_daily(spark, sf), ST.period_summary(arch),
-                              P.generate_periods(t))
+    s = _stored_searches(spark, sf)
+    _, arch, _ = t2_parts(spark, sf, s)
+    # the tuples' dates are those of the searches
+    return ST.period_overview(s2_union_daily(spark, sf, s), ST.period_summary(arch),
+                              P.generate_periods(s.select(E.event_date("timestamp").alias("date"))))
 
 
 # ---------------------------------------------------------------------------

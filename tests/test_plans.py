@@ -153,3 +153,17 @@ def test_exact_counts_of_periods_do_not_multiply_rows(spark, sf_small):
     df = registry.QUERIES["approx_periods"](spark, sf_small)
     assert "Expand" not in plan(df)
     assert df.where("not within_tolerance").isEmpty() and not df.isEmpty()
+
+
+def test_upsert_computes_each_side_once(spark):
+    """Period summaries are expensive: no second plan of either side for its keys."""
+    from sightline.operators import maintenance as M
+    rows = lambda n: spark.range(n).selectExpr("id % 7 k").groupBy("k").count()
+    for merge in (M.upsert, M.insert_if_absent):
+        assert plan(merge(rows(50), rows(60), ["k"])).count("Range (") == 2
+
+
+def test_overview_and_upsert_join_the_log_once(spark, sf_small):
+    registry.load_all()
+    for name in ("upsert_period_summary", "period_overview"):
+        assert "l_orderkey" not in plan(registry.QUERIES[name](spark, sf_small))
