@@ -44,7 +44,7 @@ from . import vocabulary as V
 from .shared import drop_table, slices, write_once
 
 WORDS, LEAST, FIRST = 5, 100, 2000
-SHARD_BYTES = 12 << 20
+SHARD_BYTES = 6 << 20
 BROADCAST_PAIRS = 2_000_000     # 48 MB of frequent pairs; above it the join shuffles
 UND = "und"
 
@@ -299,7 +299,7 @@ def pairs(table: DataFrame, values: DataFrame) -> DataFrame:
         return pa.Table.from_pylist([row], schema=schema)
 
     got = left.groupBy("block").cogroup(values.where("block >= 0").groupBy("block")).applyInArrow(run, INDEXED)
-    return write_once(got, "pairs")
+    return write_once(got, "pairs", 1)  # a shard a file: no task holds the pairs of several at once
 
 
 def _listed(indexed: DataFrame, counted: bool) -> DataFrame:

@@ -23,11 +23,12 @@ def table_path(spark: SparkSession, name: str) -> str:
     return f"{base}/llm-{name}-{uuid.uuid4().hex}"
 
 
-def write_once(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back."""
+def write_once(df: DataFrame, name: str, file_rows: int = 0) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back; with
+    ``file_rows`` no file has more rows."""
     spark = df.sparkSession
     path = table_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").option("maxRecordsPerFile", file_rows).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._llm_path = path  # for drop_table
     return out

@@ -51,6 +51,17 @@ def brute_phrases(rows, least, first=2000, most=5):
     return sorted(out)
 
 
+def test_phrase_shards_have_files_of_their_own(spark):
+    """No task that lists pairs holds those of several shards at once."""
+    from sightline.llm import phrases as P, vocabulary as V
+    docs = spark.createDataFrame([("en", f"a b c d{i} " * 9) for i in range(40)], "lang string, text string")
+    table = P.shards(docs, "lang", "text", 3, 64)
+    value, total = P._frequent(3, 1)
+    values = P.write_once(V.by_bucket(table.where("bucket >= 0"), value, 3, total, np.uint64), "test-ids")
+    indexed = P.pairs(table, values)
+    assert indexed.count() > 4 and len(indexed.inputFiles()) == indexed.count()
+
+
 @pytest.mark.parametrize("shard_bytes", [64, 12 << 20])
 def test_phrases(odd, spark, shard_bytes):
     from sightline.llm import phrases as P
