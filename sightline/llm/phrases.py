@@ -9,12 +9,14 @@ those into words; every count is per language. With ``least`` occurrences asked
    often enough gets an id of its own. (``vocabulary.by_bucket``)
 2. ``pairs``: a shard replaces all other words by 0 and builds the FM-index of
    the rest. Extending the interval of every word to the left lists the shard's
-   two-word phrases with their counts; Spark sums them.
+   two-word phrases with their counts. They are dealt into hash buckets, a row per
+   shard and bucket, where the counts of all shards meet (``summed``); the shard
+   gets back a bit for each of its pairs.
 3. ``longer``: where two neighbours are no frequent pair no candidate passes, so
    the shard cuts its run there and keeps only what hangs together. On the index of
    the rest, and of its reverse, intervals are extended by turns (pairs to the
    left, then right, left, right; the interval of the other index moves along), which
-   lists each phrase of three to five words once. Spark sums the counts.
+   lists each phrase of three to five words once. Their counts meet like those of pairs.
 
 Counts are whole at every step: a shard leaves out only what cannot occur
 ``least`` times anywhere. A phrase's extensions by one word on either side are rows
@@ -45,7 +47,6 @@ from .shared import drop_table, slices, write_once
 
 WORDS, LEAST, FIRST = 5, 100, 2000
 SHARD_BYTES = 6 << 20
-BROADCAST_PAIRS = 2_000_000     # 48 MB of frequent pairs; above it the join shuffles
 UND = "und"
 
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
@@ -131,6 +132,89 @@ def connected(text: np.ndarray, linked: np.ndarray) -> np.ndarray:
     return np.insert(out[take], 0, 0)
 
 
+# -- rows of numbers --------------------------------------------------------------
+
+def packed(numbers: np.ndarray) -> bytes:
+    """Whole numbers in few bytes: the first byte of each, then the second, and so on, as zstd."""
+    planes = np.ascontiguousarray(numbers, np.int64).reshape(-1, 1).view(np.uint8).T
+    return np.int64(numbers.size).tobytes() + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    n = int(np.frombuffer(data, np.int64, 1)[0])
+    planes = pa.decompress(data[8:], decompressed_size=8 * n, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, n).T).view(np.int64).ravel()
+
+
+def bucket_of(columns: list[np.ndarray], n_buckets: int) -> np.ndarray:
+    """The bucket of each row of word ids."""
+    key = np.zeros(len(columns[0]), np.uint64)
+    for c in columns:
+        key = (key ^ c.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        key ^= key >> np.uint64(32)
+    return (key % np.uint64(n_buckets)).astype(np.int64)
+
+
+DEALT = T.StructType([
+    T.StructField("block", T.LongType()),        # -1: of all shards
+    T.StructField("bucket", T.IntegerType()),
+    T.StructField("data", T.BinaryType())])      # columns of word ids and the counts; back in the shard a bit each
+
+
+def dealt(block: int, columns: list[np.ndarray], n: np.ndarray, n_buckets: int) -> Iterator[dict]:
+    """A shard's rows by bucket, in the order they have."""
+    bucket = bucket_of(columns, n_buckets)
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+    for lo, hi in zip(cuts, [*cuts[1:], len(order)]):
+        at = order[lo:hi]
+        yield {"block": block, "bucket": int(bucket[at[0]]), "data": packed(np.stack([*(c[at] for c in columns), n[at]]))}
+
+
+def summed(rows: DataFrame, width: int, least: int, n_buckets: int, back: bool) -> DataFrame:
+    """Rows of ``width`` word ids with ``least`` occurrences in all shards, by bucket (block
+    -1); with ``back`` also which of its rows these are, for each shard and bucket."""
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        from pyspark.sql.pandas.types import to_arrow_schema
+        bucket = key[0].as_py()
+        lists = [unpacked(x).reshape(width + 1, -1) for x in table.column("data").to_pylist()]
+        ends = np.cumsum([x.shape[1] for x in lists])
+        every = np.concatenate(lists, axis=1)
+        del lists
+        order = np.lexsort(every[:width])
+        every = every[:, order]
+        first = np.flatnonzero(np.append(True, (every[:width, 1:] != every[:width, :-1]).any(axis=0)))
+        n = np.add.reduceat(every[width], first)
+        often = n >= least
+        out = [{"block": -1, "bucket": bucket,
+                "data": packed(np.concatenate((every[:width, first[often]], n[None, often])))}] if often.any() else []
+        if back:
+            good = np.empty(len(order), bool)
+            good[order] = np.repeat(often, np.diff(first, append=len(order)))
+            out += [{"block": b, "bucket": bucket, "data": np.packbits(x).tobytes()}
+                    for b, x in zip(table.column("block").to_pylist(), np.split(good, ends[:-1]))]
+        return pa.Table.from_pylist(out, schema=to_arrow_schema(DEALT))
+
+    return rows.repartition(n_buckets, "bucket").groupBy("bucket").applyInArrow(run, DEALT)
+
+
+def _counted(found: DataFrame, width: int) -> DataFrame:
+    """(phrase, n) of the frequent rows, as arrays of word ids."""
+    schema = T.StructType([T.StructField("phrase", T.ArrayType(T.LongType())), T.StructField("n", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data in batch.column(0).to_pylist():
+                got = unpacked(data).reshape(width + 1, -1)
+                ids = got[:width].T
+                real = ids > 0
+                ends = np.append(0, np.cumsum(real.sum(axis=1))).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(ends, ids[real]), pa.array(got[width])],
+                                                 names=schema.names)
+
+    return found.where("block = -1").select("data").mapInArrow(run, schema)
+
+
 # -- the shards -----------------------------------------------------------------
 
 SHARD = T.StructType([
@@ -138,7 +222,7 @@ SHARD = T.StructType([
     T.StructField("bucket", T.IntegerType()),    # -1: the run of the shard, -2: words per language
     T.StructField("pieces", T.BinaryType()),     # language and word, "\n" after each
     T.StructField("marks", T.BinaryType()),      # occurrences of each (uint32)
-    T.StructField("run", T.BinaryType())])       # word numbers from 1, 0 between pieces (int32)
+    T.StructField("run", T.BinaryType())])       # word numbers from 1, 0 between pieces (packed)
 
 
 class _Words(dict):
@@ -186,7 +270,7 @@ def shards(docs: DataFrame, lang_col: str, text_col: str, n_buckets: int,
             order = np.argsort(bucket, kind="stable")  # numbers follow the buckets
             place = np.zeros(len(names) + 1, np.int32)
             place[order + 1] = np.arange(1, len(names) + 1)
-            rows = [{"block": block, "bucket": -1, "run": place[text].tobytes()}]
+            rows = [{"block": block, "bucket": -1, "run": packed(place[text])}]
             for lang, n in totals.items():
                 rows.append({"block": block, "bucket": -2, "pieces": quote(lang).encode(),
                              "marks": np.array([n], np.int64).tobytes()})
@@ -270,14 +354,13 @@ def _language_totals(table: DataFrame) -> DataFrame:
 # -- pairs and longer phrases -----------------------------------------------------
 
 INDEXED = T.StructType([
-    T.StructField("block", T.LongType()), T.StructField("ids", T.BinaryType()),   # id of each symbol from 1 (int64)
-    T.StructField("text", T.BinaryType()),                                        # symbols (int32)
-    T.StructField("first", T.BinaryType()), T.StructField("second", T.BinaryType()),  # ids of its pairs (int64)
-    T.StructField("counts", T.BinaryType())])
+    T.StructField("block", T.LongType()), T.StructField("ids", T.BinaryType()),   # id of each symbol from 1 (packed)
+    T.StructField("text", T.BinaryType())])                                       # symbols (packed)
 
 
 def pairs(table: DataFrame, values: DataFrame) -> DataFrame:
-    """Per shard its text of frequent words, and its pairs with their counts, written once."""
+    """Per shard its text of frequent words with a neighbour, of which the pairs are
+    listed, written once."""
     left = table.where("bucket = -1").select("block", "run")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -291,66 +374,67 @@ def pairs(table: DataFrame, values: DataFrame) -> DataFrame:
         known, symbol = np.unique(ids.astype(np.int64), return_inverse=True)
         if known[0]:  # every word is frequent: 0 still parts the pieces
             known, symbol = np.insert(known, 0, 0), symbol + 1
-        text = symbol[np.frombuffer(blob, np.int32)]
+        text = symbol[unpacked(blob)]
         text = connected(text, (text[:-1] > 0) & (text[1:] > 0))
-        a, b, n = pairs_in(text)
-        row = {"block": block, "ids": known.tobytes(), "text": text.astype(np.int32).tobytes(),
-               "first": known[a].tobytes(), "second": known[b].tobytes(), "counts": n.astype(np.int64).tobytes()}
-        return pa.Table.from_pylist([row], schema=schema)
+        return pa.Table.from_pylist([{"block": block, "ids": packed(known), "text": packed(text)}], schema=schema)
 
     got = left.groupBy("block").cogroup(values.where("block >= 0").groupBy("block")).applyInArrow(run, INDEXED)
-    return write_once(got, "pairs", 1)  # a shard a file: no task holds the pairs of several at once
-
+    return write_once(got, "pairs", 1)  # a shard a file: no task lists the pairs of several at once
 
-def _listed(indexed: DataFrame, counted: bool) -> DataFrame:
-    """(block, w1, w2) of the shards' pairs, or (w1, w2, n)."""
-    names = ["w1", "w2", "n"] if counted else ["block", "w1", "w2"]
-    schema = T.StructType([T.StructField(c, T.LongType()) for c in names])
 
+def frequent_pairs(indexed: DataFrame, least: int, n_buckets: int) -> DataFrame:
+    """The pairs with ``least`` occurrences and, for each shard, which of its pairs these are, written once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark.sql.pandas.types import to_arrow_schema
+        schema = to_arrow_schema(DEALT)
         for batch in batches:
-            for block, *blobs in zip(*(batch.column(k).to_pylist() for k in range(4))):
-                w1, w2, n = (np.frombuffer(x, np.int64) for x in blobs)
-                for lo in range(0, len(w1), 65536):
-                    a, b, k = (x[lo:lo + 65536] for x in (w1, w2, n))
-                    cols = [a, b, k] if counted else [np.full(len(a), block), a, b]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=names)
+            for block, ids, text in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                ids = unpacked(ids)
+                a, b, n = pairs_in(unpacked(text))
+                rows = list(dealt(block, [ids[a], ids[b]], n, n_buckets))
+                for k in range(0, len(rows), 256):
+                    yield pa.RecordBatch.from_pylist(rows[k:k + 256], schema=schema)
 
-    return indexed.select("block", "first", "second", "counts").mapInArrow(run, schema)
+    rows = indexed.select("block", "ids", "text").mapInArrow(run, DEALT)
+    return write_once(summed(rows, 2, least, n_buckets, True), "frequent-pairs")
 
 
-def longer(indexed: DataFrame, frequent: DataFrame, words: int, least: int) -> DataFrame:
+def longer(indexed: DataFrame, frequent: DataFrame, words: int, least: int, n_buckets: int) -> DataFrame:
     """(phrase, n): phrases of three and more words with ``least`` occurrences, as
-    arrays of word ids, given the frequent pairs (w1, w2)."""
-    small = frequent.count() <= BROADCAST_PAIRS
-    right = _listed(indexed, False).join(F.broadcast(frequent) if small else frequent, ["w1", "w2"], "left_semi")
+    arrays of word ids, given the frequent pairs."""
     left = indexed.select("block", "ids", "text")
-    names = [f"w{k}" for k in range(1, words + 1)]
-    schema = T.StructType([T.StructField(c, T.LongType()) for c in [*names, "n"]])
+    right = frequent.where("block >= 0")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         from pyspark.sql.pandas.types import to_arrow_schema
-        out = to_arrow_schema(schema)
+        out = to_arrow_schema(DEALT)
         if not left.num_rows or not right.num_rows:
             return out.empty_table()
-        ids = np.frombuffer(left.column("ids")[0].as_py(), np.int64)
-        text = np.frombuffer(left.column("text")[0].as_py(), np.int32).astype(np.int64)
-        a, b = (np.searchsorted(ids, right.column(c).to_numpy()) for c in ("w1", "w2"))
-        good = np.sort(a * len(ids) + b)
+        block, ids, text = (left.column(c)[0].as_py() for c in ("block", "ids", "text"))
+        ids, text = unpacked(ids), unpacked(text)
+        a, b, _ = pairs_in(text)
+        bucket = bucket_of([ids[a], ids[b]], n_buckets)
+        size = np.bincount(bucket, minlength=n_buckets)
+        right = right.sort_by("bucket")  # the order in which the pairs were dealt
+        bits = [np.unpackbits(np.frombuffer(x, np.uint8), count=size[k])
+                for k, x in zip(right.column("bucket").to_pylist(), right.column("data").to_pylist())]
+        at = np.argsort(bucket, kind="stable")[np.concatenate(bits) > 0]
+        if not len(at):
+            return out.empty_table()
+        good = np.sort(a[at] * len(ids) + b[at])
         here = text[:-1] * len(ids) + text[1:]
         at = np.minimum(np.searchsorted(good, here), len(good) - 1)
         text = connected(text, (good[at] == here) & (text[:-1] > 0) & (text[1:] > 0))
         used, text = np.unique(text, return_inverse=True)
         ids = ids[used]
-        parts = []
-        for symbols, n in phrases_in(text, words):
-            cols = [ids[symbols[:, k]] if k < symbols.shape[1] else np.zeros(len(n), np.int64) for k in range(words)]
-            parts.append(pa.Table.from_arrays([pa.array(c) for c in [*cols, n]], schema=out))
-        return pa.concat_tables([out.empty_table(), *parts])
+        parts = [([ids[symbols[:, k]] if k < symbols.shape[1] else np.zeros(len(n), np.int64) for k in range(words)], n)
+                 for symbols, n in phrases_in(text, words)]
+        columns = [np.concatenate([c[k] for c, _ in parts]) for k in range(words)]
+        n = np.concatenate([n for _, n in parts])
+        return pa.Table.from_pylist(list(dealt(block, columns, n, n_buckets)), schema=out)
 
-    got = left.groupBy("block").cogroup(right.groupBy("block")).applyInArrow(run, schema)
-    got = got.groupBy(*names).agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    return got.select(F.filter(F.array(*names), lambda w: w > 0).alias("phrase"), "n")
+    got = left.groupBy("block").cogroup(right.groupBy("block")).applyInArrow(run, DEALT)
+    return _counted(summed(got, words, least, n_buckets, False), words)
 
 
 def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", words: int = WORDS,
@@ -367,16 +451,17 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     vocabulary = write_once(_words_table(values, buckets), "words")
     totals = write_once(_language_totals(table), "languages")
     indexed = pairs(table, values)
-    frequent = write_once(_listed(indexed, True).groupBy("w1", "w2").agg(F.sum("n").alias("n"))
-                          .where(F.col("n") >= least), "frequent-pairs")
+    drop_table(table)
+    drop_table(values)
+    meet = max(1, buckets // 2)
+    frequent = frequent_pairs(indexed, least, meet)
     one = vocabulary.select(F.array("id").alias("phrase"), "n")
-    two = frequent.select(F.array("w1", "w2").alias("phrase"), "n")
-    counts = one.unionByName(two)
+    counts = one.unionByName(_counted(frequent, 2))
     if words > 2:
-        counts = counts.unionByName(longer(indexed, frequent.select("w1", "w2"), words, least))
+        counts = counts.unionByName(longer(indexed, frequent, words, least, meet))
     counts = write_once(counts, "phrases")
-    for done in (table, values, indexed, frequent):
-        drop_table(done)
+    drop_table(indexed)
+    drop_table(frequent)
     return _ranked(counts, vocabulary, totals, first)
 
 

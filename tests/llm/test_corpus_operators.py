@@ -72,6 +72,30 @@ def test_phrases(odd, spark, shard_bytes):
     assert P.collocations(odd.where("text is null"), least=1, n_buckets=2).count() == 0
 
 
+def test_shards_get_bits_of_their_pairs_not_rows(odd, spark, monkeypatch):
+    """Pairs meet in rows of a shard and a bucket: no join has a row for each shard and frequent pair."""
+    from sightline.llm import phrases as P
+    plans, rows, write = {}, {}, P.write_once
+
+    def watched(df, name, *more):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        out = write(df, name, *more)
+        rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(P, "write_once", watched)
+    got = P.collocations(odd, least=1, first=4, shard_bytes=64, n_buckets=4).drop("left_most", "right_most")
+    assert "Join" not in plans["frequent-pairs"] + plans["phrases"]
+    assert 1 < rows["pairs"] and rows["frequent-pairs"] <= 2 * (rows["pairs"] + 1)
+    assert sorted(map(tuple, got.collect())) == brute_phrases(ODD, 1, 4)
+
+
+def test_packed_numbers_come_back():
+    from sightline.llm import phrases as P
+    for numbers in ([], [0], [3, 0, 2**62, 255, 256], range(70000)):
+        assert P.unpacked(P.packed(np.array(numbers, np.int64))).tolist() == list(numbers)
+
+
 def test_index_lists_every_phrase_once():
     from sightline.llm import phrases as P
     rng = np.random.default_rng(3)
