@@ -123,6 +123,16 @@ def _searches(spark, path, days):
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
+def test_no_empty_batch_follows_the_last_rows(spark):
+    """Files in the order of time: the watermark moves with the last one, and still
+    the last folder is the one of its rows."""
+    base = SK.warehouse_root(spark) + f"/test-last-{uuid.uuid4().hex[:8]}"
+    q = SJ.start_daily_tuples(_searches(spark, f"{base}/src", [0, 1, 2]), f"{base}/t", f"{base}/_ck", ONCE)
+    SJ.drain(q)
+    assert len(SK.list_dirs(spark, f"{base}/t")) == 3
+    assert SJ.read_daily_tuples(spark, f"{base}/t").agg(F.sum("search_count")).first()[0] == 60
+
+
 def test_streamed_log_is_archived_once_and_stays_readable(spark):
     """Unfinished batches do not count, a replayed batch is not archived twice,
     and the log can be read after the deletion."""
